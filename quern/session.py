@@ -29,3 +29,25 @@ def local_session(cores: int = 8, partitions: int = 8, memory: str = "8g") -> Sp
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, unless their PYTHONPATH or working folder has it already."""
+    import io
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent
+    roots = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    context = spark.sparkContext
+    if any(r and Path(r).resolve() == package.parent for r in roots) or getattr(context, "_quern_shipped", False):
+        return
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    target = Path(tempfile.mkdtemp(prefix="quern-")) / "quern.zip"
+    target.write_bytes(held.getvalue())
+    context.addPyFile(str(target))
+    context._quern_shipped = True
