@@ -156,3 +156,128 @@ def texts_of(column: pa.ChunkedArray | pa.Array):
         null = part.is_null().to_numpy(zero_copy_only=False)
         for k in range(len(part)):
             yield whole[:0] if null[k] else whole[at[k] : at[k + 1]]
+
+
+def _word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """word_hashes with the byte at which each word starts."""
+    hashes, starts, at = [], [], 0
+    for piece in _chunks(data):
+        edge = np.diff(np.concatenate(([True], _SPACE[piece], [True])).view(np.int8))
+        starts.append(np.flatnonzero(edge == -1) + at)
+        hashes.append(word_hashes(piece))
+        at += len(piece)
+    join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+    return join(hashes, np.uint64), join(starts, np.int64)
+
+
+def groups_of(column: pa.Array):
+    """Runs of consecutive rows holding about CHUNK bytes: (first row, list of their UTF-8 bytes)."""
+    first, held, size = 0, [], 0
+    for k, x in enumerate(texts_of(column)):
+        if held and size + len(x) > CHUNK:
+            yield first, held
+            first, held, size = k, [], 0
+        held.append(x)
+        size += len(x)
+    if held:
+        yield first, held
+
+
+def shingle_sets(texts: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of each text, laid end to end, and the bounds between texts."""
+    data = np.frombuffer(b" ".join(x.tobytes() for x in texts) + b" ", dtype=np.uint8)
+    begins = np.cumsum([0] + [len(x) + 1 for x in texts])
+    w, at = _word_spans(data)
+    edges = np.searchsorted(at, begins)  # words of text k: edges[k] to edges[k + 1]
+    counts = np.diff(edges)
+    windows = shingle_hashes(w, size) if len(w) >= size else np.zeros(0, np.uint64)
+    parts, bounds = [], np.zeros(len(texts) + 1, np.int64)
+    for k, (s, e) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+        own = windows[s : e - size + 1] if counts[k] >= size else shingle_hashes(w[s:e], size)
+        if len(own) > 1:
+            own = np.sort(own)
+            keep = np.empty(len(own), bool)
+            keep[0] = True
+            np.not_equal(own[1:], own[:-1], out=keep[1:])
+            own = own[keep]
+        parts.append(own)
+        bounds[k + 1] = bounds[k] + len(own)
+    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), bounds
+
+
+# ---- fixed-size bit sets and counters, summed over tasks in slices ----
+
+
+def merged_slices(parts: DataFrame, kind: str, slices: int, combine) -> np.ndarray:
+    """Combine the tasks' arrays: parts has (slice int, data binary), each data a compressed array slice.
+
+    Slices are dealt over tasks and streamed, so a task holds one array slice for each slice number it meets; the driver
+    receives one array, of a size that the caller's parameter fixes."""
+    import zlib
+
+    def run(batches):
+        have: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                x = np.frombuffer(zlib.decompress(x.as_py()), kind)
+                have[k] = combine(have[k], x) if k in have else x
+        yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in have.values()], pa.binary())], ["slice", "data"])
+
+    rows = parts.repartition(slices, "slice").mapInArrow(run, "slice int, data binary").collect()
+    found = {r.slice: np.frombuffer(zlib.decompress(r.data), kind) for r in rows}
+    return np.concatenate([found[k] for k in range(slices)]) if len(found) == slices else np.zeros(0, kind)
+
+
+def in_slices(array: np.ndarray, slices: int) -> pa.RecordBatch:
+    import zlib
+
+    step = len(array) // slices
+    packed = [zlib.compress(array[k * step : (k + 1) * step].tobytes(), 1) for k in range(slices)]
+    return pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array(packed, pa.binary())], ["slice", "data"])
+
+
+def id_filter(ids: DataFrame, bits: int = 1 << 23) -> np.ndarray:
+    """A one-probe bit set of the longs in the only column: no false negatives, bits / 8 bytes whatever the input."""
+
+    def run(batches):
+        mine = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            at = mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)) % np.uint64(bits)
+            np.bitwise_or.at(mine, at >> np.uint64(3), np.left_shift(1, (at & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
+        yield in_slices(mine, 16)
+
+    out = merged_slices(ids.mapInArrow(run, "slice int, data binary"), "u1", 16, np.bitwise_or)
+    return out if len(out) else np.zeros(bits // 8, np.uint8)
+
+
+def in_filter(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = mix(ids.astype(np.uint64)) % np.uint64(len(bits) * 8)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+# ---- connected components ----
+
+
+def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """(node, label): the smallest node reachable over the edges (a, b); nodes without edges are absent.
+
+    Alternates large-star and small-star until the edge set stops changing; every round is written to the shared folder."""
+    spark = edges.sparkSession
+    e = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    print_of = lambda x: x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    before = print_of(e)
+    for _ in range(most_rounds):
+        both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        e = stash(small, "edges")
+        now = print_of(e)
+        if now == before:
+            break
+        before = now
+    else:
+        raise RuntimeError("components did not settle")
+    e = spark.read.schema(e.schema).parquet(*e.inputFiles()) if e.inputFiles() else e
+    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

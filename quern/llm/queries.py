@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, quality_model
+from . import jaccard_join, line_dedup, mixing, quality_model
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -30,6 +30,24 @@ LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query(
+    "op1_ngram_jaccard_join",
+    f"""
+with recursive w as (select doc_id, {LOWER.format("array_to_string(" + WORDS + ", ' ')")} t, len({WORDS}) m from documents),
+s as (select distinct doc_id, unnest(case when m = 0 then [] when m < 4 then [t]
+        else list_transform(range(1, m - 2), lambda k: array_to_string(string_split(t, ' ')[k:k+3], ' ')) end) g from w),
+n as (select doc_id, count(*) n from s group by 1),
+link as (select a.doc_id a, b.doc_id b from s a join s b on a.g = b.g and a.doc_id <> b.doc_id join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+         group by all having 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))),
+reach(d, r) as (select a, b from link union select reach.d, link.b from reach join link on link.a = reach.r)
+select w.doc_id, coalesce(n.n, 0)::bigint n_shingles, least(w.doc_id, coalesce((select min(r) from reach where reach.d = w.doc_id), w.doc_id)) component_id
+from w left join n using (doc_id)
+""",
+)
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 @query(
     "op3_line_dedup",
     f"""
