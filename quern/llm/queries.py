@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, mixing, quality_model
+from . import jaccard_join, line_dedup, mixing, quality_model, sentencepiece_bpe
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -96,3 +96,9 @@ from d join t2 on d.source is not distinct from t2.source left join thr on thr.s
 )
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", sentencepiece_bpe.Codec(spark).digests(F.col("text")).alias("d")).select("doc_id", "d.*")
