@@ -9,7 +9,11 @@ over all documents) and differ in the hash that orders the others.
 Links are wanted only as far as components need them, so a group of n near copies is not expanded into n^2 pairs: documents
 with equal sets are one node; every holder of a prefix token is first compared with the token's smallest holder; after the
 components of those links are known, only pairs between different components remain, and all of them that pass the filters
-are compared. Large token groups are first split by the tokens of order two, which loses no pair.
+are compared: each document of the smaller component with the members of the larger, or with those that share a token where
+that is less. Large token groups are first split by the tokens of order two, which loses no pair.
+
+The sketch has 2^sketch_bits counters (16 MB, sent as 4 MB of classes) whatever the input. Raise it with the corpus: a shingle
+is recognised as frequent once its count stands out of the mean count of a cell.
 
 Defined cases: a document with fewer words than size has one shingle, its whole sequence; null, empty and blank texts have
 none and link with nothing; a null id links with nothing and has a null component; rows that repeat an id are one node, each
@@ -174,18 +178,26 @@ class Join:
 
     def remaining(self, holders: DataFrame, labels: DataFrame) -> DataFrame:
         """All pairs of different components that share an order-one token (and, in large groups, an order-two token)."""
-        h = holders.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", F.coalesce("label", "doc").alias("label"), "least")
+        h = holders.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", F.coalesce("label", "doc").alias("label"))
         mixed = h.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held")).where("lo < hi").select("token", "held")
         h = stash(h.join(mixed, "token"), "mixed-holders")
         large = h.where(F.col("held") > self.split_above).join(self.filters.select(F.col("doc_id").alias("doc"), F.explode("p2").alias("second")), "doc")
-        keyed = h.where(F.col("held") <= self.split_above).select("token", "doc", "label", "least").unionByName(large.select(F.xxhash64("token", "second").alias("token"), "doc", "label", F.lit(-1).cast("long").alias("least")))
+        keyed = h.where(F.col("held") <= self.split_above).select("token", "doc", "label").unionByName(large.select(F.xxhash64("token", "second").alias("token"), "doc", "label"))
         keyed = stash(keyed.distinct(), "keyed-holders")
-        kinds = keyed.select("token", "label").distinct()
-        meet = kinds.withColumnRenamed("label", "la").join(kinds.withColumnRenamed("label", "lb"), "token").where("la < lb")
-        left = meet.join(keyed.select("token", F.col("label").alias("la"), F.col("doc").alias("x"), "least"), ["token", "la"])
-        full = left.join(keyed.select("token", F.col("label").alias("lb"), F.col("doc").alias("y")), ["token", "lb"])
-        fresh = full.where("x <> least and y <> least")  # the least holder has met all others
-        return fresh.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct()
+        sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+        kinds = keyed.groupBy("token", "label").agg(F.count("*").alias("here")).join(sizes, "label", "left").select("token", "label", "here", F.coalesce("size", F.lit(1)).alias("size"))
+        kinds = stash(kinds, "kinds")
+        x, y = kinds.alias("x"), kinds.alias("y")
+        meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.struct("x.size", "x.label") < F.struct("y.size", "y.label")))
+        meet = meet.select(F.col("x.token").alias("token"), F.col("x.label").alias("label"), F.col("y.label").alias("other"), F.col("y.size").alias("size"), F.col("y.here").alias("here"))
+        # a document of the smaller component against the larger: by its members or, where that is less, by the shared tokens
+        sides = meet.join(keyed.select("token", "label", F.col("doc").alias("a")), ["token", "label"])
+        cost = stash(sides.groupBy("a", "other").agg(F.sum("here").alias("cost"), F.max("size").alias("size"), F.count("*").alias("tokens")), "sides")
+        single = cost.where("size = 1").select("a", F.col("other").alias("b"))
+        members = cost.where("size > 1 and cost >= size").join(labels.select(F.col("label").alias("other"), F.col("node").alias("b")), "other").select("a", "b")
+        few = cost.where("size > 1 and cost < size").select("a", "other")
+        tokens = sides.join(few, ["a", "other"], "left_semi").join(keyed.select("token", F.col("label").alias("other"), F.col("doc").alias("b")), ["token", "other"]).select("a", "b").distinct()
+        return single.unionAll(members).unionAll(tokens)
 
     def run(self) -> DataFrame:
         holders = self.grouped()
@@ -200,7 +212,7 @@ class Join:
         return out.select("s.doc_id", F.col("s.n").alias("n_shingles"), F.coalesce("c.label", "s.doc_id").alias("component_id"))
 
 
-def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, sketch_bits: int = 20, split_above: int = 200) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, sketch_bits: int = 22, split_above: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id for every row: components of the links with Jaccard >= percent / 100."""
     return Join(docs, id_col, text_col, size, percent, sketch_bits, split_above).run()
 
