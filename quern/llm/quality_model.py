@@ -136,18 +136,24 @@ def isotonic(weights, values) -> list[float]:
     return [v for _, v, n in blocks for _ in range(n)]
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, max_labelled: int) -> DataFrame:
+def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, stats) of every row, written once: all later steps read these few numbers instead of the texts."""
+    return stash(docs.select(F.col(id_col).alias("doc_id"), stats_of(docs[text_col]).alias("stats")), "quality-stats")
+
+
+def labelled(stats: DataFrame, labels: DataFrame, id_col: str, label_col: str, folds: int, max_labelled: int) -> DataFrame:
     """(fold, stats, y) of the labelled rows outside fold 0."""
-    truth = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("key")).agg(F.avg(F.col(label_col)).cast("double").alias("y")).where((F.crc32(F.col("key").cast("string")) % folds) != 0)
+    truth = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("key")).agg(F.avg(F.col(label_col)).cast("double").alias("y")).where((F.crc32(F.col("key").cast("string")) % folds) != 0)
     n = truth.count()
     if n > max_labelled:
         truth = truth.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(1e6 * max_labelled / n))
-    d = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body")).join(truth, F.col("doc") == F.col("key"))
-    return d.select((F.crc32(F.col("key").cast("string")) % folds).cast("int").alias("fold"), stats_of("body").alias("stats"), "y")
+    d = stats.join(truth, F.col("doc_id") == F.col("key"))
+    return d.select((F.crc32(F.col("key").cast("string")) % folds).cast("int").alias("fold"), "stats", "y")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", label_col="quality", folds: int = 5, max_labelled: int = 2_000_000, sums: int = 16, ridge: float = 1e-3, bins: int = 2000) -> Model:
-    rows = stash(labelled(docs, labels, id_col, text_col, label_col, folds, max_labelled), "quality-labelled")
+def fit(stats: DataFrame, labels: DataFrame, *, id_col="doc_id", label_col="quality", folds: int = 5, max_labelled: int = 2_000_000, sums: int = 16, ridge: float = 1e-3, bins: int = 2000) -> Model:
+    """The model of the (doc_id, stats) rows that labels covers."""
+    rows = stash(labelled(stats, labels, id_col, label_col, folds, max_labelled), "quality-labelled")
     part = rows.where(f"fold < {folds - 1}").coalesce(sums)
     total = sum((np.frombuffer(r.sums).reshape(3, -1) for r in part.select("stats").mapInArrow(_moments, "sums binary").collect()), np.zeros((3, len(STATS))))
     n = max(total[0, 0], 1.0)
@@ -155,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text",
     model = Model(mean, np.sqrt(np.maximum(total[2] / n - mean**2, 1e-4)))
     if not total[0, 0]:
         return model
-    normal = sum((np.frombuffer(r.sums).reshape(len(model.coef), -1) for r in part.select("stats", "y").mapInArrow(_normal(model), "sums binary").collect()))
+    normal = sum(np.frombuffer(r.sums).reshape(len(model.coef), -1) for r in part.select("stats", "y").mapInArrow(_normal(model), "sums binary").collect())
     model.coef = np.linalg.solve(normal[:, :-1] + ridge * n * np.diag([1.0] * (len(model.coef) - 1) + [1e-9]), normal[:, -1])
     held = rows.where(f"fold = {folds - 1}").coalesce(sums).select("stats", "y").mapInArrow(_binned(model, bins), "bin long, n double, good double")
     table = sorted(held.groupBy("bin").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect())  # at most bins rows
@@ -174,19 +180,16 @@ def score_of(model: Model):
     return run
 
 
-def with_score(docs: DataFrame, model: Model, *, text_col="text") -> DataFrame:
-    """(row, score): each input row as a struct and its probability of quality."""
-    return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), score_of(model)(stats_of(docs[text_col])).alias("score"))
-
-
 def classify(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", threshold: float = 0.3, folds: int = 5, **options) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    model = fit(docs, labels, id_col=id_col, text_col=text_col, folds=folds, **options)
-    held = F.coalesce(F.crc32(F.col(f"row.{id_col}").cast("string")) % folds == 0, F.lit(True))
-    return with_score(docs, model, text_col=text_col).select(F.col(f"row.{id_col}").alias("doc_id"), held.alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+    stats = measured(docs, id_col, text_col)
+    model = fit(stats, labels, id_col=id_col, folds=folds, **options)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(True)).alias("held_out")
+    return stats.select("doc_id", held, score_of(model)("stats").alias("score")).withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, *, text_col="text", threshold: float = 0.3, **options) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", threshold: float = 0.3, **options) -> DataFrame:
     """The documents that the classifier does not reject, with the columns they came with."""
-    model = fit(docs, labels, text_col=text_col, **options)
-    return with_score(docs, model, text_col=text_col).where(F.col("score") >= threshold).select("row.*")
+    model = fit(measured(docs, id_col, text_col), labels, id_col=id_col, **options)
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), score_of(model)(stats_of(docs[text_col])).alias("score"))
+    return rows.where(F.col("score") >= threshold).select("row.*")
