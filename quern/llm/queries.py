@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, mixing, quality_model, sentencepiece_bpe
+from . import jaccard_join, line_dedup, mixing, quality_model, quality_rules, sentencepiece_bpe
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -66,6 +66,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 @query("op5_quality_classifier")
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
