@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, mixing, quality_model, quality_rules, sentencepiece_bpe
+from . import jaccard_join, line_dedup, mixing, neighbour_graph, quality_model, quality_rules, sentencepiece_bpe
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -77,6 +77,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_nn_descent")
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query(
     "op8_mixing",
     f"""
