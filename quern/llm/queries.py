@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, mixing, neighbour_graph, quality_model, quality_rules, sentencepiece_bpe
+from . import jaccard_join, line_dedup, mixing, neighbour_graph, quality_model, quality_rules, sentencepiece_bpe, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -48,6 +48,20 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+@query(
+    "op2_warc",
+    """
+with p as (select page_id, octet_length(encode(coalesce(html, '')))::bigint payload_bytes, sha256(coalesce(html, '')) payload_digest from pages),
+f as (select *, min(page_id) over (partition by payload_digest) keep from p)
+select page_id, payload_bytes, payload_digest, case when payload_bytes >= 100 and page_id > keep then 'revisit' else 'response' end record_type,
+       case when payload_bytes >= 100 and page_id > keep then keep end refers_to from f
+""",
+)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.read_warc(warc.write_warc(table(spark, sf_dir, "pages")), with_payload=False)
+    return back.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))
+
+
 @query(
     "op3_line_dedup",
     f"""
