@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, mixing, neighbour_graph, quality_model, quality_rules, sentencepiece_bpe, warc
+from . import jaccard_join, line_dedup, mixing, neighbour_graph, quality_model, quality_rules, sentencepiece_bpe, suffix_dedup, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -127,3 +127,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", sentencepiece_bpe.Codec(spark).digests(F.col("text")).alias("d")).select("doc_id", "d.*")
+
+
+@query("op10_suffix_array")
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
