@@ -67,6 +67,11 @@ def words(text) -> F.Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
 
 
+def let(value: F.Column, body) -> F.Column:
+    """body(value) with value computed once: lambda variables are not expanded again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def word_count(text) -> F.Column:
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -18,18 +18,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import let, stash
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with value computed once: lambda variables are not expanded again."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def repeat_words(words: Column, size: int = WINDOW) -> Column:
     """Words covered by windows that occur twice or more. Equal hashes are neighbours once sorted; hashes carry 64 bits."""
 
@@ -79,19 +74,20 @@ def share(part: str, whole: str) -> Column:
     return F.col(part) / F.greatest(F.col(whole), F.lit(1))
 
 
-_word = share("word_chars", "n_words")
-#: name -> (when it votes, its vote: 1 good, -1 bad); else it abstains
-RULES = {
-    "symbols": (share("n_symbols", "word_chars") >= 0.06, -1),
-    "symbol_runs": (share("n_symbol_runs", "n_words") >= 0.25, -1),
-    "capitals": (share("n_upper", "word_chars") >= 0.4, -1),
-    "shouts": (share("n_shouts", "n_words") >= 0.2, -1),
-    "repeats": (share("n_repeat_words", "n_words") >= 0.15, -1),
-    "lines": (share("n_dup_lines", "n_lines") >= 0.3, -1),
-    "digits": (share("n_digits", "word_chars") >= 0.4, -1),
-    "odd_words": ((_word <= 2) | (_word >= 14), -1),
-    "prose": (_word.between(2.5, 10) & (share("n_symbols", "word_chars") < 0.02) & (share("n_upper", "word_chars") < 0.2) & (share("n_marks", "n_words") < 0.4), 1),
-}
+def default_rules() -> dict[str, tuple[Column, int]]:
+    """name -> (when it votes, its vote: 1 good, -1 bad); else it abstains."""
+    word = share("word_chars", "n_words")
+    return {
+        "symbols": (share("n_symbols", "word_chars") >= 0.06, -1),
+        "symbol_runs": (share("n_symbol_runs", "n_words") >= 0.25, -1),
+        "capitals": (share("n_upper", "word_chars") >= 0.4, -1),
+        "shouts": (share("n_shouts", "n_words") >= 0.2, -1),
+        "repeats": (share("n_repeat_words", "n_words") >= 0.15, -1),
+        "lines": (share("n_dup_lines", "n_lines") >= 0.3, -1),
+        "digits": (share("n_digits", "word_chars") >= 0.4, -1),
+        "odd_words": ((word <= 2) | (word >= 14), -1),
+        "prose": (word.between(2.5, 10) & (share("n_symbols", "word_chars") < 0.02) & (share("n_upper", "word_chars") < 0.2) & (share("n_marks", "n_words") < 0.4), 1),
+    }
 
 
 class Estimate:
@@ -130,7 +126,7 @@ class Estimate:
 
 def judge(docs: DataFrame, *, id_col="doc_id", text_col="text", threshold: float = 0.5, rules=None) -> DataFrame:
     """Per row the counts, base_failed, quality (the posterior) and kept."""
-    rules = RULES if rules is None else rules
+    rules = default_rules() if rules is None else rules
     names = [f"vote_{x}" for x in rules]
     known = stash(counts(docs, id_col, text_col), "quality-counts")
     voted = known.select("*", *(F.when(when, vote).otherwise(0).alias(n) for n, (when, vote) in zip(names, rules.values(), strict=True)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, mixing, neighbour_graph, quality_model, quality_rules, sentencepiece_bpe, suffix_dedup, warc
+from . import jaccard_join, license_scan, line_dedup, mixing, neighbour_graph, quality_model, quality_rules, sentencepiece_bpe, suffix_dedup, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -91,6 +91,31 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+_GRAMS = ", ".join(f"('{name}', '{gram}')" for name, text in license_scan.TEMPLATES.items() for gram in license_scan.bigrams(license_scan.plain_words(text)))
+
+
+@query(
+    "op6_license_scan",
+    rf"""
+with d as (select doc_id, coalesce(text, '') t from documents),
+p as (select doc_id, t, string_split_regex(t, '\n[\x20\t\r]*\n') ps from d),
+u as (select doc_id, unnest(list_concat(string_split(t, chr(10)), list_filter(ps, lambda x: contains(x, chr(10))), case when len(ps) > 1 then [t] else [] end)) unit from p),
+w as (select doc_id, row_number() over () uid, regexp_extract_all({LOWER.format("unit")}, '[a-z0-9]+(?:\.[0-9]+)*') ws from u),
+g as (select distinct doc_id, uid, unnest(list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1])) gram from w where len(ws) > 1),
+n as (select uid, count(*) a from g group by uid),
+tpl(name, gram) as (values {_GRAMS}),
+tn as (select name, count(*) b from tpl group by name),
+m as (select g.doc_id, g.uid, tpl.name, 2::double * count(*) / (any_value(a) + any_value(b)) dice from g join tpl using (gram) join n using (uid) join tn using (name)
+      group by g.doc_id, g.uid, tpl.name having 2::double * count(*) / (any_value(a) + any_value(b)) >= 0.8),
+best as (select * from m qualify row_number() over (partition by uid order by dice desc, name) = 1),
+r as (select doc_id, count(*) n_units, string_agg(distinct name, ',' order by name) licences, min({{'d': -dice, 'n': name}}) x from best group by doc_id)
+select d.doc_id, x.n licence, -x.d dice, coalesce(n_units, 0)::bigint n_units, coalesce(licences, '') licences from d left join r using (doc_id)
+""".replace(chr(92) * 2, chr(92)),
+)
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).withColumn("licences", F.array_join("licences", ","))
+
+
 @query("op7_nn_descent")
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_graph.nearest(table(spark, sf_dir, "embeddings"))
