@@ -6,6 +6,7 @@ White space is ``[\\x20\\x09-\\x0D]`` everywhere; case folding touches A-Z only.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -61,6 +62,12 @@ def stash(df: DataFrame, name: str, *, files: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more; else they stay until the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def words(text) -> F.Column:
     """The words of a text as array<string>; null, empty and blank texts have none."""
     text = F.col(text) if isinstance(text, str) else text
@@ -213,24 +220,26 @@ def shingle_sets(texts: list[np.ndarray], size: int) -> tuple[np.ndarray, np.nda
 # ---- fixed-size bit sets and counters, summed over tasks in slices ----
 
 
-def merged_slices(parts: DataFrame, kind: str, slices: int, combine) -> np.ndarray:
-    """Combine the tasks' arrays: parts has (slice int, data binary), each data a compressed array slice.
+def merged_slices(parts: DataFrame, slices: int, combine, first: str = "u1", then: str | None = None) -> np.ndarray:
+    """Combine the tasks' arrays: parts has (slice int, data binary), each data a compressed slice of an array of type first.
 
-    Slices are dealt over tasks and streamed, so a task holds one array slice for each slice number it meets; the driver
-    receives one array, of a size that the caller's parameter fixes."""
+    combine gets two slices of type then (or first) and gives one. Slices are dealt over tasks and streamed, so a task holds
+    one array slice for each slice number it meets; the driver receives one array, of a size that the caller's parameter fixes."""
     import zlib
 
+    then = then or first
+
     def run(batches):
         have: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                x = np.frombuffer(zlib.decompress(x.as_py()), kind)
+                x = np.frombuffer(zlib.decompress(x.as_py()), first).astype(then)
                 have[k] = combine(have[k], x) if k in have else x
         yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in have.values()], pa.binary())], ["slice", "data"])
 
     rows = parts.repartition(slices, "slice").mapInArrow(run, "slice int, data binary").collect()
-    found = {r.slice: np.frombuffer(zlib.decompress(r.data), kind) for r in rows}
-    return np.concatenate([found[k] for k in range(slices)]) if len(found) == slices else np.zeros(0, kind)
+    found = {r.slice: np.frombuffer(zlib.decompress(r.data), then) for r in rows}
+    return np.concatenate([found[k] for k in range(slices)]) if len(found) == slices else np.zeros(0, then)
 
 
 def in_slices(array: np.ndarray, slices: int) -> pa.RecordBatch:
@@ -251,7 +260,7 @@ def id_filter(ids: DataFrame, bits: int = 1 << 23) -> np.ndarray:
             np.bitwise_or.at(mine, at >> np.uint64(3), np.left_shift(1, (at & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
         yield in_slices(mine, 16)
 
-    out = merged_slices(ids.mapInArrow(run, "slice int, data binary"), "u1", 16, np.bitwise_or)
+    out = merged_slices(ids.mapInArrow(run, "slice int, data binary"), 16, np.bitwise_or)
     return out if len(out) else np.zeros(bits // 8, np.uint8)
 
 

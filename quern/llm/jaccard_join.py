@@ -8,12 +8,13 @@ over all documents) and differ in the hash that orders the others.
 
 Links are wanted only as far as components need them, so a group of n near copies is not expanded into n^2 pairs: documents
 with equal sets are one node; every holder of a prefix token is first compared with the token's smallest holder; after the
-components of those links are known, only pairs between different components remain, and all of them that pass the filters
-are compared: each document of the smaller component with the members of the larger, or with those that share a token where
-that is less. Large token groups are first split by the tokens of order two, which loses no pair.
+components of those links are known, only pairs between different components remain. Small token groups give them as pairs;
+large ones (of one smallest holder together) are dealt into blocks, every two blocks meet in one task, and only links that
+join components leave it. That compares all pairs of a large group that are not linked yet, but moves each document only once
+for each block of the group.
 
-The sketch has 2^sketch_bits counters (16 MB, sent as 4 MB of classes) whatever the input. Raise it with the corpus: a shingle
-is recognised as frequent once its count stands out of the mean count of a cell.
+The sketch has 2^sketch_bits counters (16 MB as bytes, in the tasks and as classes) whatever the input. Raise it with the
+corpus: a shingle is recognised as frequent once its count stands out of the mean count of a cell.
 
 Defined cases: a document with fewer words than size has one shingle, its whole sequence; null, empty and blank texts have
 none and link with nothing; a null id links with nothing and has a null component; rows that repeat an id are one node, each
@@ -29,38 +30,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, groups_of, id_filter, in_filter, in_slices, merged_slices, mix, shingle_sets, stash
+from .common import components, groups_of, id_filter, in_filter, in_slices, merged_slices, mix, release, shingle_sets, stash
 
 SLICES = 64
 SEEDS = tuple(np.uint64(x) for x in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
 
 def _sketch(size: int, bits: int):
+    """A task's counts by hash cell, one byte each: they stop at 255, which is frequent enough to be told apart."""
+
     def run(batches):
-        total = np.zeros(1 << bits, np.uint32)
+        total = np.zeros(1 << bits, np.uint8)
+
+        def add(cells: list[np.ndarray]) -> None:
+            at, n = np.unique(np.concatenate(cells), return_counts=True)
+            total[at] = np.minimum(total[at] + np.minimum(n, 255), 255)
+
         waiting, held = [], 0
         for batch in batches:
             for _, texts in groups_of(batch.column(0)):
                 tokens, _ = shingle_sets(texts, size)
-                waiting.append((tokens >> np.uint64(64 - bits)).astype(np.int64))
+                waiting.append((tokens >> np.uint64(64 - bits)).astype(np.int32))
                 held += len(tokens)
-                if held > 2_000_000:
-                    total += np.bincount(np.concatenate(waiting), minlength=1 << bits).astype(np.uint32)
+                if held > 1_000_000:
+                    add(waiting)
                     waiting, held = [], 0
         if waiting:
-            total += np.bincount(np.concatenate(waiting), minlength=1 << bits).astype(np.uint32)
+            add(waiting)
         yield in_slices(total, SLICES)
 
     return run
 
 
+def _sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.minimum(a.astype(np.uint32) + b, 65_535).astype(np.uint16)
+
+
 def frequency_classes(docs: DataFrame, text_col: str, size: int, bits: int) -> np.ndarray:
     """For each of 2^bits hash cells a class, 0 for cells at or below the mean count, rising with the logarithm of the excess."""
-    counts = merged_slices(docs.select(text_col).mapInArrow(_sketch(size, bits), "slice int, data binary"), "u4", SLICES, lambda a, b: a + b)
+    counts = merged_slices(docs.select(text_col).mapInArrow(_sketch(size, bits), "slice int, data binary"), SLICES, _sum, first="u1", then="u2")
     if not len(counts):
         return np.zeros(1 << bits, np.uint8)
-    mean = counts.mean()
-    return np.floor(2 * np.log2(1 + np.maximum(0, counts - mean) / (1 + 2 * np.sqrt(mean)))).astype(np.uint8)
+    mean = float(counts.mean())
+    steps = np.floor(2 * np.log2(1 + np.maximum(0, np.arange(65_536) - mean) / (1 + 2 * np.sqrt(mean)))).astype(np.uint8)
+    return steps[counts]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -77,7 +90,7 @@ def _prefix(tokens: np.ndarray, classes: np.ndarray, shift: int, order: int, per
     return tokens[keys <= cut]
 
 
-SIGNATURE = "doc_id long, n long, print binary, p1 array<long>, p2 array<int>, p3 array<int>"
+SIGNATURE = "doc_id long, n long, print binary, p1 array<long>, p2 array<smallint>, p3 array<smallint>"
 
 
 def _signatures(classes_b, size: int, percent: int, shift: int):
@@ -98,9 +111,9 @@ def _signatures(classes_b, size: int, percent: int, shift: int):
                         continue
                     rows[2].append(_prefix(own, classes, shift, 0, percent).view(np.int64))
                     for order in (1, 2):
-                        rows[2 + order].append((_prefix(own, classes, shift, order, percent) & np.uint64(0x7FFFFFFF)).astype(np.int32))
+                        rows[2 + order].append((_prefix(own, classes, shift, order, percent) & np.uint64(0x7FFF)).astype(np.int16))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(texts)), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.list_(pa.int64())), *(pa.array(rows[k], pa.list_(pa.int32())) for k in (3, 4))],
+                    [ids.slice(first, len(texts)), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.list_(pa.int64())), *(pa.array(rows[k], pa.list_(pa.int16())) for k in (3, 4))],
                     ["doc_id", "n", "print", "p1", "p2", "p3"],
                 )
 
@@ -136,27 +149,93 @@ def _verify(percent: int):
     return run
 
 
+def _counts(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Intersection sizes of all sets: matrix products over the tokens that two sets share, a slice of tokens at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    tokens, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = np.cumsum(shared) - 1
+    keep = shared[place]
+    owner, place = owner[keep], column[place[keep]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(shared.sum()), width):
+        s, e = np.searchsorted(place, (start, start + width))
+        part = np.zeros((len(sets), width), np.float32)
+        part[owner[s:e], place[s:e] - start] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+def _links(percent: int):
+    """Sorted rows (group, block, doc, label, tokens), a group being one or two blocks: the links that join different labels."""
+
+    def links(rows):
+        blocks, docs, labels = ([r[k] for r in rows] for k in (0, 1, 2))
+        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+        n = np.array([len(x) for x in sets])
+        both = _counts(sets)
+        linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        two = len(set(blocks)) > 1
+        root = {x: x for x in labels}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+            if two and blocks[i] == blocks[j]:
+                continue
+            a, b = find(labels[i]), find(labels[j])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                yield docs[i], docs[j]
+
+    def run(batches):
+        held, now, out = [], None, []
+        for batch in batches:
+            for group, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group != now:
+                    out.extend(links(held) if len(held) > 1 else ())
+                    held, now = [], group
+                held.append(row)
+        out.extend(links(held) if len(held) > 1 else ())
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+
+    return run
+
+
 class Join:
     """The state of one join: the documents, their signatures and what has been compared."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, sketch_bits: int, split_above: int):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, sketch_bits: int, split_above: int, block: int):
         self.spark = docs.sparkSession
-        self.size, self.percent, self.split_above = size, percent, split_above
+        self.size, self.percent, self.split_above, self.block = size, percent, split_above, block
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         classes = self.spark.sparkContext.broadcast(frequency_classes(self.docs, "text", size, sketch_bits))
         self.signatures = stash(self.docs.mapInArrow(_signatures(classes, size, percent, 64 - sketch_bits), SIGNATURE), "signatures")
         live = self.signatures.where("n > 0 and doc_id is not null")
-        self.equal = live.groupBy("print").agg(F.min("doc_id").alias("rep"))
+        self.equal = stash(live.groupBy("print").agg(F.min("doc_id").alias("rep")), "equal-sets")
         self.filters = live.select("doc_id", "n", "p2", "p3")
 
     def grouped(self) -> DataFrame:
         """(token, doc, least): holders of each order-one prefix token that at least two nodes hold."""
         live = self.signatures.where("n > 0 and doc_id is not null").alias("s")
         e = self.equal.alias("e")
-        reps = live.join(e, (F.col("s.print") == F.col("e.print")) & (F.col("s.doc_id") == F.col("e.rep")), "left_semi").select("s.doc_id", "s.p1")
-        tokens = stash(reps, "prefixes").select(F.explode("p1").alias("token"), F.col("doc_id").alias("doc"))
-        shared = tokens.groupBy("token").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("least < last").drop("last")
-        return stash(tokens.join(shared, "token"), "holders")
+        reps = live.select("doc_id", "print", "p1").alias("s").join(e, (F.col("s.print") == F.col("e.print")) & (F.col("s.doc_id") == F.col("e.rep")), "left_semi").select("s.doc_id", "s.p1")
+        tokens = reps.select(F.explode("p1").alias("token"), F.col("doc_id").alias("doc"))
+        shared = stash(tokens.groupBy("token").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("least < last").drop("last"), "shared-tokens")
+        release(self.spark)
+        wanted = self.spark.sparkContext.broadcast(id_filter(shared.select("token"), 1 << 26))
+
+        def known(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(in_filter(batch.column(0).to_numpy(zero_copy_only=False), wanted.value), pa.bool_()))
+
+        return stash(tokens.mapInArrow(known, "token long, doc long").join(shared, "token"), "holders")
 
     def passing(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that pass the size filter and share prefix tokens under orders two and three as well."""
@@ -167,54 +246,58 @@ class Join:
         sized = (100 * F.least("n_a", "n_b")) >= self.percent * F.greatest("n_a", "n_b")
         return both.where(sized & F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b")
 
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(doc, tokens) of the documents whose id is in the only column of ids."""
+        wanted = self.spark.sparkContext.broadcast(id_filter(ids))
+        sets = self.docs.where("doc_id is not null").mapInArrow(_sets(wanted, self.size), "doc long, tokens binary")
+        return stash(sets.join(ids.toDF("wanted"), F.col("doc") == F.col("wanted"), "left_semi"), "sets")
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         pairs = stash(self.passing(pairs), "candidates")
-        ids = pairs.select("a").unionAll(pairs.select("b")).distinct()
-        wanted = self.spark.sparkContext.broadcast(id_filter(ids))
-        sets = self.docs.where("doc_id is not null").mapInArrow(_sets(wanted, self.size), "doc_id long, tokens binary")
-        sets = stash(sets.join(ids, F.col("doc_id") == F.col("a"), "left_semi"), "sets")
-        x, y = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta")), sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(self.percent), "a long, b long").distinct()
+        sets = self.sets(pairs.select("a").unionAll(pairs.select("b")).distinct())
+        x, y = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
+        out = stash(pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
+        release(self.spark)
+        return out
 
     def remaining(self, holders: DataFrame, labels: DataFrame) -> DataFrame:
-        """All pairs of different components that share an order-one token (and, in large groups, an order-two token)."""
-        h = holders.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", F.coalesce("label", "doc").alias("label"))
+        """Links between different components among the holders of order-one tokens.
+
+        Small token groups give pairs. Large ones are taken together by their smallest holder, dealt into blocks, and every two
+        blocks are compared in one task, which gives out only the links that join two components."""
+        h = holders.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", F.coalesce("label", "doc").alias("label"), "least")
         mixed = h.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held")).where("lo < hi").select("token", "held")
         h = stash(h.join(mixed, "token"), "mixed-holders")
-        large = h.where(F.col("held") > self.split_above).join(self.filters.select(F.col("doc_id").alias("doc"), F.explode("p2").alias("second")), "doc")
-        keyed = h.where(F.col("held") <= self.split_above).select("token", "doc", "label").unionByName(large.select(F.xxhash64("token", "second").alias("token"), "doc", "label"))
-        keyed = stash(keyed.distinct(), "keyed-holders")
-        sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
-        kinds = keyed.groupBy("token", "label").agg(F.count("*").alias("here")).join(sizes, "label", "left").select("token", "label", "here", F.coalesce("size", F.lit(1)).alias("size"))
-        kinds = stash(kinds, "kinds")
-        x, y = kinds.alias("x"), kinds.alias("y")
-        meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.struct("x.size", "x.label") < F.struct("y.size", "y.label")))
-        meet = meet.select(F.col("x.token").alias("token"), F.col("x.label").alias("label"), F.col("y.label").alias("other"), F.col("y.size").alias("size"), F.col("y.here").alias("here"))
-        # a document of the smaller component against the larger: by its members or, where that is less, by the shared tokens
-        sides = meet.join(keyed.select("token", "label", F.col("doc").alias("a")), ["token", "label"])
-        cost = stash(sides.groupBy("a", "other").agg(F.sum("here").alias("cost"), F.max("size").alias("size"), F.count("*").alias("tokens")), "sides")
-        single = cost.where("size = 1").select("a", F.col("other").alias("b"))
-        members = cost.where("size > 1 and cost >= size").join(labels.select(F.col("label").alias("other"), F.col("node").alias("b")), "other").select("a", "b")
-        few = cost.where("size > 1 and cost < size").select("a", "other")
-        tokens = sides.join(few, ["a", "other"], "left_semi").join(keyed.select("token", F.col("label").alias("other"), F.col("doc").alias("b")), ["token", "other"]).select("a", "b").distinct()
-        return single.unionAll(members).unionAll(tokens)
+        small = h.where((F.col("held") <= self.split_above) & (F.col("doc") != F.col("least"))).select("token", "doc", "label")  # the least has met all others
+        x, y = small.alias("x"), small.alias("y")
+        pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") < F.col("y.label"))).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+        few = self.verified(pairs)
+        large = stash(h.where(F.col("held") > self.split_above).select("least", "doc", "label").distinct(), "large-groups")
+        count = large.groupBy("least").agg(F.ceil(F.count("*") / self.block).alias("blocks"))
+        sets = self.sets(large.select("doc").distinct())
+        own = F.pmod(F.xxhash64("doc"), F.col("blocks"))
+        dealt = large.join(count, "least").withColumn("mine", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        dealt = dealt.select(F.xxhash64("least", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), "mine", "doc", "label")
+        rows = dealt.join(sets, "doc").select("task", "mine", "doc", "label", "tokens").repartition("task").sortWithinPartitions("task")
+        return few.unionAll(rows.mapInArrow(_links(self.percent), "a long, b long"))
 
     def run(self) -> DataFrame:
         holders = self.grouped()
-        first = stash(self.verified(holders.where("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()), "links")
+        release(self.spark)
+        first = self.verified(holders.where("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct())
         labels = stash(components(first), "labels")
-        second = stash(self.verified(self.remaining(holders, labels)), "links")
-        same = self.signatures.where("n > 0 and doc_id is not null").join(self.equal, "print").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
+        second = stash(self.remaining(holders, labels), "links")
+        same = self.signatures.where("n > 0 and doc_id is not null").select("print", "doc_id").join(self.equal, "print").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
         edges = labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionAll(second).unionAll(same)
         final = components(edges)
-        s = self.signatures.alias("s")
+        s = self.signatures.select("doc_id", "n").alias("s")
         out = s.join(final.alias("c"), F.col("s.doc_id") == F.col("c.node"), "left")
         return out.select("s.doc_id", F.col("s.n").alias("n_shingles"), F.coalesce("c.label", "s.doc_id").alias("component_id"))
 
 
-def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, sketch_bits: int = 22, split_above: int = 100) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, sketch_bits: int = 24, split_above: int = 12, block: int = 128) -> DataFrame:
     """doc_id, n_shingles, component_id for every row: components of the links with Jaccard >= percent / 100."""
-    return Join(docs, id_col, text_col, size, percent, sketch_bits, split_above).run()
+    return Join(docs, id_col, text_col, size, percent, sketch_bits, split_above, block).run()
 
 
 def one_of_each(docs: DataFrame, *, id_col="doc_id", text_col="text", **options) -> DataFrame:
