@@ -151,7 +151,7 @@ def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, bi
     filter_b = spark.sparkContext.broadcast(twice_filter(docs, id_col, text_col, min_chars, bits))
     known = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col))
     suspects = stash(known.mapInArrow(_suspects(filter_b, min_chars, bits), "doc_id long, key binary"), "line-suspects")
-    repeats = suspects.groupBy("key").agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("last")).where("keep < last").drop("last")
+    repeats = stash(suspects.groupBy("key").agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("last")).where("keep < last").drop("last"), "repeated-lines")
     s, r = suspects.alias("s"), repeats.alias("r")
     lost = s.join(r, (F.col("s.key") == F.col("r.key")) & (F.col("s.doc_id") > F.col("r.keep")))
     return lost.groupBy("s.doc_id").agg(F.collect_set("s.key").alias("keys"))
