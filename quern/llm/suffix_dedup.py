@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from .common import id_filter, in_filter, in_slices, mix, stash, texts_of
 
 GRAM = 24
-SEGMENT = 1 << 20
-RUN = 150_000
+SEGMENT = 1 << 18
+RUN = 80_000
 CHUNK = 1500
 SMALL = 128
 SLICES = 64
@@ -137,7 +137,7 @@ def _filters(skip_b, length: int, bits: int):
                 if not skip[k] and len(text) >= length:
                     held.append(np.unique(anchors(text, length)[1]))
                     size += len(held[-1])
-                if size > 500_000:
+                if size > 250_000:
                     add(held)
                     held, size = [], 0
         if held:
@@ -467,7 +467,7 @@ def _splitters(docs: DataFrame, length: int, ranges: int, sample: int = 400) ->
     return sorted({heads[len(heads) * k // ranges] for k in range(1, ranges)}) if heads else []
 
 
-def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int = 1 << 29) -> tuple[DataFrame, DataFrame]:
+def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int = 1 << 28) -> tuple[DataFrame, DataFrame]:
     """From (doc_id, key, h, text) without nulls: spans (doc_id, h, start, stop), and the whole copies (doc_id, h)."""
     spark = docs.sparkSession
     if length < 2 * GRAM:
