@@ -294,10 +294,22 @@ class LoserTree:
         self.runs, self.heads, self.known, self.tree, self.winner = [], [], [], [], None
         self.last = b""
 
+    def _settle(self, w: int, stop: int) -> None:
+        """Restate the lengths of the leaves that lost to w, and to them in turn, as shared with the last output: a loser shares
+        with it what it shares with its winner, or what that one shares if it is less."""
+        node, n = (w + len(self.heads)) // 2, len(self.heads)
+        while node != stop and n > 1:
+            loser = self.tree[node]
+            self.known[loser] = min(self.known[loser], self.known[w])
+            self._settle(loser, node)
+            node //= 2
+
     def add(self, run) -> None:
         head = next(run, None)
         if head is None:
             return
+        if self.winner is not None:
+            self._settle(self.winner, 0)
         free = next((k for k, h in enumerate(self.heads) if h is None), None)
         if free is None:
             self.runs.append(run)
