@@ -3,7 +3,7 @@
 A document's set is its distinct word shingles (64-bit hashes). If two sets of sizes n, m have Jaccard >= t, then under any
 global order the first n - ceil(t n) + 1 tokens of the one and the first m - ceil(t m) + 1 of the other share a token. The
 filter holds under every order at once, so a pair must pass all of them: order one deals out the candidates, orders two and
-three are intersected with it before any set is compared. All orders put frequent shingles last (a fixed-size count sketch
+three are intersected with it before any set is compared, and of the sets first a short form. All orders put frequent shingles last (a fixed-size count sketch
 over all documents) and differ in the hash that orders the others.
 
 Links are wanted only as far as components need them, so a group of n near copies is not expanded into n^2 pairs: documents
@@ -120,8 +120,11 @@ def _signatures(classes_b, size: int, percent: int, shift: int):
     return run
 
 
-def _sets(wanted_b, size: int):
-    """(doc_id, tokens) of the wanted documents only; the filter has no false negatives."""
+def _sets(wanted_b, size: int, short: bool):
+    """(doc_id, tokens) of the wanted documents; the filter has no false negatives. Short: the tokens' last 16 bits, with repeats."""
+
+    def packed(tokens: np.ndarray) -> bytes:
+        return np.sort(tokens.astype(np.uint16)).tobytes() if short else tokens.tobytes()
 
     def run(batches):
         for batch in batches:
@@ -130,7 +133,28 @@ def _sets(wanted_b, size: int):
             part = batch.take(pa.array(rows))
             for first, texts in groups_of(part.column(1)):
                 tokens, bounds = shingle_sets(texts, size)
-                yield pa.RecordBatch.from_arrays([part.column(0).slice(first, len(texts)), pa.array([tokens[s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["doc_id", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column(0).slice(first, len(texts)), pa.array([packed(tokens[s:e]) for s, e in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["doc_id", "tokens"])
+
+    return run
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """The size of the intersection of two sorted multisets, of which each value counts as often as both have it."""
+    values, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+    return int(np.minimum(np.bincount(place[: len(x)], minlength=len(values)), np.bincount(place[len(x) :], minlength=len(values))).sum())
+
+
+def _possible(percent: int):
+    """Of the pairs with short tokens those whose multiset intersection, never less than the sets' own, allows a link."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = (np.frombuffer(z.as_buffer(), np.uint16) for z in (x, y))
+                most = _common(a, b)
+                keep.append(100 * most >= percent * (len(a) + len(b) - most))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -246,17 +270,22 @@ class Join:
         sized = (100 * F.least("n_a", "n_b")) >= self.percent * F.greatest("n_a", "n_b")
         return both.where(sized & F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b")
 
-    def sets(self, ids: DataFrame) -> DataFrame:
-        """(doc, tokens) of the documents whose id is in the only column of ids."""
-        wanted = self.spark.sparkContext.broadcast(id_filter(ids))
-        sets = self.docs.where("doc_id is not null").mapInArrow(_sets(wanted, self.size), "doc long, tokens binary")
-        return stash(sets.join(ids.toDF("wanted"), F.col("doc") == F.col("wanted"), "left_semi"), "sets")
+    def sets(self, ids: DataFrame, short: bool = False) -> DataFrame:
+        """(doc, tokens) of the documents whose id is in the only column of ids, and of a few more that the joins drop."""
+        wanted = self.spark.sparkContext.broadcast(id_filter(ids, 1 << 26))
+        return stash(self.docs.where("doc_id is not null").mapInArrow(_sets(wanted, self.size, short), "doc long, tokens binary"), "sets")
+
+    def joined(self, pairs: DataFrame, short: bool) -> DataFrame:
+        sets = self.sets(pairs.select("a").unionAll(pairs.select("b")).distinct(), short)
+        x, y = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that link: first by 16-bit tokens, which rule most others out at a quarter of the bytes, then by the sets."""
         pairs = stash(self.passing(pairs), "candidates")
-        sets = self.sets(pairs.select("a").unionAll(pairs.select("b")).distinct())
-        x, y = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
-        out = stash(pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
+        release(self.spark)
+        pairs = stash(self.joined(pairs, True).mapInArrow(_possible(self.percent), "a long, b long").distinct(), "candidates")
+        out = stash(self.joined(pairs, False).mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
         release(self.spark)
         return out
 
