@@ -9,7 +9,7 @@ Tasks sort bounded runs of entries and exchange them front-coded: each entry as
 rest. The receivers merge the runs of a key range with a loser tree that carries the shared lengths: two entries are compared
 only behind the prefix that both share with the last output, and the lengths in a run's coding are used as they are. Equal
 entries collapse to the smallest document, in the run and again in the merge, so a passage that a third of the documents hold
-costs an entry a run. Groups of entries with one gram and few contexts are resolved in the merge; larger groups are written
+costs an entry a run. Groups of entries with one gram are resolved in the merge; those of more than LARGE contexts are written
 out as their strings of `length` bytes and resolved by an aggregation that Spark combines before its shuffle.
 
 Whole copies are found first by digest and are not sorted; two fixed-size bit sets (copies, and what the first one wrongly
@@ -36,7 +36,8 @@ GRAM = 24
 SEGMENT = 1 << 18
 RUN = 80_000
 CHUNK = 1500
-SMALL = 128
+SMALL = 16  # contexts of one gram that are compared pair by pair
+LARGE = 50_000  # beyond so many contexts a group's strings are written out
 SLICES = 64
 
 
@@ -397,7 +398,7 @@ class _Group:
             return
         if self.contexts and k < GRAM:
             self.close()
-        elif len(self.contexts) >= SMALL:
+        elif len(self.contexts) >= LARGE:
             self.write(keep=True)
         self.contexts.append([string, right, doc, list(places), k])
 
@@ -415,10 +416,42 @@ class _Group:
     def close(self) -> None:
         if self.written:
             self.write()
+        elif len(self.contexts) > SMALL:
+            self.strings()
         elif len(self.contexts) > 1:
             self.pairs()
         self.contexts, self.written = [], False
 
+    def strings(self) -> None:
+        """Look the strings of the contexts up in each other. A context's strings start up to `most` bytes before the anchor, the
+        longest left part that it shares with a neighbour in order of the left parts, and need at least `length - most` bytes
+        of right part shared with a neighbour in order of the right parts; for most contexts none is left."""
+        c, n = self.contexts, len(self.contexts)
+        lefts = [x[0][x[1] :] for x in c]
+        order = sorted(range(n), key=lefts.__getitem__)
+        most = [0] * n
+        for a, b in zip(order, order[1:], strict=False):
+            k = shared(lefts[a], lefts[b], 0)
+            most[a], most[b] = max(most[a], k), max(most[b], k)
+        asked = []
+        for i, (string, right, doc, places, k) in enumerate(c):
+            near = min(right, max(k if i else 0, c[i + 1][4] if i + 1 < n else 0))
+            if near + most[i] >= self.length:
+                whole, left = lefts[i][::-1] + string[:right], len(lefts[i])
+                asked.append((doc, places, [(j, whole[left - j : left - j + self.length]) for j in range(max(0, self.length - near), most[i] + 1)]))
+        least: dict[bytes, int] = {}
+        for doc, _, own in asked:
+            for _, x in own:
+                if least.get(x, doc) >= doc:
+                    least[x] = doc
+        for doc, places, own in asked:
+            hits = [j for j, x in own if least[x] < doc]
+            while hits:
+                low = high = hits.pop(0)
+                while hits and hits[0] == high + 1:
+                    high = hits.pop(0)
+                self.out.extend((doc, h, p - high, p - low + self.length, None) for h, p in places)
+
     def pairs(self) -> None:
         for a, (x, rx, dx, px, _) in enumerate(self.contexts):
             near = 1 << 30

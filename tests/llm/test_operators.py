@@ -442,9 +442,9 @@ def covered(rows, length=50):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("run", "small", "chunk"), [(80_000, 128, 1500), (300, 3, 7)])
-def test_suffix_dedup(docs, plain, monkeypatch, run, small, chunk):
-    for name, value in (("RUN", run), ("SMALL", small), ("CHUNK", chunk)):
+@pytest.mark.parametrize(("run", "small", "large", "chunk"), [(80_000, 128, 50_000, 1500), (300, 1, 50_000, 7), (300, 1, 4, 7)])
+def test_suffix_dedup(docs, plain, monkeypatch, run, small, large, chunk):
+    for name, value in (("RUN", run), ("SMALL", small), ("LARGE", large), ("CHUNK", chunk)):
         monkeypatch.setattr(suffix_dedup, name, value)
     out = suffix_dedup.dedup_substrings(docs, filter_bits=1 << 20)
     assert sorted(((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in out.collect()), key=str) == covered(plain)
