@@ -68,12 +68,6 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def words(text) -> F.Column:
-    """The words of a text as array<string>; null, empty and blank texts have none."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
-
-
 def let(value: F.Column, body) -> F.Column:
     """body(value) with value computed once: lambda variables are not expanded again."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
