@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NEVER = 1 << 60
 HEAP_ABOVE = 200
-CACHE = 1_000_000  # units held by a worker process, about 230 bytes each
+CACHE = 400_000
 _MASK = (1 << 64) - 1
 _encoders: dict = {}
 
