@@ -33,8 +33,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of every text, with merge-dropout."""
-    return sentencepiece_bpe.encoded_documents(docs)
+    """The piece ids of every text, with merge-dropout drawn anew for each copy of a document."""
+    return sentencepiece_bpe.encoded_documents(docs, copies=True)
 
 
 STAGES = [("quality classifier", quality), ("line dedup", lines), ("n-gram jaccard join", near_copies), ("mixing", mix), ("sentencepiece", encode)]

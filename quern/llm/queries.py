@@ -151,7 +151,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_sentencepiece")
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", sentencepiece_bpe.Codec(spark).digests(F.col("text")).alias("d")).select("doc_id", "d.*")
+    return docs.select("doc_id", sentencepiece_bpe.Codec(spark).digests(F.col("text"), F.col("doc_id")).alias("d")).select("doc_id", "d.*")
 
 
 @query("op10_suffix_array")

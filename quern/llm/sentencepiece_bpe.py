@@ -2,35 +2,46 @@
 
 Pieces and ranks come from a SentencePiece model file (read on the driver, sent once; its size is that of the vocabulary).
 A text is a space followed by itself; every space is a symbol of its own. Neighbouring symbols whose union is a piece are
-candidates; the agenda takes the candidate of best rank, leftmost first. A candidate is skipped when the keyed hash of (seed,
-variant, the unit's text, its place) falls below the dropout rate, so a run can be repeated exactly and another seed gives
-other segmentations. With dropout 0 the result is the library's own. Characters that are no piece become byte pieces, also
-the character U+2581, so decoding gives back every text.
+candidates; the agenda takes the candidate of best rank, leftmost first. Every candidate of every occurrence of a word is drawn
+for itself and skipped with the dropout rate. The draws of a document are one sequence keyed by (seed, the document's keys, its
+text), so a run can be repeated exactly, whatever the partitions, and another seed gives other segmentations. With dropout 0 the
+result is the library's own. Characters that are no piece become byte pieces, also the character U+2581, so decoding gives back
+every text.
 
 Merges never cross the unit borders used here: a border is set only before a space and around characters that no piece of the
-vocabulary holds behind a letter or digit (computed from the vocabulary). Units that repeat are looked up in a bounded cache;
-a document's variant is a hash of its text, so the cache holds `variants` segmentations of a unit at most.
+vocabulary holds behind a letter or digit (computed from the vocabulary). What a unit becomes depends only on which of its
+candidates are dropped, counted in the order in which the agenda meets them. A bounded cache holds that function, not the draws:
+(unit, dropped places) -> (number of draws, pieces). The draws are kept as gaps between dropped candidates (geometric).
 
-Defined cases: null and empty texts have no pieces and decode to the empty text; very long words use a heap; repeated rows get
-the same pieces; an empty table gives an empty result; other columns pass through unread.
+With `variants` given as a number, words have that many segmentations in all: the draws are keyed by the unit's text and a
+variant, chosen by the document's text, instead.
+
+Defined cases: null and empty texts have no pieces and decode to the empty text; very long words use a heap; rows of the same
+keys and text get the same pieces, `encoded_documents` numbers them with `copies` so that each is drawn for itself; an empty table
+gives an empty result; other columns pass through unread, but for `copies`, which orders rows of the same id and text by them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
+from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NEVER = 1 << 60
 HEAP_ABOVE = 200
 CACHE = 400_000
+LONGEST_KEPT = 40
+PLACES = 128  # more than the candidates of a unit of LONGEST_KEPT: n - 1 at first and two a merge
 _MASK = (1 << 64) - 1
 _encoders: dict = {}
 
@@ -76,12 +87,32 @@ class Vocabulary:
         self.pattern = (f"{lone}|" if lone else "") + rf" *[^ {lone}{w}]*[{w}]*(?:[^ {w}{m}][^ {lone}{w}]*[{w}]*)*"
 
 
+def gaps(key: int, dropout: float, expected: int) -> Iterator[int]:
+    """How many candidates are kept before each dropped one: a geometric sequence that the key determines."""
+    if dropout <= 0:
+        yield from repeat(NEVER)
+    done, scale = 0, math.log1p(-dropout) if dropout < 1 else -math.inf
+    while True:
+        with np.errstate(over="ignore"):
+            x = (np.arange(done + 1, done + expected + 1, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key)
+            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        u = (((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        yield from (np.log(u) / scale).astype(np.int64).tolist()
+        done += expected
+
+
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, variants: int):
-        self.v, self.seed, self.variants = vocabulary, seed, max(1, variants)
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, variants: int | None = None):
+        self.v, self.seed, self.dropout = vocabulary, seed, dropout
+        self.variants = None if variants is None else max(1, variants)
         self.limit = int(dropout * (1 << 32))
         self.units = re.compile(vocabulary.pattern)
-        self.cache: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants)]
+        self.cache: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants or 0)]
+        #: unit, or number of a node and place of a further drop -> (candidates, pieces, number of the node); two generations
+        self.recent: dict[str | int, tuple[int, tuple[int, ...], int]] = {}
+        self.older: dict[str | int, tuple[int, tuple[int, ...], int]] = {}
+        self.made = 0
 
     def rank(self, unit: str, key: int, s: int, m: int, e: int) -> int:
         """The rank of the candidate merge of [s, m) and [m, e); NEVER if it is no piece or is dropped."""
@@ -92,12 +123,53 @@ class Encoder:
 
     def bounds(self, unit: str, variant: int) -> list[int]:
         """Where the pieces of a unit begin, and its end."""
-        n = len(unit)
-        key = xxhash.xxh3_64_intdigest(unit.encode(), seed=(self.seed * self.variants + variant) & _MASK) if self.limit else 0
+        key = xxhash.xxh3_64_intdigest(unit.encode(), seed=(self.seed * (self.variants or 1) + variant) & _MASK) if self.limit else 0
+        return self.merged(len(unit), lambda s, m, e: self.rank(unit, key, s, m, e))
+
+    def drawn_bounds(self, unit: str, place: int, left: Iterator[int]) -> tuple[list[int], int, int]:
+        """The bounds with the candidate at this place, and those at the gaps that follow, dropped; the number of candidates;
+        the first dropped place behind them."""
+        known, draws, n = self.v.ranks.get, 0, len(unit)
+        if n > HEAP_ABOVE:
+
+            def rank(s: int, m: int, e: int) -> int:
+                nonlocal draws, place
+                r = known(unit[s:e], NEVER)
+                if r != NEVER:
+                    if draws == place:
+                        place, r = place + 1 + next(left), NEVER
+                    draws += 1
+                return r
+
+            return self._by_heap(n, rank), draws, place
+        at, ranks = list(range(n + 1)), [known(unit[k : k + 2], NEVER) for k in range(n - 1)]
+        for k, r in enumerate(ranks):
+            if r != NEVER:
+                if draws == place:
+                    place, ranks[k] = place + 1 + next(left), NEVER
+                draws += 1
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
+                break
+            k = ranks.index(best)
+            del at[k + 1], ranks[k]
+            for j in (k - 1, k) if k else (k,):
+                if j < len(ranks):
+                    r = known(unit[at[j] : at[j + 2]], NEVER)
+                    if r != NEVER:
+                        if draws == place:
+                            place, r = place + 1 + next(left), NEVER
+                        draws += 1
+                    ranks[j] = r
+        return at, draws, place
+
+    def merged(self, n: int, rank) -> list[int]:
+        """The agenda over n characters. Candidates are ranked once, as they come up: from the left, and left of a merge first."""
         if n > HEAP_ABOVE:
-            return self._by_heap(unit, key)
-        at, rank = list(range(n + 1)), self.rank
-        ranks = [rank(unit, key, k, k + 1, k + 2) for k in range(n - 1)]
+            return self._by_heap(n, rank)
+        at = list(range(n + 1))
+        ranks = [rank(k, k + 1, k + 2) for k in range(n - 1)]
         while ranks:
             best = min(ranks)
             if best == NEVER:
@@ -105,16 +177,15 @@ class Encoder:
             k = ranks.index(best)
             del at[k + 1], ranks[k]
             if k:
-                ranks[k - 1] = rank(unit, key, at[k - 1], at[k], at[k + 1])
+                ranks[k - 1] = rank(at[k - 1], at[k], at[k + 1])
             if k < len(ranks):
-                ranks[k] = rank(unit, key, at[k], at[k + 1], at[k + 2])
+                ranks[k] = rank(at[k], at[k + 1], at[k + 2])
         return at
 
-    def _by_heap(self, unit: str, key: int) -> list[int]:
-        n = len(unit)
+    def _by_heap(self, n: int, rank) -> list[int]:
         after, before = list(range(1, n + 2)), list(range(-1, n))
         alive = [True] * n
-        agenda = [(r, k, k + 1, k + 2) for k in range(n - 1) if (r := self.rank(unit, key, k, k + 1, k + 2)) != NEVER]
+        agenda = [(r, k, k + 1, k + 2) for k in range(n - 1) if (r := rank(k, k + 1, k + 2)) != NEVER]
         heapq.heapify(agenda)
         while agenda:
             _, s, m, e = heapq.heappop(agenda)
@@ -122,16 +193,16 @@ class Encoder:
                 continue
             alive[m] = False
             after[s] = e
+            if s and (r := rank(before[s], s, e)) != NEVER:
+                heapq.heappush(agenda, (r, before[s], s, e))
             if e < n:
                 before[e] = s
-                if (r := self.rank(unit, key, s, e, after[e])) != NEVER:
+                if (r := rank(s, e, after[e])) != NEVER:
                     heapq.heappush(agenda, (r, s, e, after[e]))
-            if s and (r := self.rank(unit, key, before[s], s, e)) != NEVER:
-                heapq.heappush(agenda, (r, before[s], s, e))
         return [k for k in range(n) if alive[k]] + [n]
 
-    def pieces(self, unit: str, variant: int) -> tuple[int, ...]:
-        at, out = self.bounds(unit, variant), []
+    def pieces(self, unit: str, at: list[int]) -> tuple[int, ...]:
+        out: list[int] = []
         for s, e in zip(at, at[1:], strict=False):
             piece = unit[s:e]
             k = self.v.ids.get(piece)
@@ -141,9 +212,52 @@ class Encoder:
                 out.append(k)
         return tuple(out)
 
-    def encode(self, text: str | None) -> list[int]:
+    def keep(self, name: str | int, got: tuple[int, tuple[int, ...], int]) -> None:
+        if len(self.recent) >= CACHE // 2:
+            self.recent, self.older = {}, self.recent
+        self.recent[name] = got
+
+    def encode(self, text: str | None, key: str = "") -> list[int]:
+        """The pieces of a text. The key tells documents, or copies of one, apart that have the same text."""
         if not text:
             return []
+        if self.variants is not None:
+            return self._by_variant(text)
+        of_key = xxhash.xxh3_64_intdigest(key.encode(), seed=self.seed & _MASK)
+        left = gaps(xxhash.xxh3_64_intdigest(text.encode(), seed=of_key), self.dropout, int(self.dropout * 2 * len(text)) + 8)
+        recent, out, gap = self.recent, [], next(left)
+        for unit in self.units.findall(" " + text):
+            if not unit:  # the match at the end
+                break
+            name, seen, first = unit, 0, gap
+            dropped: list[int] = []  # gaps that this unit has used up
+            while True:
+                got = recent.get(name)
+                if got is None:
+                    got = self.older.pop(name, None)
+                    if got is not None:
+                        self.keep(name, got)
+                        recent = self.recent
+                if got is None:
+                    at, draws, place = self.drawn_bounds(unit, first, chain(dropped[1:], (gap,), left) if dropped else left)
+                    pieces = self.pieces(unit, at)
+                    if place == seen + gap and len(unit) <= LONGEST_KEPT:  # no drop but those of the name
+                        self.made += 1
+                        self.keep(name, (draws, pieces, self.made))
+                        recent = self.recent
+                    out.extend(pieces)
+                    gap = place - draws
+                    break
+                if gap >= got[0] - seen:
+                    gap -= got[0] - seen
+                    out.extend(got[1])
+                    break
+                name = got[2] * PLACES + seen + gap
+                dropped.append(gap)
+                seen, gap = seen + gap + 1, next(left)
+        return out
+
+    def _by_variant(self, text: str) -> list[int]:
         variant = xxhash.xxh3_64_intdigest(text.encode(), seed=self.seed & _MASK) % self.variants if self.variants > 1 else 0
         cache, out = self.cache[variant], []
         for unit in self.units.findall(" " + text):
@@ -151,8 +265,8 @@ class Encoder:
                 break
             got = cache.get(unit)
             if got is None:
-                got = self.pieces(unit, variant)
-                if len(unit) <= 40:
+                got = self.pieces(unit, self.bounds(unit, variant))
+                if len(unit) <= LONGEST_KEPT:
                     if len(cache) >= CACHE // self.variants:
                         cache.clear()
                     cache[unit] = got
@@ -168,7 +282,7 @@ def decode(vocabulary: Vocabulary, ids) -> str:
 class Codec:
     """Column functions for one vocabulary and one choice of dropout, seed and variants."""
 
-    def __init__(self, spark, model: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int = 2):
+    def __init__(self, spark, model: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int | None = None):
         self.shared = spark.sparkContext.broadcast(Vocabulary(model))
         self.name, self.options = model, (dropout, seed, variants)
 
@@ -184,14 +298,19 @@ class Codec:
 
         return get
 
-    def encode(self, text) -> F.Column:
+    @staticmethod
+    def _key(keys) -> F.Column:
+        return F.to_json(F.struct(*(F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys))) if keys else F.lit("")
+
+    def encode(self, text, *keys) -> F.Column:
+        """The piece ids; the key columns tell rows of the same text apart."""
         get = self._encoder()
 
-        def run(texts: pa.Array) -> pa.Array:
+        def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
             e = get()
-            return pa.array([np.array(e.encode(x.as_py()), np.int32) for x in texts], pa.list_(pa.int32()))
+            return pa.array([np.array(e.encode(x.as_py(), k.as_py()), np.int32) for x, k in zip(texts, keys, strict=True)], pa.list_(pa.int32()))
 
-        return F.arrow_udf(run, "array<int>")(text)
+        return F.arrow_udf(run, "array<int>")(text, self._key(keys))
 
     def decode(self, ids) -> F.Column:
         shared = self.shared
@@ -201,21 +320,29 @@ class Codec:
 
         return F.arrow_udf(run, "string")(ids)
 
-    def digests(self, text) -> F.Column:
+    def digests(self, text, *keys) -> F.Column:
         """struct(n_pieces, pieces_sha256 of the ids as little-endian int32, decoded_sha256 of the text decoded from them)."""
         get, shared = self._encoder(), self.shared
 
-        def run(texts: pa.Array) -> pa.Array:
+        def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
             e, out = get(), []
-            for x in texts:
-                ids = e.encode(x.as_py())
+            for x, k in zip(texts, keys, strict=True):
+                ids = e.encode(x.as_py(), k.as_py())
                 out.append({"n_pieces": len(ids), "pieces_sha256": hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), "decoded_sha256": hashlib.sha256(decode(shared.value, ids).encode()).hexdigest()})
             return pa.array(out, pa.struct([("n_pieces", pa.int64()), ("pieces_sha256", pa.string()), ("decoded_sha256", pa.string())]))
 
-        return F.arrow_udf(run, "n_pieces long, pieces_sha256 string, decoded_sha256 string")(text)
+        return F.arrow_udf(run, "n_pieces long, pieces_sha256 string, decoded_sha256 string")(text, self._key(keys))
+
 
+def encoded_documents(docs: DataFrame, *, id_col="doc_id", text_col="text", pieces_col="pieces", copies: bool = False, **options) -> DataFrame:
+    """The documents with the piece ids of their text in a further column (an old column of that name goes).
 
-def encoded_documents(docs: DataFrame, *, text_col="text", pieces_col="pieces", **options) -> DataFrame:
-    """The documents with the piece ids of their text in a further column (an old column of that name goes)."""
+    copies: rows of the same id and text are numbered (one shuffle of the rows), so each has draws of its own."""
     codec = Codec(docs.sparkSession, **options)
-    return docs.select(*(docs[c] for c in docs.columns if c != pieces_col), codec.encode(docs[text_col]).alias(pieces_col))
+    kept = [c for c in docs.columns if c != pieces_col]
+    if not copies:
+        return docs.select(*(docs[c] for c in kept), codec.encode(docs[text_col], docs[id_col]).alias(pieces_col))
+    same = Window.partitionBy("row." + id_col, F.xxhash64("row." + text_col)).orderBy(F.xxhash64("row"))
+    rows = docs.select(F.struct(*(docs[c] for c in kept)).alias("row"))
+    rows = rows.select("row", F.row_number().over(same).alias("copy"))
+    return rows.select("row.*", codec.encode(F.col("row." + text_col), F.col("row." + id_col), F.col("copy")).alias(pieces_col))

@@ -421,6 +421,62 @@ def test_a_long_word_takes_the_heap():
         sentencepiece_bpe.HEAP_ABOVE = old
 
 
+def test_each_occurrence_is_drawn_for_itself(spark):
+    v = sentencepiece_bpe.Vocabulary(sentencepiece_bpe.MODEL)
+    e = sentencepiece_bpe.Encoder(v, 0.1, 1)
+    word, n = " information", 4000
+    forms, text = Counter(), word * n
+    ids, at = e.encode(text[1:], "7"), 0
+    while at < len(ids):
+        piece, end = b"", at
+        while len(piece) < len(word):
+            piece, end = piece + v.bytes[ids[end]], end + 1
+        forms[tuple(ids[at:end])] += 1
+        at = end
+    draws, whole, _ = e.recent[word]
+    whole = forms[whole]
+    assert len(forms) > 10 and whole >= 0.9 * n * 0.9**draws
+    assert ids == e.encode(text[1:], "7") != e.encode(text[1:], "8")
+    some = [g for g, _ in zip(sentencepiece_bpe.gaps(5, 0.1, 1000), range(50_000), strict=False)]
+    assert abs(len(some) / (sum(some) + len(some)) - 0.1) < 0.003
+    rows = spark.createDataFrame([(1, text[1:400], "a")] * 3 + [(2, text[1:400], "a"), (None, text[1:400], "a")], "doc_id int, text string, lang string")
+    out = sentencepiece_bpe.encoded_documents(rows, copies=True).collect()
+    again = sentencepiece_bpe.encoded_documents(rows.repartition(3), copies=True).collect()
+    assert len({tuple(r.pieces) for r in out}) == 5 and Counter((r.doc_id, tuple(r.pieces)) for r in out) == Counter((r.doc_id, tuple(r.pieces)) for r in again)
+    assert all(sentencepiece_bpe.decode(v, r.pieces) == r.text for r in out)
+
+
+def test_draws_against_a_plain_agenda(monkeypatch, texts):
+    v = sentencepiece_bpe.Vocabulary(sentencepiece_bpe.MODEL)
+    e = sentencepiece_bpe.Encoder(v, 0.2, 3)
+    long = "".join(random.Random(1).choice("theandxyz") for _ in range(600))
+    cases = [t for t in texts if t and len(t) < 5000] + [f"some words, {long} and others of the information"]
+
+    def plain(text):
+        key = __import__("xxhash").xxh3_64_intdigest(text.encode(), seed=__import__("xxhash").xxh3_64_intdigest(b"k", seed=3))
+        drops = (d for g in sentencepiece_bpe.gaps(key, 0.2, int(0.4 * len(text)) + 8) for d in [False] * g + [True])
+        out = []
+        for unit in filter(None, e.units.findall(" " + text)):
+            at, ranks = list(range(len(unit) + 1)), {}
+            while True:
+                for a, b in zip(at, at[2:], strict=False):
+                    if (a, b) not in ranks and unit[a:b] in v.ranks:
+                        ranks[a, b] = None if next(drops) else v.ranks[unit[a:b]]
+                best = min(((r, k) for k, x in enumerate(zip(at, at[2:], strict=False)) if (r := ranks.get(x)) is not None), default=None)
+                if best is None:
+                    break
+                del at[best[1] + 1]
+            out += e.pieces(unit, at)
+        return out
+
+    for _ in range(2):  # the second time from the cache
+        for t in cases:
+            assert e.encode(t, "k") == plain(t)
+    monkeypatch.setattr(sentencepiece_bpe, "CACHE", 3)
+    small = sentencepiece_bpe.Encoder(v, 0.2, 3)
+    assert all(small.encode(t, "k") == e.encode(t, "k") for t in cases)
+
+
 # ---- 10 ----
 
 
