@@ -91,36 +91,47 @@ def default_rules() -> dict[str, tuple[Column, int]]:
 
 
 class Estimate:
-    """Label model: the share of good documents and each rule's accuracy where it votes; abstentions say nothing.
+    """Label model: the share of good documents and, for good and for bad ones, how often each rule votes good, bad or not at all.
 
-    Expectation-maximisation over (votes, number of documents), with a prior of `belief` on every accuracy that weighs three
-    times the rule's votes: what few rules touch cannot drift away, agreement between rules moves it."""
+    Expectation-maximisation over (votes, number of documents). The first round takes every vote as right with probability
+    `belief` and abstentions as saying nothing; after it the data decide, and abstentions, too, tell the kinds apart. A document is
+    judged by the votes cast on it alone: one without votes has the share of good ones as its posterior. The prior is a fixed number of documents: `weight` of each
+    kind, on which a rule votes as often as it does over all and is right with a share of `belief`, and one of each kind on the
+    share of good ones. It keeps estimates off 0 and 1 and rules with a few votes near the belief; any more data outweighs it."""
 
-    def __init__(self, patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 30, belief: float = 0.97):
-        self.prior, self.accuracy = 0.8, [belief] * rules
+    def __init__(self, patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 30, belief: float = 0.97, weight: float = 4.0):
         total = sum(n for _, n in patterns)
+        cast = [sum(n for votes, n in patterns if votes[k]) for k in range(rules)]
+        self.prior, self.accuracy = 0.8, [belief] * rules
+        first = math.log(belief / (1 - belief))
+        self.odds, self.silence = [{1: first, 0: 0.0, -1: -first} for _ in range(rules)], [0.0] * rules
         for _ in range(rounds if total else 0):
-            good, right, cast = 0.0, [0.0] * rules, [0.0] * rules
-            for votes, n in patterns:
-                p = self.posterior(votes)
-                good += p * n
-                for k, v in enumerate(votes):
-                    if v:
-                        cast[k] += n
-                        right[k] += n * (p if v > 0 else 1 - p)
-            self.prior = min(max(good / total, 0.2), 0.9)
-            self.accuracy = [min((r + 3 * c * belief + 1e-9) / (4 * c + 1e-9), 0.999) if c else belief for r, c in zip(right, cast, strict=True)]
+            good = [(votes, n, self.posterior(votes, self.silence)) for votes, n in patterns]
+            of = {1: sum(n * p for _, n, p in good), -1: sum(n * (1 - p) for _, n, p in good)}
+            for k in (k for k in range(rules) if cast[k]):
+                rate = cast[k] / total
+                mean = {1: rate * belief, -1: rate * (1 - belief), 0: 1 - rate}  # of v times the kind's sign: 1 is right
+                seen = {(c, v): 0.0 for c in (1, -1) for v in (1, 0, -1)}
+                for votes, n, p in good:
+                    seen[1, votes[k]] += n * p
+                    seen[-1, votes[k]] += n * (1 - p)
+                share = {(c, v): (x + weight * mean[c * v]) / (of[c] + weight) for (c, v), x in seen.items()}
+                self.odds[k] = {1: math.log(share[1, 1] / share[-1, 1]), 0: 0.0, -1: math.log(share[1, -1] / share[-1, -1])}
+                self.silence[k] = math.log(share[1, 0] / share[-1, 0]) if share[1, 0] and share[-1, 0] else 0.0
+                self.accuracy[k] = (seen[1, 1] + seen[-1, -1] + weight * belief) / (cast[k] + weight)
+            self.prior = (of[1] + 1) / (total + 2)
 
     def log_odds(self, votes) -> float:
-        return math.log(self.prior / (1 - self.prior)) + sum(v * math.log(a / (1 - a)) for v, a in zip(votes, self.accuracy, strict=True))
+        return math.log(self.prior / (1 - self.prior)) + sum(odds[v] for v, odds in zip(votes, self.odds, strict=True))
 
-    def posterior(self, votes) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.log_odds(votes)))))
+    def posterior(self, votes, silence=None) -> float:
+        odds = self.log_odds(votes) + (sum(x for v, x in zip(votes, silence, strict=True) if not v) if silence else 0.0)
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
 
     def column(self, names) -> Column:
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for name, a in zip(names, self.accuracy, strict=True):
-            odds = odds + F.col(name) * math.log(a / (1 - a))
+        for name, by in zip(names, self.odds, strict=True):
+            odds = odds + F.when(F.col(name) > 0, by[1]).when(F.col(name) < 0, by[-1]).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
 

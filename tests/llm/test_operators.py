@@ -241,6 +241,18 @@ def test_label_model_recovers_accuracies():
     assert abs(e.prior - 0.7) < 0.05 and all(abs(a - b) < 0.05 for a, b in zip(e.accuracy, (0.95, 0.9, 0.85, 0.9), strict=True))
 
 
+def test_label_model_finds_a_rule_that_guesses():
+    rng = random.Random(2)
+    votes = Counter()
+    for _ in range(20_000):
+        good = rng.random() < 0.95
+        votes[tuple(1 if good == (rng.random() < a) else -1 for a in (0.95, 0.95, 0.95, 0.5))] += 1
+    e = quality_rules.Estimate(sorted(votes.items()), 4)
+    assert abs(e.prior - 0.95) < 0.02 and all(abs(a - b) < 0.03 for a, b in zip(e.accuracy, (0.95, 0.95, 0.95, 0.5), strict=True))
+    few = quality_rules.Estimate([((1, 0), 3), ((0, 0), 5)], 2)
+    assert few.accuracy[1] == 0.97 and all(0 < a < 1 for a in few.accuracy)
+
+
 def test_quality_rules_of_nothing(nothing):
     assert quality_rules.judge(nothing).count() == 0
 
