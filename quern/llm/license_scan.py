@@ -6,6 +6,11 @@ also hold one of a few words of the template: enough of them that the bigrams wi
 those words are not split at all. Templates are a fixed list (a literal in the plan): the only thing that is compared with
 every candidate unit, and no join is needed.
 
+Units are what the SQL of the query compares. With `windows` the words of the whole text are searched as well, across lines and
+paragraphs, so a notice inside a line or wrapped in a longer paragraph is found: a window runs from one bigram of the template to
+another one and has as many bigrams as the size bound allows, at most. `embedded` has the templates that a window reaches, each with
+its best coefficient; a template is left out if a better one that is no shorter overlaps its best window.
+
 Normal form: A-Z lower-cased, everything but a-z, 0-9 and dots inside numbers becomes one space.
 Defined cases: null, empty and blank texts have no licence; ties of the coefficient go to the template of smaller name; repeated
 lines count once in the coefficient and each time in n_units; an empty table gives an empty result; other columns are never read.
@@ -69,15 +74,55 @@ def anchor_words(words: list[str], threshold: float) -> set[str]:
     return chosen
 
 
-def unit_bigrams(unit: Column) -> Column:
+def all_bigrams(unit: Column) -> Column:
     lower = F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.regexp_extract_all(lower, F.lit(r"([a-z0-9]+(?:\.[0-9]+)*)"), F.lit(1))
-    pairs = lambda w: F.when(F.size(w) < 2, F.array().cast("array<string>")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda k: F.concat_ws(" ", F.get(w, k), F.get(w, k + 1)))))
+    pairs = lambda w: F.when(F.size(w) < 2, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda k: F.concat_ws(" ", F.get(w, k), F.get(w, k + 1))))
     return let(words, pairs)
 
 
-def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", threshold: float = 0.8, templates=None) -> DataFrame:
-    """Per row: doc_id, licence (best match or null), dice, n_units (matching units) and licences (all names found)."""
+def unit_bigrams(unit: Column) -> Column:
+    return F.array_distinct(all_bigrams(unit))
+
+
+def embedded(text: Column, sets: dict[str, list[str]], threshold: float) -> Column:
+    """array<struct<dice, name>> of the templates that a window of the text's words reaches, best first."""
+    fixed = F.array(*(F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, s)).alias("grams"), F.lit(needed(len(s), threshold)).alias("least"), F.lit(math.floor(len(s) * (2 - threshold) / threshold + 1e-9)).alias("most")) for n, s in sets.items()))
+    none = F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("name"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+
+    def search(grams: Column) -> Column:
+        def best_window(t: Column) -> Column:
+            def from_hits(hits: Column) -> Column:
+                def scored(i: Column, j: Column) -> Column:
+                    own = F.array_distinct(F.slice(grams, i + 1, j - i + 1))
+                    return let(own, lambda o: F.struct((2.0 * F.size(F.array_intersect(o, t["grams"])) / (F.size(o) + F.size(t["grams"]))).alias("dice"), t["name"].alias("name"), i.alias("start"), j.alias("end")))
+
+                def from_start(i: Column) -> Column:
+                    ends = F.filter(hits, lambda j: (j >= i) & (j < i + t["most"]))
+                    enough = lambda js: F.size(F.array_distinct(F.transform(js, lambda j: F.get(grams, j)))) >= t["least"]
+                    return let(ends, lambda js: F.when(enough(js), F.transform(js, lambda j: scored(i, j))).otherwise(F.array().cast("array<struct<dice:double,name:string,start:int,end:int>>")))
+
+                return F.aggregate(F.flatten(F.transform(hits, from_start)), none, lambda acc, x: F.when(x["dice"] > acc["dice"], x).otherwise(acc))
+
+            return let(F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda k: F.array_contains(t["grams"], F.get(grams, k))), from_hits)
+
+        def best_of_all(possible: Column) -> Column:
+            return F.filter(F.transform(possible, best_window), lambda x: x["dice"] >= threshold)
+
+        possible = F.filter(fixed, lambda t: F.size(F.array_intersect(grams, t["grams"])) >= t["least"])
+        return F.when(F.size(grams) > 0, let(possible, best_of_all))
+
+    def alone(found: Column) -> Column:
+        better = lambda f: F.exists(found, lambda g: (g["dice"] > f["dice"]) & (g["end"] - g["start"] >= f["end"] - f["start"]) & (g["start"] <= f["end"]) & (f["start"] <= g["end"]))
+        ranked = F.array_sort(F.transform(F.filter(found, lambda f: ~better(f)), lambda f: F.struct((-f["dice"]).alias("less"), f["name"].alias("name"))))
+        return F.transform(ranked, lambda f: F.struct((-f["less"]).alias("dice"), f["name"].alias("name")))
+
+    return let(let(all_bigrams(text), search), alone)
+
+
+def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", threshold: float = 0.8, templates=None, windows: bool = True) -> DataFrame:
+    """Per row: doc_id, licence (best match or null), dice, n_units (matching units), licences (all names found in units) and, with
+    windows, embedded (templates found anywhere in the text, with their coefficient)."""
     sets = {name: bigrams(plain_words(text)) for name, text in sorted((TEMPLATES if templates is None else templates).items())}
     words = sorted(set().union(*(anchor_words(plain_words(t), threshold) for t in (TEMPLATES if templates is None else templates).values())))
     literal = F.array(*(F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, s)).alias("grams")) for n, s in sets.items()))
@@ -100,4 +145,6 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", threshold: float
     found = F.when(maybe, F.filter(F.transform(units, best), lambda s: s["name"].isNotNull())).otherwise(F.array().cast("array<struct<dice:double,name:string>>"))
     top = lambda f: F.aggregate(f, F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("name")), lambda acc, s: F.when((s["dice"] > acc["dice"]) | ((s["dice"] == acc["dice"]) & (s["name"] < acc["name"])), s).otherwise(acc))
     result = let(found, lambda f: F.struct(top(f).alias("best"), F.size(f).cast("long").alias("n_units"), F.array_sort(F.array_distinct(F.transform(f, lambda s: s["name"]))).alias("licences")))
-    return docs.select(F.col(id_col).alias("doc_id"), result.alias("r")).select("doc_id", F.col("r.best.name").alias("licence"), F.when(F.col("r.best.name").isNotNull(), F.col("r.best.dice")).alias("dice"), "r.n_units", "r.licences")
+    empty = F.array().cast("array<struct<dice:double,name:string>>")
+    inside = [F.when(maybe, F.coalesce(embedded(text, sets, threshold), empty)).otherwise(empty).alias("embedded")] if windows else []
+    return docs.select(F.col(id_col).alias("doc_id"), result.alias("r"), *inside).select("doc_id", F.col("r.best.name").alias("licence"), F.when(F.col("r.best.name").isNotNull(), F.col("r.best.dice")).alias("dice"), "r.n_units", "r.licences", *(["embedded"] if windows else []))

@@ -113,7 +113,7 @@ select d.doc_id, x.n licence, -x.d dice, coalesce(n_units, 0)::bigint n_units, c
 """.replace(chr(92) * 2, chr(92)),
 )
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents")).withColumn("licences", F.array_join("licences", ","))
+    return license_scan.scan(table(spark, sf_dir, "documents"), windows=False).withColumn("licences", F.array_join("licences", ","))
 
 
 @query("op7_nn_descent")

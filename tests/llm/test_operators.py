@@ -293,6 +293,25 @@ def test_license_cases(spark, docs, nothing):
     assert license_scan.scan(docs).where("licence = 'mit'").count() == 1 and license_scan.scan(nothing).count() == 0
 
 
+def test_embedded_and_wrapped_notices(spark):
+    t = license_scan.TEMPLATES
+    rng = random.Random(8)
+    around = lambda x: " ".join(words(rng, 40)) + " " + x + " " + " ".join(words(rng, 40))
+    rows = {
+        1: ("Copyright (c) 2024 Foo Inc. All rights reserved.", ["all-rights-reserved"]),
+        2: ("Some text here. Released under the MIT License. More text follows on this line.", ["mit"]),
+        3: (around(t["gpl-3.0-header"].replace(" ", "\n", 30)), ["gpl-3.0-header"]),
+        4: (around("Licensed under the Apache License,\n\nVersion 2.0."), ["apache-2.0"]),
+        5: (around(t["cc-by-sa-4.0-long"]), ["cc-by-sa-4.0-long"]),
+        6: (around(t["isc"]) + "\n\n" + around(t["mit"]), ["isc", "mit"]),
+        7: (around("a version of this license that is released under other rights"), []),
+        8: (None, []),
+        9: ("reserved", []),
+    }
+    got = {r.doc_id: sorted(x.name for x in r.embedded) for r in license_scan.scan(spark.createDataFrame([(k, x) for k, (x, _) in rows.items()], "doc_id int, text string")).collect()}
+    assert got == {k: names for k, (_, names) in rows.items()}
+
+
 def test_anchor_words_are_in_every_match():
     rng = random.Random(6)
     for text in license_scan.TEMPLATES.values():
