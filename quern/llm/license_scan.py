@@ -74,6 +74,13 @@ def anchor_words(words: list[str], threshold: float) -> set[str]:
     return chosen
 
 
+def anchor_pattern(words: list[str]) -> str:
+    """Every text whose normal form holds one of the words matches. '_' ends a word; so does the digit of a number's end before a
+    letter ('2.0x' is '2.0' and 'x'), hence a word may begin behind a digit and a number may end before a letter."""
+    ends = lambda w: re.escape(w) + ("(?![0-9])" if "." in w else "(?![a-z0-9])")
+    return rf"(?i)(?<![a-z])(?:{'|'.join(map(ends, words))})"
+
+
 def all_bigrams(unit: Column) -> Column:
     lower = F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.regexp_extract_all(lower, F.lit(r"([a-z0-9]+(?:\.[0-9]+)*)"), F.lit(1))
@@ -127,7 +134,7 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", threshold: float
     words = sorted(set().union(*(anchor_words(plain_words(t), threshold) for t in (TEMPLATES if templates is None else templates).values())))
     literal = F.array(*(F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, s)).alias("grams")) for n, s in sets.items()))
     text = F.coalesce(docs[text_col], F.lit(""))
-    maybe = text.rlike(rf"(?i)\b(?:{'|'.join(map(re.escape, words))})\b")
+    maybe = text.rlike(anchor_pattern(words))
 
     def best(unit: Column) -> Column:
         def compared(own: Column) -> Column:

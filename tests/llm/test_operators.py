@@ -293,6 +293,18 @@ def test_license_cases(spark, docs, nothing):
     assert license_scan.scan(docs).where("licence = 'mit'").count() == 1 and license_scan.scan(nothing).count() == 0
 
 
+def test_prefilter_has_the_borders_of_the_normal_form(spark):
+    rows = [(1, "_All rights reserved_"), (2, "Released_under_the_MIT_License"), (3, "licensed under cc by 4.0x"), (4, "2.0released under the_mit_license"), (5, "unreserved")]
+    got = {r.doc_id: r.licence for r in license_scan.scan(spark.createDataFrame(rows, "doc_id int, text string"), templates={k: license_scan.TEMPLATES[k] for k in ("all-rights-reserved", "mit", "cc-by-4.0")}).collect()}
+    assert got == {1: "all-rights-reserved", 2: "mit", 3: "cc-by-4.0", 4: "mit", 5: None}
+    rng = random.Random(3)
+    words_ = ["4.0", "reserved", "mit", "2.0"]
+    pattern = re.compile(license_scan.anchor_pattern(words_), re.A)
+    for _ in range(20_000):
+        text = "".join(rng.choice(["4.0", "reserved", "MIT", "2.0", "_", ".", "x", "7", " ", "é"]) for _ in range(rng.randrange(1, 7)))
+        assert pattern.search(text) or not set(words_) & set(license_scan.plain_words(text)), text
+
+
 def test_embedded_and_wrapped_notices(spark):
     t = license_scan.TEMPLATES
     rng = random.Random(8)
