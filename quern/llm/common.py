@@ -7,8 +7,11 @@ from __future__ import annotations
 
 import atexit
 import gc
+import math
+import struct
 import tempfile
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +21,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK = 1 << 20  # bytes of text hashed at a time
 
+HOT = 2048  # a key with more than this share of all rows is joined by broadcast: there are fewer such keys than this
+MERGE_AT_ONCE = 256  # more tasks than this are merged in two steps
+
 _made: list[tuple[SparkSession, str]] = []
 
 
@@ -59,7 +65,29 @@ def stash(df: DataFrame, name: str, *, files: int | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     (df.coalesce(files) if files else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quern_path = path
+    return out
+
+
+def discard(*stashed: DataFrame) -> None:
+    """Delete what stash wrote, once nothing reads it any more."""
+    for df in stashed:
+        delete(df.sparkSession, df._quern_path)
+        _made.remove((df.sparkSession, df._quern_path))
+
+
+def few(df: DataFrame) -> DataFrame:
+    """The rows in at most a few partitions a core, without a shuffle: for tasks that each give out a structure of fixed size."""
+    return df.coalesce(max(32, 4 * df.sparkSession.sparkContext.defaultParallelism))
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker and its JVM side hold at once; a smaller choice of the session's stays."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        now = str(spark.conf.get(key)).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def release(spark: SparkSession) -> None:
@@ -211,37 +239,160 @@ def shingle_sets(texts: list[np.ndarray], size: int) -> tuple[np.ndarray, np.nda
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), bounds
 
 
+# ---- joins with keys that hold many rows ----
+
+
+def split_join(rows: DataFrame, table: DataFrame, key: str, held: str) -> DataFrame:
+    """rows inner join table, which has one row a key and in the column `held` the number of rows of that key.
+
+    Keys with more than 1 / HOT of all rows, HOT of them at most, are joined by broadcast, where they stay in their tasks; the
+    others by Spark's own choice. Rows without a partner go."""
+    seen = table.agg(F.sum(held).alias("all"), F.max(held).alias("most")).first()
+    bar = max(10_000, (seen["all"] or 0) // HOT)
+    if (seen["most"] or 0) <= bar:
+        return rows.join(table, key)
+    hot = table.where(F.col(held) > bar)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(F.col(held) <= bar), key)
+    return cold.unionByName(rows.join(F.broadcast(hot), key))
+
+
 # ---- fixed-size bit sets and counters, summed over tasks in slices ----
 
+SLICES = 64
 
-def merged_slices(parts: DataFrame, slices: int, combine, first: str = "u1", then: str | None = None) -> np.ndarray:
-    """Combine the tasks' arrays: parts has (slice int, data binary), each data a compressed slice of an array of type first.
 
-    combine gets two slices of type then (or first) and gives one. Slices are dealt over tasks and streamed, so a task holds
-    one array slice for each slice number it meets; the driver receives one array, of a size that the caller's parameter fixes."""
-    import zlib
+def gathered(parts: DataFrame, step) -> list:
+    """Rows (slice int, data binary) of many tasks merged by step, a mapInArrow function from such rows to one row a slice.
 
-    then = then or first
+    Slices are dealt over tasks and streamed. Where there are many tasks, groups of them are merged first."""
+    tasks = max(32, 4 * parts.sparkSession.sparkContext.defaultParallelism)  # few() allows no more
+    if tasks > MERGE_AT_ONCE:
+        groups = math.ceil(math.sqrt(tasks))
+        grouped = parts.withColumn("of", F.pmod(F.spark_partition_id(), F.lit(groups))).repartition(SLICES * groups, "slice", "of")
+        parts = grouped.select("slice", "data").mapInArrow(step, "slice int, data binary")
+    return parts.repartition(SLICES, "slice").mapInArrow(step, "slice int, data binary").collect()
 
-    def run(batches):
+
+def sums_of(combine, first: str, then: str):
+    """A step for gathered: combine two arrays of type then; a task's own are of type first, told apart by a leading byte."""
+
+    def step(batches):
         have: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                x = np.frombuffer(zlib.decompress(x.as_py()), first).astype(then)
-                have[k] = combine(have[k], x) if k in have else x
-        yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in have.values()], pa.binary())], ["slice", "data"])
+                x = x.as_py()
+                part = np.frombuffer(zlib.decompress(x[1:]), then if x[0] else first).astype(then)
+                have[k] = combine(have[k], part) if k in have else part
+        yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([b"\1" + zlib.compress(x.tobytes(), 1) for x in have.values()], pa.binary())], ["slice", "data"])
+
+    return step
+
+
+def merged_slices(parts: DataFrame, combine, first: str = "u1", then: str | None = None) -> np.ndarray:
+    """The tasks' arrays, given out by in_slices, combined into one; the driver receives one array, of a size that the caller's
+    parameter fixes."""
+    then = then or first
+    found = {r.slice: np.frombuffer(zlib.decompress(r.data[1:]), then) for r in gathered(parts, sums_of(combine, first, then))}
+    return np.concatenate([found[k] for k in range(SLICES)]) if len(found) == SLICES else np.zeros(0, then)
+
+
+def in_slices(array: np.ndarray) -> pa.RecordBatch:
+    step = len(array) // SLICES
+    packed = [b"\0" + zlib.compress(array[k * step : (k + 1) * step].tobytes(), 1) for k in range(SLICES)]
+    return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())], ["slice", "data"])
+
+
+def set_bits(array: np.ndarray, at: np.ndarray) -> None:
+    """Set bits at positions given in any order."""
+    if not len(at):
+        return
+    at = np.unique(at)
+    byte = (at >> np.uint64(3)).astype(np.int64)
+    cut = np.flatnonzero(np.diff(byte, prepend=-1))
+    array[byte[cut]] |= np.bitwise_or.reduceat(np.left_shift(1, (at & np.uint64(7)).astype(np.uint8)).astype(np.uint8), cut)
+
+
+def has_bit(array: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (array[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of each 64-bit hash in a Bloom filter of bits, a power of two."""
+    return h & np.uint64(bits - 1), (h >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - bits.bit_length())
+
+
+def in_bloom(array: np.ndarray, h: np.ndarray) -> np.ndarray:
+    a, b = probes(h, 8 * len(array))
+    hit = has_bit(array, a)
+    hit[hit] = has_bit(array, b[hit])
+    return hit
+
+
+class TwiceFilter:
+    """Two Bloom filters over hashes: once for those seen, twice for those seen before.
+
+    add takes the distinct hashes of a document. Merging two tasks keeps once = a | b and twice = s | t | (a & b), so every hash of
+    two documents is in the merged twice filter; more hashes than suit the size only let more of the others in."""
+
+    def __init__(self, bits: int, at_once: int = 250_000):
+        self.bits, self.at_once = bits, at_once
+        self.once, self.twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        self.held: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.held.append(hashes)
+        self.size += len(hashes)
+        if self.size > self.at_once:
+            self.take()
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        """Work in what waits; the distinct hashes and how often they waited."""
+        h, times = np.unique(np.concatenate(self.held), return_counts=True) if self.held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.held, self.size = [], 0
+        seen = (times > 1) | in_bloom(self.once, h)
+        for p in probes(h, self.bits):
+            set_bits(self.once, p)
+            set_bits(self.twice, p[seen])
+        return h, times
+
+    def slices(self) -> pa.RecordBatch:
+        self.take()
+        return _both(range(SLICES), np.split(self.once, SLICES), np.split(self.twice, SLICES))
+
+
+def _both(slices, once, twice) -> pa.RecordBatch:
+    packed = []
+    for a, t in zip(once, twice, strict=True):
+        a, t = zlib.compress(a.tobytes(), 1), zlib.compress(t.tobytes(), 1)
+        packed.append(struct.pack("<I", len(a)) + a + t)
+    return pa.RecordBatch.from_arrays([pa.array(slices, pa.int32()), pa.array(packed, pa.binary())], ["slice", "data"])
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    cut = struct.unpack_from("<I", data)[0] + 4
+    return np.frombuffer(zlib.decompress(data[4:cut]), np.uint8), np.frombuffer(zlib.decompress(data[cut:]), np.uint8)
 
-    rows = parts.repartition(slices, "slice").mapInArrow(run, "slice int, data binary").collect()
-    found = {r.slice: np.frombuffer(zlib.decompress(r.data), then) for r in rows}
-    return np.concatenate([found[k] for k in range(slices)]) if len(found) == slices else np.zeros(0, then)
 
+def _merge_twice(batches):
+    have: dict[int, list[np.ndarray]] = {}
+    for batch in batches:
+        for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            once, twice = _unpack(x.as_py())
+            if k in have:
+                a, t = have[k]
+                t |= twice
+                t |= a & once
+                a |= once
+            else:
+                have[k] = [once.copy(), twice.copy()]
+    yield _both(list(have), [a for a, _ in have.values()], [t for _, t in have.values()])
 
-def in_slices(array: np.ndarray, slices: int) -> pa.RecordBatch:
-    import zlib
 
-    step = len(array) // slices
-    packed = [zlib.compress(array[k * step : (k + 1) * step].tobytes(), 1) for k in range(slices)]
-    return pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array(packed, pa.binary())], ["slice", "data"])
+def merged_twice(parts: DataFrame, bits: int) -> np.ndarray:
+    """The twice filter of all tasks from their TwiceFilter.slices: bits / 8 bytes for the driver before compression."""
+    found = {r.slice: _unpack(r.data)[1] for r in gathered(parts, _merge_twice)}
+    return np.concatenate([found[k] for k in range(SLICES)]) if found else np.zeros(bits // 8, np.uint8)
 
 
 def id_filter(ids: DataFrame, bits: int = 1 << 23) -> np.ndarray:
@@ -250,17 +401,15 @@ def id_filter(ids: DataFrame, bits: int = 1 << 23) -> np.ndarray:
     def run(batches):
         mine = np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            at = mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)) % np.uint64(bits)
-            np.bitwise_or.at(mine, at >> np.uint64(3), np.left_shift(1, (at & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
-        yield in_slices(mine, 16)
+            set_bits(mine, mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)) % np.uint64(bits))
+        yield in_slices(mine)
 
-    out = merged_slices(ids.mapInArrow(run, "slice int, data binary"), 16, np.bitwise_or)
+    out = merged_slices(few(ids).mapInArrow(run, "slice int, data binary"), np.bitwise_or)
     return out if len(out) else np.zeros(bits // 8, np.uint8)
 
 
 def in_filter(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    at = mix(ids.astype(np.uint64)) % np.uint64(len(bits) * 8)
-    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return has_bit(bits, mix(ids.astype(np.uint64)) % np.uint64(len(bits) * 8))
 
 
 # ---- connected components ----
@@ -269,8 +418,8 @@ def in_filter(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, label): the smallest node reachable over the edges (a, b); nodes without edges are absent.
 
-    Alternates large-star and small-star until the edge set stops changing; every round is written to the shared folder."""
-    spark = edges.sparkSession
+    Alternates large-star and small-star until the edge set stops changing; every round is written to the shared folder. It
+    raises if that takes more than most_rounds rounds; the rounds grow with the logarithm of the longest path."""
     e = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     print_of = lambda x: x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     before = print_of(e)
@@ -280,12 +429,12 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        e = stash(small, "edges")
+        old, e = e, stash(small, "edges")
+        discard(old)
         now = print_of(e)
         if now == before:
             break
         before = now
     else:
         raise RuntimeError("components did not settle")
-    e = spark.read.schema(e.schema).parquet(*e.inputFiles()) if e.inputFiles() else e
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

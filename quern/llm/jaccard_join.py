@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from .common import components, groups_of, id_filter, in_filter, in_slices, merged_slices, mix, release, shingle_sets, stash
 
-SLICES = 64
 SEEDS = tuple(np.uint64(x) for x in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
 
@@ -57,7 +56,7 @@ def _sketch(size: int, bits: int):
                     waiting, held = [], 0
         if waiting:
             add(waiting)
-        yield in_slices(total, SLICES)
+        yield in_slices(total)
 
     return run
 
@@ -68,7 +67,7 @@ def _sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def frequency_classes(docs: DataFrame, text_col: str, size: int, bits: int) -> np.ndarray:
     """For each of 2^bits hash cells a class, 0 for cells at or below the mean count, rising with the logarithm of the excess."""
-    counts = merged_slices(docs.select(text_col).mapInArrow(_sketch(size, bits), "slice int, data binary"), SLICES, _sum, first="u1", then="u2")
+    counts = merged_slices(docs.select(text_col).mapInArrow(_sketch(size, bits), "slice int, data binary"), _sum, first="u1", then="u2")
     if not len(counts):
         return np.zeros(1 << bits, np.uint8)
     mean = float(counts.mean())

@@ -8,12 +8,17 @@ backwards. Two Bloom filters of fixed size (seen, seen twice) leave out the anch
 Tasks sort bounded runs of entries and exchange them front-coded: each entry as the length it shares with the one before and the
 rest. The receivers merge the runs of a key range with a loser tree that carries the shared lengths: two entries are compared
 only behind the prefix that both share with the last output, and the lengths in a run's coding are used as they are. Equal
-entries collapse to the smallest document, in the run and again in the merge, so a passage that a third of the documents hold
-costs an entry a run. Groups of entries with one gram are resolved in the merge; those of more than LARGE contexts are written
-out as their strings of `length` bytes and resolved by an aggregation that Spark combines before its shuffle.
+entries collapse to the smallest document, in the run and again in the merge, so a passage or a copy that a third of the documents
+hold costs an entry a run. All other matches are read off the merged lengths: entries whose texts agree for so many bytes from the
+anchor on are neighbours in the merge, those that agree before it are neighbours once the left parts are sorted, and two entries
+share a string if they are in one group of both kinds (`covered`).
 
-Whole copies are found first by digest and are not sorted; two fixed-size bit sets (copies, and what the first one wrongly
-holds) tell them apart without moving a text. Strings are judged on the input, and matches never cross documents.
+Grams that very many documents hold are counted on the way (a summary of fixed size in each task, Misra and Gries) and spread:
+for their anchors each string of `length` bytes around the anchor that two documents may have (a second pair of filters) is an
+entry of its own, so they are dealt to all ranges and collapse like others. A gram that escapes the summary and has more than
+GROUP entries in the merge gives its strings out, and Spark aggregates them: exact at any size, and rare.
+
+Strings are judged on the input, and matches never cross documents.
 Defined cases: a null or empty text has 0 bytes and no spans; shorter texts than `length` lose nothing; documents of equal id
 do not count for each other, and each row of them is judged by itself; rows with a null id keep all; an empty table gives an
 empty result; other columns are never read.
@@ -23,22 +28,21 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_filter, in_filter, in_slices, mix, stash, texts_of
+from .common import SLICES, TwiceFilter, _merge_twice, _unpack, few, gathered, in_bloom, merged_twice, mix, small_batches, stash, texts_of
 
 GRAM = 24
 SEGMENT = 1 << 18
-RUN = 80_000
-CHUNK = 1500
-SMALL = 16  # contexts of one gram that are compared pair by pair
-LARGE = 50_000  # beyond so many contexts a group's strings are written out
-SLICES = 64
+RUN = 60_000
+CHUNK = 400
+BATCH = 20_000  # contexts that are decided together
+GROUP = 150_000  # beyond so many contexts of one gram its strings are given out
+COUNTED = 4096  # grams that a task's summary counts
 
 
 def _doubled(x: np.ndarray, size: int, step):
@@ -87,84 +91,112 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, np.concatenate(values)[first]
 
 
-# ---- which grams may be in two documents ----
+# ---- which grams may be in two documents, and which in very many ----
 
 
-def _set_bits(array: np.ndarray, at: np.ndarray) -> None:
-    """Set bits at distinct positions."""
-    at = np.unique(at)
-    byte = at >> np.uint64(3)
-    cut = np.flatnonzero(np.diff(byte, prepend=byte[:1] + np.uint64(1)))
-    if len(at):
-        array[byte[cut]] |= np.bitwise_or.reduceat(np.left_shift(1, (at & np.uint64(7)).astype(np.uint8)).astype(np.uint8), cut)
+class Frequent:
+    """Counts of the most frequent hashes, after Misra and Gries: a count is too low by at most the sum of all over COUNTED."""
 
+    def __init__(self, keys=None, counts=None):
+        self.keys, self.counts = np.zeros(0, np.uint64) if keys is None else keys, np.zeros(0, np.int64) if counts is None else counts
 
-def _probes(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [h % np.uint64(bits), (h >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits.bit_length() + 1)]
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        u, place = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
+        n = np.bincount(place, weights=np.concatenate([self.counts, counts]), minlength=len(u)).astype(np.int64)
+        if len(u) > COUNTED:
+            n -= np.partition(n, len(n) - COUNTED - 1)[len(n) - COUNTED - 1]
+            u, n = u[n > 0], n[n > 0]
+        self.keys, self.counts = u, n
 
 
-def _all_set(array: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
-    hit = np.ones(len(h), bool)
-    for p in _probes(h, bits):
-        hit &= (array[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return hit
+def _anchors_of(batches, length: int):
+    """(row in batch, batch, text, anchors, hashes) of the texts that are long enough."""
+    for batch in batches:
+        for k, text in enumerate(texts_of(batch.column(batch.num_columns - 1))):
+            if len(text) >= length:
+                yield k, batch, text, *anchors(text, length)
 
 
-class Skip:
-    """Tells whole copies apart: in the first bit set and not in the second, which holds what the first one wrongly has."""
+def _counted(length: int, bits: int):
+    """Slices of the filters over grams; slice SLICES is the summary of the frequent ones."""
 
-    def __init__(self, copies: np.ndarray, wrong: np.ndarray):
-        self.copies, self.wrong = copies, wrong
+    def run(batches):
+        f, often = TwiceFilter(bits, 1 << 60), Frequent()
 
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        return in_filter(keys, self.copies) & ~in_filter(keys, self.wrong)
+        def take():
+            h, times = f.take()
+            often.add(h, times)
 
+        for _, _, _, _, value in _anchors_of(batches, length):
+            f.add(np.unique(value))
+            if f.size > 250_000:
+                take()
+        take()
+        yield f.slices()
+        yield pa.RecordBatch.from_arrays([pa.array([SLICES], pa.int32()), pa.array([often.keys.tobytes() + often.counts.tobytes()], pa.binary())], ["slice", "data"])
+
+    return run
 
-def _filters(skip_b, length: int, bits: int):
-    def run(batches):
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
 
-        def add(values: list[np.ndarray]) -> None:
-            h, times = np.unique(np.concatenate(values), return_counts=True)
-            seen = (times > 1) | _all_set(once, h, bits)
-            for p in _probes(h, bits):
-                _set_bits(once, p)
-                _set_bits(twice, p[seen])
+def _merge_counted(batches):
+    """Filters and summaries of several tasks as those of one."""
+    often = Frequent()
 
-        held, size = [], 0
+    def filters():
         for batch in batches:
-            skip = skip_b.value(batch.column(1).to_numpy(zero_copy_only=False))
-            for k, text in enumerate(texts_of(batch.column(3))):
-                if not skip[k] and len(text) >= length:
-                    held.append(np.unique(anchors(text, length)[1]))
-                    size += len(held[-1])
-                if size > 250_000:
-                    add(held)
-                    held, size = [], 0
-        if held:
-            add(held)
-        a, b = in_slices(once, SLICES), in_slices(twice, SLICES)
-        yield pa.RecordBatch.from_arrays([a.column(0), pa.array([struct.pack("<I", len(x)) + x + y for x, y in zip(a.column(1).to_pylist(), b.column(1).to_pylist(), strict=True)], pa.binary())], ["slice", "data"])
+            is_summary = batch.column(0).to_numpy() == SLICES
+            for x in batch.filter(pa.array(is_summary)).column(1):
+                both = np.frombuffer(x.as_py(), np.uint64)
+                often.add(both[: len(both) // 2], both[len(both) // 2 :].astype(np.int64))
+            yield batch.filter(pa.array(~is_summary))
+
+    yield from _merge_twice(filters())
+    if len(often.keys):
+        yield pa.RecordBatch.from_arrays([pa.array([SLICES], pa.int32()), pa.array([often.keys.tobytes() + often.counts.tobytes()], pa.binary())], ["slice", "data"])
+
+
+class Suspects:
+    """What two documents may share: grams, and for frequent grams the strings around their anchors. Sizes are parameters."""
+
+    def __init__(self, grams: np.ndarray, hot: np.ndarray):
+        self.grams, self.hot, self.strings = grams, hot, None
+
+    def split(self, at: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Anchors of suspected grams: the others, and those of frequent grams."""
+        at, value = (x[in_bloom(self.grams, value)] for x in (at, value))
+        if not len(self.hot):
+            return at, at[:0]
+        often = np.isin(value, self.hot)
+        return at[~often], at[often]
+
+
+def windows_around(text: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the strings of `length` bytes that hold the grams at these anchors start, and their hashes."""
+    starts = np.unique(np.concatenate([np.clip(at - k, 0, len(text) - length) for k in range(length - GRAM + 1)])) if len(at) else at
+    value = np.zeros(len(starts), np.uint64)
+    for k in range(length):
+        value = value * np.uint64(0x9E3779B97F4A7C15) + text[starts + k].astype(np.uint64) + np.uint64(1)
+    return starts, mix(value)
+
+
+def _counted_strings(suspects_b, length: int, bits: int):
+    def run(batches):
+        f, suspects = TwiceFilter(bits), suspects_b.value
+        for _, _, text, at, value in _anchors_of(batches, length):
+            _, hot = suspects.split(at, value)
+            if len(hot):
+                f.add(np.unique(windows_around(text, hot, length)[1]))
+        yield f.slices()
 
     return run
 
 
-def _merge_filters(batches):
-    """Streams the tasks' slices: once = a | b, twice = s | t | (a & b)."""
-    have: dict[int, list[np.ndarray]] = {}
-    for batch in batches:
-        for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            x = x.as_py()
-            cut = struct.unpack_from("<I", x)[0] + 4
-            once, twice = np.frombuffer(zlib.decompress(x[4:cut]), np.uint8), np.frombuffer(zlib.decompress(x[cut:]), np.uint8)
-            if k in have:
-                a, t = have[k]
-                t |= twice
-                t |= a & once
-                a |= once
-            else:
-                have[k] = [once.copy(), twice.copy()]
-    yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([zlib.compress(t.tobytes(), 1) for _, t in have.values()], pa.binary())], ["slice", "data"])
+def suspects_of(rows: DataFrame, length: int, bits: int, hot: int) -> Suspects:
+    """The filters of all texts; grams that the summary finds in `hot` documents or more are frequent."""
+    found = {r.slice: r.data for r in gathered(few(rows.select("text")).mapInArrow(_counted(length, bits), "slice int, data binary"), _merge_counted)}  # bits / 8 bytes before compression, and the summary
+    often = np.frombuffer(found.pop(SLICES, b""), np.uint64)
+    keys, counts = often[: len(often) // 2], often[len(often) // 2 :].astype(np.int64)
+    return Suspects(np.concatenate([_unpack(found[k])[1] for k in range(SLICES)]) if found else np.zeros(bits // 8, np.uint8), keys[counts >= hot])
 
 
 # ---- sorted runs, front-coded ----
@@ -217,7 +249,18 @@ def _found_batch(rows, schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _runs(skip_b, filter_b, splitters, length: int, bits: int):
+def united(spans) -> list[list[int]]:
+    """Sorted spans with those that overlap or touch as one."""
+    out: list[list[int]] = []
+    for s, e in spans:
+        if out and s <= out[-1][1]:
+            out[-1][1] = max(e, out[-1][1])
+        else:
+            out.append([s, e])
+    return out
+
+
+def _runs(suspects_b, splitters, length: int):
     """Documents to front-coded chunks of sorted runs, and to the spans that a run alone decides (range -1 - hash)."""
     import bisect
 
@@ -226,6 +269,7 @@ def _runs(skip_b, filter_b, splitters, length: int, bits: int):
     def flush(entries, deal):
         entries.sort()
         rows, chunk, place, k = [], [], None, 0
+        spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
 
         def close():
             if chunk:
@@ -240,9 +284,7 @@ def _runs(skip_b, filter_b, splitters, length: int, bits: int):
                 if d == doc:
                     places.append((h, p))
                 else:  # a larger document in the same context: all of it is covered
-                    left = len(string) - right
-                    if left + right >= length:
-                        rows.append((-1 - deal(d), None, None, d, h, p - left, p + right))
+                    spans.setdefault((d, h), []).append((p - len(string) + right, p + right))
                 k += 1
             at = bisect.bisect_right(splitters, string)
             if at != place or len(chunk) >= CHUNK:
@@ -250,34 +292,32 @@ def _runs(skip_b, filter_b, splitters, length: int, bits: int):
                 place = at
             chunk.append((string, right, doc, places))
         close()
+        rows.extend((-1 - deal(d), None, None, d, h, s, e) for (d, h), own in spans.items() for s, e in united(sorted(own)))
         return rows
 
     def run(batches):
         deal = lambda d: d % (len(splitters) + 1)
-        twice, entries = filter_b.value, []
-        for batch in batches:
-            skip = skip_b.value(batch.column(1).to_numpy(zero_copy_only=False))
-            docs, rows = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for k, text in enumerate(texts_of(batch.column(3))):
-                if skip[k] or len(text) < length:
-                    continue
-                at, value = anchors(text, length)
-                at = at[_all_set(twice, value, bits)]
-                if not len(at):
-                    continue
-                raw, back = text.tobytes(), text[::-1].tobytes()
-                n = len(raw)
+        suspects, entries = suspects_b.value, []
+        for k, batch, text, at, value in _anchors_of(batches, length):
+            at, hot = suspects.split(at, value)
+            if len(at) or len(hot):
+                doc, row = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+                raw, n = text.tobytes(), len(text)
+                back = raw[::-1] if len(at) else b""
                 for p in at.tolist():
                     right = raw[p : p + length]
-                    entries.append((right + back[n - p : n - p + before], len(right), docs[k], rows[k], p))
-                if len(entries) > RUN:
-                    found = flush(entries, deal)
-                    entries = []
-                    for s in range(0, len(found), 2000):
-                        yield _found_batch(found[s : s + 2000], _MAPPED)
+                    entries.append((right + back[n - p : n - p + before], len(right), doc, row, p))
+                if len(hot):
+                    starts, value = windows_around(text, hot, length)
+                    entries.extend((raw[p : p + length], length, doc, row, p) for p in starts[in_bloom(suspects.strings, value)].tolist())
+            if len(entries) > RUN:
+                found = flush(entries, deal)
+                entries = []
+                for s in range(0, len(found), 500):
+                    yield _found_batch(found[s : s + 500], _MAPPED)
         found = flush(entries, deal)
-        for s in range(0, len(found), 2000):
-            yield _found_batch(found[s : s + 2000], _MAPPED)
+        for s in range(0, len(found), 500):
+            yield _found_batch(found[s : s + 500], _MAPPED)
 
     return run
 
@@ -377,101 +417,105 @@ REDUCED = "doc_id long, h long, start long, stop long, string binary"
 _REDUCED = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("string", pa.binary())])
 
 
-class _Group:
-    """Contexts of one gram in order: spans of the larger documents, or strings where there are too many contexts."""
+def covered(shared_right: np.ndarray, rights: np.ndarray, lefts: list[bytes], docs: np.ndarray, length: int):
+    """Contexts in merged order -> (context, j) for each string of `length` bytes that starts j bytes before the anchor of a
+    context and that a smaller document has, in order of contexts and j.
+
+    shared_right[i] is what context i shares with the one before it, rights[i] how many bytes it has from the anchor on. Contexts
+    that agree for length - j bytes are a stretch of the merged order; contexts whose left parts agree for j bytes are a stretch
+    of the left parts' order. The two stretches are numbered by counting borders, so nothing but shared lengths is looked at."""
+    n, most = len(docs), length - GRAM
+    held = np.array([len(x) for x in lefts])
+    packed = np.frombuffer(b"".join(x.ljust(most, b"\0") for x in lefts), np.uint8).reshape(n, most)
+    wide = np.zeros((n, -(-most // 8) * 8), np.uint8)
+    wide[:, :most] = packed
+    order = np.lexsort((held, *wide.view(">u8").astype(np.uint64).T[::-1]))
+    differ = packed[order[1:]] != packed[order[:-1]]
+    same = np.where(differ.any(1), differ.argmax(1), most)
+    shared_left = np.concatenate([[0], np.minimum(same, np.minimum(held[order[1:]], held[order[:-1]]))])
+    beside = lambda x: np.maximum(x, np.append(x[1:], 0))
+    near = np.minimum(beside(shared_right), rights)
+    far = np.empty(n, np.int64)
+    far[order] = beside(shared_left)
+    far = np.minimum(far, held)
+    hope = np.flatnonzero(near + far >= length)
+    found = [np.zeros((0, 2), np.int64)]
+    for j in range(most + 1) if len(hope) else ():
+        own = hope[(near[hope] >= length - j) & (far[hope] >= j)]
+        if len(own) < 2:
+            continue
+        stretch = np.empty(n, np.int64)
+        stretch[order] = np.cumsum(shared_left < j)
+        key = np.cumsum(shared_right < length - j)[own] * (n + 1) + stretch[own]
+        by = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.diff(key[by], prepend=-1))
+        least = np.repeat(np.minimum.reduceat(docs[own[by]], first), np.diff(np.append(first, len(by))))
+        lost = own[by][docs[own[by]] > least]
+        found.append(np.stack([lost, np.full(len(lost), j)], 1))
+    out = np.concatenate(found)
+    return out[np.lexsort((out[:, 1], out[:, 0]))]
+
+
+class _Contexts:
+    """Contexts in merged order, decided in batches that end between grams."""
 
     def __init__(self, length: int):
-        self.length, self.out, self.contexts, self.last, self.written = length, [], [], 0, False
+        self.length, self.out, self.contexts, self.written, self.gram = length, [], [], False, 0
 
     def entry(self, k: int, string: bytes, right: int, doc: int, places) -> None:
-        same = self.contexts and k == len(string) == len(self.contexts[-1][0]) and right == self.contexts[-1][1]
-        if same:
+        if self.contexts and k == len(string) == len(self.contexts[-1][0]) and right == self.contexts[-1][1]:
             context = self.contexts[-1]
             if doc == context[2]:
                 context[3].extend(places)
                 return
-            left = len(string) - right
             if doc < context[2]:
                 context[2], context[3], doc, places = doc, list(places), context[2], context[3]
-            if left + right >= self.length:
-                self.out.extend((doc, h, p - left, p + right, None) for h, p in places)
+            left = len(string) - right
+            self.out.extend((doc, h, p - left, p + right, None) for h, p in places)
             return
-        if self.contexts and k < GRAM:
-            self.close()
-        elif len(self.contexts) >= LARGE:
+        if k < GRAM:
+            if self.written or len(self.contexts) >= BATCH:
+                self.close()
+            self.gram = len(self.contexts)
+        elif len(self.contexts) - self.gram >= GROUP:
             self.write(keep=True)
         self.contexts.append([string, right, doc, list(places), k])
 
     def write(self, keep: bool = False) -> None:
-        """The strings of the contexts; the last one stays open while the group goes on."""
+        """Give out the strings of the gram's contexts; the last one stays open while the gram goes on."""
         stay = self.contexts.pop() if keep else None
-        for string, right, doc, places, _ in self.contexts:
+        for string, right, doc, places, _ in self.contexts[self.gram :]:
             whole = string[right:][::-1] + string[:right]
             left = len(string) - right
             for j in range(max(0, left + right - self.length + 1)):
                 digest = hashlib.blake2b(whole[j : j + self.length], digest_size=16).digest()
                 self.out.extend((doc, h, p - left + j, p - left + j + self.length, digest) for h, p in places)
-        self.contexts, self.written = ([stay] if keep else []), keep
+        del self.contexts[self.gram :]
+        if self.contexts:
+            self.decide()
+        self.contexts, self.written, self.gram = ([stay] if keep else []), keep, 0
+
+    def decide(self) -> None:
+        if len(self.contexts) > 1:
+            strings, rights, docs, _, k = zip(*self.contexts, strict=True)
+            hits = covered(np.array(k), np.array(rights), [x[r:] for x, r in zip(strings, rights, strict=True)], np.array(docs, np.int64), self.length)
+            if len(hits):
+                cuts = np.flatnonzero((np.diff(hits[:, 0]) != 0) | (np.diff(hits[:, 1]) != 1)) + 1
+                for i, low, high in zip(hits[np.append(0, cuts), 0].tolist(), hits[np.append(0, cuts), 1].tolist(), hits[np.append(cuts - 1, len(hits) - 1), 1].tolist(), strict=True):
+                    _, _, doc, places, _ = self.contexts[i]
+                    self.out.extend((doc, h, p - high, p - low + self.length, None) for h, p in places)
+        self.contexts = []
 
     def close(self) -> None:
         if self.written:
             self.write()
-        elif len(self.contexts) > SMALL:
-            self.strings()
-        elif len(self.contexts) > 1:
-            self.pairs()
-        self.contexts, self.written = [], False
-
-    def strings(self) -> None:
-        """Look the strings of the contexts up in each other. A context's strings start up to `most` bytes before the anchor, the
-        longest left part that it shares with a neighbour in order of the left parts, and need at least `length - most` bytes
-        of right part shared with a neighbour in order of the right parts; for most contexts none is left."""
-        c, n = self.contexts, len(self.contexts)
-        lefts = [x[0][x[1] :] for x in c]
-        order = sorted(range(n), key=lefts.__getitem__)
-        most = [0] * n
-        for a, b in zip(order, order[1:], strict=False):
-            k = shared(lefts[a], lefts[b], 0)
-            most[a], most[b] = max(most[a], k), max(most[b], k)
-        asked = []
-        for i, (string, right, doc, places, k) in enumerate(c):
-            near = min(right, max(k if i else 0, c[i + 1][4] if i + 1 < n else 0))
-            if near + most[i] >= self.length:
-                whole, left = lefts[i][::-1] + string[:right], len(lefts[i])
-                asked.append((doc, places, [(j, whole[left - j : left - j + self.length]) for j in range(max(0, self.length - near), most[i] + 1)]))
-        least: dict[bytes, int] = {}
-        for doc, _, own in asked:
-            for _, x in own:
-                if least.get(x, doc) >= doc:
-                    least[x] = doc
-        for doc, places, own in asked:
-            hits = [j for j, x in own if least[x] < doc]
-            while hits:
-                low = high = hits.pop(0)
-                while hits and hits[0] == high + 1:
-                    high = hits.pop(0)
-                self.out.extend((doc, h, p - high, p - low + self.length, None) for h, p in places)
-
-    def pairs(self) -> None:
-        for a, (x, rx, dx, px, _) in enumerate(self.contexts):
-            near = 1 << 30
-            for b in range(a + 1, len(self.contexts)):
-                y, ry, dy, py, k = self.contexts[b]
-                near = min(near, k)
-                if near + self.length - GRAM < self.length:
-                    break
-                if dx == dy:
-                    continue
-                lx, ly = x[rx:], y[ry:]
-                left, right = shared(lx, ly, 0), min(near, rx, ry)
-                if right + left >= self.length:
-                    d, places = (dy, py) if dy > dx else (dx, px)
-                    self.out.extend((d, h, p - left, p + right, None) for h, p in places)
+        self.decide()
+        self.written, self.gram = False, 0
 
 
 def _merge(length: int):
     def run(batches):
-        group, tree, place, waiting = _Group(length), LoserTree(), None, None
+        group, tree, place = _Contexts(length), LoserTree(), None
 
         def drain(until: bytes | None):
             """Output what sorts before the next chunk's first string."""
@@ -505,52 +549,45 @@ def _splitters(docs: DataFrame, length: int, ranges: int, sample: int = 400) ->
     """Borders of the key ranges from the anchors of a few documents (all of a small corpus); they only balance the work."""
     share = min(1.0, 4 * sample / max(1, docs.count()))
     heads = []
-    for row in docs.where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20))).select(F.substring("text", 1, 20_000).alias("text")).limit(sample).collect():
+    for row in docs.where(F.pmod(F.xxhash64("doc_id", "h", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20))).select(F.substring("text", 1, 20_000).alias("text")).limit(sample).collect():
         raw = row.text.encode()
-        heads.extend(raw[p : p + 16] for p in anchors(np.frombuffer(raw, np.uint8), length)[0].tolist())
+        heads.extend(raw[p : p + GRAM] for p in anchors(np.frombuffer(raw, np.uint8), length)[0].tolist())
     heads.sort()
     return sorted({heads[len(heads) * k // ranges] for k in range(1, ranges)}) if heads else []
 
 
-def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int = 1 << 28) -> tuple[DataFrame, DataFrame]:
-    """From (doc_id, key, h, text) without nulls: spans (doc_id, h, start, stop), and the whole copies (doc_id, h)."""
+def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int = 1 << 28, hot: int = 8000) -> DataFrame:
+    """From (doc_id, h, text) without nulls: spans (doc_id, h, start, stop) of the bytes to remove; they may overlap."""
     spark = docs.sparkSession
     if length < 2 * GRAM:
         raise ValueError(f"strings of {2 * GRAM} bytes or more only")
-    long = docs.where(F.octet_length("text") >= length)
-    known = stash(long.select("doc_id", "key", "h", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest")), "text-digests")
-    least = known.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").drop("last")
-    copies = stash(known.join(least, "digest").where("doc_id > least").select("doc_id", "key", "h"), "copies")
-    in_copies = id_filter(copies.select("key"), 1 << 26)
-
-    def maybe(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(in_filter(batch.column(0).to_numpy(zero_copy_only=False), in_copies), pa.bool_()))
-
-    wrong = known.select("key").mapInArrow(maybe, "key long").join(copies.select("key"), "key", "left_anti")
-    skip = spark.sparkContext.broadcast(Skip(in_copies, id_filter(wrong, 1 << 23)))
-    rows = long.select("doc_id", "key", "h", "text")
-    parts = rows.mapInArrow(_filters(skip, length, filter_bits), "slice int, data binary").repartition(SLICES, "slice").mapInArrow(_merge_filters, "slice int, data binary")
-    found = {r.slice: zlib.decompress(r.data) for r in parts.collect()}  # filter_bits / 8 bytes before compression
-    twice = np.frombuffer(b"".join(found[k] for k in range(SLICES)), np.uint8) if found else np.zeros(filter_bits // 8, np.uint8)
-    filter_b = spark.sparkContext.broadcast(twice)
+    small_batches(spark)
+    rows = docs.where(F.octet_length("text") >= length).select("doc_id", "h", "text")
+    suspects = suspects_of(rows, length, filter_bits, hot)
+    if len(suspects.hot):
+        bits = filter_bits // 4
+        frequent = spark.sparkContext.broadcast(suspects)
+        suspects.strings = merged_twice(few(rows.select("text")).mapInArrow(_counted_strings(frequent, length, bits), "slice int, data binary"), bits)
+        frequent.unpersist()
+    suspects_b = spark.sparkContext.broadcast(suspects)
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
-    runs = rows.mapInArrow(_runs(skip, filter_b, _splitters(rows, length, ranges), length, filter_bits), MAPPED)
+    runs = rows.mapInArrow(_runs(suspects_b, _splitters(rows, length, ranges), length), MAPPED)
     merged = stash(runs.repartition("range").sortWithinPartitions("range", "first").mapInArrow(_merge(length), REDUCED), "suffix-spans")
+    suspects_b.unpersist()
     strings = merged.where("string is not null")
     first = strings.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").drop("last")
     wide = strings.join(first, "string").where("doc_id > least").select("doc_id", "h", "start", "stop")
-    return merged.where("string is null").select("doc_id", "h", "start", "stop").unionAll(wide), copies.select("doc_id", "h").distinct()
+    return merged.where("string is null").select("doc_id", "h", "start", "stop").unionAll(wide)
 
 
 def _cut():
     kind = pa.struct([("kept", pa.string()), ("kept_bytes", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
 
-    def run(texts: pa.Array, spans: pa.Array, copy: pa.Array) -> pa.Array:
+    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
-        for text, own, whole in zip(texts, spans, copy, strict=True):
+        for text, own in zip(texts, spans, strict=True):
             raw = (text.as_py() or "").encode()
-            own = [(0, len(raw))] if whole.as_py() else sorted((x["start"], x["stop"]) for x in own.as_py() or ())
+            own = sorted((x["start"], x["stop"]) for x in own.as_py() or ())
             kept, at, removed, runs, last = [], 0, 0, 0, -1
             for s, e in own:
                 if s > last:
@@ -573,10 +610,8 @@ def dedup_substrings(docs: DataFrame, *, id_col="doc_id", text_col="text", **opt
     """(row, kept, kept_bytes, n_bytes, n_removed, n_spans): the input row as a struct, what is left of its text and the counts.
     kept is kept_bytes as text, without characters that a removal has cut in two."""
     h = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    known = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), h).alias("key"), h.alias("h"), F.col(text_col).alias("text"))
-    spans, copies = duplicate_spans(known, **options)
-    spans = spans.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("spans"), F.lit(False).alias("whole"))
-    lost = spans.unionByName(copies.select("doc_id", "h", F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("spans"), F.lit(True).alias("whole"))).alias("l")
+    known = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), h.alias("h"), F.col(text_col).alias("text"))
+    lost = duplicate_spans(known, **options).groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("spans")).alias("l")
     d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("k"), h.alias("h")).alias("d")
     both = d.join(lost, (F.col("d.k") == F.col("l.doc_id")) & (F.col("d.h") == F.col("l.h")), "left")
-    return both.select("d.row", _cut()(F.col(f"d.row.{text_col}"), F.col("l.spans"), F.coalesce("l.whole", F.lit(False))).alias("c")).select("row", "c.*")
+    return both.select("d.row", _cut()(F.col(f"d.row.{text_col}"), F.col("l.spans")).alias("c")).select("row", "c.*")

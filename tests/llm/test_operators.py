@@ -541,14 +541,46 @@ def covered(rows, length=50):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("run", "small", "large", "chunk"), [(80_000, 128, 50_000, 1500), (300, 1, 50_000, 7), (300, 1, 4, 7)])
-def test_suffix_dedup(docs, plain, monkeypatch, run, small, large, chunk):
-    for name, value in (("RUN", run), ("SMALL", small), ("LARGE", large), ("CHUNK", chunk)):
+SIZES = ("RUN", "BATCH", "GROUP", "CHUNK", "SEGMENT")
+
+
+@pytest.mark.parametrize(("sizes", "hot"), [((60_000, 20_000, 150_000, 400, 1 << 18), 8000), ((300, 3, 50_000, 7, 700), 1 << 60), ((300, 50, 50_000, 7, 1 << 18), 3), ((300, 20, 2, 7, 1 << 18), 1 << 60)])
+def test_suffix_dedup(docs, plain, monkeypatch, sizes, hot):
+    for name, value in zip(SIZES, sizes, strict=True):
         monkeypatch.setattr(suffix_dedup, name, value)
-    out = suffix_dedup.dedup_substrings(docs, filter_bits=1 << 20)
+    out = suffix_dedup.dedup_substrings(docs, filter_bits=1 << 20, hot=hot)
     assert sorted(((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in out.collect()), key=str) == covered(plain)
 
 
+def test_merged_lengths_tell_what_is_covered():
+    """Strings around one anchor over a small alphabet, some cut short: the borders of stretches against all strings."""
+    rng = random.Random(9)
+    for _ in range(60):
+        texts = []
+        for _ in range(rng.randrange(2, 40)):
+            left, right = (bytes(rng.choice(b"\0a") for _ in range(m)) for m in (rng.randrange(27), rng.randrange(24, 51)))
+            texts.append((b"\0" * 24 + right[24:] if rng.random() < 0.9 else right, left, rng.randrange(12)))
+        rows = sorted({(r + x, len(r), d) for r, x, d in texts})
+        shared = [0] + [suffix_dedup.shared(a[0], b[0], 0) for a, b in zip(rows, rows[1:], strict=False)]
+        got = suffix_dedup.covered(np.array(shared), np.array([r for _, r, _ in rows]), [s[r:] for s, r, _ in rows], np.array([d for _, _, d in rows]), 50)
+        first = {}
+        strings = [{j: (s[r:][:j], s[: 50 - j]) for j in range(27) if len(s) - r >= j and r >= 50 - j} for s, r, _ in rows]
+        for own, (_, _, d) in zip(strings, rows, strict=True):
+            for j, x in own.items():
+                first[j, x] = min(first.get((j, x), d), d)
+        assert [tuple(x) for x in got.tolist()] == [(i, j) for i, own in enumerate(strings) for j, x in own.items() if first[j, x] < rows[i][2]]
+
+
+def test_frequent_hashes_are_counted():
+    rng = np.random.RandomState(4)
+    often = suffix_dedup.Frequent()
+    for _ in range(40):
+        h, n = np.unique(np.concatenate([rng.randint(0, 1 << 60, 20_000).astype(np.uint64), np.repeat(np.uint64([3, 5]), [900, 500])]), return_counts=True)
+        often.add(h, n)
+    counts = dict(zip(often.keys.tolist(), often.counts.tolist(), strict=True))
+    assert len(counts) <= suffix_dedup.COUNTED and all(n - 40 * 21_400 / suffix_dedup.COUNTED <= counts[k] <= n for k, n in ((3, 36_000), (5, 20_000)))
+
+
 def test_merge_with_few_comparisons():
     rng = random.Random(3)
     entries = [(bytes(rng.choice(b"ab") for _ in range(rng.randrange(24, 60))), 24, rng.randrange(50), [(0, k)]) for k in range(3000)]
