@@ -259,6 +259,7 @@ def split_join(rows: DataFrame, table: DataFrame, key: str, held: str) -> DataFr
 # ---- fixed-size bit sets and counters, summed over tasks in slices ----
 
 SLICES = 64
+_PACK = pa.Codec("zstd", 1)
 
 
 def gathered(parts: DataFrame, step) -> list:
@@ -316,27 +317,28 @@ def has_bit(array: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (array[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two places of each 64-bit hash in a Bloom filter of bits, a power of two."""
-    return h & np.uint64(bits - 1), (h >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - bits.bit_length())
+def bloom_places(words: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word of each 64-bit hash in a Bloom filter of so many 64-bit words, a power of two, and its two bits there. Sorted hashes
+    have sorted words, so filters are filled and asked in order."""
+    shift = 65 - words.bit_length()
+    one = np.uint64(1)
+    return (h >> np.uint64(shift) if shift < 64 else np.zeros(len(h), np.uint64)).astype(np.int64), (one << (h & np.uint64(63))) | (one << ((h >> np.uint64(6)) & np.uint64(63)))
 
 
 def in_bloom(array: np.ndarray, h: np.ndarray) -> np.ndarray:
-    a, b = probes(h, 8 * len(array))
-    hit = has_bit(array, a)
-    hit[hit] = has_bit(array, b[hit])
-    return hit
+    word, mask = bloom_places(len(array), h)
+    return (array[word] & mask) == mask
 
 
 class TwiceFilter:
     """Two Bloom filters over hashes: once for those seen, twice for those seen before.
 
-    add takes the distinct hashes of a document. Merging two tasks keeps once = a | b and twice = s | t | (a & b), so every hash of
+    bits is a power of two, 4096 at least. add takes the distinct hashes of a document. Merging two tasks keeps once = a | b and twice = s | t | (a & b), so every hash of
     two documents is in the merged twice filter; more hashes than suit the size only let more of the others in."""
 
     def __init__(self, bits: int, at_once: int = 250_000):
-        self.bits, self.at_once = bits, at_once
-        self.once, self.twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        self.at_once = at_once
+        self.once, self.twice = np.zeros(bits // 64, np.uint64), np.zeros(bits // 64, np.uint64)
         self.held: list[np.ndarray] = []
         self.size = 0
 
@@ -350,10 +352,12 @@ class TwiceFilter:
         """Work in what waits; the distinct hashes and how often they waited."""
         h, times = np.unique(np.concatenate(self.held), return_counts=True) if self.held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         self.held, self.size = [], 0
-        seen = (times > 1) | in_bloom(self.once, h)
-        for p in probes(h, self.bits):
-            set_bits(self.once, p)
-            set_bits(self.twice, p[seen])
+        if len(h):
+            word, mask = bloom_places(len(self.once), h)
+            seen = (times > 1) | ((self.once[word] & mask) == mask)
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            self.once[word[first]] |= np.bitwise_or.reduceat(mask, first)
+            self.twice[word[first]] |= np.bitwise_or.reduceat(np.where(seen, mask, np.uint64(0)), first)
         return h, times
 
     def slices(self) -> pa.RecordBatch:
@@ -364,14 +368,14 @@ class TwiceFilter:
 def _both(slices, once, twice) -> pa.RecordBatch:
     packed = []
     for a, t in zip(once, twice, strict=True):
-        a, t = zlib.compress(a.tobytes(), 1), zlib.compress(t.tobytes(), 1)
-        packed.append(struct.pack("<I", len(a)) + a + t)
+        size, a, t = a.nbytes, _PACK.compress(a, asbytes=True), _PACK.compress(t, asbytes=True)
+        packed.append(struct.pack("<II", size, len(a)) + a + t)
     return pa.RecordBatch.from_arrays([pa.array(slices, pa.int32()), pa.array(packed, pa.binary())], ["slice", "data"])
 
 
 def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    cut = struct.unpack_from("<I", data)[0] + 4
-    return np.frombuffer(zlib.decompress(data[4:cut]), np.uint8), np.frombuffer(zlib.decompress(data[cut:]), np.uint8)
+    size, cut = struct.unpack_from("<II", data)
+    return tuple(np.frombuffer(_PACK.decompress(x, size, asbytes=True), np.uint64) for x in (data[8 : 8 + cut], data[8 + cut :]))
 
 
 def _merge_twice(batches):
@@ -392,7 +396,7 @@ def _merge_twice(batches):
 def merged_twice(parts: DataFrame, bits: int) -> np.ndarray:
     """The twice filter of all tasks from their TwiceFilter.slices: bits / 8 bytes for the driver before compression."""
     found = {r.slice: _unpack(r.data)[1] for r in gathered(parts, _merge_twice)}
-    return np.concatenate([found[k] for k in range(SLICES)]) if found else np.zeros(bits // 8, np.uint8)
+    return np.concatenate([found[k] for k in range(SLICES)]) if found else np.zeros(bits // 64, np.uint64)
 
 
 def id_filter(ids: DataFrame, bits: int = 1 << 23) -> np.ndarray:

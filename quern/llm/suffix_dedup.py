@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICES, TwiceFilter, _merge_twice, _unpack, few, gathered, in_bloom, merged_twice, mix, small_batches, stash, texts_of
+from .common import _PACK, SLICES, TwiceFilter, _merge_twice, _unpack, few, gathered, in_bloom, merged_twice, mix, small_batches, stash, texts_of
 
 GRAM = 24
 SEGMENT = 1 << 18
-RUN = 60_000
+RUN = 250_000
 CHUNK = 400
 BATCH = 20_000  # contexts that are decided together
 GROUP = 150_000  # beyond so many contexts of one gram its strings are given out
@@ -110,11 +110,13 @@ class Frequent:
 
 
 def _anchors_of(batches, length: int):
-    """(row in batch, batch, text, anchors, hashes) of the texts that are long enough."""
+    """(row in batch, batch, text, anchors, hashes) of the texts that are long enough. Anchors have small hashes, being the smallest
+    of their windows; they are mixed once more, so that they fill the filters evenly."""
     for batch in batches:
         for k, text in enumerate(texts_of(batch.column(batch.num_columns - 1))):
             if len(text) >= length:
-                yield k, batch, text, *anchors(text, length)
+                at, value = anchors(text, length)
+                yield k, batch, text, at, mix(value)
 
 
 def _counted(length: int, bits: int):
@@ -196,128 +198,144 @@ def suspects_of(rows: DataFrame, length: int, bits: int, hot: int) -> Suspects:
     found = {r.slice: r.data for r in gathered(few(rows.select("text")).mapInArrow(_counted(length, bits), "slice int, data binary"), _merge_counted)}  # bits / 8 bytes before compression, and the summary
     often = np.frombuffer(found.pop(SLICES, b""), np.uint64)
     keys, counts = often[: len(often) // 2], often[len(often) // 2 :].astype(np.int64)
-    return Suspects(np.concatenate([_unpack(found[k])[1] for k in range(SLICES)]) if found else np.zeros(bits // 8, np.uint8), keys[counts >= hot])
+    return Suspects(np.concatenate([_unpack(found[k])[1] for k in range(SLICES)]) if found else np.zeros(bits // 64, np.uint64), keys[counts >= hot])
 
 
 # ---- sorted runs, front-coded ----
+#
+# An entry is a row of bytes, `length` from the anchor on and length - GRAM before it, backwards, both filled up with zeros where
+# the text ends; how many bytes it has on both sides; the document, the row's hash and the anchor's place.
 
 
-def shared(a: bytes, b: bytes, at: int) -> int:
-    """The length of the common prefix of a and b, of which `at` bytes are known to agree."""
-    n = min(len(a), len(b))
-    x, y = a[at:n], b[at:n]
-    if x == y:
-        return n
-    return n - ((int.from_bytes(x) ^ int.from_bytes(y)).bit_length() + 7) // 8
+def rows_around(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    before = length - GRAM
+    padded = np.zeros(before + len(text) + length, np.uint8)
+    padded[before : before + len(text)] = text
+    around = np.lib.stride_tricks.sliding_window_view(padded, before + length)[at]
+    return np.concatenate([around[:, before:], around[:, before - 1 :: -1]], 1)
+
+
+def shared_lengths(rows: np.ndarray) -> np.ndarray:
+    """What each row shares with the one before it; 0 for the first."""
+    differ = rows[1:] != rows[:-1]
+    return np.concatenate([[0], np.where(differ.any(1), differ.argmax(1), rows.shape[1])]).astype(np.int64)
 
 
-_HEAD = struct.Struct("<HBBqI")  # shared length, length of the rest, bytes from the anchor on, document, number of places
-_PLACE = struct.Struct("<qq")  # row hash, position
+def united(doc, h, start, stop) -> tuple[np.ndarray, ...]:
+    """Spans by (doc, h), those that overlap or touch as one."""
+    if not len(doc):
+        return doc, h, start, stop
+    order = np.lexsort((start, h, doc))
+    doc, h, start, stop = doc[order], h[order], start[order], stop[order]
+    group = np.cumsum(np.append(True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])))
+    reach = np.maximum.accumulate(stop + group * (stop.max() + 1)) - group * (stop.max() + 1)
+    first = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (start[1:] > reach[:-1])))
+    return doc[first], h[first], start[first], reach[np.append(first[1:], len(doc)) - 1]
 
 
-def encode_chunk(entries) -> bytes:
-    """entries: (string, right, document, [(row hash, position)]) in order; the first is stored whole."""
-    out, last = [], b""
-    for string, right, doc, places in entries:
-        k = shared(last, string, 0)
-        out.append(_HEAD.pack(k, len(string) - k, right, doc, len(places)))
-        out.append(string[k:])
-        out.extend(_PLACE.pack(*x) for x in places)
-        last = string
-    return b"".join(out)
+NUMBERS = 5  # right, left, document, row hash, place
 
 
-def decode_chunk(blob: bytes):
-    """(shared length with the entry before, string, right, document, places)"""
-    at, last = 0, b""
-    while at < len(blob):
-        k, rest, right, doc, n = _HEAD.unpack_from(blob, at)
-        at += _HEAD.size
-        last = last[:k] + blob[at : at + rest]
-        at += rest
-        places = [_PLACE.unpack_from(blob, at + 16 * j) for j in range(n)]
-        at += 16 * n
-        yield k, last, right, doc, places
+def encode_chunk(rows: np.ndarray, shared: np.ndarray, numbers: np.ndarray) -> bytes:
+    """Sorted rows front-coded: the first whole, of the others what lies behind the shared length. numbers, one row an entry, are
+    laid out by column and byte, so that bytes that are mostly zero lie together."""
+    shared = np.append(0, shared[1:]).astype(np.uint8)
+    rest = rows[np.arange(rows.shape[1]) >= shared[:, None]]
+    planes = numbers.astype("<i8").view(np.uint8).reshape(len(rows), -1).T
+    whole = shared.tobytes() + planes.tobytes() + rest.tobytes()
+    return struct.pack("<IHI", len(rows), rows.shape[1], len(whole)) + _PACK.compress(whole, asbytes=True)
+
+
+class Chunk:
+    """A decoded chunk: the rows as strings, the shared lengths, the numbers by row, and the documents again."""
+
+    def __init__(self, blob: bytes):
+        n, width, size = struct.unpack_from("<IHI", blob)
+        whole = np.frombuffer(_PACK.decompress(blob[10:], size, asbytes=True), np.uint8)
+        shared, planes, rest = np.split(whole, [n, n + 8 * n * NUMBERS])
+        numbers = np.ascontiguousarray(planes.reshape(-1, n).T).view("<i8")
+        given = np.arange(width) >= shared[:, None]
+        rows = np.zeros((n, width), np.uint8)
+        rows[given] = rest
+        source = np.maximum.accumulate(np.where(given, np.arange(n)[:, None], 0), 0)
+        raw = rows[source, np.arange(width)].tobytes()
+        self.strings = [raw[k : k + width] for k in range(0, n * width, width)]
+        self.shared = shared.tolist()
+        self.rows, self.doc, self.size = numbers.tolist(), numbers[:, 2].tolist(), n
 
 
 MAPPED = "range int, first binary, blob binary, doc_id long, h long, start long, stop long"
 _MAPPED = pa.schema([("range", pa.int32()), ("first", pa.binary()), ("blob", pa.binary()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
+def _flushed(rows: np.ndarray, numbers: np.ndarray, splitters: np.ndarray, length: int):
+    """A run: its chunks, and the united spans of the entries that repeat an entry of a smaller document."""
+    width = rows.shape[1]
+    doc = (numbers[:, 2].view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").view(np.uint8).reshape(-1, 8)
+    order = np.argsort(np.concatenate([rows, doc], 1).view(f"S{width + 8}").ravel(), kind="stable")
+    rows, numbers = rows[order], numbers[order]
+    shared = shared_lengths(rows)
+    same = (shared == width) & np.append(False, (numbers[1:, :2] == numbers[:-1, :2]).all(1))
+    leader = np.maximum.accumulate(np.where(same, 0, np.arange(len(rows))))
+    lost = numbers[:, 2] != numbers[leader, 2]  # a larger document in the same context: all of it is covered
+    right, left, doc, h, place = numbers[lost].T
+    spans = united(doc, h, place - left, place + right)
+    for s in range(0, len(spans[0]), 5000):
+        own = [x[s : s + 5000] for x in spans]
+        n = len(own[0])
+        yield pa.RecordBatch.from_arrays([pa.array((-1 - own[0] % (len(splitters) + 1)).astype(np.int32)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), *map(pa.array, own)], schema=_MAPPED)
+    rows, numbers, shared = rows[~lost], numbers[~lost], shared[~lost]
+    borders = [0, *np.searchsorted(rows.view(f"S{width}").ravel(), splitters).tolist(), len(rows)]
+    held = []
+    for k, (s, e) in enumerate(zip(borders, borders[1:], strict=False)):
+        for at in range(s, e, CHUNK):
+            part = slice(at, min(at + CHUNK, e))
+            held.append((k, rows[at].tobytes(), encode_chunk(rows[part], shared[part], numbers[part]), None, None, None, None))
+            if len(held) == 200:
+                yield _found_batch(held, _MAPPED)
+                held = []
+    yield _found_batch(held, _MAPPED)
+
+
 def _found_batch(rows, schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def united(spans) -> list[list[int]]:
-    """Sorted spans with those that overlap or touch as one."""
-    out: list[list[int]] = []
-    for s, e in spans:
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(e, out[-1][1])
-        else:
-            out.append([s, e])
-    return out
-
-
-def _runs(suspects_b, splitters, length: int):
+def _runs(suspects_b, splitters: list[bytes], length: int):
     """Documents to front-coded chunks of sorted runs, and to the spans that a run alone decides (range -1 - hash)."""
-    import bisect
+    width = 2 * length - GRAM
+    borders = np.array(splitters, dtype=f"S{width}")
 
-    before = length - GRAM
+    def run(batches):
+        suspects, rows, numbers, held = suspects_b.value, [], [], 0
 
-    def flush(entries, deal):
-        entries.sort()
-        rows, chunk, place, k = [], [], None, 0
-        spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
-
-        def close():
-            if chunk:
-                rows.append((place, chunk[0][0], encode_chunk(chunk), None, None, None, None))
-                chunk.clear()
-
-        while k < len(entries):
-            string, right = entries[k][:2]
-            doc, places = entries[k][2], []
-            while k < len(entries) and entries[k][0] == string and entries[k][1] == right:
-                _, _, d, h, p = entries[k]
-                if d == doc:
-                    places.append((h, p))
-                else:  # a larger document in the same context: all of it is covered
-                    spans.setdefault((d, h), []).append((p - len(string) + right, p + right))
-                k += 1
-            at = bisect.bisect_right(splitters, string)
-            if at != place or len(chunk) >= CHUNK:
-                close()
-                place = at
-            chunk.append((string, right, doc, places))
-        close()
-        rows.extend((-1 - deal(d), None, None, d, h, s, e) for (d, h), own in spans.items() for s, e in united(sorted(own)))
-        return rows
+        def take(found, right, left, doc, row, at):
+            rows.append(found)
+            numbers.append(np.stack([right, left, np.full(len(at), doc), np.full(len(at), row), at], 1))
+            return len(at)
 
-    def run(batches):
-        deal = lambda d: d % (len(splitters) + 1)
-        suspects, entries = suspects_b.value, []
         for k, batch, text, at, value in _anchors_of(batches, length):
             at, hot = suspects.split(at, value)
-            if len(at) or len(hot):
-                doc, row = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                raw, n = text.tobytes(), len(text)
-                back = raw[::-1] if len(at) else b""
-                for p in at.tolist():
-                    right = raw[p : p + length]
-                    entries.append((right + back[n - p : n - p + before], len(right), doc, row, p))
-                if len(hot):
-                    starts, value = windows_around(text, hot, length)
-                    entries.extend((raw[p : p + length], length, doc, row, p) for p in starts[in_bloom(suspects.strings, value)].tolist())
-            if len(entries) > RUN:
-                found = flush(entries, deal)
-                entries = []
-                for s in range(0, len(found), 500):
-                    yield _found_batch(found[s : s + 500], _MAPPED)
-        found = flush(entries, deal)
-        for s in range(0, len(found), 500):
-            yield _found_batch(found[s : s + 500], _MAPPED)
+            if not len(at) and not len(hot):
+                continue
+            doc, row = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+            for s in range(0, len(at), RUN):
+                part = at[s : s + RUN]
+                held += take(rows_around(text, part, length), np.minimum(length, len(text) - part), np.minimum(length - GRAM, part), doc, row, part)
+                if held > RUN:
+                    yield from _flushed(np.concatenate(rows), np.concatenate(numbers), borders, length)
+                    rows, numbers, held = [], [], 0
+            if len(hot):
+                starts, value = windows_around(text, hot, length)
+                starts = starts[in_bloom(suspects.strings, value)]
+                found = rows_around(text, starts, length)
+                found[:, length:] = 0
+                held += take(found, np.full(len(starts), length), np.zeros(len(starts), np.int64), doc, row, starts)
+        if held:
+            yield from _flushed(np.concatenate(rows), np.concatenate(numbers), borders, length)
+        else:
+            yield _found_batch([], _MAPPED)
 
     return run
 
@@ -325,15 +343,25 @@ def _runs(suspects_b, splitters, length: int):
 # ---- the merge ----
 
 
+def shared(a: bytes, b: bytes, at: int) -> int:
+    """The length of the common prefix of two strings of one length, of which `at` bytes are known to agree."""
+    x, y = a[at:], b[at:]
+    if x == y:
+        return len(a)
+    return len(a) - ((int.from_bytes(x) ^ int.from_bytes(y)).bit_length() + 7) // 8
+
+
 class LoserTree:
-    """Merges runs of sorted entries, each with the length it shares with its predecessor.
+    """Merges sorted chunks whose rows come with the length they share with their predecessor.
 
-    A leaf's `known` is the length its string shares with the last output. Of two leaves the one that shares more is smaller,
-    and the loser shares just its own length with the winner; only equal lengths need bytes, and only those behind them."""
+    A leaf's `known` is the length its head shares with the last output (-1: the leaf is used up). Of two leaves the one that
+    shares more is smaller, and the loser shares just its own length with the winner; only equal lengths need bytes, and only those
+    behind them. Equal strings come in order of documents."""
 
     def __init__(self):
-        self.runs, self.heads, self.known, self.tree, self.winner = [], [], [], [], None
-        self.last = b""
+        self.chunks: list[Chunk] = []
+        self.at, self.heads, self.docs, self.known, self.tree = [], [], [], [], []
+        self.winner, self.last = None, b""
 
     def _settle(self, w: int, stop: int) -> None:
         """Restate the lengths of the leaves that lost to w, and to them in turn, as shared with the last output: a loser shares
@@ -345,94 +373,86 @@ class LoserTree:
             self._settle(loser, node)
             node //= 2
 
-    def add(self, run) -> None:
-        head = next(run, None)
-        if head is None:
-            return
+    def add(self, chunk: Chunk) -> None:
         if self.winner is not None:
             self._settle(self.winner, 0)
-        free = next((k for k, h in enumerate(self.heads) if h is None), None)
-        if free is None:
-            self.runs.append(run)
-            self.heads.append(head)
-            self.known.append(0)
-            free = len(self.runs) - 1
-        else:
-            self.runs[free], self.heads[free] = run, head
-        self.known[free] = shared(self.last, head[1], 0)
-        self.winner = None  # the tree is played anew, with the lengths that are known
-
-    def _play(self, a: int, b: int) -> tuple[int, int]:
-        """(winner, loser) of two leaves; the loser's known becomes the length it shares with the winner."""
-        x, y = self.heads[a], self.heads[b]
-        if x is None or y is None:
-            return (b, a) if x is None else (a, b)
-        ka, kb = self.known[a], self.known[b]
-        if ka > kb:
-            return a, b
-        if kb > ka:
-            return b, a
-        s, t = x[1], y[1]
-        n = shared(s, t, ka)
-        if n == len(s) == len(t):
-            smaller = x[2] < y[2] or (x[2] == y[2] and a < b)
-        else:
-            smaller = n == len(s) or (n < len(t) and s[n] < t[n])
-        if smaller:
-            self.known[b] = n
-            return a, b
-        self.known[a] = n
-        return b, a
+        free = next((k for k, x in enumerate(self.known) if x < 0), len(self.known))
+        if free == len(self.known):
+            for x in (self.chunks, self.at, self.heads, self.docs, self.known):
+                x.append(None)
+        self.chunks[free], self.at[free], self.heads[free], self.docs[free] = chunk, 0, chunk.strings[0], chunk.doc[0]
+        self.known[free] = shared(self.last, chunk.strings[0], 0) if self.last else 0
+        self._build()
 
     def _build(self) -> None:
+        """Play anew, with the lengths that are known."""
         n = len(self.heads)
-        self.tree = [None] * n
-        front = [None] * n + list(range(n))
+        self.tree = [0] * n
+        front = [0] * n + list(range(n))
         for k in range(n - 1, 0, -1):
             front[k], self.tree[k] = self._play(front[2 * k], front[2 * k + 1])
         self.winner = front[1] if n > 1 else 0
 
-    def peek(self):
-        if self.winner is None and self.heads:
-            self._build()
+    def _play(self, a: int, b: int) -> tuple[int, int]:
+        """(winner, loser) of two leaves; the loser's known becomes the length it shares with the winner."""
+        known = self.known
+        if known[a] != known[b] or known[a] < 0:
+            return (a, b) if known[a] >= known[b] else (b, a)
+        s, t = self.heads[a], self.heads[b]
+        n = shared(s, t, known[a])
+        if (s[n] < t[n]) if n < len(s) else (self.docs[a] <= self.docs[b]):
+            known[b] = n
+            return a, b
+        known[a] = n
+        return b, a
+
+    def head(self) -> bytes | None:
+        """The smallest string."""
         return None if self.winner is None else self.heads[self.winner]
 
-    def pop(self):
-        """(length shared with the output before, entry)"""
-        w = self.winner
-        head, k = self.heads[w], self.known[w]
-        self.last = head[1]
-        self.heads[w] = following = next(self.runs[w], None)
-        if following is not None:
-            self.known[w] = following[0]
-        node, n = (w + len(self.heads)) // 2, len(self.heads)
-        while node and n > 1:
-            w, self.tree[node] = self._play(w, self.tree[node])
-            node //= 2
-        self.winner = w if self.heads[w] is not None else None
-        return k, head
+    def pop(self) -> tuple[int, Chunk, int]:
+        """(length shared with the output before, chunk, place in it) of the smallest string."""
+        w, known = self.winner, self.known
+        out = known[w], self.chunks[w], self.at[w]
+        chunk, at = self.chunks[w], self.at[w] + 1
+        self.last = self.heads[w]
+        if at < chunk.size:
+            self.at[w], self.heads[w], self.docs[w], known[w] = at, chunk.strings[at], chunk.doc[at], chunk.shared[at]
+        else:
+            known[w] = -1
+        n, tree = len(known), self.tree
+        if n > 1:
+            node, own = (w + n) // 2, known[w]
+            while node:
+                loser = tree[node]
+                other = known[loser]
+                if other > own:
+                    tree[node], w, own = w, loser, other
+                elif other == own and own >= 0:
+                    w, tree[node] = self._play(w, loser)
+                    own = known[w]
+                node //= 2
+        self.winner = w if known[w] >= 0 else None
+        return out
 
 
 REDUCED = "doc_id long, h long, start long, stop long, string binary"
 _REDUCED = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("string", pa.binary())])
 
 
-def covered(shared_right: np.ndarray, rights: np.ndarray, lefts: list[bytes], docs: np.ndarray, length: int):
+def covered(shared_right: np.ndarray, rows: np.ndarray, rights: np.ndarray, held: np.ndarray, docs: np.ndarray, length: int):
     """Contexts in merged order -> (context, j) for each string of `length` bytes that starts j bytes before the anchor of a
     context and that a smaller document has, in order of contexts and j.
 
-    shared_right[i] is what context i shares with the one before it, rights[i] how many bytes it has from the anchor on. Contexts
-    that agree for length - j bytes are a stretch of the merged order; contexts whose left parts agree for j bytes are a stretch
-    of the left parts' order. The two stretches are numbered by counting borders, so nothing but shared lengths is looked at."""
+    shared_right[i] is what row i shares with the one before it, rights and held how many bytes it has from the anchor on and
+    before it. Contexts that agree for length - j bytes are a stretch of the merged order; contexts whose left parts agree for j
+    bytes are a stretch of the left parts' order. The two stretches are numbered by counting borders, so nothing but shared
+    lengths is looked at."""
     n, most = len(docs), length - GRAM
-    held = np.array([len(x) for x in lefts])
-    packed = np.frombuffer(b"".join(x.ljust(most, b"\0") for x in lefts), np.uint8).reshape(n, most)
     wide = np.zeros((n, -(-most // 8) * 8), np.uint8)
-    wide[:, :most] = packed
+    wide[:, :most] = rows[:, length:]
     order = np.lexsort((held, *wide.view(">u8").astype(np.uint64).T[::-1]))
-    differ = packed[order[1:]] != packed[order[:-1]]
-    same = np.where(differ.any(1), differ.argmax(1), most)
-    shared_left = np.concatenate([[0], np.minimum(same, np.minimum(held[order[1:]], held[order[:-1]]))])
+    shared_left = np.minimum(shared_lengths(rows[order, length:]), np.minimum(held[order], np.append(0, held[order[:-1]])))
     beside = lambda x: np.maximum(x, np.append(x[1:], 0))
     near = np.minimum(beside(shared_right), rights)
     far = np.empty(n, np.int64)
@@ -460,87 +480,112 @@ class _Contexts:
     """Contexts in merged order, decided in batches that end between grams."""
 
     def __init__(self, length: int):
-        self.length, self.out, self.contexts, self.written, self.gram = length, [], [], False, 0
-
-    def entry(self, k: int, string: bytes, right: int, doc: int, places) -> None:
-        if self.contexts and k == len(string) == len(self.contexts[-1][0]) and right == self.contexts[-1][1]:
-            context = self.contexts[-1]
-            if doc == context[2]:
-                context[3].extend(places)
-                return
-            if doc < context[2]:
-                context[2], context[3], doc, places = doc, list(places), context[2], context[3]
-            left = len(string) - right
-            self.out.extend((doc, h, p - left, p + right, None) for h, p in places)
-            return
+        self.length, self.width = length, 2 * length - GRAM
+        self.ready: list[pa.RecordBatch] = []
+        self.gone: list[tuple[int, int, int, int]] = []  # spans (doc, h, start, stop)
+        self.strings: list[bytes] = []
+        self.shared: list[int] = []
+        self.numbers: list[list[int]] = []  # right, left, doc, h, place
+        self.gram, self.given_out = 0, False
+
+    def entry(self, k: int, chunk: Chunk, at: int) -> None:
+        row, strings = chunk.rows[at], self.strings
         if k < GRAM:
-            if self.written or len(self.contexts) >= BATCH:
+            if len(strings) >= BATCH or self.given_out:
                 self.close()
-            self.gram = len(self.contexts)
-        elif len(self.contexts) - self.gram >= GROUP:
-            self.write(keep=True)
-        self.contexts.append([string, right, doc, list(places), k])
-
-    def write(self, keep: bool = False) -> None:
+                strings = self.strings
+            self.gram = len(strings)
+        elif strings:
+            if k == self.width:
+                right, left, doc, h, place = row
+                last = self.numbers[-1]
+                if doc > last[2] and right == last[0] and left == last[1]:
+                    self.gone.append((doc, h, place - left, place + right))
+                    return
+            if len(strings) - self.gram >= GROUP:
+                self.give_out(keep=True)
+                strings = self.strings
+        strings.append(chunk.strings[at])
+        self.shared.append(k)
+        self.numbers.append(row)
+
+    def give_out(self, keep: bool = False) -> None:
         """Give out the strings of the gram's contexts; the last one stays open while the gram goes on."""
-        stay = self.contexts.pop() if keep else None
-        for string, right, doc, places, _ in self.contexts[self.gram :]:
-            whole = string[right:][::-1] + string[:right]
-            left = len(string) - right
+        end = len(self.strings) - keep
+        stay = [x[end:] for x in (self.strings, self.shared, self.numbers)]
+        rows = []
+        for string, (right, left, doc, h, place) in zip(self.strings[self.gram : end], self.numbers[self.gram : end], strict=True):
+            whole = string[self.length : self.length + left][::-1] + string[:right]
             for j in range(max(0, left + right - self.length + 1)):
-                digest = hashlib.blake2b(whole[j : j + self.length], digest_size=16).digest()
-                self.out.extend((doc, h, p - left + j, p - left + j + self.length, digest) for h, p in places)
-        del self.contexts[self.gram :]
-        if self.contexts:
-            self.decide()
-        self.contexts, self.written, self.gram = ([stay] if keep else []), keep, 0
+                rows.append((doc, h, place - left + j, place - left + j + self.length, hashlib.blake2b(whole[j : j + self.length], digest_size=16).digest()))
+            if len(rows) > 20_000:
+                self.ready.append(_found_batch(rows, _REDUCED))
+                rows = []
+        self.ready.append(_found_batch(rows, _REDUCED))
+        for x in (self.strings, self.shared, self.numbers):
+            del x[self.gram :]
+        self.decide()
+        self.strings, self.shared, self.numbers = stay
+        self.given_out, self.gram = keep, 0
 
     def decide(self) -> None:
-        if len(self.contexts) > 1:
-            strings, rights, docs, _, k = zip(*self.contexts, strict=True)
-            hits = covered(np.array(k), np.array(rights), [x[r:] for x, r in zip(strings, rights, strict=True)], np.array(docs, np.int64), self.length)
+        if len(self.strings) > 1:
+            numbers = np.array(self.numbers, np.int64)
+            rows = np.frombuffer(b"".join(self.strings), np.uint8).reshape(len(numbers), -1)
+            hits = covered(np.array(self.shared), rows, numbers[:, 0], numbers[:, 1], numbers[:, 2], self.length)
             if len(hits):
-                cuts = np.flatnonzero((np.diff(hits[:, 0]) != 0) | (np.diff(hits[:, 1]) != 1)) + 1
-                for i, low, high in zip(hits[np.append(0, cuts), 0].tolist(), hits[np.append(0, cuts), 1].tolist(), hits[np.append(cuts - 1, len(hits) - 1), 1].tolist(), strict=True):
-                    _, _, doc, places, _ = self.contexts[i]
-                    self.out.extend((doc, h, p - high, p - low + self.length, None) for h, p in places)
-        self.contexts = []
+                first = np.append(True, (np.diff(hits[:, 0]) != 0) | (np.diff(hits[:, 1]) != 1))
+                own = numbers[hits[first, 0]]
+                self.emit(own[:, 2], own[:, 3], own[:, 4] - hits[np.append(first[1:], True), 1], own[:, 4] - hits[first, 1] + self.length)
+        self.strings, self.shared, self.numbers = [], [], []
+        if self.gone:
+            self.emit(*np.array(self.gone, np.int64).T)
+            self.gone = []
+
+    def emit(self, *spans: np.ndarray) -> None:
+        spans = united(*spans)
+        self.ready.append(pa.RecordBatch.from_arrays([*map(pa.array, spans), pa.nulls(len(spans[0]), pa.binary())], schema=_REDUCED))
 
     def close(self) -> None:
-        if self.written:
-            self.write()
+        if self.given_out:
+            self.give_out()
         self.decide()
-        self.written, self.gram = False, 0
+        self.given_out, self.gram = False, 0
 
 
 def _merge(length: int):
     def run(batches):
-        group, tree, place = _Contexts(length), LoserTree(), None
+        contexts, tree, place = _Contexts(length), LoserTree(), None
 
         def drain(until: bytes | None):
             """Output what sorts before the next chunk's first string."""
-            while (head := tree.peek()) is not None and (until is None or head[1] < until):
-                k, (_, string, right, doc, places) = tree.pop()
-                group.entry(k, string, right, doc, places)
+            entry, pop, heads = contexts.entry, tree.pop, tree.heads
+            while (w := tree.winner) is not None and (until is None or heads[w] < until):
+                entry(*pop())
+            if contexts.ready or len(contexts.gone) > 50_000:
+                yield from given()
+
+        def given():
+            if len(contexts.gone) > 50_000:
+                contexts.emit(*np.array(contexts.gone, np.int64).T)
+                contexts.gone = []
+            yield from contexts.ready
+            contexts.ready = []
 
         for batch in batches:
-            for r, first, blob, doc, h, start, stop in zip(*batch.columns, strict=True):
-                r = r.as_py()
-                if r < 0:
-                    group.out.append((doc.as_py(), h.as_py(), start.as_py(), stop.as_py(), None))
-                else:
-                    if r != place:
-                        drain(None)
-                        group.close()
-                        tree, place = LoserTree(), r
-                    drain(first.as_py())
-                    tree.add(decode_chunk(blob.as_py()))
-                if len(group.out) > 20_000:
-                    yield _found_batch(group.out, _REDUCED)
-                    group.out = []
-        drain(None)
-        group.close()
-        yield _found_batch(group.out, _REDUCED)
+            ranges = batch.column(0).to_numpy()
+            decided = batch.filter(pa.array(ranges < 0))
+            yield pa.RecordBatch.from_arrays([*decided.columns[3:], pa.nulls(len(decided), pa.binary())], schema=_REDUCED)
+            for k in np.flatnonzero(ranges >= 0).tolist():
+                if ranges[k] != place:
+                    yield from drain(None)
+                    contexts.close()
+                    tree, place = LoserTree(), ranges[k]
+                yield from drain(batch.column(1)[k].as_py())
+                tree.add(Chunk(batch.column(2)[k].as_py()))
+        yield from drain(None)
+        contexts.close()
+        yield from given()
 
     return run
 
@@ -556,7 +601,7 @@ def _splitters(docs: DataFrame, length: int, ranges: int, sample: int = 400) ->
     return sorted({heads[len(heads) * k // ranges] for k in range(1, ranges)}) if heads else []
 
 
-def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int = 1 << 28, hot: int = 8000) -> DataFrame:
+def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int = 1 << 28, hot: int = 100_000) -> DataFrame:
     """From (doc_id, h, text) without nulls: spans (doc_id, h, start, stop) of the bytes to remove; they may overlap."""
     spark = docs.sparkSession
     if length < 2 * GRAM:
@@ -583,24 +628,17 @@ def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int = 1 <
 def _cut():
     kind = pa.struct([("kept", pa.string()), ("kept_bytes", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
 
-    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    def run(texts: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
         out = []
-        for text, own in zip(texts, spans, strict=True):
-            raw = (text.as_py() or "").encode()
-            own = sorted((x["start"], x["stop"]) for x in own.as_py() or ())
-            kept, at, removed, runs, last = [], 0, 0, 0, -1
-            for s, e in own:
-                if s > last:
-                    runs += 1
-                if s > at:
-                    kept.append(raw[at:s])
-                if e > at:
-                    removed += e - max(s, at)
-                    at = e
-                last = max(last, e)
-            kept.append(raw[at:])
-            data = b"".join(kept)
-            out.append({"kept": data.decode("utf-8", "ignore"), "kept_bytes": data, "n_bytes": len(raw), "n_removed": removed, "n_spans": runs})
+        for text, start, stop in zip(texts_of(texts), starts, stops, strict=True):
+            kept, removed, runs = [], 0, 0
+            if start.is_valid and len(start.values):
+                same = np.zeros(len(start.values), np.int64)
+                _, _, start, stop = united(same, same, start.values.to_numpy(), stop.values.to_numpy())
+                removed, runs = int((stop - start).sum()), len(start)
+                kept = [text[s:e].tobytes() for s, e in zip([0, *stop.tolist()], [*start.tolist(), len(text)], strict=True)]
+            data = b"".join(kept) if runs else text.tobytes()
+            out.append({"kept": data.decode("utf-8", "ignore"), "kept_bytes": data, "n_bytes": len(text), "n_removed": removed, "n_spans": runs})
         return pa.array(out, kind)
 
     return F.arrow_udf(run, "kept string, kept_bytes binary, n_bytes long, n_removed long, n_spans long")
@@ -611,7 +649,7 @@ def dedup_substrings(docs: DataFrame, *, id_col="doc_id", text_col="text", **opt
     kept is kept_bytes as text, without characters that a removal has cut in two."""
     h = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     known = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), h.alias("h"), F.col(text_col).alias("text"))
-    lost = duplicate_spans(known, **options).groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("spans")).alias("l")
+    lost = duplicate_spans(known, **options).groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).select("doc_id", "h", "spans.start", "spans.stop").alias("l")
     d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("k"), h.alias("h")).alias("d")
     both = d.join(lost, (F.col("d.k") == F.col("l.doc_id")) & (F.col("d.h") == F.col("l.h")), "left")
-    return both.select("d.row", _cut()(F.col(f"d.row.{text_col}"), F.col("l.spans")).alias("c")).select("row", "c.*")
+    return both.select("d.row", _cut()(F.col(f"d.row.{text_col}"), F.col("l.start"), F.col("l.stop")).alias("c")).select("row", "c.*")
