@@ -2,8 +2,8 @@
 
 Each task sets its documents' line hashes in a once filter and, when a hash was there before, in a twice filter. Merging two
 tasks keeps once = a | b and twice = ta | tb | (a & b), so every line of two documents is in the merged twice filter. Only
-lines found there are shuffled, as 128-bit digests, for exact confirmation and the choice of the smallest document id. The
-filters' size is the parameter filter_bits (16 MB by default), whatever the input: over more lines they let more lines
+lines found there are shuffled, as 128-bit digests, for exact confirmation and the choice of the smallest document id; lines
+that very many documents hold meet their smallest id by a broadcast of bounded size (`common.split_join`). The filters' size is the parameter filter_bits (16 MB by default), whatever the input: over more lines they let more lines
 through to the exact step, never fewer.
 
 A line's key is the line stripped of ``[\\x20\\x09-\\x0D]`` with A-Z lower-cased; keys under min_chars code points are left alone.
@@ -14,7 +14,6 @@ other row; rows that repeat an id are one document; an empty table gives an empt
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +21,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import TwiceFilter, discard, few, in_bloom, merged_twice, small_batches, split_join, stash
 
 BLANK = " \t\n\x0b\x0c\r"
-SLICES = 64
-PROBES = 2
 
 
 def line_key(line: str, min_chars: int) -> bytes | None:
@@ -34,77 +31,31 @@ def line_key(line: str, min_chars: int) -> bytes | None:
     return line.encode().lower() if len(line) >= min_chars else None
 
 
-def _probes(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [((hashes >> np.uint64(k * 32)) if k else hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(7)) % np.uint64(bits) for k in range(PROBES)]
-
-
 def _filters(min_chars: int, bits: int):
     """mapInArrow: a task's documents to its two filters, in compressed slices."""
 
     def run(batches):
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-
-        def add(hashes):
-            if not hashes:
-                return
-            h, times = np.unique(np.array(hashes, dtype=np.uint64), return_counts=True)
-            at = _probes(h, bits)
-            seen = times > 1
-            there = np.ones(len(h), bool)
-            for p in at:
-                there &= (once[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            seen |= there
-            for p in at:
-                np.bitwise_or.at(once, p >> np.uint64(3), np.left_shift(1, (p & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
-                p = p[seen]
-                np.bitwise_or.at(twice, p >> np.uint64(3), np.left_shift(1, (p & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
-
-        waiting: list[int] = []
+        seen = TwiceFilter(bits, 50_000)
         for batch in batches:
             for text in batch.column(0):
-                keys = (line_key(x, min_chars) for x in (text.as_py() or "").split("\n"))
-                waiting.extend({xxhash.xxh3_64_intdigest(k) for k in keys if k is not None})
-                if len(waiting) > 50_000:
-                    add(waiting)
-                    waiting = []
-        add(waiting)
-        step = len(once) // SLICES
-        packed = lambda x: [zlib.compress(x[k * step : (k + 1) * step].tobytes(), 1) for k in range(SLICES)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(packed(once), pa.binary()), pa.array(packed(twice), pa.binary())], ["slice", "once", "twice"])
+                keys = {k for x in (text.as_py() or "").split("\n") if (k := line_key(x, min_chars)) is not None}
+                if keys:
+                    seen.add(np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys)))
+        yield seen.slices()
 
     return run
 
 
-def _merge(batches):
-    """mapInArrow over the slices: streams them, so memory is two slices for each slice number met."""
-    have: dict[int, list[np.ndarray]] = {}
-    for batch in batches:
-        for k, once, twice in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            once, twice = (np.frombuffer(zlib.decompress(x), np.uint8) for x in (once, twice))
-            if k in have:
-                a, t = have[k]
-                t |= twice | (a & once)
-                a |= once
-            else:
-                have[k] = [once.copy(), twice.copy()]
-    yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([zlib.compress(t.tobytes(), 1) for _, t in have.values()], pa.binary())], ["slice", "twice"])
-
-
 def twice_filter(docs: DataFrame, id_col: str, text_col: str, min_chars: int, bits: int) -> np.ndarray:
     known = docs.where(F.col(id_col).isNotNull()).select(F.col(text_col))
-    parts = known.mapInArrow(_filters(min_chars, bits), "slice int, once binary, twice binary").repartition(SLICES, "slice")
-    out = np.zeros(bits // 8, np.uint8)
-    step = len(out) // SLICES
-    for row in parts.mapInArrow(_merge, "slice int, twice binary").collect():  # SLICES rows, bits / 8 bytes in all
-        out[row.slice * step : (row.slice + 1) * step] = np.frombuffer(zlib.decompress(row.twice), np.uint8)
-    return out
+    return merged_twice(few(known).mapInArrow(_filters(min_chars, bits), "slice int, data binary"), bits)
 
 
 def digest(key: bytes) -> bytes:
     return hashlib.blake2b(key, digest_size=16).digest()
 
 
-def _suspects(filter_b, min_chars: int, bits: int):
+def _suspects(filter_b, min_chars: int):
     def run(batches):
         twice = filter_b.value
         for batch in batches:
@@ -115,10 +66,7 @@ def _suspects(filter_b, min_chars: int, bits: int):
                     continue
                 own = list(own)
                 h = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own))
-                hit = np.ones(len(own), bool)
-                for p in _probes(h, bits):
-                    hit &= (twice[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                for k in np.flatnonzero(hit):
+                for k in np.flatnonzero(in_bloom(twice, h)):
                     ids.append(doc)
                     keys.append(digest(own[k]))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "key"])
@@ -148,13 +96,16 @@ def _clean(min_chars: int):
 def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, bits: int) -> DataFrame:
     """(doc_id, keys): the digests of the lines that the document loses."""
     spark = docs.sparkSession
+    small_batches(spark)
     filter_b = spark.sparkContext.broadcast(twice_filter(docs, id_col, text_col, min_chars, bits))
     known = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col))
-    suspects = stash(known.mapInArrow(_suspects(filter_b, min_chars, bits), "doc_id long, key binary"), "line-suspects")
-    repeats = stash(suspects.groupBy("key").agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("last")).where("keep < last").drop("last"), "repeated-lines")
-    s, r = suspects.alias("s"), repeats.alias("r")
-    lost = s.join(r, (F.col("s.key") == F.col("r.key")) & (F.col("s.doc_id") > F.col("r.keep")))
-    return lost.groupBy("s.doc_id").agg(F.collect_set("s.key").alias("keys"))
+    suspects = stash(known.mapInArrow(_suspects(filter_b, min_chars), "doc_id long, key binary"), "line-suspects")
+    filter_b.unpersist()
+    repeats = suspects.groupBy("key").agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("last"), F.count("*").alias("held")).where("keep < last").drop("last")
+    repeats = stash(repeats, "repeated-lines")
+    lost = stash(split_join(suspects, repeats, "key", "held").where("doc_id > keep").select("doc_id", "key"), "lost-lines")
+    discard(suspects, repeats)
+    return lost.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
 
 def dedup_lines(docs: DataFrame, *, id_col="doc_id", text_col="text", min_chars: int = 10, filter_bits: int = 1 << 27) -> DataFrame:
