@@ -3,14 +3,16 @@
 Archives hold one gzip member a record. A reading task gets a byte range, looks for the gzip magic in it, takes a candidate as a
 member only if it decompresses to a WARC header whose Content-Length fits the member, and owns the records whose members
 start inside its range; it reads past the range's end to finish the last one. Members are decompressed in pieces, so a task's
-memory is bounded by one piece, and by one payload only when payloads are asked for.
+memory is bounded by one piece and one header, and by one payload only when payloads are asked for. A member that begins with the
+bytes of a WARC version is read until its header ends, however long that is; others are given up after a few bytes.
 
 Writing tasks use new file names and return a manifest; only the manifest of attempts that Spark committed is read, so repeated
 or lost attempts leave no trace in the result. Paths are opened with pyarrow's file systems (local, HDFS, object stores).
 
 Defined cases: a null payload is empty; a null target gives a record without target; line ends in targets are percent-encoded;
 an empty table gives no archive; of rows that repeat the smallest id of a payload all are responses; a row with a null id is a
-response and refers to nothing; other columns are never read.
+response and refers to nothing; rows that share an id, or have none, get records of different names, and a revisit refers to the
+first of them; other columns are never read.
 """
 
 from __future__ import annotations
@@ -22,14 +24,13 @@ import zlib
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, stash
+from .common import scratch, small_batches, split_join, stash
 
 MAGIC = b"\x1f\x8b\x08"
 PIECE = 1 << 18
-HEADER_MOST = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -38,21 +39,22 @@ def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
 
 
-def record_id(key) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'record:{key}')}>"
+def record_id(key, digest: str, again: int = 0) -> str:
+    """The name of the record of a key and payload; again tells rows apart that repeat both, or have no key."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'record:{key}:{digest}:{again}')}>"
 
 
-def record(key, uri: str | None, payload: bytes, digest: str, first=None) -> bytes:
+def record(key, uri: str | None, payload: bytes, digest: str, first=None, again: int = 0) -> bytes:
     """One record as a gzip member: a response, or with first a revisit of the record with that key."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if first is not None else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: {record_id(key)}", f"WARC-Date: {DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: {record_id(key, digest, again)}", f"WARC-Date: {DATE}"]
     if uri:
         head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", uri))
     if key is not None:
         head.append(f"X-Key: {key}")
     if first is not None:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(first)}", f"X-Refers-To-Key: {first}"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(first, digest)}", f"X-Refers-To-Key: {first}"]
     head += [f"WARC-Payload-Digest: sha256:{digest}", "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     packer = zlib.compressobj(3, zlib.DEFLATED, 31)
     return packer.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
@@ -63,11 +65,11 @@ def _write(folder: str):
         system, base = open_fs(folder)
         name, out, size, n = f"part-{uuid.uuid4().hex}.warc.gz", None, 0, 0
         for batch in batches:
-            for key, uri, html, digest, first in zip(*batch.columns, strict=True):
+            for key, uri, html, digest, first, again in zip(*batch.columns, strict=True):
                 if out is None:
                     system.create_dir(base, recursive=True)
                     out = system.open_output_stream(f"{base}/{name}", compression=None)
-                member = record(key.as_py(), uri.as_py(), (html.as_py() or "").encode(), digest.as_py(), first.as_py())
+                member = record(key.as_py(), uri.as_py(), (html.as_py() or "").encode(), digest.as_py(), first.as_py(), again.as_py())
                 out.write(member)
                 size, n = size + len(member), n + 1
         if out is not None:
@@ -81,13 +83,22 @@ def write_warc(pages: DataFrame, *, id_col="page_id", uri_col="url", payload_col
     """Write one record a row; the manifest (path, size, records) of the archives. Of equal payloads of at least `smallest`
     bytes the row of smallest id is the response and the others revisit it."""
     spark = pages.sparkSession
+    small_batches(spark)
     body = F.coalesce(F.col(payload_col), F.lit(""))
     digest = F.sha2(body.cast("binary"), 256)
     small = stash(pages.where(F.octet_length(body) >= smallest).select(F.col(id_col).cast("long").alias("key"), digest.alias("digest")), "payload-digests")
-    first = small.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").drop("last")
-    again = small.join(first, "digest").where("key > first").distinct()
+    first = stash(small.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("held")).where("first < last").drop("last"), "first-payloads")
+    again = split_join(small, first, "digest", "held").where("key > first").select("digest", "key", "first").distinct()
     rows = pages.select(F.col(id_col).cast("long").alias("k"), F.col(uri_col).cast("string").alias("uri"), F.col(payload_col).alias("html"), digest.alias("d"))
     rows = rows.join(again, (F.col("k") == F.col("key")) & (F.col("d") == F.col("digest")), "left").select("k", "uri", "html", "d", "first")
+    number = F.when(F.col("k").isNull(), F.monotonically_increasing_id() + 1).otherwise(0)
+    repeated = pages.groupBy(F.col(id_col).cast("long").alias("k")).count().where("k is not null and count > 1").select("k")
+    if repeated.limit(1).count():  # rows that repeat an id: of those with one payload all but the first get a number
+        place = F.row_number().over(Window.partitionBy("k", "d").orderBy(F.xxhash64("uri", "html"))) - 1
+        several = rows.join(repeated, "k", "left_semi").withColumn("again", place.cast("long"))
+        rows = rows.join(repeated, "k", "left_anti").withColumn("again", number).unionByName(several)
+    else:
+        rows = rows.withColumn("again", number)
     return stash(rows.mapInArrow(_write(scratch(spark, "warc")), "path string, size long, records long"), "warc-manifest")
 
 
@@ -122,7 +133,7 @@ class _Source:
 
 def member(source: _Source, at: int, with_payload: bool):
     """The record whose gzip member starts at `at`: (dict, offset behind it), or None if there is none."""
-    unzip, head, info, left, block = zlib.decompressobj(31), b"", None, 0, None
+    unzip, head, info, left, block = zlib.decompressobj(31), bytearray(), None, 0, None
     for place, piece in source.pieces(at):
         whole = len(piece)
         while True:
@@ -132,18 +143,17 @@ def member(source: _Source, at: int, with_payload: bool):
                 return None
             piece, got = unzip.unconsumed_tail, len(data)
             if info is None:
+                looked = max(0, len(head) - 3)
                 head += data
                 if not head.startswith(b"WARC/1."[: len(head)]):
                     return None
-                cut = head.find(b"\r\n\r\n")
-                if cut < 0 and len(head) > HEADER_MOST:
-                    return None
+                cut = head.find(b"\r\n\r\n", looked)
                 if cut >= 0:
-                    lines = head[:cut].decode("utf-8", "replace").split("\r\n")
+                    lines = bytes(head[:cut]).decode("utf-8", "replace").split("\r\n")
                     info = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
                     if "warc-type" not in info or not info.get("content-length", "").isdigit():
                         return None
-                    left, block, data = int(info["content-length"]) + 4, _Block(info, with_payload), head[cut + 4 :]
+                    left, block, data = int(info["content-length"]) + 4, _Block(info, with_payload), bytes(head[cut + 4 :])
             if info is not None and data:
                 if len(data) > left:
                     return None
