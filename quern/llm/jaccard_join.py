@@ -3,18 +3,22 @@
 A document's set is its distinct word shingles (64-bit hashes). If two sets of sizes n, m have Jaccard >= t, then under any
 global order the first n - ceil(t n) + 1 tokens of the one and the first m - ceil(t m) + 1 of the other share a token. The
 filter holds under every order at once, so a pair must pass all of them: order one deals out the candidates, orders two and
-three are intersected with it before any set is compared, and of the sets first a short form. All orders put frequent shingles last (a fixed-size count sketch
-over all documents) and differ in the hash that orders the others.
+three are intersected with it before any set is compared, and of the sets first a short form. All orders put shingles that no
+other document has first (two Bloom filters over all documents) and frequent ones last (a fixed-size count sketch), and differ
+in the hash that orders the others. The first shared token of a pair also bounds what can be shared behind it: with places i, j
+in order one at most min(n - i, m - j) tokens are common, so most tokens that unrelated documents share by chance give no pair.
 
 Links are wanted only as far as components need them, so a group of n near copies is not expanded into n^2 pairs: documents
-with equal sets are one node; every holder of a prefix token is first compared with the token's smallest holder; after the
+with equal sets are one node, whose texts are read once; prefix tokens that one node alone holds go by another pair of Bloom
+filters before they are dealt out; every holder of a token is first compared with the token's smallest holder; after the
 components of those links are known, only pairs between different components remain. Small token groups give them as pairs;
-large ones (of one smallest holder together) are dealt into blocks, every two blocks meet in one task, and only links that
-join components leave it. That compares all pairs of a large group that are not linked yet, but moves each document only once
-for each block of the group.
+large ones (of one smallest holder together) are dealt into blocks, every two blocks meet in one task, the three filters are
+intersected there too, and only links that join components leave it. That compares all pairs of a large group that are not linked
+yet, but moves each document only once for each block of the group.
 
-The sketch has 2^sketch_bits counters (16 MB as bytes, in the tasks and as classes) whatever the input. Raise it with the
-corpus: a shingle is recognised as frequent once its count stands out of the mean count of a cell.
+Filters and sketch have 2^filter_bits bits and 2^sketch_bits counters (16 MB each in a task) whatever the input. Raise them with
+the corpus: what they cannot tell apart any more gives more candidates, never fewer. Tokens, sets and documents that more than
+1 / 2048 of the rows share are joined by broadcast (`common.split_join`).
 
 Defined cases: a document with fewer words than size has one shingle, its whole sequence; null, empty and blank texts have
 none and link with nothing; a null id links with nothing and has a null component; rows that repeat an id are one node, each
@@ -27,98 +31,154 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, groups_of, id_filter, in_filter, in_slices, merged_slices, mix, release, shingle_sets, stash
+from .common import SLICES, TwiceFilter, components, discard, few, groups_of, id_filter, in_bloom, in_filter, in_slices, merged_slices, merged_twice, mix, release, shingle_sets, small_batches, split_join, stash
 
 SEEDS = tuple(np.uint64(x) for x in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
 
-def _sketch(size: int, bits: int):
-    """A task's counts by hash cell, one byte each: they stop at 255, which is frequent enough to be told apart."""
+# ---- what is known of every row, and of all tokens ----
+
+FACTS = "doc_id long, key long, n long, print binary, slice int, data binary"
+
+
+def _facts(size: int, filter_bits: int, sketch_bits: int):
+    """Columns (doc_id, key, text): size and digest of each row's set; then the task's filters in slices 0 .. SLICES and its sketch,
+    one byte a cell (they stop at 255, which is frequent enough to be told apart), in the slices behind them."""
 
     def run(batches):
-        total = np.zeros(1 << bits, np.uint8)
+        seen, total = TwiceFilter(filter_bits, 1 << 60), np.zeros(1 << sketch_bits, np.uint8)
 
-        def add(cells: list[np.ndarray]) -> None:
-            at, n = np.unique(np.concatenate(cells), return_counts=True)
-            total[at] = np.minimum(total[at] + np.minimum(n, 255), 255)
+        def take():
+            h, times = seen.take()
+            cells, first = np.unique((h >> np.uint64(64 - sketch_bits)).astype(np.int64), return_index=True)
+            if len(cells):
+                total[cells] = np.minimum(total[cells] + np.minimum(np.add.reduceat(times, first), 255), 255)
 
-        waiting, held = [], 0
         for batch in batches:
-            for _, texts in groups_of(batch.column(0)):
-                tokens, _ = shingle_sets(texts, size)
-                waiting.append((tokens >> np.uint64(64 - bits)).astype(np.int32))
-                held += len(tokens)
-                if held > 1_000_000:
-                    add(waiting)
-                    waiting, held = [], 0
-        if waiting:
-            add(waiting)
-        yield in_slices(total)
+            for first, texts in groups_of(batch.column(2)):
+                tokens, bounds = shingle_sets(texts, size)
+                seen.add(tokens)
+                if seen.size > 500_000:
+                    take()
+                n = np.diff(bounds)
+                prints = [hashlib.blake2b(tokens[s:e].tobytes(), digest_size=16).digest() if e > s else None for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                none = pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)), pa.array(n), pa.array(prints, pa.binary()), *none], FACT_NAMES)
+        take()
+        for more, part in ((0, seen.slices()), (SLICES, in_slices(total))):
+            none = [pa.nulls(SLICES, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pc.add(part.column(0), pa.scalar(more, pa.int32())), part.column(1)], FACT_NAMES)
 
     return run
 
 
+FACT_NAMES = [x.split()[0] for x in FACTS.split(", ")]
+
+
 def _sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(a.astype(np.uint32) + b, 65_535).astype(np.uint16)
 
 
-def frequency_classes(docs: DataFrame, text_col: str, size: int, bits: int) -> np.ndarray:
-    """For each of 2^bits hash cells a class, 0 for cells at or below the mean count, rising with the logarithm of the excess."""
-    counts = merged_slices(docs.select(text_col).mapInArrow(_sketch(size, bits), "slice int, data binary"), _sum, first="u1", then="u2")
-    if not len(counts):
-        return np.zeros(1 << bits, np.uint8)
-    mean = float(counts.mean())
-    steps = np.floor(2 * np.log2(1 + np.maximum(0, np.arange(65_536) - mean) / (1 + 2 * np.sqrt(mean)))).astype(np.uint8)
-    return steps[counts]
+class Order:
+    """A token's class, which is first in all global orders: 0 for tokens that the twice filter lacks, 1 for cells of the sketch at
+    or below the mean count, rising with the logarithm of the excess."""
+
+    def __init__(self, twice: np.ndarray, counts: np.ndarray, sketch_bits: int):
+        mean = float(counts.mean()) if len(counts) else 0.0
+        steps = np.floor(2 * np.log2(1 + np.maximum(0, np.arange(65_536) - mean) / (1 + 2 * np.sqrt(mean)))).astype(np.uint8)
+        self.twice, self.classes, self.shift = twice, steps[counts] if len(counts) else np.zeros(1 << sketch_bits, np.uint8), 64 - sketch_bits
+
+    def keys(self, tokens: np.ndarray) -> list[np.ndarray]:
+        """The tokens' keys in each order; of equal keys the smaller token is first."""
+        known = in_bloom(self.twice, tokens)
+        kind = np.zeros(len(tokens), np.uint64)
+        kind[known] = self.classes[(tokens[known] >> np.uint64(self.shift)).astype(np.int64)] + np.uint64(1)
+        return [(kind << np.uint64(56)) | (mix(tokens ^ seed) >> np.uint64(8)) for seed in SEEDS]
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _prefix(tokens: np.ndarray, classes: np.ndarray, shift: int, order: int, percent: int) -> np.ndarray:
-    """The tokens of the prefix under that order; ties cannot differ between documents, as the key is a function of the token."""
-    keys = (classes[(tokens >> np.uint64(shift)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mix(tokens ^ SEEDS[order]) >> np.uint64(8))
-    p = prefix_length(len(tokens), percent)
-    if p >= len(tokens):
-        return tokens
-    cut = np.partition(keys, p - 1)[p - 1]
-    return tokens[keys <= cut]
+def prefix(keys: np.ndarray, percent: int) -> np.ndarray:
+    """Where the tokens of the prefix are, in their order; the tokens themselves are sorted, so a stable sort settles ties alike
+    in all documents."""
+    p = prefix_length(len(keys), percent)
+    near = np.flatnonzero(keys <= np.partition(keys, p - 1)[p - 1]) if p < len(keys) else np.arange(len(keys))
+    return near[np.argsort(keys[near], kind="stable")][:p]
+
+
+SIGNATURE = "doc_id long, n long, p1 array<long>, p2 array<smallint>, p3 array<smallint>"
+
 
+class Skip:
+    """Tells rows apart whose set a smaller document has: in the first bit set and not in the second, which holds what the first
+    one wrongly has. A row that it lets through by mistake is a further node, no error."""
 
-SIGNATURE = "doc_id long, n long, print binary, p1 array<long>, p2 array<smallint>, p3 array<smallint>"
+    def __init__(self, copies: np.ndarray, wrong: np.ndarray):
+        self.copies, self.wrong = copies, wrong
 
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        return in_filter(keys, self.copies) & ~in_filter(keys, self.wrong)
 
-def _signatures(classes_b, size: int, percent: int, shift: int):
+
+def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0] + [len(x) for x in rows])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows) if rows else np.zeros(0), kind))
+
+
+def _signatures(order_b, skip_b, size: int, percent: int):
     def run(batches):
-        classes = classes_b.value
+        order, skip = order_b.value, skip_b.value
         for batch in batches:
-            ids = batch.column(0)
-            for first, texts in groups_of(batch.column(1)):
+            batch = batch.filter(pa.array(~skip(batch.column(1).to_numpy(zero_copy_only=False))))
+            for first, texts in groups_of(batch.column(2)):
                 tokens, bounds = shingle_sets(texts, size)
-                rows: list[list] = [[], [], [], [], []]
-                for s, e in zip(bounds[:-1], bounds[1:], strict=True):
-                    own = tokens[s:e]
-                    rows[0].append(len(own))
-                    rows[1].append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                    if not len(own):
-                        for k in (2, 3, 4):
-                            rows[k].append(own[:0].astype(np.int64))
-                        continue
-                    rows[2].append(_prefix(own, classes, shift, 0, percent).view(np.int64))
-                    for order in (1, 2):
-                        rows[2 + order].append((_prefix(own, classes, shift, order, percent) & np.uint64(0x7FFF)).astype(np.int16))
+                orders = order.keys(tokens)
+                rows: list[list[np.ndarray]] = [[], [], []]
+                for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    for k, keys in enumerate(orders):
+                        own = tokens[s:e][prefix(keys[s:e], percent)] if e > s else tokens[:0]
+                        rows[k].append((own if k == 0 else own & np.uint64(0x7FFF)).astype(np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(texts)), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.list_(pa.int64())), *(pa.array(rows[k], pa.list_(pa.int16())) for k in (3, 4))],
-                    ["doc_id", "n", "print", "p1", "p2", "p3"],
+                    [batch.column(0).slice(first, len(texts)), pa.array(np.diff(bounds)), _lists(rows[0], pa.int64()), *(_lists([x.astype(np.int16) for x in rows[k]], pa.int16()) for k in (1, 2))],
+                    ["doc_id", "n", "p1", "p2", "p3"],
                 )
 
     return run
 
 
+def _prefix_filter(bits: int):
+    def run(batches):
+        seen = TwiceFilter(bits)
+        for batch in batches:
+            seen.add(batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+        yield seen.slices()
+
+    return run
+
+
+def _shared_tokens(twice_b):
+    """Columns (doc, n, p1) to (token, doc, n, pos): the prefix tokens that two nodes may hold, with their place in order one."""
+
+    def run(batches):
+        for batch in batches:
+            tokens, lengths = batch.column(2).flatten().to_numpy(zero_copy_only=False), np.diff(batch.column(2).offsets.to_numpy())
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            hit = in_bloom(twice_b.value, tokens.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[hit]), batch.column(0).take(pa.array(row[hit])), batch.column(1).take(pa.array(row[hit])), pa.array(place[hit])], ["token", "doc", "n", "pos"])
+
+    return run
+
+
+# ---- sets and links ----
+
+
 def _sets(wanted_b, size: int, short: bool):
     """(doc_id, tokens) of the wanted documents; the filter has no false negatives. Short: the tokens' last 16 bits, with repeats."""
 
@@ -192,16 +252,25 @@ def _counts(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
 
 
 def _links(percent: int):
-    """Sorted rows (group, block, doc, label, tokens), a group being one or two blocks: the links that join different labels."""
+    """Sorted rows (group, block, doc, label, p2, p3, tokens), a group being one or two blocks: the links that join different
+    labels. Only pairs that pass the filters of orders two and three as well are verified; order one has put them in a group."""
 
     def links(rows):
-        blocks, docs, labels = ([r[k] for r in rows] for k in (0, 1, 2))
-        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
-        n = np.array([len(x) for x in sets])
-        both = _counts(sets)
-        linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
-        two = len(set(blocks)) > 1
-        root = {x: x for x in labels}
+        blocks, docs, labels, p2, p3, tokens = zip(*rows, strict=True)
+        n = np.array([len(x) // 8 for x in tokens])
+        names, label = np.unique(labels, return_inverse=True)
+        possible = (label[:, None] != label[None, :]) & (100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :]))
+        if len(set(blocks)) > 1:
+            possible &= np.not_equal.outer(np.array(blocks), np.array(blocks))
+        for part in (p2, p3):
+            if possible.any():
+                possible &= _counts(part) > 0
+        own = np.flatnonzero(possible.any(1))
+        if not len(own):
+            return
+        both = _counts([np.frombuffer(tokens[k], np.uint64) for k in own])
+        linked = possible[np.ix_(own, own)] & (100 * both >= percent * (n[own][:, None] + n[own][None, :] - both))
+        root = list(range(len(names)))
 
         def find(x):
             while root[x] != x:
@@ -210,9 +279,8 @@ def _links(percent: int):
             return x
 
         for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
-            if two and blocks[i] == blocks[j]:
-                continue
-            a, b = find(labels[i]), find(labels[j])
+            i, j = own[i], own[j]
+            a, b = find(label[i]), find(label[j])
             if a != b:
                 root[max(a, b)] = min(a, b)
                 yield docs[i], docs[j]
@@ -220,11 +288,12 @@ def _links(percent: int):
     def run(batches):
         held, now, out = [], None, []
         for batch in batches:
-            for group, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group != now:
+            group, block, doc, label, p2, p3, tokens = batch.columns
+            for k, g in enumerate(group.to_pylist()):
+                if g != now:
                     out.extend(links(held) if len(held) > 1 else ())
-                    held, now = [], group
-                held.append(row)
+                    held, now = [], g
+                held.append((block[k].as_py(), doc[k].as_py(), label[k].as_py(), p2[k].values.to_numpy(), p3[k].values.to_numpy(), tokens[k].as_py()))
         out.extend(links(held) if len(held) > 1 else ())
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
 
@@ -232,104 +301,164 @@ def _links(percent: int):
 
 
 class Join:
-    """The state of one join: the documents, their signatures and what has been compared."""
+    """The state of one join: the rows, the nodes' signatures and what has been compared."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, sketch_bits: int, split_above: int, block: int):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, filter_bits: int, sketch_bits: int, split_above: int, block: int, block_tokens: int):
         self.spark = docs.sparkSession
-        self.size, self.percent, self.split_above, self.block = size, percent, split_above, block
-        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        classes = self.spark.sparkContext.broadcast(frequency_classes(self.docs, "text", size, sketch_bits))
-        self.signatures = stash(self.docs.mapInArrow(_signatures(classes, size, percent, 64 - sketch_bits), SIGNATURE), "signatures")
-        live = self.signatures.where("n > 0 and doc_id is not null")
-        self.equal = stash(live.groupBy("print").agg(F.min("doc_id").alias("rep")), "equal-sets")
-        self.filters = live.select("doc_id", "n", "p2", "p3")
-
-    def grouped(self) -> DataFrame:
-        """(token, doc, least): holders of each order-one prefix token that at least two nodes hold."""
-        live = self.signatures.where("n > 0 and doc_id is not null").alias("s")
-        e = self.equal.alias("e")
-        reps = live.select("doc_id", "print", "p1").alias("s").join(e, (F.col("s.print") == F.col("e.print")) & (F.col("s.doc_id") == F.col("e.rep")), "left_semi").select("s.doc_id", "s.p1")
-        tokens = reps.select(F.explode("p1").alias("token"), F.col("doc_id").alias("doc"))
-        shared = stash(tokens.groupBy("token").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("least < last").drop("last"), "shared-tokens")
-        release(self.spark)
-        wanted = self.spark.sparkContext.broadcast(id_filter(shared.select("token"), 1 << 26))
-
-        def known(batches):
+        small_batches(self.spark)
+        self.size, self.percent, self.split_above, self.block, self.block_tokens, self.filter_bits = size, percent, split_above, block, block_tokens, filter_bits
+        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+        facts = stash(few(self.docs).mapInArrow(_facts(size, filter_bits, sketch_bits), FACTS), "facts")
+        parts = facts.where("slice is not null").select("slice", "data")
+        twice = merged_twice(parts.where(F.col("slice") < SLICES), filter_bits)
+        counts = merged_slices(parts.where(F.col("slice") >= SLICES).select((F.col("slice") - SLICES).alias("slice"), "data"), _sum, first="u1", then="u2")
+        self.rows = stash(facts.where("slice is null").select("doc_id", "key", "n", "print"), "rows")
+        discard(facts)
+        self.order = self.spark.sparkContext.broadcast(Order(twice, counts, sketch_bits))
+
+    def nodes(self) -> None:
+        """equal: (print, rep, held), the smallest document of each set; placed: (doc_id, key, rep) of the rows with one; the
+        signatures of the smallest documents, whose texts alone are read again."""
+        live = self.rows.where("n > 0 and doc_id is not null")
+        self.equal = stash(live.groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("held")), "equal-sets")
+        self.placed = stash(split_join(live.select("doc_id", "key", "print"), self.equal, "print", "held").select("doc_id", "key", "rep"), "placed")
+        copies = id_filter(self.placed.where("doc_id <> rep").select("key"), 1 << 26)
+
+        def maybe(batches):
             for batch in batches:
-                yield batch.filter(pa.array(in_filter(batch.column(0).to_numpy(zero_copy_only=False), wanted.value), pa.bool_()))
-
-        return stash(tokens.mapInArrow(known, "token long, doc long").join(shared, "token"), "holders")
+                yield batch.filter(pa.array(in_filter(batch.column(0).to_numpy(zero_copy_only=False), copies), pa.bool_()))
+
+        wrong = id_filter(self.placed.where("doc_id = rep").select("key").mapInArrow(maybe, "key long"), 1 << 23)
+        skip = self.spark.sparkContext.broadcast(Skip(copies, wrong))
+        known = self.docs.where("doc_id is not null").mapInArrow(_signatures(self.order, skip, self.size, self.percent), SIGNATURE)
+        self.signatures = stash(known.where("n > 0"), "signatures")
+        self.order.unpersist()
+        skip.unpersist()
+        self.filters = self.signatures.select("doc_id", "p2", "p3")
+
+    def fits(self, n, pos, m, place):
+        """Whether sizes, and places of the shared token in order one, leave room for a link if the token is the first shared one."""
+        n, pos, m, place = (F.col(x) for x in (n, pos, m, place))
+        return (100 * F.least(n, m) >= self.percent * F.greatest(n, m)) & ((100 + self.percent) * F.least(n - pos, m - place) >= self.percent * (n + m))
+
+    def holders(self) -> DataFrame:
+        """(token, doc, n, pos, least, held): holders of each order-one prefix token that at least two nodes hold; least is the
+        smallest of them as struct(doc, n, pos)."""
+        lists = self.signatures.select("doc_id", "n", "p1")
+        twice = merged_twice(few(lists.select("p1")).mapInArrow(_prefix_filter(self.filter_bits), "slice int, data binary"), self.filter_bits)
+        wanted = self.spark.sparkContext.broadcast(twice)
+        tokens = stash(lists.mapInArrow(_shared_tokens(wanted), "token long, doc long, n long, pos long"), "prefix-tokens")
+        wanted.unpersist()
+        group = tokens.groupBy("token").agg(F.min(F.struct("doc", "n", "pos")).alias("least"), F.max("doc").alias("last"), F.count("*").alias("held"))
+        shared = stash(group.where("least.doc < last").drop("last"), "shared-tokens")
+        out = stash(split_join(tokens, shared, "token", "held"), "holders")
+        discard(tokens, shared)
+        release(self.spark)
+        return out
 
     def passing(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that pass the size filter and share prefix tokens under orders two and three as well."""
-        f = self.filters
-        x = f.select(*(F.col(c).alias(f"{c}_a") for c in f.columns))
-        y = f.select(*(F.col(c).alias(f"{c}_b") for c in f.columns))
+        """Pairs (a, b) that share prefix tokens under orders two and three as well."""
+        x, y = (self.filters.select(*(F.col(c).alias(f"{c}_{k}") for c in self.filters.columns)) for k in "ab")
         both = pairs.join(x, F.col("a") == F.col("doc_id_a")).join(y, F.col("b") == F.col("doc_id_b"))
-        sized = (100 * F.least("n_a", "n_b")) >= self.percent * F.greatest("n_a", "n_b")
-        return both.where(sized & F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b")
+        return both.where(F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b")
 
     def sets(self, ids: DataFrame, short: bool = False) -> DataFrame:
         """(doc, tokens) of the documents whose id is in the only column of ids, and of a few more that the joins drop."""
         wanted = self.spark.sparkContext.broadcast(id_filter(ids, 1 << 26))
-        return stash(self.docs.where("doc_id is not null").mapInArrow(_sets(wanted, self.size, short), "doc long, tokens binary"), "sets")
+        out = stash(self.docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_sets(wanted, self.size, short), "doc long, tokens binary"), "sets")
+        wanted.unpersist()
+        return out
 
-    def joined(self, pairs: DataFrame, short: bool) -> DataFrame:
+    def compared(self, pairs: DataFrame, short: bool) -> DataFrame:
+        """The pairs whose sets (or 16-bit tokens) allow a link."""
         sets = self.sets(pairs.select("a").unionAll(pairs.select("b")).distinct(), short)
         x, y = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb")
+        joined = pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb")
+        out = stash(joined.mapInArrow((_possible if short else _verify)(self.percent), "a long, b long").distinct(), "candidates")
+        discard(sets, pairs)
+        release(self.spark)
+        return out
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link: first by 16-bit tokens, which rule most others out at a quarter of the bytes, then by the sets."""
-        pairs = stash(self.passing(pairs), "candidates")
-        release(self.spark)
-        pairs = stash(self.joined(pairs, True).mapInArrow(_possible(self.percent), "a long, b long").distinct(), "candidates")
-        out = stash(self.joined(pairs, False).mapInArrow(_verify(self.percent), "a long, b long").distinct(), "links")
+        passing = stash(self.passing(pairs), "candidates")
         release(self.spark)
-        return out
+        return self.compared(self.compared(passing, True), False)
 
     def remaining(self, holders: DataFrame, labels: DataFrame) -> DataFrame:
         """Links between different components among the holders of order-one tokens.
 
         Small token groups give pairs. Large ones are taken together by their smallest holder, dealt into blocks, and every two
         blocks are compared in one task, which gives out only the links that join two components."""
-        h = holders.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", F.coalesce("label", "doc").alias("label"), "least")
-        mixed = h.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held")).where("lo < hi").select("token", "held")
-        h = stash(h.join(mixed, "token"), "mixed-holders")
-        small = h.where((F.col("held") <= self.split_above) & (F.col("doc") != F.col("least"))).select("token", "doc", "label")  # the least has met all others
+        h = holders.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc")).drop("held")
+        known = stash(h, "labelled-holders")
+        discard(holders)
+        mixed = stash(known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held")).where("lo < hi").select("token", "held"), "mixed-tokens")
+        h = stash(split_join(known, mixed, "token", "held"), "mixed-holders")
+        discard(known, mixed)
+        small = h.where((F.col("held") <= self.split_above) & (F.col("doc") != F.col("least.doc"))).select("token", "doc", "label", "n", "pos")  # the least has met all others
         x, y = small.alias("x"), small.alias("y")
-        pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") < F.col("y.label"))).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
-        few = self.verified(pairs)
-        large = stash(h.where(F.col("held") > self.split_above).select("least", "doc", "label").distinct(), "large-groups")
-        count = large.groupBy("least").agg(F.ceil(F.count("*") / self.block).alias("blocks"))
-        sets = self.sets(large.select("doc").distinct())
+        meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") < F.col("y.label"))).where(self.fits("x.n", "x.pos", "y.n", "y.pos"))
+        links = self.verified(meet.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct())
+        large = stash(h.where(F.col("held") > self.split_above).select(F.col("least.doc").alias("least"), "doc", "n", "label").distinct(), "large-groups")
+        discard(h)
+        if large.limit(1).count():
+            links = links.unionAll(self.in_blocks(large))
+        return links
+
+    def in_blocks(self, large: DataFrame) -> DataFrame:
+        blocks = F.ceil(F.greatest(F.count("*") / self.block, F.sum("n") / self.block_tokens)).alias("blocks")
+        count = stash(large.groupBy("least").agg(F.count("*").alias("held"), blocks), "group-sizes")
+        sets = self.sets(large.select("doc").distinct()).join(self.filters.withColumnRenamed("doc_id", "doc"), "doc")
         own = F.pmod(F.xxhash64("doc"), F.col("blocks"))
-        dealt = large.join(count, "least").withColumn("mine", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        dealt = split_join(large, count, "least", "held").withColumn("mine", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         dealt = dealt.select(F.xxhash64("least", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), "mine", "doc", "label")
-        rows = dealt.join(sets, "doc").select("task", "mine", "doc", "label", "tokens").repartition("task").sortWithinPartitions("task")
-        return few.unionAll(rows.mapInArrow(_links(self.percent), "a long, b long"))
+        rows = dealt.join(sets, "doc").select("task", "mine", "doc", "label", "p2", "p3", "tokens").repartition("task").sortWithinPartitions("task")
+        return rows.mapInArrow(_links(self.percent), "a long, b long")
 
     def run(self) -> DataFrame:
-        holders = self.grouped()
-        release(self.spark)
-        first = self.verified(holders.where("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct())
+        self.nodes()
+        holders = self.holders()
+        star = holders.where(F.col("doc") != F.col("least.doc")).where(self.fits("n", "pos", "least.n", "least.pos"))
+        first = self.verified(star.select(F.col("least.doc").alias("a"), F.col("doc").alias("b")).distinct())
         labels = stash(components(first), "labels")
         second = stash(self.remaining(holders, labels), "links")
-        same = self.signatures.where("n > 0 and doc_id is not null").select("print", "doc_id").join(self.equal, "print").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
-        edges = labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionAll(second).unionAll(same)
-        final = components(edges)
-        s = self.signatures.select("doc_id", "n").alias("s")
-        out = s.join(final.alias("c"), F.col("s.doc_id") == F.col("c.node"), "left")
-        return out.select("s.doc_id", F.col("s.n").alias("n_shingles"), F.coalesce("c.label", "s.doc_id").alias("component_id"))
+        repeated = self.placed.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("doc_id")
+        one_node = self.placed.join(repeated, "doc_id", "left_semi").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+        final = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionAll(second).unionAll(one_node))
+        e, c = self.equal.alias("e"), final.alias("c")
+        of_rep = stash(e.join(c, F.col("e.rep") == F.col("c.node"), "left").select("e.rep", "e.held", F.coalesce("c.label", "e.rep").alias("component")), "components")
+        held = of_rep.groupBy("rep").agg(F.sum("held").alias("held"), F.min("component").alias("component"))  # repeated ids may stand for several sets
+        known = split_join(self.placed.select("doc_id", "rep"), held, "rep", "held").groupBy("doc_id").agg(F.min("component").alias("component"))
+        s, k = self.rows.select("doc_id", "n").alias("s"), known.alias("k")
+        out = s.join(k, F.col("s.doc_id") == F.col("k.doc_id"), "left")
+        discard(self.signatures)
+        return out.select("s.doc_id", F.col("s.n").alias("n_shingles"), F.coalesce("k.component", "s.doc_id").alias("component_id"))
+
+
+def row_key(id_col: str, text_col: str):
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
+
+
+def joined(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, filter_bits: int = 1 << 27, sketch_bits: int = 24, split_above: int = 12, block: int = 128, block_tokens: int = 1 << 20) -> Join:
+    return Join(docs, id_col, text_col, size, percent, filter_bits, sketch_bits, split_above, block, block_tokens)
 
 
-def jaccard_components(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, sketch_bits: int = 24, split_above: int = 12, block: int = 128) -> DataFrame:
+def jaccard_components(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles, component_id for every row: components of the links with Jaccard >= percent / 100."""
-    return Join(docs, id_col, text_col, size, percent, sketch_bits, split_above, block).run()
+    return joined(docs, **options).run()
 
 
 def one_of_each(docs: DataFrame, *, id_col="doc_id", text_col="text", **options) -> DataFrame:
-    """The documents without those whose component holds a smaller id; columns as they came, null ids stay."""
-    lost = jaccard_components(docs, id_col=id_col, text_col=text_col, **options).where("component_id < doc_id").select(F.col("doc_id").alias("__lost")).distinct()
-    d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    return d.join(lost, F.col(f"row.{id_col}") == F.col("__lost"), "left_anti").select("row.*")
+    """The documents without those whose component holds a smaller id; columns as they came. Of rows with the same id (or none)
+    and the same text one stays; other rows that repeat an id, and null ids, stay."""
+    join = joined(docs, id_col=id_col, text_col=text_col, **options)
+    lost = join.run().where("component_id < doc_id").select(F.col("doc_id").alias("__lost")).distinct()
+    d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), row_key(id_col, text_col).alias("key"))
+    kept = d.join(lost, F.col(f"row.{id_col}") == F.col("__lost"), "left_anti")
+    again = stash(join.rows.groupBy("key").count().where("count > 1").select("key"), "repeated-rows")
+    if again.limit(1).count():
+        place = Window.partitionBy("key").orderBy(F.xxhash64("row"))
+        same = kept.join(again, "key", "left_semi").select("row", "key", F.row_number().over(place).alias("place"))
+        kept = kept.join(again, "key", "left_anti").select("row").unionAll(same.where("place = 1").select("row"))
+    return kept.select("row.*")
