@@ -3,11 +3,15 @@
 Nodes are the distinct vectors; of equal vectors the few smallest ids are kept with their node, which is all that a list of k
 neighbours can need. The graph starts from groups of vectors on the same side of random planes and is improved by comparing
 the neighbours of each node with each other, forward and reverse, where one of the two is new. A query starts from its own
-node (or from fixed entry nodes) and in each round expands its best unexpanded candidates; scores of the answer are exact.
+node (or from fixed entry nodes) and in each round expands its best unexpanded candidates, until its beam has none.
+
+Graph and search move vectors as one byte a component; the answer's best candidates are scored on the original vectors in double
+precision, so the bytes can cost a candidate, never a score.
 
 This is a randomised search: recall depends on degree, rounds, beam and expand, which are parameters, and is measured in
 tests/llm against brute force. Reverse lists and beams are bounded, so hubs and near copies cost no more than other nodes.
-Defined cases: vectors that are null, zero or hold null or non-finite components take no part; ties go to the smaller id;
+Defined cases: vectors that are null, zero or hold null or non-finite components take no part, nor do vectors of another length
+than most rows have (of lengths equally frequent the smallest counts); ties go to the smaller id;
 with fewer candidates than k all are returned; rows that repeat an id with the same vector are one; an empty table gives an
 empty result; other columns are never read.
 """
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import discard, release, small_batches, stash
 
 
 def valid(v: str):
@@ -31,17 +35,17 @@ def valid(v: str):
 
 
 def _rows(column: pa.Array) -> np.ndarray:
-    """Rows of packed float32 vectors."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(len(column), -1)
+    """Unit vectors of packed bytes, as far as bytes tell."""
+    x = np.frombuffer(b"".join(column.to_pylist()), dtype=np.int8).reshape(len(column), -1).astype(np.float32)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _unit(vectors: pa.Array) -> pa.Array:
+def _packed(vectors: pa.Array) -> pa.Array:
+    """Each vector as signed bytes, its largest component as 127."""
     out = []
     for x in vectors:
-        v = np.array(x.as_py(), dtype=np.float64)
-        scale = np.abs(v).max()
-        v = v / scale
-        out.append((v / np.linalg.norm(v)).astype(np.float32).tobytes())
+        v = x.values.to_numpy(zero_copy_only=False)
+        out.append(np.rint(v / np.abs(v).max() * 127).astype(np.int8).tobytes())
     return pa.array(out, pa.binary())
 
 
@@ -54,7 +58,7 @@ def _dot(a: pa.Array, b: pa.Array) -> pa.Array:
 def _cosine(a: pa.Array, b: pa.Array) -> pa.Array:
     out = []
     for x, y in zip(a, b, strict=True):
-        u, v = np.array(x.as_py(), np.float64), np.array(y.as_py(), np.float64)
+        u, v = x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)
         u, v = u / np.abs(u).max(), v / np.abs(v).max()
         out.append(float(u @ v / (np.linalg.norm(u) * np.linalg.norm(v))))
     return pa.array(out, pa.float64())
@@ -153,15 +157,18 @@ class Graph:
     """nodes (node, v), members (node, id) and edges (a, b, s): the index over every row."""
 
     def __init__(self, rows: DataFrame, *, id_col: str, vector_col: str, keep: int, degree: int = 24, group: int = 200, starts: int = 2, rounds: int = 8, pairs: int = 8):
+        spark = rows.sparkSession
+        small_batches(spark)
         good = rows.where(F.col(id_col).isNotNull() & valid(vector_col)).select(F.col(id_col).cast("long").alias("id"), F.transform(vector_col, lambda c: c.cast("double") + 0.0).alias("original"))
-        self.rows = stash(good.distinct(), "vectors")
+        usual = good.groupBy(F.size("original").alias("n")).count().orderBy(F.desc("count"), "n").first()
+        self.rows = stash(good.where(F.size("original") == (usual.n if usual else 0)).distinct(), "vectors")
         node = self.rows.groupBy("original").agg(F.min("id").alias("node"))
         r, n = self.rows.alias("r"), node.alias("n")
         placed = stash(r.join(n, F.col("r.original") == F.col("n.original")).select("n.node", "r.id"), "placed")
         few = Window.partitionBy("node").orderBy("id")
         self.members = stash(placed.withColumn("k", F.row_number().over(few)).where(F.col("k") <= keep).drop("k"), "members")
         self.placed = placed
-        self.nodes = stash(node.select("node", F.arrow_udf(_unit, "binary")("original").alias("v")), "nodes")
+        self.nodes = stash(node.select("node", F.arrow_udf(_packed, "binary")("original").alias("v")), "nodes")
         self.size = self.nodes.count()
         self.degree = degree
         self.edges = self._start(group, starts)
@@ -192,15 +199,19 @@ class Graph:
         e = self.edges
         back = e.select(F.col("b").alias("c"), F.col("a").alias("u"), "fresh").withColumn("k", F.row_number().over(Window.partitionBy("c").orderBy(F.desc("fresh"), F.xxhash64("u")))).where(F.col("k") <= self.degree).drop("k")
         around = e.select(F.col("a").alias("c"), F.col("b").alias("u"), "fresh").unionAll(back)
+        around = around.withColumn("any", F.max("fresh").over(Window.partitionBy("c"))).where(F.col("any") == 1).drop("any")  # else nothing is new there
         worst = e.groupBy("a").agg(F.when(F.count("*") >= self.degree, F.min("s")).otherwise(F.lit(-2.0).cast("float")).alias("worst"))
         known = self.nodes.join(worst, F.col("node") == F.col("a"), "left").select("node", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"), "v")
         rows = around.join(known, F.col("u") == F.col("node")).select("c", "u", "fresh", "worst", "v")
         new = rows.repartition("c").sortWithinPartitions("c").mapInArrow(_local_join(pairs), EDGE)
         merged = stash(self._best(e.withColumn("fresh", F.lit(0)).unionAll(new.withColumn("fresh", F.lit(1)))), "graph")
+        discard(e)
+        release(e.sparkSession)
         return merged, merged.where("fresh = 1").count()
 
-    def search(self, queries: DataFrame, *, beam: int = 320, expand: int = 32, rounds: int = 9, entries: int = 8, answer: int = 16) -> DataFrame:
-        """(query, node, s): the `answer` best nodes for each (query, v, start) row, start being its own node or null."""
+    def search(self, queries: DataFrame, *, beam: int = 320, expand: int = 32, rounds: int = 100, entries: int = 8, answer: int = 16) -> DataFrame:
+        """(query, node, s): the `answer` best nodes for each (query, v, start) row, start being its own node or null. A search ends
+        when all of its beam is expanded; `rounds` only bounds what cannot happen, as a round expands at least one node of a query."""
         both = stash(self.edges.select("a", "b").unionAll(self.edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "adjacent")
         queries = stash(queries, "queries")
         dot = F.arrow_udf(_dot, "float")
@@ -214,9 +225,12 @@ class Graph:
             turn = stash(turn.withColumn("now", (F.col("done") == 0) & (F.col("k") <= expand)), "turn")
             near = turn.where("now").join(both, F.col("node") == F.col("a")).select("query", F.col("b").alias("node")).distinct()
             fresh = near.join(turn.select("query", "node"), ["query", "node"], "left_anti")
-            old = turn.select("query", "node", "s", F.when(F.col("now"), 1).otherwise(F.col("done")).alias("done"))
-            best = old.unionAll(score(fresh).withColumn("done", F.lit(0))).withColumn("k", F.row_number().over(order)).where(F.col("k") <= beam).drop("k")
+            kept = turn.select("query", "node", "s", F.when(F.col("now"), 1).otherwise(F.col("done")).alias("done"))
+            best = kept.unionAll(score(fresh).withColumn("done", F.lit(0))).withColumn("k", F.row_number().over(order)).where(F.col("k") <= beam).drop("k")
+            old = state
             state = stash(best, "beam")
+            discard(old, turn)
+            release(self.nodes.sparkSession)
             if not state.where("done = 0").limit(1).count():
                 break
         return state.withColumn("k", F.row_number().over(order)).where(F.col("k") <= answer).select("query", "node", "s")
@@ -227,6 +241,7 @@ def nearest(rows: DataFrame, *, id_col="vec_id", vector_col="embedding", every:
     search = {x: options.pop(x) for x in ("beam", "expand", "rounds_search", "entries", "answer") if x in options}
     if "rounds_search" in search:
         search["rounds"] = search.pop("rounds_search")
+    search["answer"] = max(search.get("answer", 16), 2 * k + 1)
     g = Graph(rows, id_col=id_col, vector_col=vector_col, keep=k + 1, **options)
     asked = g.placed.where(F.col("id") % every == 0).select(F.col("id").alias("query"), "node").join(g.nodes, "node")
     found = g.search(asked.select("query", "v", F.col("node").alias("start")), **search)
