@@ -262,8 +262,9 @@ SLICES = 64
 _PACK = pa.Codec("zstd", 1)
 
 
-def gathered(parts: DataFrame, step) -> list:
-    """Rows (slice int, data binary) of many tasks merged by step, a mapInArrow function from such rows to one row a slice.
+def gathered(parts: DataFrame, step, finish=None) -> list:
+    """Rows (slice int, data binary) of many tasks merged by step, a mapInArrow function from such rows to one row a slice; finish
+    is a last one, over merged rows.
 
     Slices are dealt over tasks and streamed. Where there are many tasks, groups of them are merged first."""
     tasks = max(32, 4 * parts.sparkSession.sparkContext.defaultParallelism)  # few() allows no more
@@ -271,7 +272,8 @@ def gathered(parts: DataFrame, step) -> list:
         groups = math.ceil(math.sqrt(tasks))
         grouped = parts.withColumn("of", F.pmod(F.spark_partition_id(), F.lit(groups))).repartition(SLICES * groups, "slice", "of")
         parts = grouped.select("slice", "data").mapInArrow(step, "slice int, data binary")
-    return parts.repartition(SLICES, "slice").mapInArrow(step, "slice int, data binary").collect()
+    merged = parts.repartition(SLICES, "slice").mapInArrow(step, "slice int, data binary")
+    return (merged.mapInArrow(finish, "slice int, data binary") if finish else merged).collect()
 
 
 def sums_of(combine, first: str, then: str):
@@ -393,10 +395,24 @@ def _merge_twice(batches):
     yield _both(list(have), [a for a, _ in have.values()], [t for _, t in have.values()])
 
 
+def only_twice(batches):
+    """Merged slices without their once filters."""
+    for batch in batches:
+        rows = [(k, x.as_py()) for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
+        cut = [struct.pack("<I", struct.unpack_from("<I", x)[0]) + x[8 + struct.unpack_from("<I", x, 4)[0] :] if k < SLICES else x for k, x in rows]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cut, pa.binary())], ["slice", "data"])
+
+
+def twice_of(found: dict[int, bytes], bits: int) -> np.ndarray:
+    """The array of slices that went through only_twice."""
+    size = struct.Struct("<I")
+    parts = [np.frombuffer(_PACK.decompress(found[k][4:], size.unpack_from(found[k])[0], asbytes=True), np.uint64) for k in range(SLICES) if k in found]
+    return np.concatenate(parts) if parts else np.zeros(bits // 64, np.uint64)
+
+
 def merged_twice(parts: DataFrame, bits: int) -> np.ndarray:
     """The twice filter of all tasks from their TwiceFilter.slices: bits / 8 bytes for the driver before compression."""
-    found = {r.slice: _unpack(r.data)[1] for r in gathered(parts, _merge_twice)}
-    return np.concatenate([found[k] for k in range(SLICES)]) if found else np.zeros(bits // 64, np.uint64)
+    return twice_of({r.slice: r.data for r in gathered(parts, _merge_twice, only_twice)}, bits)
 
 
 def id_filter(ids: DataFrame, bits: int = 1 << 23) -> np.ndarray:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _PACK, SLICES, TwiceFilter, _merge_twice, _unpack, few, gathered, in_bloom, merged_twice, mix, small_batches, stash, texts_of
+from .common import _PACK, SLICES, TwiceFilter, _merge_twice, few, gathered, in_bloom, merged_twice, mix, only_twice, small_batches, stash, texts_of, twice_of
 
 GRAM = 24
 SEGMENT = 1 << 18
@@ -195,10 +195,10 @@ def _counted_strings(suspects_b, length: int, bits: int):
 
 def suspects_of(rows: DataFrame, length: int, bits: int, hot: int) -> Suspects:
     """The filters of all texts; grams that the summary finds in `hot` documents or more are frequent."""
-    found = {r.slice: r.data for r in gathered(few(rows.select("text")).mapInArrow(_counted(length, bits), "slice int, data binary"), _merge_counted)}  # bits / 8 bytes before compression, and the summary
+    found = {r.slice: r.data for r in gathered(few(rows.select("text")).mapInArrow(_counted(length, bits), "slice int, data binary"), _merge_counted, only_twice)}  # bits / 8 bytes before compression, and the summary
     often = np.frombuffer(found.pop(SLICES, b""), np.uint64)
     keys, counts = often[: len(often) // 2], often[len(often) // 2 :].astype(np.int64)
-    return Suspects(np.concatenate([_unpack(found[k])[1] for k in range(SLICES)]) if found else np.zeros(bits // 64, np.uint64), keys[counts >= hot])
+    return Suspects(twice_of(found, bits), keys[counts >= hot])
 
 
 # ---- sorted runs, front-coded ----
