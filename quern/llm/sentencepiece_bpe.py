@@ -3,18 +3,17 @@
 Pieces and ranks come from a SentencePiece model file (read on the driver, sent once; its size is that of the vocabulary).
 A text is a space followed by itself; every space is a symbol of its own. Neighbouring symbols whose union is a piece are
 candidates; the agenda takes the candidate of best rank, leftmost first. Every candidate of every occurrence of a word is drawn
-for itself and skipped with the dropout rate. The draws of a document are one sequence keyed by (seed, the document's keys, its
-text), so a run can be repeated exactly, whatever the partitions, and another seed gives other segmentations. With dropout 0 the
-result is the library's own. Characters that are no piece become byte pieces, also the character U+2581, so decoding gives back
-every text.
+for itself and skipped with the dropout rate. The draws of an occurrence are a sequence of its own, keyed by (seed, the document's
+keys, its text, the place of the occurrence in it), so a run can be repeated exactly, whatever the partitions, and another seed gives
+other segmentations. With dropout 0 the result is the library's own. Characters that are no piece become byte pieces, also the
+character U+2581, so decoding gives back every text.
 
 Merges never cross the unit borders used here: a border is set only before a space and around characters that no piece of the
 vocabulary holds behind a letter or digit (computed from the vocabulary). What a unit becomes depends only on which of its
-candidates are dropped, counted in the order in which the agenda meets them. A bounded cache holds that function, not the draws:
-(unit, dropped places) -> (number of draws, pieces). The draws are kept as gaps between dropped candidates (geometric).
-
-With `variants` given as a number, words have that many segmentations in all: the draws are keyed by the unit's text and a
-variant, chosen by the document's text, instead.
+candidates are dropped, counted in the order in which the agenda meets them. The draws are taken as gaps between dropped
+candidates (geometric). A bounded cache holds the pieces of frequent units without a drop, and their number of candidates: an
+occurrence whose first gap is as long takes them. All others are worked out for themselves, many at a time: units of like length are
+rows of an array, and each step takes every row's best candidate (`Encoder._merged`).
 
 Defined cases: null and empty texts have no pieces and decode to the empty text; very long words use a heap; rows of the same
 keys and text get the same pieces, `encoded_documents` numbers them with `copies` so that each is drawn for itself; an empty table
@@ -27,8 +26,8 @@ import hashlib
 import heapq
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +35,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import mix, small_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NEVER = 1 << 60
+NONE = (1 << 31) - 1  # the rank of no merge
+PAD = (1 << 20) - 1
 HEAP_ABOVE = 200
-CACHE = 400_000
-LONGEST_KEPT = 40
-PLACES = 128  # more than the candidates of a unit of LONGEST_KEPT: n - 1 at first and two a merge
+CACHE = 200_000  # units whose pieces without a drop are kept
+LONGEST_ROW = 40  # units up to this length are worked out in rows, longer ones one by one
+ROWS = 4096  # rows that are worked at a time
+OFTEN = 3  # a unit is cached if a batch holds it so often
+TOGETHER = 1 << 19  # characters that are encoded at a time
 _MASK = (1 << 64) - 1
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _encoders: dict = {}
 
 
@@ -84,92 +90,132 @@ class Vocabulary:
         held = {c for c in map(chr, range(0x250)) if c.isalnum()} - {a for c in marks for a in behind.get(c, ())}
         w, m = "".join(map(re.escape, sorted(held))), "".join(map(re.escape, sorted(marks)))
         # a border stands before a space, before a mark that follows a letter or digit, and around a line end
+        self._prepare()
         self.pattern = (f"{lone}|" if lone else "") + rf" *[^ {lone}{w}]*[{w}]*(?:[^ {w}{m}][^ {lone}{w}]*[{w}]*)*"
 
 
-def gaps(key: int, dropout: float, expected: int) -> Iterator[int]:
-    """How many candidates are kept before each dropped one: a geometric sequence that the key determines."""
-    if dropout <= 0:
-        yield from repeat(NEVER)
-    done, scale = 0, math.log1p(-dropout) if dropout < 1 else -math.inf
-    while True:
-        with np.errstate(over="ignore"):
-            x = (np.arange(done + 1, done + expected + 1, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key)
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        u = (((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
-        yield from (np.log(u) / scale).astype(np.int64).tolist()
-        done += expected
+    def _prepare(self) -> None:
+        """Numbers for symbols (pieces by their ids, further characters behind them) and a hash table of the merges of two."""
+        self.symbols, self.spelled = dict(self.ids), {}
+        self.symbol_of = np.full(0x110000, -1, np.int32)
+        for c in {c for p in self.ids for c in p}:
+            self._number(c)
+        keys, ranks, made = [], [], []
+        for p, r in self.ranks.items():
+            for k in range(1, len(p)):
+                a, b = self.symbols.get(p[:k]), self.symbols.get(p[k:])
+                if a is not None and b is not None:
+                    keys.append(a << 20 | b)
+                    ranks.append(r)
+                    made.append(self.ids[p])
+        self.slots = 1 << max(10, (2 * len(keys)).bit_length())
+        self.table = np.full(self.slots, -1, np.int64)
+        self.rank_of, self.made_of = np.full(self.slots + 1, NONE, np.int32), np.zeros(self.slots + 1, np.int32)
+        keys = np.array(keys, np.int64)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.table[at[left]] < 0
+            take, first = np.unique(at[left[free]], return_index=True)  # one key a free slot
+            won = left[free][first]
+            self.table[take], self.rank_of[take], self.made_of[take] = keys[won], np.array(ranks, np.int32)[won], np.array(made, np.int32)[won]
+            left = np.setdiff1d(left, won)
+            at[left] = np.where(self.table[at[left]] == keys[left], at[left], (at[left] + 1) % self.slots)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * _ODD) >> np.uint64(65 - self.slots.bit_length())).astype(np.int64)
+
+    def merges(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The slot of the merge of each two symbols; the last one, which has rank NONE, if there is none."""
+        keys = (a.astype(np.int64) << 20) | b
+        at = self._slot(keys)
+        held = self.table[at]
+        out = np.where(held == keys, at, self.slots)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) % self.slots
+            held = self.table[at[left]]
+            found = held == keys[left]
+            out[left[found]] = at[left[found]]
+            left = left[~found & (held >= 0)]
+        return out
+
+    def _number(self, c: str) -> None:
+        """Give a character its symbol: its piece, or a number behind the pieces, which stands for the pieces of its bytes."""
+        if c not in self.symbols:
+            self.symbols[c] = len(self.bytes) + len(self.spelled)
+            self.spelled[self.symbols[c]] = [self.byte_ids[b] for b in c.encode()]
+        self.symbol_of[ord(c)] = self.symbols[c]
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The symbols of a text's characters."""
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        out = self.symbol_of[codes]
+        if (out < 0).any():
+            for c in np.unique(codes[out < 0]).tolist():
+                self._number(chr(c))
+            out = self.symbol_of[codes]
+        return out
+
+    def spell(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of runs of these lengths to pieces, and the runs' new lengths: characters without a piece become their bytes."""
+        odd = np.flatnonzero(symbols >= len(self.bytes))
+        if not len(odd):
+            return symbols, lengths
+        spelled = [self.spelled[x] for x in symbols[odd].tolist()]
+        times = np.ones(len(symbols), np.int64)
+        times[odd] = [len(x) for x in spelled]
+        out, at = np.repeat(symbols, times), np.cumsum(times) - times
+        for k, x in zip(at[odd].tolist(), spelled, strict=True):
+            out[k : k + len(x)] = x
+        upto = np.append(0, np.cumsum(times))
+        ends = np.cumsum(lengths)
+        return out, upto[ends] - upto[ends - lengths]
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, variants: int | None = None):
+    """Encodes texts for one vocabulary, dropout and seed; one for each worker, for its cache."""
+
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int):
         self.v, self.seed, self.dropout = vocabulary, seed, dropout
-        self.variants = None if variants is None else max(1, variants)
-        self.limit = int(dropout * (1 << 32))
         self.units = re.compile(vocabulary.pattern)
-        self.cache: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants or 0)]
-        #: unit, or number of a node and place of a further drop -> (candidates, pieces, number of the node); two generations
-        self.recent: dict[str | int, tuple[int, tuple[int, ...], int]] = {}
-        self.older: dict[str | int, tuple[int, tuple[int, ...], int]] = {}
-        self.made = 0
-
-    def rank(self, unit: str, key: int, s: int, m: int, e: int) -> int:
-        """The rank of the candidate merge of [s, m) and [m, e); NEVER if it is no piece or is dropped."""
-        r = self.v.ranks.get(unit[s:e], NEVER)
-        if r == NEVER or (((key ^ (s << 42) ^ (m << 21) ^ e) * 0xBF58476D1CE4E5B9) & _MASK) >> 32 < self.limit:
-            return NEVER
-        return r
-
-    def bounds(self, unit: str, variant: int) -> list[int]:
-        """Where the pieces of a unit begin, and its end."""
-        key = xxhash.xxh3_64_intdigest(unit.encode(), seed=(self.seed * (self.variants or 1) + variant) & _MASK) if self.limit else 0
-        return self.merged(len(unit), lambda s, m, e: self.rank(unit, key, s, m, e))
-
-    def drawn_bounds(self, unit: str, place: int, left: Iterator[int]) -> tuple[list[int], int, int]:
-        """The bounds with the candidate at this place, and those at the gaps that follow, dropped; the number of candidates;
-        the first dropped place behind them."""
-        known, draws, n = self.v.ranks.get, 0, len(unit)
-        if n > HEAP_ABOVE:
-
-            def rank(s: int, m: int, e: int) -> int:
-                nonlocal draws, place
-                r = known(unit[s:e], NEVER)
-                if r != NEVER:
-                    if draws == place:
-                        place, r = place + 1 + next(left), NEVER
-                    draws += 1
-                return r
-
-            return self._by_heap(n, rank), draws, place
-        at, ranks = list(range(n + 1)), [known(unit[k : k + 2], NEVER) for k in range(n - 1)]
-        for k, r in enumerate(ranks):
+        self._clear()
+
+    def _clear(self) -> None:
+        """Start the cache anew; what it holds is found again as it is met."""
+        self.roots: dict[str, int] = {}
+        self.size, self.used = 0, 0
+        self.draws, self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.pool = np.zeros(1 << 14, np.int32)
+
+    def _keep(self, units: list[str], pieces: np.ndarray, starts: np.ndarray, lengths: np.ndarray, draws: np.ndarray) -> None:
+        """Add units with their pieces and numbers of candidates."""
+        n = self.size + len(units)
+        while n > len(self.draws):
+            self.draws, self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.draws, self.starts, self.lengths))
+        while self.used + len(pieces) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + len(pieces)] = pieces
+        self.draws[self.size : n], self.lengths[self.size : n] = draws, lengths
+        self.starts[self.size : n] = self.used + starts
+        self.roots.update(zip(units, range(self.size, n), strict=True))
+        self.used, self.size = self.used + len(pieces), n
+
+    def segment(self, unit: str, drops: Iterator[int]) -> tuple[list[int], int]:
+        """Where the pieces begin, and the end, if the candidates at these places (ascending) are dropped; the number of candidates."""
+        known, seen, n, drop = self.v.ranks.get, 0, len(unit), next(drops, NEVER)
+
+        def rank(s: int, e: int) -> int:
+            nonlocal seen, drop
+            r = known(unit[s:e], NEVER)
             if r != NEVER:
-                if draws == place:
-                    place, ranks[k] = place + 1 + next(left), NEVER
-                draws += 1
-        while ranks:
-            best = min(ranks)
-            if best == NEVER:
-                break
-            k = ranks.index(best)
-            del at[k + 1], ranks[k]
-            for j in (k - 1, k) if k else (k,):
-                if j < len(ranks):
-                    r = known(unit[at[j] : at[j + 2]], NEVER)
-                    if r != NEVER:
-                        if draws == place:
-                            place, r = place + 1 + next(left), NEVER
-                        draws += 1
-                    ranks[j] = r
-        return at, draws, place
-
-    def merged(self, n: int, rank) -> list[int]:
-        """The agenda over n characters. Candidates are ranked once, as they come up: from the left, and left of a merge first."""
+                if seen == drop:
+                    r, drop = NEVER, next(drops, NEVER)
+                seen += 1
+            return r
+
         if n > HEAP_ABOVE:
-            return self._by_heap(n, rank)
-        at = list(range(n + 1))
-        ranks = [rank(k, k + 1, k + 2) for k in range(n - 1)]
+            return self._by_heap(n, rank), seen
+        at, ranks = list(range(n + 1)), [rank(k, k + 2) for k in range(n - 1)]
         while ranks:
             best = min(ranks)
             if best == NEVER:
@@ -177,15 +223,15 @@ class Encoder:
             k = ranks.index(best)
             del at[k + 1], ranks[k]
             if k:
-                ranks[k - 1] = rank(at[k - 1], at[k], at[k + 1])
+                ranks[k - 1] = rank(at[k - 1], at[k + 1])
             if k < len(ranks):
-                ranks[k] = rank(at[k], at[k + 1], at[k + 2])
-        return at
+                ranks[k] = rank(at[k], at[k + 2])
+        return at, seen
 
     def _by_heap(self, n: int, rank) -> list[int]:
         after, before = list(range(1, n + 2)), list(range(-1, n))
         alive = [True] * n
-        agenda = [(r, k, k + 1, k + 2) for k in range(n - 1) if (r := rank(k, k + 1, k + 2)) != NEVER]
+        agenda = [(r, k, k + 1, k + 2) for k in range(n - 1) if (r := rank(k, k + 2)) != NEVER]
         heapq.heapify(agenda)
         while agenda:
             _, s, m, e = heapq.heappop(agenda)
@@ -193,15 +239,15 @@ class Encoder:
                 continue
             alive[m] = False
             after[s] = e
-            if s and (r := rank(before[s], s, e)) != NEVER:
+            if s and (r := rank(before[s], e)) != NEVER:
                 heapq.heappush(agenda, (r, before[s], s, e))
             if e < n:
                 before[e] = s
-                if (r := rank(s, e, after[e])) != NEVER:
+                if (r := rank(s, after[e])) != NEVER:
                     heapq.heappush(agenda, (r, s, e, after[e]))
         return [k for k in range(n) if alive[k]] + [n]
 
-    def pieces(self, unit: str, at: list[int]) -> tuple[int, ...]:
+    def pieces(self, unit: str, at: list[int]) -> list[int]:
         out: list[int] = []
         for s, e in zip(at, at[1:], strict=False):
             piece = unit[s:e]
@@ -210,68 +256,156 @@ class Encoder:
                 out.extend(self.v.byte_ids[b] for b in piece.encode())
             else:
                 out.append(k)
-        return tuple(out)
+        return out
 
-    def keep(self, name: str | int, got: tuple[int, tuple[int, ...], int]) -> None:
-        if len(self.recent) >= CACHE // 2:
-            self.recent, self.older = {}, self.recent
-        self.recent[name] = got
+    def gaps(self, keys: np.ndarray, turn: int) -> np.ndarray:
+        """How many candidates are kept before the next dropped one, for each occurrence's key; the turn-th such number."""
+        return np.full(len(keys), NEVER) if self.dropout <= 0 else self._turned(keys, np.full(len(keys), turn))
+
+    def drops_of(self, key: int) -> Iterator[int]:
+        """The dropped places of one occurrence, without end."""
+        turn, place, one = 0, -1, np.array([key], np.uint64)
+        while True:
+            place += 1 + int(self.gaps(one, turn)[0])
+            yield place
+            turn += 1
+
+    def _merged(self, sym: np.ndarray, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of symbols, filled up with PAD, to rows of merged symbols, and the numbers of candidates met. own: the rows' keys for
+        the draws; None: nothing is dropped. Each step takes the best candidate of every row that has one."""
+        v, n, width = self.v, len(sym), sym.shape[1]
+        done, counts = np.full_like(sym, PAD), np.zeros(n, np.int64)
+        row = np.arange(n)
+        slot = v.merges(sym[:, :-1].ravel(), sym[:, 1:].ravel()).reshape(n, width - 1)
+        rank = v.rank_of[slot]
+        there = rank != NONE
+        seen = there.sum(1)
+        drop, turn = np.full(n, NEVER), np.zeros(n, np.int64)
+
+        def draw(which: np.ndarray) -> None:
+            """The next dropped place of these rows."""
+            drop[which] += 1 + self._turned(own[which], turn[which])
+            turn[which] += 1
+
+        if own is not None and self.dropout > 0:
+            drop[:] = -1
+            draw(row)
+            nth = np.cumsum(there, 1) - 1
+            while len(hit := np.flatnonzero(drop < seen)):
+                at = ((nth[hit] == drop[hit, None]) & there[hit]).argmax(1)
+                rank[hit, at] = NONE
+                draw(hit)
+        column = np.arange(width)
+        while True:
+            k = rank.argmin(1)
+            here = np.arange(len(row))
+            live = rank[here, k] != NONE
+            if not live.all():
+                gone = ~live
+                done[row[gone]], counts[row[gone]] = sym[gone], seen[gone]
+                row, sym, slot, rank, seen, drop, turn, k = (x[live] for x in (row, sym, slot, rank, seen, drop, turn, k))
+                own = None if own is None else own[live]
+                if not len(row):
+                    return done, counts
+                here = np.arange(len(row))
+            new = v.made_of[slot[here, k]]
+            after = column > k[:, None]
+            sym = np.where(after, np.pad(sym[:, 1:], ((0, 0), (0, 1)), constant_values=PAD), sym)
+            sym[here, k] = new
+            after = column[:-1] >= k[:, None]
+            slot = np.where(after, np.pad(slot[:, 1:], ((0, 0), (0, 1)), constant_values=v.slots), slot)
+            rank = np.where(after, np.pad(rank[:, 1:], ((0, 0), (0, 1)), constant_values=NONE), rank)
+            for side in (-1, 0):  # the candidate left of the new symbol comes first
+                which = np.flatnonzero((k > 0) if side else (k < width - 1))
+                at = k[which] + side
+                found = v.merges(sym[which, at], sym[which, at + 1])
+                r = v.rank_of[found]
+                is_one = r != NONE
+                dropped = is_one & (seen[which] == drop[which])
+                seen[which] += is_one
+                slot[which, at], rank[which, at] = found, np.where(dropped, NONE, r)
+                if dropped.any():
+                    draw(which[dropped])
+
+    def _turned(self, keys: np.ndarray, turns: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            u = ((mix(keys + (turns + 1).astype(np.uint64) * _ODD) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        return (np.log(u) / (math.log1p(-self.dropout) if self.dropout < 1 else -math.inf)).astype(np.int64)
+
+    def _worked(self, units: list[str], own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(pieces, where each unit's start, how many they are, candidates): units worked out for themselves, in rows of like lengths."""
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        order = np.argsort(sizes, kind="stable")
+        short = int(np.searchsorted(sizes[order], LONGEST_ROW, "right"))
+        parts, lengths, draws = [], np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        for s in range(0, short, ROWS):
+            part = order[s : min(s + ROWS, short)]
+            width = max(2, int(sizes[part[-1]]))
+            sym = np.full((len(part), width), PAD, np.int32)
+            sym[np.arange(width) < sizes[part][:, None]] = self.v.numbers("".join([units[k] for k in part.tolist()]))
+            done, draws[part] = self._merged(sym, None if own is None else own[part])
+            there = done != PAD
+            pieces, lengths[part] = self.v.spell(done[there], there.sum(1))
+            parts.append(pieces)
+        for k in order[short:].tolist():
+            at, draws[k] = self.segment(units[k], iter(()) if own is None or self.dropout <= 0 else self.drops_of(int(own[k])))
+            parts.append(np.array(self.pieces(units[k], at), np.int32))
+            lengths[k] = len(parts[-1])
+        starts = np.empty(len(units), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return np.concatenate([np.zeros(0, np.int32), *parts]), starts, lengths, draws
+
+    def encode_all(self, texts: list[str | None], keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of the texts, one behind the other, and where each text's end. Keys tell documents, or copies of one, apart that
+        have the same text."""
+        if self.size > CACHE:
+            self._clear()
+        units, counts, base = [], [], []
+        for text, key in zip(texts, keys, strict=True):
+            own = self.units.findall(" " + text) if text else []
+            if own and not own[-1]:  # the match at the end
+                own.pop()
+            units.extend(own)
+            counts.append(len(own))
+            of_key = xxhash.xxh3_64_intdigest(key.encode(), seed=self.seed & _MASK)
+            base.append(xxhash.xxh3_64_intdigest((text or "").encode(), seed=of_key))
+        counts = np.array(counts, np.int64)
+        ends = np.cumsum(counts)
+        if not units:
+            return np.zeros(0, np.int32), ends * 0
+        with np.errstate(over="ignore"):
+            place = np.arange(len(units)) - np.repeat(ends - counts, counts)
+            own = mix(np.repeat(np.array(base, np.uint64), counts) + (place + 1).astype(np.uint64) * _ODD)
+        find = self.roots.get
+        node = np.array([find(u, -1) for u in units], np.int64)
+        new = Counter(units[k] for k in np.flatnonzero(node < 0).tolist())
+        often = [u for u, n in new.items() if n >= OFTEN or self.dropout <= 0]
+        if often:
+            self._keep(often, *self._worked(often, None))
+            node = np.array([find(u, -1) for u in units], np.int64)
+        alone = node < 0
+        alone[~alone] = self.gaps(own[~alone], 0) < self.draws[node[~alone]]
+        rest = np.flatnonzero(alone)
+        pieces, begins, lengths, _ = self._worked([units[k] for k in rest.tolist()], own[rest])
+        pool = np.concatenate([self.pool[: self.used], pieces])
+        starts, size = self.starts[node], self.lengths[node]
+        starts[rest], size[rest] = self.used + begins, lengths
+        upto = np.cumsum(size)
+        out = pool[np.arange(upto[-1]) + np.repeat(starts - (upto - size), size)]
+        return out, np.append(0, upto)[ends]
+
+    def in_batches(self, texts: list[str | None], keys: list[str]) -> Iterator[np.ndarray]:
+        """The pieces of each text; texts are worked a bounded number of characters at a time."""
+        first, held = 0, 0
+        for k, text in enumerate(texts):
+            held += len(text or "")
+            if held > TOGETHER or k + 1 == len(texts):
+                out, ends = self.encode_all(texts[first : k + 1], keys[first : k + 1])
+                yield from np.split(out, ends[:-1])
+                first, held = k + 1, 0
 
     def encode(self, text: str | None, key: str = "") -> list[int]:
-        """The pieces of a text. The key tells documents, or copies of one, apart that have the same text."""
-        if not text:
-            return []
-        if self.variants is not None:
-            return self._by_variant(text)
-        of_key = xxhash.xxh3_64_intdigest(key.encode(), seed=self.seed & _MASK)
-        left = gaps(xxhash.xxh3_64_intdigest(text.encode(), seed=of_key), self.dropout, int(self.dropout * 2 * len(text)) + 8)
-        recent, out, gap = self.recent, [], next(left)
-        for unit in self.units.findall(" " + text):
-            if not unit:  # the match at the end
-                break
-            name, seen, first = unit, 0, gap
-            dropped: list[int] = []  # gaps that this unit has used up
-            while True:
-                got = recent.get(name)
-                if got is None:
-                    got = self.older.pop(name, None)
-                    if got is not None:
-                        self.keep(name, got)
-                        recent = self.recent
-                if got is None:
-                    at, draws, place = self.drawn_bounds(unit, first, chain(dropped[1:], (gap,), left) if dropped else left)
-                    pieces = self.pieces(unit, at)
-                    if place == seen + gap and len(unit) <= LONGEST_KEPT:  # no drop but those of the name
-                        self.made += 1
-                        self.keep(name, (draws, pieces, self.made))
-                        recent = self.recent
-                    out.extend(pieces)
-                    gap = place - draws
-                    break
-                if gap >= got[0] - seen:
-                    gap -= got[0] - seen
-                    out.extend(got[1])
-                    break
-                name = got[2] * PLACES + seen + gap
-                dropped.append(gap)
-                seen, gap = seen + gap + 1, next(left)
-        return out
-
-    def _by_variant(self, text: str) -> list[int]:
-        variant = xxhash.xxh3_64_intdigest(text.encode(), seed=self.seed & _MASK) % self.variants if self.variants > 1 else 0
-        cache, out = self.cache[variant], []
-        for unit in self.units.findall(" " + text):
-            if not unit:  # the match at the end
-                break
-            got = cache.get(unit)
-            if got is None:
-                got = self.pieces(unit, self.bounds(unit, variant))
-                if len(unit) <= LONGEST_KEPT:
-                    if len(cache) >= CACHE // self.variants:
-                        cache.clear()
-                    cache[unit] = got
-            out.extend(got)
-        return out
+        return self.encode_all([text], [key])[0].tolist()
 
 
 def decode(vocabulary: Vocabulary, ids) -> str:
@@ -280,11 +414,12 @@ def decode(vocabulary: Vocabulary, ids) -> str:
 
 
 class Codec:
-    """Column functions for one vocabulary and one choice of dropout, seed and variants."""
+    """Column functions for one vocabulary and one choice of dropout and seed."""
 
-    def __init__(self, spark, model: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int | None = None):
+    def __init__(self, spark, model: str = MODEL, dropout: float = 0.1, seed: int = 1):
+        small_batches(spark)
         self.shared = spark.sparkContext.broadcast(Vocabulary(model))
-        self.name, self.options = model, (dropout, seed, variants)
+        self.name, self.options = model, (dropout, seed)
 
     def _encoder(self):
         shared, options, name = self.shared, self.options, self.name
@@ -307,8 +442,9 @@ class Codec:
         get = self._encoder()
 
         def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
-            e = get()
-            return pa.array([np.array(e.encode(x.as_py(), k.as_py()), np.int32) for x, k in zip(texts, keys, strict=True)], pa.list_(pa.int32()))
+            rows = list(get().in_batches(texts.to_pylist(), keys.to_pylist()))
+            ends = np.cumsum([0] + [len(x) for x in rows])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32), pa.int32()))
 
         return F.arrow_udf(run, "array<int>")(text, self._key(keys))
 
@@ -325,10 +461,9 @@ class Codec:
         get, shared = self._encoder(), self.shared
 
         def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
-            e, out = get(), []
-            for x, k in zip(texts, keys, strict=True):
-                ids = e.encode(x.as_py(), k.as_py())
-                out.append({"n_pieces": len(ids), "pieces_sha256": hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), "decoded_sha256": hashlib.sha256(decode(shared.value, ids).encode()).hexdigest()})
+            out = []
+            for ids in get().in_batches(texts.to_pylist(), keys.to_pylist()):
+                out.append({"n_pieces": len(ids), "pieces_sha256": hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), "decoded_sha256": hashlib.sha256(decode(shared.value, ids.tolist()).encode()).hexdigest()})
             return pa.array(out, pa.struct([("n_pieces", pa.int64()), ("pieces_sha256", pa.string()), ("decoded_sha256", pa.string())]))
 
         return F.arrow_udf(run, "n_pieces long, pieces_sha256 string, decoded_sha256 string")(text, self._key(keys))
