@@ -42,6 +42,7 @@ def texts():
 def docs(spark, texts):
     rows = [(k * 3 % 1009, t, "en", ["b", "a", None, "c"][k % 4], None, 1, "r", 7) for k, t in enumerate(texts)]
     rows.append((None, texts[20], "en", "a", 5, None, None, None))
+    rows += [rows[21], (66, texts[40], "de", None, 2, None, "x", 1), (9, "", "en", "c", 0, 2, "r", None)]  # ids that repeat: a whole row, another text, an empty one
     return spark.createDataFrame(rows, KIND).repartition(5).cache()
 
 
@@ -251,6 +252,62 @@ def test_quality_rules_tell_good_from_bad(spark):
     assert sum(not x.kept for x in r if x.label == 0) >= 0.8 * sum(x.label == 0 for x in r)
 
 
+def plain_posteriors(votes, rounds=30, belief=0.97, weight=4.0):
+    """The label model over single documents: expectation, then maximisation with a few documents of prior, in plain loops."""
+    rules, n = len(votes[0]), len(votes)
+    share, first = 0.8, {1: belief, -1: 1 - belief}
+    p = []
+    for v in votes:
+        g, b = share, 1 - share
+        for x in v:
+            g, b = (g * first[x], b * first[-x]) if x else (g, b)
+        p.append(g / (g + b))
+    for r in range(rounds):
+        tables = []
+        for k in range(rules):
+            cast = sum(v[k] != 0 for v in votes)
+            rate = cast / n
+            t = {}
+            for kind, own in ((1, p), (-1, [1 - x for x in p])):
+                total = sum(own) + weight
+                mean = {1: rate * belief, -1: rate * (1 - belief), 0: 1 - rate}
+                t.update({(kind, x): (sum(o for o, v in zip(own, votes) if v[k] == x) + weight * mean[kind * x]) / total for x in (1, 0, -1)})
+            tables.append(t if cast else None)
+        share = (sum(p) + 1) / (n + 2)
+        last = r == rounds - 1
+        p = []
+        for v in votes:
+            g, b = share, 1 - share
+            for x, t in zip(v, tables):
+                if t and (x or not last):
+                    g, b = g * t[1, x], b * t[-1, x]
+            p.append(g / (g + b))
+    return p
+
+
+def test_quality_verdict_equals_the_plain_model(spark):
+    rng = random.Random(12)
+    texts_ = [" ".join(rng.choice(["word", "thing", "THIS", "$$", "12", "a", "!!", "other,"][: rng.choice((3, 8))]) + rng.choice("abcdefgh") for _ in range(rng.randrange(5, 60))) for _ in range(250)] + [None, ""]
+    d = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    known = quality_rules.counts(d, "doc_id", "text")
+    rules = quality_rules.default_rules()
+    votes = {r.doc_id: tuple(r[1:]) for r in known.select("doc_id", *(F.when(when, vote).otherwise(0).alias(n) for n, (when, vote) in rules.items())).collect()}
+    want = dict(zip(votes, plain_posteriors(list(votes.values())), strict=True))
+    for r in quality_rules.judge(d).collect():
+        assert abs(r.quality - want[r.doc_id]) < 1e-9 and r.kept == (not r.base_failed and want[r.doc_id] >= 0.5)
+
+
+@pytest.mark.parametrize("right", [(0.95, 0.60, 0.55, 0.90), (0.9, 0.7, 0.55, 0.8)])
+def test_label_model_moves_away_from_its_belief(right):
+    rng = random.Random(3)
+    votes = Counter()
+    for _ in range(40_000):
+        good = rng.random() < 0.6
+        votes[tuple((1 if good == (rng.random() < a) else -1) if rng.random() < 0.9 else 0 for a in right)] += 1
+    e = quality_rules.Estimate(sorted(votes.items()), 4, rounds=200)
+    assert all(abs(a - b) < 0.05 for a, b in zip(e.accuracy, right, strict=True)), e.accuracy
+
+
 def test_label_model_recovers_accuracies():
     rng = random.Random(1)
     votes = Counter()
@@ -287,6 +344,79 @@ def test_classifier_on_held_out_rows(spark):
     assert len(r) > 40 and sum(x.predicted == x.quality for x in r) >= 0.95 * len(r)
 
 
+def plain_stats(text):
+    """The statistics of one text, character class by character class."""
+    b = (text or "").encode()
+    if not b:
+        return [0.0] * len(quality_model.STATS)
+    space, count = set(b" \t\n\x0b\x0c\r"), lambda chars: sum(x in chars for x in b)
+    ink = max(1, len(b) - count(space))
+    w = [re.sub(rb"[A-Z]", lambda m: m[0].lower(), x) for x in re.findall(rb"[^\x20\x09-\x0D]+", b)]
+    m, lines = len(w), [x for x in b.split(b"\n") if x.strip()]
+    windows = Counter(tuple(w[k : k + 5]) for k in range(max(1, m - 4))) if m else Counter()
+    words = Counter(w)
+    marked = sum(x in b"#*$%&|<>@^~{}[]\\=+_/!?" and y in space for x, y in zip(b, b[1:]))
+    return [
+        np.log1p(m), ink / max(m, 1), count(b"#*$%&|<>@^~{}[]\\=+_/") / ink, count(range(65, 91)) / ink, count(b"0123456789") / ink, count(b",;:'\"()-`") / ink, count(range(128, 256)) / ink, np.log1p(len(b) / max(1, len(lines))),
+        1 - len(set(lines)) / max(1, len(lines)), sum(n for n in windows.values() if n > 1) / max(1, sum(windows.values())), np.log1p(max(1, len(words))) / np.log1p(max(m, 1)), max(words.values(), default=0) / max(m, 1), marked / max(m, 1), ink / max(m, 1) > 12, count(space) / len(b), count(b"!?.") / max(m, 1),
+    ]
+
+
+def test_text_statistics(texts):
+    for t in [*texts, "Ab! Ab? x_ y. \n\n#tag # 12 !\nAb! Ab?", "a\na\nb a a a a a a"]:
+        assert np.allclose(quality_model.text_stats(np.frombuffer((t or "").encode(), np.uint8)), plain_stats(t)), t
+
+
+def test_features_approximate_a_gaussian_kernel():
+    rng = np.random.RandomState(1)
+    x = rng.normal(size=(40, len(quality_model.STATS)))
+    m = quality_model.Model(np.zeros(x.shape[1]), np.ones(x.shape[1]), width=40_000)
+    f = m.features(x)[:, :-1]
+    exact = np.exp(-0.06 * ((x[:, None] - x[None]) ** 2).sum(-1))
+    assert np.abs(f @ f.T - exact).max() < 0.03
+
+
+def test_fit_equals_normal_equations_in_one_piece(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    truth = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    stats = quality_model.measured(d.repartition(7), "doc_id", "text")
+    model = quality_model.fit(stats, truth.repartition(3))
+    y = {r.doc_id: float(r.quality) for r in truth.collect()}
+    rows = [(r.doc_id, np.array(r.stats)) for r in stats.collect() if r.doc_id in y]
+    fold = lambda k: __import__("zlib").crc32(str(k).encode()) % 5
+    x, goal = np.array([v for k, v in rows if 1 <= fold(k) <= 3]), np.array([y[k] for k, _ in rows if 1 <= fold(k) <= 3])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.sqrt(np.maximum(x.var(0), 1e-4)))
+    f = model.features(x)
+    ridge = 1e-3 * len(x) * np.diag([1.0] * (f.shape[1] - 1) + [1e-9])
+    assert np.allclose(f @ np.linalg.solve(f.T @ f + ridge, f.T @ goal), f @ model.coef, atol=1e-6)
+    held, truth_of_held = np.array([v for k, v in rows if fold(k) == 4]), np.array([y[k] for k, _ in rows if fold(k) == 4])
+    place = np.clip((model.raw(held) + 0.5) / 2 * 2000, 0, 1999).astype(int)
+    bins = sorted(set(place))
+    n, good = np.array([(place == b).sum() for b in bins]), np.array([truth_of_held[place == b].sum() for b in bins])
+    assert np.allclose(model.y, np.clip(minimax(n, good / n), 0.001, 0.999))
+
+
+def minimax(w, v):
+    """The monotone fit by its definition: the greatest of the least means."""
+    mean = lambda j, k: float(np.dot(w[j : k + 1], v[j : k + 1]) / np.sum(w[j : k + 1]))
+    n = len(v)
+    return [max(min(mean(j, k) for k in range(i, n)) for j in range(i + 1)) for i in range(n)]
+
+
+def test_isotonic_equals_its_definition():
+    rng = np.random.RandomState(0)
+    for n in (1, 2, 7, 25):
+        w, v = rng.randint(1, 5, n), np.round(rng.rand(n), 1)
+        assert np.allclose(quality_model.isotonic(w, v), minimax(w, v))
+
+
+def test_classifier_takes_labels_with_clashing_names(spark, docs):
+    labels = spark.createDataFrame([(k * 3, k % 2, "t", 5) for k in range(40)], "doc_id long, quality int, text string, row int")
+    got = quality_model.classify(docs.withColumn("stats", F.lit(1)).withColumn("quality", F.lit("x")).withColumn("fold", F.lit(2)), labels)
+    want = quality_model.classify(docs, labels)
+    assert sorted((str(r.doc_id), round(r.score, 9)) for r in got.collect()) == sorted((str(r.doc_id), round(r.score, 9)) for r in want.collect())
+
+
 def test_classifier_cases(spark, docs, nothing):
     labels = spark.createDataFrame([(0, 1), (3, 0), (3, None), (6, 1), (None, 1)], "doc_id long, quality int")
     r = quality_model.classify(docs, labels).collect()
@@ -296,12 +426,6 @@ def test_classifier_cases(spark, docs, nothing):
     assert quality_model.accepted(docs, labels.limit(0)).columns == docs.columns
 
 
-def test_isotonic_is_the_best_monotone_fit():
-    assert quality_model.isotonic([1, 1, 2], [0.5, 0.1, 0.9]) == [0.3, 0.3, 0.9]
-    fit = quality_model.isotonic([1] * 50, list(np.random.RandomState(0).rand(50)))
-    assert all(a <= b + 1e-12 for a, b in zip(fit, fit[1:], strict=False))
-
-
 # ---- 6 ----
 
 
@@ -383,6 +507,27 @@ def test_nearest_neighbours(spark):
     assert [v for v, _ in (got[700][k] for k in range(1, 6))] == [3, 701, 702, 703, 704]
 
 
+def test_recall_with_the_defaults_of_the_query(spark):
+    rng = np.random.RandomState(5)
+    centres = rng.normal(size=(300, 64))
+    x = np.concatenate([centres[rng.randint(0, 300, 5000)] + 0.7 * rng.normal(size=(5000, 64)), rng.normal(size=(5000, 64))]).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    got = defaultdict(set)
+    for r in neighbour_graph.nearest(df).collect():
+        got[r.query_id].add(r.vec_id)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    sims = unit[::50] @ unit.T
+    sims[np.arange(200), np.arange(0, 10_000, 50)] = -9
+    hits = sum(len(got[q * 50] & set(np.argsort(-row)[:5].tolist())) for q, row in enumerate(sims))
+    assert hits >= 0.9 * 5 * 200
+
+
+def test_nearest_with_unequal_lengths_and_clashing_names(spark):
+    rows = [(0, [1.0, 0.0], 1, 2), (50, [0.9, 0.1], 1, 2), (3, [0.0, 1.0], 1, 2), (100, [1.0], 1, 2), (4, [1.0, 0.0, 0.0], 1, 2), (5, [], 1, 2)]
+    out = neighbour_graph.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, node int, v int")).collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in sorted(out)] == [(0, 1, 50), (0, 2, 3), (50, 1, 0), (50, 2, 3)]
+
+
 def test_nearest_of_few(spark):
     kind = "vec_id long, embedding array<float>"
     r = neighbour_graph.nearest(spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0])], kind)).collect()
@@ -429,22 +574,40 @@ def test_mixing_of_nothing(nothing):
 # ---- 9 ----
 
 
-def agenda(v, e, text):
-    """Merges one by one over the whole text: the best rank first, then the leftmost; dropped candidates are passed over."""
-    variant = __import__("xxhash").xxh3_64_intdigest(text.encode(), seed=e.seed) % e.variants if e.variants > 1 else 0
-    out = []
-    for unit in filter(None, e.units.findall(" " + text)):
-        key = __import__("xxhash").xxh3_64_intdigest(unit.encode(), seed=e.seed * e.variants + variant) if e.limit else 0
-        at = list(range(len(unit) + 1))
+def drops_of(e, key):
+    """The dropped places that the key of an occurrence draws, by the definition."""
+    place, turn, mask = -1, 0, (1 << 64) - 1
+    while e.dropout:
+        x = (key + (turn + 1) * 0x9E3779B97F4A7C15) & mask
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        u = (((x ^ (x >> 31)) >> 11) + 0.5) / 2**53
+        place += 1 + int(np.log(u) / np.log1p(-e.dropout))
+        turn += 1
+        yield place
+
+
+def agenda(v, e, text, name=""):
+    """Merges one by one: the best rank first, then the leftmost; candidates are counted as they come up and dropped ones passed over."""
+    hash_, mask, out = __import__("xxhash").xxh3_64_intdigest, (1 << 64) - 1, []
+    base = hash_(text.encode(), seed=hash_(name.encode(), seed=e.seed))
+    for nth, unit in enumerate(filter(None, e.units.findall(" " + text))):
+        own = int(common.mix(np.array([(base + (nth + 1) * 0x9E3779B97F4A7C15) & mask], np.uint64))[0])
+        drops, seen, at, ranks = drops_of(e, own), 0, list(range(len(unit) + 1)), {}
+        drop = next(drops, None)
         while True:
-            ranked = [(e.rank(unit, key, *at[k : k + 3]), k) for k in range(len(at) - 2)]
-            ranked = [x for x in ranked if x[0] != sentencepiece_bpe.NEVER]
-            if not ranked:
+            for a, b in zip(at, at[2:], strict=False):
+                if (a, b) not in ranks and unit[a:b] in v.ranks:
+                    ranks[a, b] = None if seen == drop else v.ranks[unit[a:b]]
+                    drop = next(drops) if seen == drop else drop
+                    seen += 1
+            best = min(((r, k) for k, x in enumerate(zip(at, at[2:], strict=False)) if (r := ranks.get(x)) is not None), default=None)
+            if best is None:
                 break
-            del at[min(ranked)[1] + 1]
+            del at[best[1] + 1]
         for s, t in zip(at, at[1:], strict=False):
             k = v.ids.get(unit[s:t])
-            out += [k] if k is not None else [v.byte_ids[b] for b in unit[s:t].encode()]
+            out += [k] if k is not None else [v.byte_ids[x] for x in unit[s:t].encode()]
     return out
 
 
@@ -456,9 +619,9 @@ def test_pieces(spark, docs, texts):
     rng = random.Random(9)
     odd = ["".join(rng.choice(" \n\tab.,é漢\U0001f600\"'1▁x(e)") for _ in range(rng.randrange(60))) for _ in range(300)]
     cases = [t for t in texts if t] + odd
-    whole = sentencepiece_bpe.Encoder(v, 0.0, 1, 1)
-    dropped = sentencepiece_bpe.Encoder(v, 0.2, 3, 2)
-    other = sentencepiece_bpe.Encoder(v, 0.2, 4, 2)
+    whole = sentencepiece_bpe.Encoder(v, 0.0, 1)
+    dropped = sentencepiece_bpe.Encoder(v, 0.2, 3)
+    other = sentencepiece_bpe.Encoder(v, 0.2, 4)
     for t in cases:
         if "▁" not in t:
             assert whole.encode(t) == library.encode(t)
@@ -470,18 +633,16 @@ def test_pieces(spark, docs, texts):
     for r in docs.select("text", codec.decode(codec.encode(F.col("text"))).alias("back"), codec.digests(F.col("text")).alias("d")).collect():
         assert r.back == (r.text or "") and r.d.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
     assert sentencepiece_bpe.encoded_documents(docs).columns == [*docs.columns, "pieces"]
+    assert sentencepiece_bpe.encoded_documents(docs.withColumn("pieces", F.lit("old"))).select("pieces").dtypes == [("pieces", "array<int>")]
 
 
-def test_a_long_word_takes_the_heap():
+def test_a_long_word_takes_the_heap(monkeypatch):
     v = sentencepiece_bpe.Vocabulary(sentencepiece_bpe.MODEL)
-    e = sentencepiece_bpe.Encoder(v, 0.15, 2, 1)
+    e = sentencepiece_bpe.Encoder(v, 0.0, 2)
     unit = " " + "".join(random.Random(1).choice("theandxyz") for _ in range(600))
-    long = e.bounds(unit, 0)
-    sentencepiece_bpe.HEAP_ABOVE, old = 10_000, sentencepiece_bpe.HEAP_ABOVE
-    try:
-        assert e.bounds(unit, 0) == long
-    finally:
-        sentencepiece_bpe.HEAP_ABOVE = old
+    long = e.segment(unit, iter(()))
+    monkeypatch.setattr(sentencepiece_bpe, "HEAP_ABOVE", 10_000)
+    assert e.segment(unit, iter(())) == long
 
 
 def test_each_occurrence_is_drawn_for_itself(spark):
@@ -496,12 +657,12 @@ def test_each_occurrence_is_drawn_for_itself(spark):
             piece, end = piece + v.bytes[ids[end]], end + 1
         forms[tuple(ids[at:end])] += 1
         at = end
-    draws, whole, _ = e.recent[word]
-    whole = forms[whole]
-    assert len(forms) > 10 and whole >= 0.9 * n * 0.9**draws
+    root = e.roots[word]
+    whole = forms[tuple(e.pool[e.starts[root] : e.starts[root] + e.lengths[root]].tolist())]
+    assert len(forms) > 10 and whole >= 0.9 * n * 0.9 ** e.draws[root]
     assert ids == e.encode(text[1:], "7") != e.encode(text[1:], "8")
-    some = [g for g, _ in zip(sentencepiece_bpe.gaps(5, 0.1, 1000), range(50_000), strict=False)]
-    assert abs(len(some) / (sum(some) + len(some)) - 0.1) < 0.003
+    some = e.gaps(np.arange(50_000, dtype=np.uint64), 0)
+    assert abs(len(some) / (some.sum() + len(some)) - 0.1) < 0.003
     rows = spark.createDataFrame([(1, text[1:400], "a")] * 3 + [(2, text[1:400], "a"), (None, text[1:400], "a")], "doc_id int, text string, lang string")
     out = sentencepiece_bpe.encoded_documents(rows, copies=True).collect()
     again = sentencepiece_bpe.encoded_documents(rows.repartition(3), copies=True).collect()
@@ -509,35 +670,19 @@ def test_each_occurrence_is_drawn_for_itself(spark):
     assert all(sentencepiece_bpe.decode(v, r.pieces) == r.text for r in out)
 
 
-def test_draws_against_a_plain_agenda(monkeypatch, texts):
+@pytest.mark.parametrize("dropout", [0.2, 0.9])
+def test_draws_against_a_plain_agenda(monkeypatch, texts, dropout):
     v = sentencepiece_bpe.Vocabulary(sentencepiece_bpe.MODEL)
-    e = sentencepiece_bpe.Encoder(v, 0.2, 3)
+    e = sentencepiece_bpe.Encoder(v, dropout, 3)
     long = "".join(random.Random(1).choice("theandxyz") for _ in range(600))
     cases = [t for t in texts if t and len(t) < 5000] + [f"some words, {long} and others of the information"]
-
-    def plain(text):
-        key = __import__("xxhash").xxh3_64_intdigest(text.encode(), seed=__import__("xxhash").xxh3_64_intdigest(b"k", seed=3))
-        drops = (d for g in sentencepiece_bpe.gaps(key, 0.2, int(0.4 * len(text)) + 8) for d in [False] * g + [True])
-        out = []
-        for unit in filter(None, e.units.findall(" " + text)):
-            at, ranks = list(range(len(unit) + 1)), {}
-            while True:
-                for a, b in zip(at, at[2:], strict=False):
-                    if (a, b) not in ranks and unit[a:b] in v.ranks:
-                        ranks[a, b] = None if next(drops) else v.ranks[unit[a:b]]
-                best = min(((r, k) for k, x in enumerate(zip(at, at[2:], strict=False)) if (r := ranks.get(x)) is not None), default=None)
-                if best is None:
-                    break
-                del at[best[1] + 1]
-            out += e.pieces(unit, at)
-        return out
-
+    want = [agenda(v, e, t, "k") for t in cases]
     for _ in range(2):  # the second time from the cache
-        for t in cases:
-            assert e.encode(t, "k") == plain(t)
+        assert [e.encode(t, "k") for t in cases] == want
     monkeypatch.setattr(sentencepiece_bpe, "CACHE", 3)
-    small = sentencepiece_bpe.Encoder(v, 0.2, 3)
-    assert all(small.encode(t, "k") == e.encode(t, "k") for t in cases)
+    monkeypatch.setattr(sentencepiece_bpe, "TOGETHER", 300)
+    small = sentencepiece_bpe.Encoder(v, dropout, 3)
+    assert [x.tolist() for x in small.in_batches([None, *cases, ""], ["k"] * (len(cases) + 2))] == [[], *want, []]
 
 
 # ---- 10 ----
