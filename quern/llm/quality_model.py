@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from .common import shingle_hashes, stash, texts_of, word_hashes
+from .common import id_filter, in_filter, shingle_hashes, small_batches, stash, texts_of, word_hashes
 
 STATS = ("log_words", "word_bytes", "symbols", "upper", "digits", "punctuation", "high_bytes", "line_bytes", "line_repeats", "window_repeats", "distinct_words", "top_word", "marked_words", "long_words", "blank", "exclaim")
 
@@ -59,7 +59,8 @@ def text_stats(data: np.ndarray) -> np.ndarray:
 @F.arrow_udf(ArrayType(DoubleType()))
 def stats_of(texts: pa.Array) -> pa.Array:
     rows = [text_stats(x) for x in texts_of(texts)]
-    return pa.array(rows, pa.list_(pa.float64()))
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * len(STATS)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.zeros(0)))
 
 
 class Model:
@@ -85,7 +86,7 @@ class Model:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=np.float64).reshape(len(column), len(STATS))
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), len(STATS))
 
 
 def _moments(batches):
@@ -138,6 +139,7 @@ def isotonic(weights, values) -> list[float]:
 
 def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, stats) of every row, written once: all later steps read these few numbers instead of the texts."""
+    small_batches(docs.sparkSession)
     return stash(docs.select(F.col(id_col).alias("doc_id"), stats_of(docs[text_col]).alias("stats")), "quality-stats")
 
 
@@ -147,7 +149,7 @@ def labelled(stats: DataFrame, labels: DataFrame, id_col: str, label_col: str, f
     n = truth.count()
     if n > max_labelled:
         truth = truth.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(1e6 * max_labelled / n))
-    d = stats.join(truth, F.col("doc_id") == F.col("key"))
+    d = stats.select("doc_id", "stats").join(truth, F.col("doc_id") == F.col("key"))
     return d.select((F.crc32(F.col("key").cast("string")) % folds).cast("int").alias("fold"), "stats", "y")
 
 
@@ -180,6 +182,15 @@ def score_of(model: Model):
     return run
 
 
+def text_score(model: Model):
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        rows = [text_stats(x) for x in texts_of(texts)]
+        return pa.array(model.score(np.array(rows).reshape(len(rows), len(STATS))))
+
+    return run
+
+
 def classify(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", threshold: float = 0.3, folds: int = 5, **options) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
     stats = measured(docs, id_col, text_col)
@@ -188,8 +199,20 @@ def classify(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="t
     return stats.select("doc_id", held, score_of(model)("stats").alias("score")).withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", threshold: float = 0.3, **options) -> DataFrame:
-    """The documents that the classifier does not reject, with the columns they came with."""
-    model = fit(measured(docs, id_col, text_col), labels, id_col=id_col, **options)
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), score_of(model)(stats_of(docs[text_col])).alias("score"))
-    return rows.where(F.col("score") >= threshold).select("row.*")
+def accepted(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", label_col="quality", threshold: float = 0.3, **options) -> DataFrame:
+    """The documents that the classifier does not reject, with the columns they came with. Statistics for the fit are taken of the
+    documents that may have a label (a bit set of fixed size tells), those of the others only once, for their score."""
+    spark = docs.sparkSession
+    known = id_filter(labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long")), 1 << 26)
+    wanted = spark.sparkContext.broadcast(known)
+
+    def maybe(batches):
+        for batch in batches:
+            hit = in_filter(batch.column(0).to_numpy(zero_copy_only=False), wanted.value)
+            yield batch.filter(pa.array(hit))
+
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    model = fit(measured(rows.mapInArrow(maybe, "doc_id long, text string"), "doc_id", "text"), labels, id_col=id_col, label_col=label_col, **options)
+    wanted.unpersist()
+    scored = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), text_score(model)(docs[text_col]).alias("score"))
+    return scored.where(F.col("score") >= threshold).select("row.*")
