@@ -70,16 +70,29 @@ def tolerated(lost: DataFrame, most: int) -> DataFrame:
     return lost.crossJoin(F.broadcast(n)).where(F.col("__n") <= most).drop("__n")  # n is one row
 
 
+def only_deletable(ops: DataFrame, deletable: DataFrame, key: str) -> DataFrame:
+    """The operations with deletes outside deletable (key) turned into none: those records stay as they are."""
+    may = deletable.select(F.col(key).alias("__k")).distinct().withColumn("__may", F.lit(True))
+    kept = (F.col("op") == "delete") & F.col("__may").isNull()
+    return ops.join(may, F.col(key) == F.col("__k"), "left").withColumn("op", F.when(kept, "none").otherwise(F.col("op"))).drop("__k", "__may")
+
+
 def apply(ops: DataFrame, key: str, *, now: int, columns: list[str], deletable: DataFrame | None = None) -> DataFrame:
-    """The snapshot after the operations, with data_created and data_updated; deletes outside deletable (key) are not made."""
+    """The snapshot after the operations: columns, and data_updated, which is now for what was added or updated and else what
+    the old record has (null if it has none). Deletes outside deletable (key) are not made."""
     if deletable is not None:
-        ops = ops.join(deletable.select(key).withColumn("__gone", F.lit(True)), key, "left").where("op <> 'delete' or __gone").withColumn("op", F.col("op"))
-        kept = ops
-    else:
-        kept = ops
-    record = F.when(F.col("op").isin("add", "update"), F.col("new")).otherwise(F.col("old"))
-    live = kept.where("op <> 'delete'").select(record.alias("r"), "op")
-    return live.select(*(F.col("r")[c].alias(c) for c in columns), F.when(F.col("op").isin("add", "update"), F.lit(now)).cast("long").alias("data_updated"))
+        ops = only_deletable(ops, deletable, key)
+    fresh = F.col("op").isin("add", "update")
+    record = F.when(fresh, F.col("new")).otherwise(F.col("old"))
+    stamped = "data_updated" in ops.schema["old"].dataType.names
+    before = F.col("old")["data_updated"].cast("long") if stamped else F.lit(None).cast("long")
+    live = ops.where("op <> 'delete'").select(record.alias("r"), F.when(fresh, F.lit(now).cast("long")).otherwise(before).alias("data_updated"))
+    return live.select(*(F.col("r")[c].alias(c) for c in columns if c != "data_updated"), "data_updated")
+
+
+def lost_with(target: DataFrame, source: DataFrame, key: str, details: DataFrame) -> DataFrame:
+    """Keys of target that source lacks, with what details knows of them."""
+    return missing(target, source, key).join(details, key)
 
 
 def upsert_if_changed(current: DataFrame, stats: DataFrame, key: str, *, force: bool = False) -> DataFrame:

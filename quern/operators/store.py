@@ -1,14 +1,15 @@
-"""Keyed record store: versions of a snapshot with change log, tombstones and tags, swapped by a pointer.
+"""Keyed record store: a versioned snapshot with change log, tombstones and tags.
 
-A version is written whole under a new name and becomes current when the pointer file is replaced, so a failed write leaves the
-store as it was. One writer at a time."""
+Snapshot, log and tombstones of a run are one commit (see `versions`), so a failed run leaves the store as it was and a repeated
+one adds nothing twice. Records are dealt to buckets by key; a run rewrites only the buckets in which something changed."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import cdc
+from .versions import Versions
 
 
 def tag_add(tags: Column, tag: str) -> Column:
@@ -28,6 +29,18 @@ def tagged(rows: DataFrame, tag: str) -> DataFrame:
     return rows.where(F.array_contains("tags", tag))
 
 
+def with_tags(rows: DataFrame) -> DataFrame:
+    """Rows that carry any tag."""
+    return rows.where(F.size("tags") > 0)
+
+
+def between(rows: DataFrame, column: str, after: int | None = None, before: int | None = None) -> DataFrame:
+    """Rows with after < column < before, in epoch milliseconds; a missing bound is none."""
+    if after is not None:
+        rows = rows.where(F.col(column) > after)
+    return rows if before is None else rows.where(F.col(column) < before)
+
+
 def tombstones(ops: DataFrame, earlier: DataFrame | None, key: str) -> DataFrame:
     """(key, n, old): deleted records, numbered by the deletions of that key before them."""
     gone = ops.where("op = 'delete'").select(key, "old")
@@ -37,10 +50,22 @@ def tombstones(ops: DataFrame, earlier: DataFrame | None, key: str) -> DataFrame
     return gone.join(before, key, "left").select(key, (F.coalesce("before", F.lit(0)) + 1).alias("n"), "old")
 
 
-def first_of(rows: DataFrame, key: str, *order) -> DataFrame:
-    """One row a key: the first in the given order; rows without a key go."""
-    place = Window.partitionBy(key).orderBy(*order)
-    return rows.where(F.col(key).isNotNull()).withColumn("__n", F.row_number().over(place)).where("__n = 1").drop("__n")
+def first_of(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """One row a key: the least by the order columns ('-' in front: the greatest first), then by the whole row. Rows without a
+    key go. An aggregation, so most rows go before the shuffle."""
+    return _one_of(rows, key, order, F.min_by)
+
+
+def last_of(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """One row a key: the greatest by the order columns, then by the whole row."""
+    return _one_of(rows, key, order, F.max_by)
+
+
+def _one_of(rows: DataFrame, key: str, order, choose) -> DataFrame:
+    others = [c for c in rows.columns if c != key and c not in order]
+    sortable = [c for c in others if "map<" not in dict(rows.dtypes)[c]]
+    one = choose(F.struct(*rows.columns), F.struct(*order, *sortable))
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(one.alias("__one")).select("__one.*")
 
 
 def newest(versions: DataFrame, keep: int, *order) -> DataFrame:
@@ -48,86 +73,153 @@ def newest(versions: DataFrame, keep: int, *order) -> DataFrame:
     return versions.orderBy(*order).limit(keep)
 
 
+def sorted_by(rows: DataFrame, key: str, column: str = "data_created", ascending: bool = False) -> DataFrame:
+    return rows.orderBy(F.col(column).asc() if ascending else F.col(column).desc(), key)
+
+
 class Store:
-    """Snapshots (key, fields, data_created, data_updated, hash, tags) below a folder."""
+    """Snapshots (key, fields, data_created, data_updated, hash, tags) below a folder.
 
-    def __init__(self, spark: SparkSession, folder: str, key: str, fields: list[str]):
-        self.spark, self.folder, self.key, self.fields = spark, folder.rstrip("/"), key, fields
-        self._fs = spark._jvm.org.apache.hadoop.fs.Path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    newest_by names a field by which records are ordered in time: a record that is not later than the store's (by that field,
+    then by all fields) changes nothing, whenever it arrives. created names the field that is a record's date of creation at the
+    source; without one it is the time of the run that added it."""
 
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+    def __init__(self, spark: SparkSession, folder: str, key: str, fields: list[str], *, newest_by: str | None = None, created: str | None = None, buckets: int = 16):
+        self.spark, self.folder, self.key, self.fields = spark, folder.rstrip("/"), key, fields
+        self.newest_by, self.created = newest_by, created
+        self.versions = Versions(spark, folder, buckets)
 
     def version(self) -> int:
         """The current version; 0 before the first write."""
-        if not self._fs.exists(self._path("CURRENT")):
-            return 0
-        return int(self.spark.read.text(f"{self.folder}/CURRENT").first()[0])
+        return self.versions.version()
 
     def read(self, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/v{self.version() if version is None else version}")
+        return self.versions.read("rows", version)
 
     def table(self, name: str) -> DataFrame | None:
         """changes or tombstones of all versions so far."""
-        return self.spark.read.parquet(f"{self.folder}/{name}") if self._fs.exists(self._path(name)) else None
+        return self.versions.read(name) if self.versions.has(name) else None
 
-    def _point(self, version: int) -> None:
-        out = self._fs.create(self._path("NEXT"), True)
-        out.writeBytes(str(version))
-        out.close()
-        self._fs.delete(self._path("CURRENT"), False)
-        self._fs.rename(self._path("NEXT"), self._path("CURRENT"))
+    def entries(self, ids: DataFrame, *columns: str) -> DataFrame:
+        """The records of the keys in ids (all columns, or some, such as data_updated, data_created or hash)."""
+        rows = self.read().join(ids.select(self.key).distinct(), self.key, "left_semi")
+        return rows.select(self.key, *columns) if columns else rows
 
-    def write(self, rows: DataFrame) -> int:
-        version = self.version() + 1
-        rows.write.mode("overwrite").parquet(f"{self.folder}/v{version}")
-        self._point(version)
-        return version
+    def write(self, rows: DataFrame, logs: dict[str, DataFrame] | None = None) -> int:
+        return self.versions.commit({"rows": (rows, self.key, None)}, logs)
 
     def prepared(self, rows: DataFrame, now: int) -> DataFrame:
         """New records in the store's form."""
-        return rows.select(self.key, *self.fields, F.lit(now).cast("long").alias("data_created"), F.lit(now).cast("long").alias("data_updated"), cdc.record_hash(self.fields).alias("hash"), F.array().cast("array<string>").alias("tags"))
-
-    def sync(self, rows: DataFrame, *, now: int, full: bool = True, most_deletions: int | None = None, dry_run: bool = False) -> dict[str, int]:
-        """Bring the store to rows (one a key). A pull that is not full deletes nothing, nor does one that lost too many.
+        created = F.col(self.created).cast("long") if self.created else F.lit(now).cast("long")
+        return rows.select(self.key, *self.fields, created.alias("data_created"), F.lit(now).cast("long").alias("data_updated"), cdc.record_hash(self.fields).alias("hash"), F.array().cast("array<string>").alias("tags"))
+
+    def _planned(self, old: DataFrame, new: DataFrame, full: bool) -> DataFrame:
+        ops = cdc.plan(old, new, self.key, self.fields)
+        if not full:  # what a partial pull lacks says nothing
+            ops = ops.withColumn("op", F.when(F.col("op") == "delete", "absent").otherwise(F.col("op")))
+        if self.newest_by:
+            at = [self.newest_by, *(f for f in self.fields if f != self.newest_by)]
+            place = lambda side: F.struct(*(F.col(side)[f].alias(f) for f in at))
+            late = (F.col("op") == "update") & ~(place("new") > place("old"))
+            ops = ops.withColumn("op", F.when(late, "late").otherwise(F.col("op")))
+        return ops
+
+    def sync(self, rows: DataFrame, *, now: int, full: bool = True, most_deletions: int | None = None, deletable: DataFrame | None = None, dry_run: bool = False) -> dict[str, int]:
+        """Bring the store to rows (one a key). A pull that is not full deletes nothing, nor does one that lost too many; with
+        deletable (key) only those records are deleted.
 
         Returns the counts by operation. A record whose hash differs while its fields are equal gets the new hash and nothing else."""
         new = self.prepared(rows, now)
         if not self.version():
-            n = new.count()
+            if dry_run:
+                return {"add": new.count()}
+            self.write(new)
+            return {"add": self.read().count()}
+        seen = None
+        if not full:  # only the buckets of the new records are read
+            seen = [r.b for r in new.select(self.versions.bucket(self.key).alias("b")).distinct().collect()]  # at most `buckets` rows
+        old = self.versions.read("rows", buckets=seen)
+        ops = self._planned(old, new, full)
+        if deletable is not None:
+            ops = cdc.only_deletable(ops, deletable, self.key)
+        ops = ops.withColumn("rehash", F.coalesce((F.col("op") == "none") & (F.col("old")["hash"] != F.col("new")["hash"]), F.lit(False))).persist()
+        try:
+            counts = {r.op: r.n for r in cdc.counters(ops.where("op <> 'absent'")).collect()}  # five rows
+            deletes = most_deletions is None or counts.get("delete", 0) <= most_deletions
+            if not full or not deletes:
+                counts["delete"] = 0
             if not dry_run:
-                self.write(new)
-            return {"add": n}
-        old = self.read()
-        ops = cdc.plan(old, new, self.key, self.fields).persist()
-        counts = {r.op: r.n for r in cdc.counters(ops).collect()}  # four rows
-        deletes = full and (most_deletions is None or counts.get("delete", 0) <= most_deletions)
-        if not deletes:
-            counts["delete"] = 0
-        if not dry_run:
-            fields = [(c, t) for c, t in old.dtypes if c in self.fields]
-            o, n = F.col("old"), F.col("new")
-            taken = F.when(F.col("op") == "add", n).when(F.col("op") == "update", n.withField("data_created", o["data_created"]).withField("tags", o["tags"])).when(F.col("op") == "none", o.withField("hash", n["hash"])).otherwise(o)
-            after = (ops.where("op <> 'delete'") if deletes else ops).select(taken.alias("r")).select("r.*")
-            cdc.field_changes(ops, self.key, fields).withColumn("ts", F.lit(now).cast("long")).write.mode("append").parquet(f"{self.folder}/changes")
-            if deletes:
-                earlier = self.table("tombstones")
-                tombstones(ops, earlier, self.key).withColumn("ts", F.lit(now).cast("long")).write.mode("append").parquet(f"{self.folder}/tombstones")
-            self.write(after.select(old.columns))
-        ops.unpersist()
+                self._apply(old, ops, now, deletes)
+        finally:
+            ops.unpersist()
         return counts
 
-    def retag(self, change) -> int:
-        """Write a version with tags replaced by change(tags)."""
-        return self.write(self.read().withColumn("tags", change(F.col("tags"))))
+    def _apply(self, old: DataFrame, ops: DataFrame, now: int, deletes: bool) -> None:
+        moved = ops.where(F.col("rehash") | F.col("op").isin("add", "update", *(("delete",) if deletes else ())))
+        touched = [r.b for r in moved.select(self.versions.bucket(self.key).alias("b")).distinct().collect()]  # at most `buckets` rows
+        if not touched:
+            return
+        fields = [(c, t) for c, t in old.dtypes if c in self.fields]
+        o, n = F.col("old"), F.col("new")
+        changed = n.withField("tags", o["tags"]) if self.created else n.withField("data_created", o["data_created"]).withField("tags", o["tags"])
+        taken = F.when(F.col("op") == "add", n).when(F.col("op") == "update", changed).when(F.col("op") == "none", o.withField("hash", F.coalesce(n["hash"], o["hash"]))).otherwise(o)
+        own = ops.where(self.versions.bucket(self.key).isin(touched))
+        after = (own.where("op <> 'delete'") if deletes else own).select(taken.alias("r")).select("r.*").select(old.columns)
+        stamp = F.lit(now).cast("long").alias("ts")
+        logs = {"changes": cdc.field_changes(ops, self.key, fields).select("*", stamp)}
+        if deletes:
+            logs["tombstones"] = tombstones(ops, self.table("tombstones"), self.key).select("*", stamp)
+        self.versions.commit({"rows": (after, self.key, touched)}, logs)
+
+    def put(self, rows: DataFrame, *, now: int) -> None:
+        """Insert or overwrite records, without tags."""
+        new = self.prepared(rows, now)
+        old = self.read().join(rows.select(self.key), self.key, "left_anti") if self.version() else None
+        self.write(new if old is None else old.unionByName(new))
+
+    def delete(self, ids: DataFrame, *, now: int, keep: bool = True) -> None:
+        """Drop the records of these keys; keep: as tombstones."""
+        rows = self.read()
+        gone = rows.join(ids.select(self.key).distinct(), self.key, "left_semi")
+        ops = gone.select(self.key, F.lit("delete").alias("op"), F.struct(*rows.columns).alias("old"))
+        logs = {"tombstones": tombstones(ops, self.table("tombstones"), self.key).withColumn("ts", F.lit(now).cast("long"))} if keep else None
+        self.write(rows.join(ids.select(self.key), self.key, "left_anti"), logs)
+
+    def delete_tagged(self, tag: str, *, now: int, keep: bool = True, dry_run: bool = False) -> DataFrame:
+        """Delete the records with a tag; their keys, read from the version before."""
+        ids = tagged(self.versions.read("rows", self.version()), tag).select(self.key)
+        if not dry_run:
+            self.delete(ids, now=now, keep=keep)
+        return ids
+
+    def set_hash(self, hashes: DataFrame) -> None:
+        """Replace the stored hash by that in hashes (key, hash)."""
+        rows = self.read()
+        h = hashes.select(self.key, F.col("hash").alias("__hash"))
+        self.write(rows.join(h, self.key, "left").withColumn("hash", F.coalesce("__hash", "hash")).select(rows.columns))
+
+    def retag(self, change, ids: DataFrame | None = None) -> int:
+        """Write a version with tags replaced by change(tags), on all records or those of ids."""
+        rows = self.read()
+        if ids is None:
+            return self.write(rows.withColumn("tags", change(F.col("tags"))))
+        mine = ids.select(self.key).distinct().withColumn("__mine", F.lit(True))
+        new = F.when(F.col("__mine"), change(F.col("tags"))).otherwise(F.col("tags"))
+        return self.write(rows.join(mine, self.key, "left").withColumn("tags", new).select(rows.columns))
 
     def retain(self, keep: int = 48) -> None:
         """Drop all but the newest versions."""
-        for v in range(1, self.version() - keep + 1):
-            self._fs.delete(self._path(f"v{v}"), True)
+        self.versions.retain(keep)
 
     def wipe(self) -> None:
-        """Drop the snapshots; change log and tombstones stay."""
-        for v in range(1, self.version() + 1):
-            self._fs.delete(self._path(f"v{v}"), True)
-        self._fs.delete(self._path("CURRENT"), False)
+        """Drop the records; change log and tombstones stay."""
+        if self.version():
+            self.write(self.read().limit(0))
+            self.retain(1)
+
+    def clear_changes(self) -> None:
+        """Empty the change log."""
+        m = self.versions.manifest()
+        if "changes" in m["logs"]:
+            m["logs"]["changes"] = []
+            self.versions._publish(m)

@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import time
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.store import Store
+from ..operators.store import Store, last_of
 
 
 def latest(rows: DataFrame, key: str, at: str) -> DataFrame:
     """One row a key, the one of greatest (at, all fields)."""
-    order = Window.partitionBy(key).orderBy(F.desc(at), *(F.desc(c) for c in rows.columns if c not in (key, at)))
-    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    return last_of(rows, key, at)
 
 
-def run_available(source: DataFrame, store: Store, checkpoint: str, *, at: str) -> None:
-    """Take what is there, batch by batch, into the store and stop. Replayed batches change nothing: the records are the same."""
+def run_available(source: DataFrame, store: Store, checkpoint: str, *, at: str, now: Callable[[], int] = lambda: time.time_ns() // 1_000_000) -> None:
+    """Take what is there, batch by batch, into the store and stop. The store orders records by `at` (its newest_by): rows that come
+    late, and batches that come again, change nothing. Only the buckets of a batch's keys are read and written."""
+    if store.newest_by != at or at not in store.fields:
+        raise ValueError(f"the store must hold {at} and order its records by it")
 
     def batch(rows: DataFrame, number: int) -> None:
-        store.sync(latest(rows, store.key, at).select(store.key, *store.fields), now=number, full=False)
+        store.sync(latest(rows, store.key, at).select(store.key, *store.fields), now=now(), full=False)
 
-    source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    query = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
 
 
 def daily_counts(events: DataFrame, late: str = "2 days") -> DataFrame:
