@@ -4,10 +4,11 @@ Spark chooses a broadcast when a dimension's size, as measured, is below its thr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import people as P
+from .store import last_of
 
 
 def lookup(rows: DataFrame, dim: DataFrame, *, on: str, key: str, value: str, name: str, issue: str) -> DataFrame:
@@ -71,11 +72,9 @@ def guest_subjects(rows: DataFrame, *, people_col: str, subject_cols: list[str],
     return clean.groupBy("guest").agg(F.array_sort(F.collect_set(kept)).alias("subjects"))
 
 
-def keep_first_prefix(rows: DataFrame, *, name: str, order: str) -> DataFrame:
+def plain_names(rows: DataFrame, *, name: str, order: str) -> DataFrame:
     """Re-key by the name without prefix; of colliding names the last in order stays, empty names go."""
-    plain = rows.withColumn("__name", P.strip_prefix(F.col(name))).where("__name <> ''")
-    last = Window.partitionBy("__name").orderBy(F.desc(order))
-    return plain.withColumn("__n", F.row_number().over(last)).where("__n = 1").withColumn(name, F.col("__name")).drop("__n", "__name")
+    return last_of(rows.withColumn(name, P.strip_prefix(F.col(name))).where(F.col(name) != ""), name, order)
 
 
 def comment_stats(comments: DataFrame, key: str, *, likes="likes", dislikes="dislikes", reply="reply_to") -> DataFrame:
