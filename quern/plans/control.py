@@ -65,3 +65,71 @@ def run_steps(control: Control, level: int, steps: list[tuple[str, Callable[[Lev
 
 def may_delete(level: Level, *, pull_ok: bool, ids_ok: bool, full: bool) -> bool:
     return level.deletions and pull_ok and ids_ok and full
+
+
+# ---- schedules and switches ----
+
+#: The three jobs, their level and how often they run.
+JOBS = {"frequent": 1, "daily": 2, "weekly": 3}
+
+
+class Schedule:
+    """Runs jobs when they are due, one at a time, until it is told to stop. A job is due when its cron-like rule (any function of
+    the time that says yes) holds and it has not run in this minute."""
+
+    def __init__(self, control: Control, jobs: dict[str, tuple[Callable[[float], bool], Callable[[], object]]], *, clock: Callable[[], float], sleep: Callable[[float], None], switches=("jobs", "everything")):
+        self.control, self.jobs, self.clock, self.sleep, self.switches = control, jobs, clock, sleep, switches
+        self.last: dict[str, int] = {}
+        self.stopping = False
+
+    def stop(self, *_) -> None:
+        """Both switches off; the running job stops before its next step. Also the handler of a termination signal."""
+        for name in self.switches:
+            self.control.set(name, False)
+        self.stopping = True
+
+    def handle_signals(self) -> None:
+        import signal
+
+        signal.signal(signal.SIGTERM, self.stop)
+
+    def tick(self) -> list[str]:
+        """Run what is due now; the names of the jobs that ran."""
+        now, ran = self.clock(), []
+        for name, (due, job) in self.jobs.items():
+            if not self.stopping and due(now) and self.last.get(name) != int(now // 60):
+                self.last[name] = int(now // 60)
+                try:
+                    job()
+                except Stopped:
+                    pass
+                ran.append(name)
+        return ran
+
+    def run(self, pause: float = 5.0) -> None:
+        while not self.stopping and self.control.get("everything") is not False:
+            self.tick()
+            self.sleep(pause)
+
+
+def run_stamp(now: float) -> str:
+    """The name of a run: %Y%m%d-%H%M in UTC."""
+    import time as clock
+
+    return clock.strftime("%Y%m%d-%H%M", clock.gmtime(now))
+
+
+def main(arguments: list[str], run_once: Callable[[int], object] | None = None) -> str:
+    """Command line over a control file: `<file> stop | disable | enable | once`."""
+    control, command = Control(arguments[0]), arguments[1]
+    if command == "stop":
+        control.set("jobs", False)
+        control.set("everything", False)
+    elif command in ("disable", "enable"):
+        control.set("jobs", command == "enable")
+    elif command == "once" and run_once is not None:
+        control.set("jobs", True)
+        run_once(1)
+    else:
+        raise SystemExit(f"unknown command {command}")
+    return f"jobs={control.get('jobs')} everything={control.get('everything')}"

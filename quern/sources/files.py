@@ -36,15 +36,15 @@ def project(items: DataFrame, fields: dict[str, tuple[str, object]]) -> DataFram
 
 #: Record field -> (path in an item, default).
 VIDEO_FIELDS = {
-    "id": ("id", ""), "title": ("attributes.video_title", ""), "featuring": ("attributes.video_featuring", ""), "interviewer": ("attributes.video_interviewer", ""),
+    "id": ("id", ""), "type": ("type", ""), "title": ("attributes.video_title", ""), "featuring": ("attributes.video_featuring", ""), "interviewer": ("attributes.video_interviewer", ""),
     "description": ("attributes.video_description", ""), "product": ("attributes.video_product_id", ""), "thumbnail": ("links.thumbnail", ""),
     "show_url": ("relationships.show.links.related", ""), "assets_url": ("relationships.videoassets.links.related", ""), "topics": ("attributes.video_topic_names", ()),
-    "tags": ("attributes.video_tag_names", ()), "assets": ("attributes.video_asset_names", ()), "is_published": ("attributes.video_is_published", False), "is_free": ("attributes.video_is_free", False),
+    "tag_names": ("attributes.video_tag_names", ()), "assets": ("attributes.video_asset_names", ()), "is_published": ("attributes.video_is_published", False), "is_free": ("attributes.video_is_free", False),
     "likes": ("attributes.video_likes_count", 0), "dislikes": ("attributes.video_dislikes_count", 0), "duration": ("attributes.video_duration", 0),
     "filmed_on": ("attributes.video_filmed_on", 0), "published_on": ("attributes.video_published_on", 0), "inner_id": ("attributes.video_id", ""),
 }
 PUBLICATION_FIELDS = {
-    "id": ("id", ""), "title": ("attributes.issue_title", ""), "summary": ("attributes.issue_summary", ""), "product": ("attributes.issue_product_id", ""), "thumbnail": ("links.thumbnail", ""),
+    "id": ("id", ""), "type": ("type", ""), "title": ("attributes.issue_title", ""), "summary": ("attributes.issue_summary", ""), "product": ("attributes.issue_product_id", ""), "thumbnail": ("links.thumbnail", ""),
     "topics": ("attributes.issue_topic_names", ()), "assets": ("attributes.issue_asset_names", ()), "is_published": ("attributes.issue_is_published", False), "pages": ("attributes.issue_page_count", 0),
     "likes": ("attributes.issue_likes_count", 0), "dislikes": ("attributes.issue_dislikes_count", 0), "published_on": ("attributes.issue_published_on", 0), "inner_id": ("attributes.issue_id", ""),
 }
@@ -58,8 +58,10 @@ def line_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("item"))
 
 
-def write_report(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").csv(path, header=True)
+def write_report(rows: DataFrame, path: str, *, fields: list[str] | None = None) -> None:
+    """A CSV report with a header, of all columns or of some; lists are joined by ', '."""
+    flat = [F.array_join(c, ", ").alias(c) if t.startswith("array") else F.col(c) for c, t in rows.dtypes if fields is None or c in fields]
+    rows.select(*flat).write.mode("overwrite").csv(path, header=True)
 
 
 def page_offsets(page_size: int, most: int) -> list[int]:
