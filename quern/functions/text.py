@@ -67,7 +67,7 @@ def day_of_ms(ms: Column) -> Column:
 
 def sorted_char_hash(text: Column) -> Column:
     """SHA-256 of the text's characters in order: equal for anagrams, by intent."""
-    return F.sha2(F.array_join(F.array_sort(F.split(text, "")), "").cast("binary"), 256)
+    return F.sha2(F.array_join(F.sort_array(F.split(text, "")), "").cast("binary"), 256)
 
 
 def word_stream(words: Column) -> Column:
@@ -76,14 +76,29 @@ def word_stream(words: Column) -> Column:
     return F.array_join(F.filter(bare, lambda w: w != ""), " ")
 
 
+def _once(value: Column, body) -> Column:
+    """body(value) with value computed once: a lambda's variable is not written out again at each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def snippets(text: Column, phrase: str, margin: int = 25) -> Column:
-    """Each hit, without overlaps, with up to margin characters on both sides; the left side never reaches into the hit before."""
+    """Each hit, without overlaps, with up to margin characters on both sides; the left side never reaches into the hit before.
+
+    The right side is cut from as many following parts as can fill it, so the work of a text grows with its length and hits."""
     phrase = phrase.lower()
-    parts = F.split(F.lower(text), "\\Q" + phrase + "\\E")
-    rest = lambda k: F.array_join(F.slice(parts, k + 2, F.size(parts)), phrase)
-    cut = lambda k: F.concat(F.right(F.get(parts, k), F.lit(margin)), F.lit(phrase), F.left(rest(k), F.lit(margin)))
-    none = F.array().cast("array<string>")
-    return F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(0), F.size(parts) - 2), cut)).otherwise(none)
+    reach = -(-margin // len(phrase)) + 1  # parts behind a hit: all but the first are preceded by the phrase
+
+    def cuts(parts: Column) -> Column:
+        behind = lambda k: F.left(F.array_join(F.slice(parts, k + 2, reach), phrase), F.lit(margin))
+        one = lambda k: F.concat(F.right(F.get(parts, k), F.lit(margin)), F.lit(phrase), behind(k))
+        return F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(0), F.size(parts) - 2), one)).otherwise(F.array().cast("array<string>"))
+
+    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(_once(F.split(F.lower(text), "\\Q" + phrase + "\\E"), cuts))
+
+
+def sorted_keys(map_: Column) -> Column:
+    """The keys of a map in order."""
+    return F.sort_array(F.map_keys(map_))
 
 
 def fit_or_short(full: Column, short: Column, most: int = 10_000) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -54,20 +54,29 @@ def add_documents(n_docs: DataFrame, n: int, counts: DataFrame, seen: DataFrame)
     return more, n + fresh.select("doc_id").distinct().count()
 
 
+def idf_of(n_docs: DataFrame, n) -> DataFrame:
+    """(term, n_docs, idf) with idf = ln(n / (n_docs + 1)), negative for terms of all documents; n is a number or a column."""
+    n = n if isinstance(n, Column) else F.lit(n)
+    return n_docs.select("term", "n_docs", F.ln(n / (F.col("n_docs") + 1)).alias("idf"))
+
+
 def idf(n_docs: DataFrame, counts: DataFrame) -> DataFrame:
-    """(term, n_docs, idf) with idf = ln(N / (n_docs + 1)), negative for terms of all documents."""
-    n = counts.select("doc_id").distinct().agg(F.count("*").alias("n"))
-    return n_docs.crossJoin(F.broadcast(n)).select("term", "n_docs", F.ln(F.col("n") / (F.col("n_docs") + 1)).alias("idf"))  # n is one row
+    """idf_of with the number of documents that have terms in counts."""
+    n = counts.select("doc_id").distinct().agg(F.count("*").alias("__n"))
+    return idf_of(n_docs.crossJoin(F.broadcast(n)), F.col("__n"))  # n is one row
 
 
-def tfidf(counts: DataFrame) -> DataFrame:
-    """(doc_id, term, tfidf): the term's share of the document's words times its idf."""
-    weight = idf(document_counts(counts), counts)
-    total = F.sum("count").over(Window.partitionBy("doc_id"))
-    share = counts.withColumn("tf", F.col("count") / total)
+def weighted(counts: DataFrame, weight: DataFrame) -> DataFrame:
+    """(doc_id, term, tfidf): the term's share of the document's words times its idf, of weight (term, idf)."""
+    share = counts.withColumn("tf", F.col("count") / F.sum("count").over(Window.partitionBy("doc_id")))
     return share.join(weight, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
+def tfidf(counts: DataFrame) -> DataFrame:
+    """weighted, by the idf of the counts themselves."""
+    return weighted(counts, idf(document_counts(counts), counts))
+
+
 def top_terms(weights: DataFrame, n: int) -> DataFrame:
     order = Window.partitionBy("doc_id").orderBy(F.desc(F.round("tfidf", 9)), "term")
     return weights.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
