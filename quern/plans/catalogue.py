@@ -306,7 +306,7 @@ def first_wins(spark, sf_dir):
 
 @query("latest_version", "select user_id, event_id, round(value, 6) as value from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1")
 def latest_version(spark, sf_dir):
-    return store.first_of(table(spark, sf_dir, "events"), "user_id", F.desc("ts"), F.desc("event_id")).select("user_id", "event_id", F.round("value", 6).alias("value"))
+    return store.last_of(table(spark, sf_dir, "events"), "user_id", "ts", "event_id").select("user_id", "event_id", F.round("value", 6).alias("value"))
 
 
 @query("top_n_recent", "select event_id, user_id from events order by ts desc, event_id limit 25")
@@ -461,6 +461,9 @@ def stream_cdc(spark, sf_dir):
 
     base = folder(spark, "stream")
     source = sync.event_stream(spark, sf_dir, table(spark, sf_dir, "events").schema).select("user_id", "ts", F.struct("event_id", "event_type", "value").alias("last"))
-    target = store.Store(spark, f"{base}/store", "user_id", ["last"])
-    sync.run_available(source.select("user_id", "ts", "last"), target, f"{base}/checkpoint", at="ts")
+    target = store.Store(spark, f"{base}/store", "user_id", ["ts", "last"], newest_by="ts")
+    sync.run_available(source, target, f"{base}/checkpoint", at="ts")
     return target.read().select("user_id", "last.event_type", F.round("last.value", 6).alias("value"))
+
+
+from . import sync_queries  # noqa: E402, F401  (registers its queries)

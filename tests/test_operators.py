@@ -86,7 +86,68 @@ def test_store(spark, tmp_path):
     s.retain(1)
     assert s.read().count() == 4
     s.wipe()
-    assert s.version() == 0 and s.table("tombstones").count() == 1
+    assert s.read().count() == 0 and s.table("tombstones").count() == 1 and s.table("changes").count() == 2
+    s.clear_changes()
+    assert s.table("changes").count() == 0 and s.table("tombstones").count() == 1
+
+
+def test_deletable_records_only_are_deleted(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    new, may = old.where("k = 1"), old.where("k = 2")
+    ops = cdc.plan(old, new, "k")
+    assert rows(cdc.apply(ops, "k", now=9, columns=["k", "v"], deletable=may)) == [(1, "a", None), (3, "c", None)]
+    stamped = old.withColumn("data_updated", F.lit(5))
+    ops = cdc.plan(stamped, old.where("k <> 2").withColumn("v", F.when(F.col("k") == 1, "A").otherwise(F.col("v"))).withColumn("data_updated", F.lit(9)), "k", ["v"])
+    assert rows(cdc.apply(ops, "k", now=9, columns=["k", "v"])) == [(1, "A", 9), (3, "c", 5)]
+    s = Store(spark, f"file://{tmp_path}/store", "k", ["v"])
+    s.sync(old, now=1)
+    assert s.sync(new, now=2, deletable=may)["delete"] == 1 and sorted(r.k for r in s.read().collect()) == [1, 3]
+
+
+def test_a_broken_commit_leaves_the_store_as_it_was(spark, tmp_path, monkeypatch):
+    s = Store(spark, f"file://{tmp_path}/store", "k", ["v"], buckets=2)
+    one = spark.createDataFrame([(k, "a") for k in range(6)], "k int, v string")
+    s.sync(one, now=1)
+    two = spark.createDataFrame([(k, "b") for k in range(5)], "k int, v string")
+
+    def broken(manifest):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(s.versions, "_publish", broken)
+        try:
+            s.sync(two, now=2)
+            raise AssertionError
+        except OSError:
+            pass
+    assert s.version() == 1 and {r.v for r in s.read().collect()} == {"a"} and s.table("changes") is None
+    s.sync(two, now=3)
+    assert s.table("changes").count() == 5 and [(r.k, r.n) for r in s.table("tombstones").collect()] == [(5, 1)]
+    assert s.read(1).count() == 6 and s.read().count() == 5
+
+
+def test_only_touched_buckets_are_written_again(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/store", "k", ["v"], buckets=8)
+    s.sync(spark.range(200).select(F.col("id").alias("k"), F.lit("a").alias("v")), now=1)
+    before = s.versions.manifest()["buckets"]["rows"]
+    s.sync(spark.createDataFrame([(3, "b")], "k long, v string"), now=2, full=False)
+    after = s.versions.manifest()["buckets"]["rows"]
+    assert sum(before[b] != after[b] for b in before) == 1 and s.read().count() == 200
+    assert s.sync(spark.createDataFrame([(3, "b")], "k long, v string"), now=3, full=False)["none"] >= 1 and s.version() == 2
+
+
+def test_store_entries(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/store", "k", ["v"])
+    s.put(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), now=1)
+    s.put(spark.createDataFrame([(2, "c")], "k int, v string"), now=2)
+    ids = spark.createDataFrame([(2,)], "k int")
+    assert rows(s.entries(ids, "v", "data_updated")) == [(2, "c", 2)]
+    s.retag(lambda t: F.array_union(t, F.array(F.lit("x"))), ids)
+    s.set_hash(spark.createDataFrame([(1, "h")], "k int, hash string"))
+    assert rows(s.entries(spark.createDataFrame([(1,)], "k int"), "hash")) == [(1, "h")]
+    assert s.delete_tagged("x", now=3, dry_run=True).count() == 1 and s.read().count() == 2
+    s.delete_tagged("x", now=3)
+    assert [r.k for r in s.read().collect()] == [1] and s.table("tombstones").count() == 1
 
 
 def test_outbox_retries_what_failed(spark):
@@ -133,6 +194,34 @@ def test_sources(spark, tmp_path):
     assert sorted(r.n for r in spark.read.format("numbers").option("page_size", "3").option("most", "6").load().collect()) == list(range(9))
 
 
+def test_sources_write_reports(spark, tmp_path):
+    r = spark.createDataFrame([(1, ["a", "b"], "x")], "id int, tags array<string>, other string")
+    files.write_report(r, str(tmp_path / "r"), fields=["id", "tags"])
+    assert rows(spark.read.csv(str(tmp_path / "r"), header=True)) == [("1", "a, b")]
+
+
+def hits(text, phrase, margin):
+    """Plain form of snippets."""
+    text, out, end = text.lower(), [], 0
+    while (at := text.find(phrase, end)) >= 0:
+        left = text[end:at][-margin:] if margin else ""
+        end = at + len(phrase)
+        out.append(left + phrase + text[end : end + margin])
+    return out
+
+
+def test_snippets(spark):
+    import random
+
+    rng = random.Random(1)
+    texts = ["the quick " * 20_000, "xTHEtheyThe", "", *("".join(rng.choice("the ") for _ in range(rng.randrange(200))) for _ in range(30))]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    for margin in (4, 25):
+        got = {r.k: r.s for r in frame.select("k", analytics.T.snippets(F.col("t"), "the", margin).alias("s")).collect()}
+        assert got == {k: hits(t, "the", margin) for k, t in enumerate(texts)}
+    assert spark.createDataFrame([(None,)], "t string").select(analytics.T.snippets(F.col("t"), "the").alias("s")).first().s == []
+
+
 def test_checks(spark):
     index = spark.createDataFrame([("a",), ("b",)], "id string")
     payloads = spark.createDataFrame([("b",), ("c",)], "id string")
@@ -161,9 +250,10 @@ def test_stream_in_two_runs_equals_one_batch(spark, tmp_path):
     kind = "id int, at int, v string"
     folder = tmp_path / "in"
     spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (1, 2, "c")], kind).coalesce(1).write.parquet(str(folder / "x"))
-    s = Store(spark, f"file://{tmp_path}/store", "id", ["v"])
+    s = Store(spark, f"file://{tmp_path}/store", "id", ["at", "v"], newest_by="at")
     source = lambda: spark.readStream.schema(kind).parquet(str(folder / "*"))
     sync.run_available(source(), s, str(tmp_path / "cp"), at="at")
-    spark.createDataFrame([(2, 3, "d"), (3, 1, "e")], kind).coalesce(1).write.parquet(str(folder / "y"))
-    sync.run_available(source(), s, str(tmp_path / "cp"), at="at")
+    spark.createDataFrame([(2, 3, "d"), (3, 1, "e"), (1, 1, "late")], kind).coalesce(1).write.parquet(str(folder / "y"))
+    sync.run_available(source(), s, str(tmp_path / "cp"), at="at", now=lambda: 77)
     assert rows(s.read().select("id", "v")) == [(1, "c"), (2, "d"), (3, "e")]
+    assert {r.id: r.data_updated for r in s.read().collect()}[2] == 77
