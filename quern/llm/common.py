@@ -6,6 +6,8 @@ White space is ``[\\x20\\x09-\\x0D]`` everywhere; case folding touches A-Z only.
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import gc
 import math
 import struct
@@ -90,6 +92,36 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are used again by later stages, and their allocators keep what arrays held."""
+    pa.default_memory_pool().release_unused()
+    try:
+        _libc().malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+@functools.cache
+def _libc():
+    """The C library, told to keep no freed block of a megabyte or more (M_MMAP_THRESHOLD, which else grows with what is freed)."""
+    lib = ctypes.CDLL("libc.so.6")
+    lib.mallopt(-3, 1 << 20)
+    return lib
+
+
+def freed(run):
+    """A mapInArrow function that gives memory back when it ends."""
+
+    def wrapped(batches):
+        give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans that nothing refers to any more; else they stay until the driver collects garbage."""
     gc.collect()
@@ -272,6 +304,7 @@ def gathered(parts: DataFrame, step, finish=None) -> list:
         groups = math.ceil(math.sqrt(tasks))
         grouped = parts.withColumn("of", F.pmod(F.spark_partition_id(), F.lit(groups))).repartition(SLICES * groups, "slice", "of")
         parts = grouped.select("slice", "data").mapInArrow(step, "slice int, data binary")
+    step = freed(step)
     merged = parts.repartition(SLICES, "slice").mapInArrow(step, "slice int, data binary")
     return (merged.mapInArrow(finish, "slice int, data binary") if finish else merged).collect()
 
@@ -424,7 +457,7 @@ def id_filter(ids: DataFrame, bits: int = 1 << 23) -> np.ndarray:
             set_bits(mine, mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)) % np.uint64(bits))
         yield in_slices(mine)
 
-    out = merged_slices(few(ids).mapInArrow(run, "slice int, data binary"), np.bitwise_or)
+    out = merged_slices(few(ids).mapInArrow(freed(run), "slice int, data binary"), np.bitwise_or)
     return out if len(out) else np.zeros(bits // 8, np.uint8)
 
 

@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICES, TwiceFilter, components, discard, few, groups_of, id_filter, in_bloom, in_filter, in_slices, merged_slices, merged_twice, mix, release, shingle_sets, small_batches, split_join, stash
+from .common import SLICES, TwiceFilter, components, discard, few, freed, groups_of, id_filter, in_bloom, in_filter, in_slices, merged_slices, merged_twice, mix, release, shingle_sets, small_batches, split_join, stash
 
 SEEDS = tuple(np.uint64(x) for x in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
@@ -308,7 +308,7 @@ class Join:
         small_batches(self.spark)
         self.size, self.percent, self.split_above, self.block, self.block_tokens, self.filter_bits = size, percent, split_above, block, block_tokens, filter_bits
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-        facts = stash(few(self.docs).mapInArrow(_facts(size, filter_bits, sketch_bits), FACTS), "facts")
+        facts = stash(few(self.docs).mapInArrow(freed(_facts(size, filter_bits, sketch_bits)), FACTS), "facts")
         parts = facts.where("slice is not null").select("slice", "data")
         twice = merged_twice(parts.where(F.col("slice") < SLICES), filter_bits)
         counts = merged_slices(parts.where(F.col("slice") >= SLICES).select((F.col("slice") - SLICES).alias("slice"), "data"), _sum, first="u1", then="u2")
@@ -330,7 +330,7 @@ class Join:
 
         wrong = id_filter(self.placed.where("doc_id = rep").select("key").mapInArrow(maybe, "key long"), 1 << 23)
         skip = self.spark.sparkContext.broadcast(Skip(copies, wrong))
-        known = self.docs.where("doc_id is not null").mapInArrow(_signatures(self.order, skip, self.size, self.percent), SIGNATURE)
+        known = self.docs.where("doc_id is not null").mapInArrow(freed(_signatures(self.order, skip, self.size, self.percent)), SIGNATURE)
         self.signatures = stash(known.where("n > 0"), "signatures")
         self.order.unpersist()
         skip.unpersist()
@@ -345,9 +345,9 @@ class Join:
         """(token, doc, n, pos, least, held): holders of each order-one prefix token that at least two nodes hold; least is the
         smallest of them as struct(doc, n, pos)."""
         lists = self.signatures.select("doc_id", "n", "p1")
-        twice = merged_twice(few(lists.select("p1")).mapInArrow(_prefix_filter(self.filter_bits), "slice int, data binary"), self.filter_bits)
+        twice = merged_twice(few(lists.select("p1")).mapInArrow(freed(_prefix_filter(self.filter_bits)), "slice int, data binary"), self.filter_bits)
         wanted = self.spark.sparkContext.broadcast(twice)
-        tokens = stash(lists.mapInArrow(_shared_tokens(wanted), "token long, doc long, n long, pos long"), "prefix-tokens")
+        tokens = stash(lists.mapInArrow(freed(_shared_tokens(wanted)), "token long, doc long, n long, pos long"), "prefix-tokens")
         wanted.unpersist()
         group = tokens.groupBy("token").agg(F.min(F.struct("doc", "n", "pos")).alias("least"), F.max("doc").alias("last"), F.count("*").alias("held"))
         shared = stash(group.where("least.doc < last").drop("last"), "shared-tokens")
@@ -365,7 +365,7 @@ class Join:
     def sets(self, ids: DataFrame, short: bool = False) -> DataFrame:
         """(doc, tokens) of the documents whose id is in the only column of ids, and of a few more that the joins drop."""
         wanted = self.spark.sparkContext.broadcast(id_filter(ids, 1 << 26))
-        out = stash(self.docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_sets(wanted, self.size, short), "doc long, tokens binary"), "sets")
+        out = stash(self.docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(freed(_sets(wanted, self.size, short)), "doc long, tokens binary"), "sets")
         wanted.unpersist()
         return out
 
@@ -374,7 +374,7 @@ class Join:
         sets = self.sets(pairs.select("a").unionAll(pairs.select("b")).distinct(), short)
         x, y = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
         joined = pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb")
-        out = stash(joined.mapInArrow((_possible if short else _verify)(self.percent), "a long, b long").distinct(), "candidates")
+        out = stash(joined.mapInArrow(freed((_possible if short else _verify)(self.percent)), "a long, b long").distinct(), "candidates")
         discard(sets, pairs)
         release(self.spark)
         return out
@@ -414,7 +414,7 @@ class Join:
         dealt = split_join(large, count, "least", "held").withColumn("mine", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         dealt = dealt.select(F.xxhash64("least", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), "mine", "doc", "label")
         rows = dealt.join(sets, "doc").select("task", "mine", "doc", "label", "p2", "p3", "tokens").repartition("task").sortWithinPartitions("task")
-        return rows.mapInArrow(_links(self.percent), "a long, b long")
+        return rows.mapInArrow(freed(_links(self.percent)), "a long, b long")
 
     def run(self) -> DataFrame:
         self.nodes()

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwiceFilter, discard, few, in_bloom, merged_twice, small_batches, split_join, stash
+from .common import TwiceFilter, discard, few, freed, in_bloom, merged_twice, small_batches, split_join, stash
 
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -48,7 +48,7 @@ def _filters(min_chars: int, bits: int):
 
 def twice_filter(docs: DataFrame, id_col: str, text_col: str, min_chars: int, bits: int) -> np.ndarray:
     known = docs.where(F.col(id_col).isNotNull()).select(F.col(text_col))
-    return merged_twice(few(known).mapInArrow(_filters(min_chars, bits), "slice int, data binary"), bits)
+    return merged_twice(few(known).mapInArrow(freed(_filters(min_chars, bits)), "slice int, data binary"), bits)
 
 
 def digest(key: bytes) -> bytes:
@@ -99,7 +99,7 @@ def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, bi
     small_batches(spark)
     filter_b = spark.sparkContext.broadcast(twice_filter(docs, id_col, text_col, min_chars, bits))
     known = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col))
-    suspects = stash(known.mapInArrow(_suspects(filter_b, min_chars), "doc_id long, key binary"), "line-suspects")
+    suspects = stash(known.mapInArrow(freed(_suspects(filter_b, min_chars)), "doc_id long, key binary"), "line-suspects")
     filter_b.unpersist()
     repeats = suspects.groupBy("key").agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("last"), F.count("*").alias("held")).where("keep < last").drop("last")
     repeats = stash(repeats, "repeated-lines")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _PACK, SLICES, TwiceFilter, _merge_twice, few, gathered, in_bloom, merged_twice, mix, only_twice, small_batches, stash, texts_of, twice_of
+from .common import _PACK, SLICES, TwiceFilter, _merge_twice, few, freed, gathered, in_bloom, merged_twice, mix, only_twice, small_batches, stash, texts_of, twice_of
 
 GRAM = 24
 SEGMENT = 1 << 18
@@ -195,7 +195,7 @@ def _counted_strings(suspects_b, length: int, bits: int):
 
 def suspects_of(rows: DataFrame, length: int, bits: int, hot: int) -> Suspects:
     """The filters of all texts; grams that the summary finds in `hot` documents or more are frequent."""
-    found = {r.slice: r.data for r in gathered(few(rows.select("text")).mapInArrow(_counted(length, bits), "slice int, data binary"), _merge_counted, only_twice)}  # bits / 8 bytes before compression, and the summary
+    found = {r.slice: r.data for r in gathered(few(rows.select("text")).mapInArrow(freed(_counted(length, bits)), "slice int, data binary"), _merge_counted, only_twice)}  # bits / 8 bytes before compression, and the summary
     often = np.frombuffer(found.pop(SLICES, b""), np.uint64)
     keys, counts = often[: len(often) // 2], often[len(often) // 2 :].astype(np.int64)
     return Suspects(twice_of(found, bits), keys[counts >= hot])
@@ -612,12 +612,12 @@ def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int = 1 <
     if len(suspects.hot):
         bits = filter_bits // 4
         frequent = spark.sparkContext.broadcast(suspects)
-        suspects.strings = merged_twice(few(rows.select("text")).mapInArrow(_counted_strings(frequent, length, bits), "slice int, data binary"), bits)
+        suspects.strings = merged_twice(few(rows.select("text")).mapInArrow(freed(_counted_strings(frequent, length, bits)), "slice int, data binary"), bits)
         frequent.unpersist()
     suspects_b = spark.sparkContext.broadcast(suspects)
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
-    runs = rows.mapInArrow(_runs(suspects_b, _splitters(rows, length, ranges), length), MAPPED)
-    merged = stash(runs.repartition("range").sortWithinPartitions("range", "first").mapInArrow(_merge(length), REDUCED), "suffix-spans")
+    runs = rows.mapInArrow(freed(_runs(suspects_b, _splitters(rows, length, ranges), length)), MAPPED)
+    merged = stash(runs.repartition("range").sortWithinPartitions("range", "first").mapInArrow(freed(_merge(length)), REDUCED), "suffix-spans")
     suspects_b.unpersist()
     strings = merged.where("string is not null")
     first = strings.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").drop("last")
