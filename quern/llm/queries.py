@@ -108,12 +108,23 @@ tn as (select name, count(*) b from tpl group by name),
 m as (select g.doc_id, g.uid, tpl.name, 2::double * count(*) / (any_value(a) + any_value(b)) dice from g join tpl using (gram) join n using (uid) join tn using (name)
       group by g.doc_id, g.uid, tpl.name having 2::double * count(*) / (any_value(a) + any_value(b)) >= 0.8),
 best as (select * from m qualify row_number() over (partition by uid order by dice desc, name) = 1),
-r as (select doc_id, count(*) n_units, string_agg(distinct name, ',' order by name) licences, min({{'d': -dice, 'n': name}}) x from best group by doc_id)
-select d.doc_id, x.n licence, -x.d dice, coalesce(n_units, 0)::bigint n_units, coalesce(licences, '') licences from d left join r using (doc_id)
+r as (select doc_id, count(*) n_units, string_agg(distinct name, ',' order by name) licences, min({{'d': -dice, 'n': name}}) x from best group by doc_id),
+bg as (select doc_id, k, ws[k] || ' ' || ws[k + 1] gram from (select doc_id, ws, unnest(range(1, len(ws))) k from (select doc_id, regexp_extract_all({LOWER.format("t")}, '[a-z0-9]+(?:\.[0-9]+)*') ws from d))),
+lim as (select name, b, greatest(1, ceil(b * 0.8::double / 1.2::double - 1e-9))::int least, floor(b * 1.2::double / 0.8::double + 1e-9)::int most from tn),
+hit as (select doc_id, name, k, gram from bg join tpl using (gram)),
+cand as (select doc_id, name, any_value(least) least, any_value(most) most from hit join lim using (name) group by doc_id, name having count(distinct gram) >= any_value(least)),
+win as (select c.doc_id, c.name, c.least, x.k i, y.k j from cand c join hit x on x.doc_id = c.doc_id and x.name = c.name join hit y on y.doc_id = c.doc_id and y.name = c.name and y.k >= x.k and y.k < x.k + c.most),
+held as (select w.doc_id, w.name, i, j, count(distinct z.gram) h from win w join hit z on z.doc_id = w.doc_id and z.name = w.name and z.k between i and j group by all having count(distinct z.gram) >= any_value(w.least)),
+own as (select e.doc_id, e.name, i, j, any_value(h) h, count(distinct bg.gram) o from held e join bg on bg.doc_id = e.doc_id and bg.k between i and j group by all),
+scored as (select own.*, 2::double * h / (o + b) dice from own join lim using (name)),
+found as (select * from scored where dice >= 0.8 qualify row_number() over (partition by doc_id, name order by dice desc, i, j) = 1),
+emb as (select doc_id, string_agg(name, ',' order by name) embedded from found f where not exists (select 1 from found g where g.doc_id = f.doc_id and g.dice > f.dice and g.j - g.i >= f.j - f.i and g.i <= f.j and f.i <= g.j) group by doc_id)
+select d.doc_id, x.n licence, -x.d dice, coalesce(n_units, 0)::bigint n_units, coalesce(licences, '') licences, coalesce(embedded, '') embedded from d left join r using (doc_id) left join emb using (doc_id)
 """.replace(chr(92) * 2, chr(92)),
 )
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents"), windows=False).withColumn("licences", F.array_join("licences", ","))
+    out = license_scan.scan(table(spark, sf_dir, "documents")).withColumn("licences", F.array_join("licences", ","))
+    return out.withColumn("embedded", F.array_join(F.sort_array("embedded.name"), ","))
 
 
 @query("op7_nn_descent")
@@ -154,7 +165,21 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", sentencepiece_bpe.Codec(spark).digests(F.col("text"), F.col("doc_id")).alias("d")).select("doc_id", "d.*")
 
 
-@query("op10_suffix_array")
+@query(
+    "op10_suffix_array",
+    """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) hx, octet_length(encode(coalesce(text, '')))::bigint n from documents),
+w as (select doc_id, k, substr(hx, 2 * k + 1, 100) s from (select doc_id, hx, unnest(range(n - 49)) k from d where n >= 50)),
+f as (select s, min(doc_id) least from w group by s having min(doc_id) < max(doc_id)),
+c as (select distinct doc_id, k from w join f using (s) where doc_id > least),
+i as (select *, coalesce(k > lag(k) over (partition by doc_id order by k) + 50, true)::int first from c),
+g as (select *, sum(first) over (partition by doc_id order by k) run from i),
+r as (select doc_id, run, min(k) a, max(k) + 50 b from g group by doc_id, run),
+p as (select r.*, coalesce(lag(b) over (partition by doc_id order by a), 0) before from r),
+kept as (select d.doc_id, string_agg(substr(hx, 2 * before + 1, 2 * (a - before)), '' order by a) || substr(any_value(hx), 2 * max(b) + 1) hx, sum(b - a)::bigint n_removed, count(*) n_spans from p join d using (doc_id) group by d.doc_id)
+select d.doc_id, n n_bytes, coalesce(n_removed, 0)::bigint n_removed, coalesce(n_spans, 0)::bigint n_spans, sha256(unhex(coalesce(kept.hx, d.hx))) kept_sha256 from d left join kept using (doc_id)
+""",
+)
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
