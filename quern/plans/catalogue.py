@@ -62,7 +62,19 @@ def term_count_clean(spark, sf_dir):
     return analytics.term_counts(docs(spark, sf_dir), stop_words=True, clean=True)
 
 
-@query("term_count_phrases")
+def _runs_sql(text: str) -> str:
+    """Runs of two or three words between stop words and other marks, with their counts, as a subquery."""
+    return rf"""(select doc_id, term, count(*) "count" from (select doc_id, grp, string_agg(tok, ' ' order by pos) term from (
+  select *, sum(brk::int) over (partition by doc_id order by pos) grp from (select doc_id, pos, tok, tok in ({quoted(T.STOP_WORDS)}) or not regexp_matches(tok, '^[\p{{L}}\p{{N}}'']') brk
+    from (select doc_id, unnest(l) tok, unnest(range(len(l))) pos from (select doc_id, regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}'']+|[^\p{{L}}\p{{N}}'' ]+') l from documents)))) where not brk
+  group by doc_id, grp having count(*) between 2 and 3) group by doc_id, term)"""
+
+
+BARE_TEXT = "replace(text, chr(39), '')"
+
+
+@query("term_count_phrases", f"""with {COUNTS_SQL}, raw as (select * from {_runs_sql("text")} union all select * from {_runs_sql(BARE_TEXT)} union all select * from tc where term not in ({quoted(T.STOP_WORDS)})),
+c as (select doc_id, {CLEAN_SQL} t, "count" from raw) select doc_id, t term, max("count") as "count" from c where t <> '' group by all""")
 def term_count_phrases(spark, sf_dir):
     return analytics.full_counts(docs(spark, sf_dir))
 
@@ -95,7 +107,13 @@ def pseudo_text(spark, sf_dir):
     return out.select("doc_id", F.sha2(F.coalesce("pseudo", F.lit("")).cast("binary"), 256).alias("pseudo_sha256"), F.col("issue").isNotNull().alias("no_terms"))
 
 
-@query("pseudo_text_capped")
+@query("pseudo_text_capped", f"""with recursive {COUNTS_SQL}, f as (select doc_id, term, "count" c, ceil("count" / 3)::bigint n from tc where "count" > 2),
+small as (select doc_id from (select distinct doc_id from tc) left join f using (doc_id) group by doc_id having coalesce(sum(n * (strlen(term) + 1)), 0) <= 400),
+st as (select doc_id, term, "count" c, "count"::bigint n, 0 step from tc where doc_id not in (select doc_id from small)
+  union all select doc_id, term, c, ceil(n / low)::bigint, step + 1 from (select *, min(case when n > 1 then n end) over (partition by doc_id) low, sum(n * (strlen(term) + 1)) over (partition by doc_id) sz from st) where n > 1 and (step = 0 or sz > 400)),
+fin as (select doc_id, term, c, n from (select *, sum(n * (strlen(term) + 1)) over (partition by doc_id, step) sz from st where step > 0) where sz <= 400 union all select doc_id, term, c, n from f where doc_id in (select doc_id from small))
+select d.doc_id, p pseudo, case when p is null then 'no terms left' end issue from (select distinct doc_id from tc) d
+left join (select doc_id, string_agg(repeat(term || chr(10), n::int), '' order by c desc, term) p from fin group by doc_id) using (doc_id)""")
 def pseudo_text_capped(spark, sf_dir):
     return analytics.pseudo_text(analytics.term_counts(docs(spark, sf_dir)), limit=400)
 
