@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import outbox
@@ -42,6 +42,12 @@ class FileDestination:
     def delete(self, key) -> None:
         self._put("delete", key, None)
 
+    def configure(self, name: str, settings: dict) -> None:
+        """Keep the settings of an index or replica."""
+        where = Path(self.folder) / "settings"
+        where.mkdir(parents=True, exist_ok=True)
+        (where / f"{name}.json").write_text(json.dumps(settings))
+
     def state(self) -> dict[str, dict]:
         """What the destination holds after all calls."""
         held: dict[str, dict] = {}
@@ -87,6 +93,13 @@ def push(units: DataFrame, key: str, texts: DataFrame | None, destination, writt
     return after.join(dropped.where("error is null").select(key), key, "left_anti"), report
 
 
+def configure(destination, settings: Callable[[str | None], dict], replicas: list[str]) -> None:
+    """Settings of the main index and of its replicas to a destination."""
+    destination.configure("main", settings(None))
+    for name in replicas:
+        destination.configure(name, settings(name))
+
+
 @dataclass
 class Index:
     """One search index: what builds its units, which fields it takes, where they go, and where the units are kept."""
@@ -176,8 +189,3 @@ def push_lists(theirs: DataFrame, ours: DataFrame, key: str, field_name: str, de
     calls = changed.select("crm_id", F.array().cast("array<string>").alias("fields"), record.alias("record"))
     done = written(outbox.deliver(calls, "crm_id", destination.upsert, writers=1, pause=pause), "lists-sent").select("crm_id", "error")
     return changed.join(done, "crm_id").select(key, "prior", "new", "error"), missing
-
-
-def retained(outcomes: DataFrame, outcome: Column) -> DataFrame:
-    """The rows of a report with that outcome, for a report file."""
-    return outcomes.where(F.col("outcome") == outcome)

@@ -189,6 +189,27 @@ INDEXES = {
     "videos_full": [f for f in VIDEO_UNIT if f != "pseudo_transcript"],
     "publications": [f for f in PUBLICATION_UNIT if f != "transcript"],
 }
+#: How an index searches. Attributes are searched in this order; replicas are further orders of the same units.
+SETTINGS = {
+    "searchable": ["pseudo_transcript", "description", "title", "featuring", "interviewer", "tags"],
+    "typo_tolerance": False,
+    "min_proximity": 2,
+    "facets": ["featuring", "interviewer", "show", "published_on", "tiers"],
+    "retrievable": ["id", "thumbnail", "title", "description", "featuring", "interviewer", "tiers", "show", "url", "duration", "published_on"],
+    "unretrievable": ["type", "tags", "likes", "dislikes", "product", "published_day", "n_comments", "pseudo_transcript"],
+    "ranking": ["typo", "geo", "words", "filters", "proximity", "attribute", "exact"],
+    "custom_ranking": [("published_on", False)],
+}
+#: Replica -> (field, whether ascending), which goes before the ranking.
+REPLICAS = {"date_descending": ("published_on", False), "date_ascending": ("published_on", True), "likes_descending": ("likes", False), "suggestions": ("published_on", False)}
+
+
+def index_settings(name: str | None = None) -> dict:
+    """The settings of the main index, or of a replica: the same, with the replica's order before the ranking."""
+    if name is None:
+        return dict(SETTINGS)
+    field, up = REPLICAS[name]
+    return {**{k: v for k, v in SETTINGS.items() if k != "custom_ranking"}, "ranking": [("asc" if up else "desc", field), *SETTINGS["ranking"]]}
 
 
 def video_units(videos: DataFrame, *, shows: DataFrame, guests: DataFrame, stats: DataFrame, texts: DataFrame, summaries: DataFrame, url_prefix: str, tiers: dict[str, list[str]], ignorable: tuple[str, ...] = (), placeholder: str | None = None) -> DataFrame:

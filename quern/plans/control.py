@@ -133,3 +133,9 @@ def main(arguments: list[str], run_once: Callable[[int], object] | None = None)
     else:
         raise SystemExit(f"unknown command {command}")
     return f"jobs={control.get('jobs')} everything={control.get('everything')}"
+
+
+if __name__ == "__main__":
+    import sys
+
+    print(main(sys.argv[1:]))

@@ -60,7 +60,7 @@ v as (select o.*, o_orderkey % 30 sid, a.c_custkey g1, b.c_custkey g2, i.c_custk
 @query(
     "crm_record",
     f"""with {_STATS_SQL}, {_PEOPLE_SQL},
-t as (select *, case when o_orderkey % 4 = 0 then 'add' when o_orderkey % 4 = 3 then 'older' when o_orderkey % 4 = 1 and (o_orderkey % 13 = 0 or o_orderkey % 17 = 0 or o_orderkey % 19 = 0) then 'update' when o_orderkey % 4 = 1 then 'none' else 'update' end act,
+t as (select *, case when o_orderkey % 4 = 0 then 'add' when o_orderkey % 4 = 3 then 'older' when o_orderkey % 4 = 1 and (o_orderkey % 13 = 0 or o_orderkey % 19 = 0 or (o_orderkey % 17 = 0 and o_orderkey in (select l_orderkey from c))) then 'update' when o_orderkey % 4 = 1 then 'none' else 'update' end act,
   case when o_orderkey % 14 = 0 then 'Late' else n_name end shown from v),
 k as (select *, case when shown is null or length(shown) % 2 = 1 then '' else 'show-' || shown end crm_show from t)
 select o_orderkey::varchar id, act "action", case when w then crm_show end "show", case when w then case when g1 is null or g2 is null then '' else 'rec' || g1 || '|rec' || g2 end end featuring,

@@ -139,6 +139,20 @@ def test_crm_push(spark, tmp_path):
         delivery.push_crm(broken, remote, target, scratch.written, pause=0)
 
 
+def test_index_settings(tmp_path):
+    target = delivery.FileDestination(str(tmp_path / "index"))
+    delivery.configure(target, records.index_settings, list(records.REPLICAS))
+    read = lambda name: json.loads((tmp_path / "index" / "settings" / f"{name}.json").read_text())
+    assert read("main")["searchable"][0] == "pseudo_transcript" and read("main")["custom_ranking"] == [["published_on", False]]
+    assert read("likes_descending")["ranking"][0] == ["desc", "likes"] and "custom_ranking" not in read("date_ascending") and target.state() == {}
+
+
+def test_whole_publications(spark):
+    f = spark.createDataFrame([("a", "f1", 3), ("b", "f2", 1)], "product string, file string, n long")
+    assert pull.whole_publications(f, ["a", "b"]) and not pull.whole_publications(f, ["a", "c"])
+    assert not pull.whole_publications(f.unionAll(f.limit(1)), ["a"])
+
+
 def test_push_lists(spark, tmp_path):
     theirs = spark.createDataFrame([("A", "r1", ["x"]), ("B", "r2", [])], "key string, crm_id string, subjects array<string>")
     ours = spark.createDataFrame([("A", ["x", "y"]), ("B", None), ("C", ["z"])], "key string, subjects array<string>")
