@@ -305,7 +305,8 @@ def gathered(parts: DataFrame, step, finish=None) -> list:
         grouped = parts.withColumn("of", F.pmod(F.spark_partition_id(), F.lit(groups))).repartition(SLICES * groups, "slice", "of")
         parts = grouped.select("slice", "data").mapInArrow(step, "slice int, data binary")
     step = freed(step)
-    merged = parts.repartition(SLICES, "slice").mapInArrow(step, "slice int, data binary")
+    at_once = min(SLICES, max(4, parts.sparkSession.sparkContext.defaultParallelism))
+    merged = parts.repartition(at_once, "slice").mapInArrow(step, "slice int, data binary")
     return (merged.mapInArrow(finish, "slice int, data binary") if finish else merged).collect()
 
 
