@@ -172,9 +172,10 @@ class Graph:
         self.size = self.nodes.count()
         self.degree = degree
         self.edges = self._start(group, starts)
+        self.news = self.size * degree
         for _ in range(rounds):
-            self.edges, news = self._improve(pairs)
-            if news <= 0.02 * self.size * degree:
+            self.edges, self.news = self._improve(pairs)
+            if self.news <= 0.02 * self.size * degree:
                 break
 
     def _best(self, edges: DataFrame) -> DataFrame:
@@ -199,7 +200,8 @@ class Graph:
         e = self.edges
         back = e.select(F.col("b").alias("c"), F.col("a").alias("u"), "fresh").withColumn("k", F.row_number().over(Window.partitionBy("c").orderBy(F.desc("fresh"), F.xxhash64("u")))).where(F.col("k") <= self.degree).drop("k")
         around = e.select(F.col("a").alias("c"), F.col("b").alias("u"), "fresh").unionAll(back)
-        around = around.withColumn("any", F.max("fresh").over(Window.partitionBy("c"))).where(F.col("any") == 1).drop("any")  # else nothing is new there
+        if self.news < 0.3 * self.size * self.degree:  # many centres have nothing new around them
+            around = around.join(around.where("fresh = 1").select("c").distinct(), "c", "left_semi")
         worst = e.groupBy("a").agg(F.when(F.count("*") >= self.degree, F.min("s")).otherwise(F.lit(-2.0).cast("float")).alias("worst"))
         known = self.nodes.join(worst, F.col("node") == F.col("a"), "left").select("node", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"), "v")
         rows = around.join(known, F.col("u") == F.col("node")).select("c", "u", "fresh", "worst", "v")
@@ -209,7 +211,7 @@ class Graph:
         release(e.sparkSession)
         return merged, merged.where("fresh = 1").count()
 
-    def search(self, queries: DataFrame, *, beam: int = 320, expand: int = 32, rounds: int = 100, entries: int = 8, answer: int = 16) -> DataFrame:
+    def search(self, queries: DataFrame, *, beam: int = 320, expand: int = 64, rounds: int = 100, entries: int = 8, answer: int = 16) -> DataFrame:
         """(query, node, s): the `answer` best nodes for each (query, v, start) row, start being its own node or null. A search ends
         when all of its beam is expanded; `rounds` only bounds what cannot happen, as a round expands at least one node of a query."""
         both = stash(self.edges.select("a", "b").unionAll(self.edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "adjacent")
