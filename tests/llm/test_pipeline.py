@@ -4,8 +4,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
-
 import corpus_pipeline
 from quern.llm import quality_model, sentencepiece_bpe
 from tests.llm.test_operators import WORD, lines_of, linked_components, minimax, plain_stats
@@ -126,11 +124,3 @@ def test_pipeline_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.count() == 0 and out.columns == [x.split()[0] for x in KIND.split(", ")] + ["pieces"]
-
-
-def test_run_is_the_stages_in_turn(spark):
-    out = corpus_pipeline.run(spark, SMALL)
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    assert out.columns == [*docs.columns, "pieces"] and 0 < out.count() <= 3 * docs.count()
-    assert out.select("doc_id").distinct().join(docs, "doc_id", "left_anti").count() == 0
-    assert out.where((F.size("pieces") == 0) & (F.col("text") != "")).count() == 0
