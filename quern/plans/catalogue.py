@@ -136,10 +136,9 @@ def phrase_snippets(spark, sf_dir):
 
 
 @query("phrase_report", f"""with {_HITS_SQL} select l.doc_id, l.quality, case when d.doc_id is null then 'no text' when h.pos is null then 'not found' else 'found' end outcome, h.pos, h.snippet
-from labels l left join (select doc_id from documents where lang = 'en') d using (doc_id) left join hits h on h.doc_id = d.doc_id""")
+from labels l left join (select doc_id from documents) d using (doc_id) left join hits h on h.doc_id = d.doc_id""")
 def phrase_report(spark, sf_dir):
-    english = table(spark, sf_dir, "documents").where("lang = 'en'")
-    return analytics.phrase_report(table(spark, sf_dir, "labels").select("doc_id", "quality"), english, PHRASE)
+    return analytics.phrase_report(table(spark, sf_dir, "labels").select("doc_id", "quality"), docs(spark, sf_dir), PHRASE)
 
 
 @query("sorted_char_hash", "select doc_id, sha256(array_to_string(list_sort(string_split(text, '')), '')) hash from documents")

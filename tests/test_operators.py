@@ -222,6 +222,13 @@ def test_snippets(spark):
     assert spark.createDataFrame([(None,)], "t string").select(analytics.T.snippets(F.col("t"), "the").alias("s")).first().s == []
 
 
+def test_phrase_report_has_three_outcomes(spark):
+    d = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id int, title string")
+    t = spark.createDataFrame([(1, "say the word"), (2, "nothing")], "doc_id int, text string")
+    got = rows(analytics.phrase_report(d, t, "the", 3))
+    assert got == [(1, "a", "found", 0, "ay the wo"), (2, "b", "not found", None, None), (3, "c", "no text", None, None)]
+
+
 def test_checks(spark):
     index = spark.createDataFrame([("a",), ("b",)], "id string")
     payloads = spark.createDataFrame([("b",), ("c",)], "id string")
