@@ -129,6 +129,41 @@ def test_components_of_a_path(spark):
     assert {(r.node, r.label) for r in common.components(edges).collect()} == {(k, 0) for k in range(61)} | {(100, 100), (101, 100)}
 
 
+def test_filters_merged_in_one_or_two_steps(spark, monkeypatch):
+    rng = np.random.RandomState(7)
+    docs_ = [np.unique(rng.randint(0, 3000, 40)).astype(np.uint64) for _ in range(120)]
+    seen = Counter(h for d in docs_ for h in d.tolist())
+    rows = spark.createDataFrame([(d.tolist(),) for d in docs_], "hashes array<long>").repartition(9)
+    bits = 1 << 14
+
+    def filters(batches):
+        f = common.TwiceFilter(bits, 100)
+        for batch in batches:
+            for x in batch.column(0):
+                f.add(common.mix(x.values.to_numpy().astype(np.uint64)))
+        yield f.slices()
+
+    found = []
+    for most in (256, 2):
+        monkeypatch.setattr(common, "MERGE_AT_ONCE", most)
+        twice = common.merged_twice(rows.mapInArrow(filters, "slice int, data binary"), bits)
+        hit = common.in_bloom(twice, common.mix(np.arange(3000).astype(np.uint64)))
+        assert all(hit[h] for h, n in seen.items() if n > 1) and 0 < (~hit).sum()
+        ids = common.id_filter(spark.range(0, 5000, 7).repartition(5).select("id"), 1 << 16)
+        inside = common.in_filter(np.arange(5000), ids)
+        assert inside[::7].all() and inside.sum() < 1200
+        found.append((hit.tolist(), inside.tolist()))
+    assert found[0][1] == found[1][1]
+
+
+def test_hot_keys_are_joined_whole(spark, monkeypatch):
+    rows = spark.range(30_000).select(F.when(F.col("id") < 15_000, 1).otherwise(F.col("id") % 3000).alias("k"), "id")
+    table = rows.where("k <> 5").groupBy("k").agg(F.count("*").alias("held"), F.min("id").alias("least"))
+    out = common.split_join(rows, table, "k", "held")
+    assert out.count() == rows.where("k <> 5").count() and out.where("k = 1").select("least").distinct().count() == 1
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().toString()
+
+
 # ---- 2 ----
 
 
