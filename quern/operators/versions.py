@@ -22,6 +22,8 @@ class Versions:
         self.spark, self.folder, self.buckets = spark, folder.rstrip("/"), buckets
         self._jvm = spark._jvm
         self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
+        if self.version():  # the number of buckets is settled by the first commit
+            self.buckets = self.manifest()["facts"].get("buckets", buckets)
 
     def _path(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
@@ -89,7 +91,7 @@ class Versions:
         for name, rows in (logs or {}).items():
             m["schemas"].setdefault(name, json.loads(rows.schema.json()))
             m["logs"].setdefault(name, []).extend(self._write(rows.withColumn("__bucket", F.lit(0))).values())
-        m["facts"].update(facts or {})
+        m["facts"].update({"buckets": self.buckets, **(facts or {})})
         return self._publish(m)
 
     def _write(self, rows: DataFrame) -> dict[str, str]:

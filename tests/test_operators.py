@@ -132,6 +132,7 @@ def test_only_touched_buckets_are_written_again(spark, tmp_path):
     before = s.versions.manifest()["buckets"]["rows"]
     s.sync(spark.createDataFrame([(3, "b")], "k long, v string"), now=2, full=False)
     after = s.versions.manifest()["buckets"]["rows"]
+    assert Store(spark, f"file://{tmp_path}/store", "k", ["v"], buckets=3).versions.buckets == 8
     assert sum(before[b] != after[b] for b in before) == 1 and s.read().count() == 200
     assert s.sync(spark.createDataFrame([(3, "b")], "k long, v string"), now=3, full=False)["none"] >= 1 and s.version() == 2
 
