@@ -339,6 +339,26 @@ def in_slices(array: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())], ["slice", "data"])
 
 
+class Compressed:
+    """Pickled with its arrays compressed: a broadcast lies in a file of every executor until that collects garbage, and filters
+    that are large for an input are mostly zeros."""
+
+    def __getstate__(self) -> dict:
+        return {k: (_PACK.compress(v.tobytes(), asbytes=True), v.dtype.str, v.nbytes) if isinstance(v, np.ndarray) else v for k, v in self.__dict__.items()}
+
+    def __setstate__(self, state: dict) -> None:
+        for k, v in state.items():
+            packed = isinstance(v, tuple) and len(v) == 3 and isinstance(v[0], bytes)
+            setattr(self, k, np.frombuffer(_PACK.decompress(v[0], v[2], asbytes=True), v[1]) if packed else v)
+
+
+class Bits(Compressed):
+    """An array to broadcast."""
+
+    def __init__(self, array: np.ndarray):
+        self.array = array
+
+
 def set_bits(array: np.ndarray, at: np.ndarray) -> None:
     """Set bits at positions given in any order."""
     if not len(at):

@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICES, TwiceFilter, components, discard, few, freed, groups_of, id_filter, in_bloom, in_filter, in_slices, merged_slices, merged_twice, mix, release, shingle_sets, small_batches, split_join, stash
+from .common import SLICES, Bits, Compressed, TwiceFilter, components, discard, few, freed, groups_of, id_filter, in_bloom, in_filter, in_slices, merged_slices, merged_twice, mix, release, shingle_sets, small_batches, split_join, stash
 
 SEEDS = tuple(np.uint64(x) for x in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
@@ -83,7 +83,7 @@ def _sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(a.astype(np.uint32) + b, 65_535).astype(np.uint16)
 
 
-class Order:
+class Order(Compressed):
     """A token's class, which is first in all global orders: 0 for tokens that the twice filter lacks, 1 for cells of the sketch at
     or below the mean count, rising with the logarithm of the excess."""
 
@@ -115,7 +115,7 @@ def prefix(keys: np.ndarray, percent: int) -> np.ndarray:
 SIGNATURE = "doc_id long, n long, p1 array<long>, p2 array<smallint>, p3 array<smallint>"
 
 
-class Skip:
+class Skip(Compressed):
     """Tells rows apart whose set a smaller document has: in the first bit set and not in the second, which holds what the first
     one wrongly has. A row that it lets through by mistake is a further node, no error."""
 
@@ -170,7 +170,7 @@ def _shared_tokens(twice_b):
             tokens, lengths = batch.column(2).flatten().to_numpy(zero_copy_only=False), np.diff(batch.column(2).offsets.to_numpy())
             row = np.repeat(np.arange(len(lengths)), lengths)
             place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            hit = in_bloom(twice_b.value, tokens.view(np.uint64))
+            hit = in_bloom(twice_b.value.array, tokens.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(tokens[hit]), batch.column(0).take(pa.array(row[hit])), batch.column(1).take(pa.array(row[hit])), pa.array(place[hit])], ["token", "doc", "n", "pos"])
 
     return run
@@ -188,7 +188,7 @@ def _sets(wanted_b, size: int, short: bool):
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            rows = np.flatnonzero(in_filter(ids, wanted_b.value))
+            rows = np.flatnonzero(in_filter(ids, wanted_b.value.array))
             part = batch.take(pa.array(rows))
             for first, texts in groups_of(part.column(1)):
                 tokens, bounds = shingle_sets(texts, size)
@@ -323,12 +323,14 @@ class Join:
         self.equal = stash(live.groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("held")), "equal-sets")
         self.placed = stash(split_join(live.select("doc_id", "key", "print"), self.equal, "print", "held").select("doc_id", "key", "rep"), "placed")
         copies = id_filter(self.placed.where("doc_id <> rep").select("key"), 1 << 26)
+        copies_b = self.spark.sparkContext.broadcast(Bits(copies))
 
         def maybe(batches):
             for batch in batches:
-                yield batch.filter(pa.array(in_filter(batch.column(0).to_numpy(zero_copy_only=False), copies), pa.bool_()))
+                yield batch.filter(pa.array(in_filter(batch.column(0).to_numpy(zero_copy_only=False), copies_b.value.array), pa.bool_()))
 
         wrong = id_filter(self.placed.where("doc_id = rep").select("key").mapInArrow(maybe, "key long"), 1 << 23)
+        copies_b.unpersist()
         skip = self.spark.sparkContext.broadcast(Skip(copies, wrong))
         known = self.docs.where("doc_id is not null").mapInArrow(freed(_signatures(self.order, skip, self.size, self.percent)), SIGNATURE)
         self.signatures = stash(known.where("n > 0"), "signatures")
@@ -346,7 +348,7 @@ class Join:
         smallest of them as struct(doc, n, pos)."""
         lists = self.signatures.select("doc_id", "n", "p1")
         twice = merged_twice(few(lists.select("p1")).mapInArrow(freed(_prefix_filter(self.filter_bits)), "slice int, data binary"), self.filter_bits)
-        wanted = self.spark.sparkContext.broadcast(twice)
+        wanted = self.spark.sparkContext.broadcast(Bits(twice))
         tokens = stash(lists.mapInArrow(freed(_shared_tokens(wanted)), "token long, doc long, n long, pos long"), "prefix-tokens")
         wanted.unpersist()
         group = tokens.groupBy("token").agg(F.min(F.struct("doc", "n", "pos")).alias("least"), F.max("doc").alias("last"), F.count("*").alias("held"))
@@ -364,7 +366,7 @@ class Join:
 
     def sets(self, ids: DataFrame, short: bool = False) -> DataFrame:
         """(doc, tokens) of the documents whose id is in the only column of ids, and of a few more that the joins drop."""
-        wanted = self.spark.sparkContext.broadcast(id_filter(ids, 1 << 26))
+        wanted = self.spark.sparkContext.broadcast(Bits(id_filter(ids, 1 << 26)))
         out = stash(self.docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(freed(_sets(wanted, self.size, short)), "doc long, tokens binary"), "sets")
         wanted.unpersist()
         return out

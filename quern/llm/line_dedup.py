@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwiceFilter, discard, few, freed, in_bloom, merged_twice, small_batches, split_join, stash
+from .common import Bits, TwiceFilter, discard, few, freed, in_bloom, merged_twice, small_batches, split_join, stash
 
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -57,7 +57,7 @@ def digest(key: bytes) -> bytes:
 
 def _suspects(filter_b, min_chars: int):
     def run(batches):
-        twice = filter_b.value
+        twice = filter_b.value.array
         for batch in batches:
             ids, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -97,7 +97,7 @@ def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, bi
     """(doc_id, keys): the digests of the lines that the document loses."""
     spark = docs.sparkSession
     small_batches(spark)
-    filter_b = spark.sparkContext.broadcast(twice_filter(docs, id_col, text_col, min_chars, bits))
+    filter_b = spark.sparkContext.broadcast(Bits(twice_filter(docs, id_col, text_col, min_chars, bits)))
     known = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col))
     suspects = stash(known.mapInArrow(freed(_suspects(filter_b, min_chars)), "doc_id long, key binary"), "line-suspects")
     filter_b.unpersist()

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from .common import id_filter, in_filter, shingle_hashes, small_batches, stash, texts_of, word_hashes
+from .common import Bits, id_filter, in_filter, shingle_hashes, small_batches, stash, texts_of, word_hashes
 
 STATS = ("log_words", "word_bytes", "symbols", "upper", "digits", "punctuation", "high_bytes", "line_bytes", "line_repeats", "window_repeats", "distinct_words", "top_word", "marked_words", "long_words", "blank", "exclaim")
 
@@ -204,11 +204,11 @@ def accepted(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="t
     documents that may have a label (a bit set of fixed size tells), those of the others only once, for their score."""
     spark = docs.sparkSession
     known = id_filter(labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long")), 1 << 26)
-    wanted = spark.sparkContext.broadcast(known)
+    wanted = spark.sparkContext.broadcast(Bits(known))
 
     def maybe(batches):
         for batch in batches:
-            hit = in_filter(batch.column(0).to_numpy(zero_copy_only=False), wanted.value)
+            hit = in_filter(batch.column(0).to_numpy(zero_copy_only=False), wanted.value.array)
             yield batch.filter(pa.array(hit))
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, small_batches
+from .common import Compressed, mix, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NEVER = 1 << 60
@@ -52,7 +52,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _encoders: dict = {}
 
 
-class Vocabulary:
+class Vocabulary(Compressed):
     """What encoding and decoding need of a model: piece to id, piece to rank, id to bytes."""
 
     def __init__(self, path: str):
@@ -94,6 +94,10 @@ class Vocabulary:
         self.pattern = (f"{lone}|" if lone else "") + rf" *[^ {lone}{w}]*[{w}]*(?:[^ {w}{m}][^ {lone}{w}]*[{w}]*)*"
 
 
+    def __setstate__(self, state: dict) -> None:
+        super().__setstate__(state)
+        self.symbol_of = self.symbol_of.copy()  # new characters are entered
+
     def _prepare(self) -> None:
         """Numbers for symbols (pieces by their ids, further characters behind them) and a hash table of the merges of two."""
         self.symbols, self.spelled = dict(self.ids), {}

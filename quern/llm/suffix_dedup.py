@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _PACK, SLICES, TwiceFilter, _merge_twice, few, freed, gathered, in_bloom, merged_twice, mix, only_twice, small_batches, stash, texts_of, twice_of
+from .common import _PACK, SLICES, Compressed, TwiceFilter, _merge_twice, few, freed, gathered, in_bloom, merged_twice, mix, only_twice, small_batches, stash, texts_of, twice_of
 
 GRAM = 24
 SEGMENT = 1 << 18
@@ -157,7 +157,7 @@ def _merge_counted(batches):
         yield pa.RecordBatch.from_arrays([pa.array([SLICES], pa.int32()), pa.array([often.keys.tobytes() + often.counts.tobytes()], pa.binary())], ["slice", "data"])
 
 
-class Suspects:
+class Suspects(Compressed):
     """What two documents may share: grams, and for frequent grams the strings around their anchors. Sizes are parameters."""
 
     def __init__(self, grams: np.ndarray, hot: np.ndarray):
