@@ -39,6 +39,7 @@ class Setting:
     most_publication_deletions: int = 5
     new_for_days: int = 14
     pause: float = 0.2
+    buckets: int = 16
 
 
 class Run:
@@ -51,13 +52,13 @@ class Run:
         fields = lambda f: [c for c in f if c != "id"]
         self.pulls = pull.Pulls(spark, at("pulls"), site)
         self.paging = Versions(spark, at("paging"), 1)
-        self.videos = Store(spark, at("videos"), "id", fields(files.VIDEO_FIELDS), created="published_on")
-        self.publications = Store(spark, at("publications"), "id", fields(files.PUBLICATION_FIELDS), created="published_on")
-        self.stats = Store(spark, at("comment-stats"), "id", ["n_comments", "n_replies", "likes", "dislikes"])
-        self.transcripts = texts.TextStore(spark, at("transcripts"), "id", "string")
-        self.full_texts = texts.TextStore(spark, at("full-texts"), "id", "string")
-        self.crm_local = Versions(spark, at("crm-records"))
-        self.units = {name: Versions(spark, at(f"units-{name}")) for name in records.INDEXES}
+        self.videos = Store(spark, at("videos"), "id", fields(files.VIDEO_FIELDS), created="published_on", buckets=setting.buckets)
+        self.publications = Store(spark, at("publications"), "id", fields(files.PUBLICATION_FIELDS), created="published_on", buckets=setting.buckets)
+        self.stats = Store(spark, at("comment-stats"), "id", ["n_comments", "n_replies", "likes", "dislikes"], buckets=setting.buckets)
+        self.transcripts = texts.TextStore(spark, at("transcripts"), "id", "string", buckets=setting.buckets)
+        self.full_texts = texts.TextStore(spark, at("full-texts"), "id", "string", buckets=setting.buckets)
+        self.crm_local = Versions(spark, at("crm-records"), setting.buckets)
+        self.units = {name: Versions(spark, at(f"units-{name}"), setting.buckets) for name in records.INDEXES}
         dim = lambda table, columns, key: pull.Snapshots(spark, at("crm"), site, table, columns, key)
         self.guests = dim("guests", ["name", "id", "subjects"], "name")
         self.crm_shows = dim("shows", ["name", "id", "site_name"], "site_name")

@@ -215,7 +215,7 @@ def make_site(tmp_path, n=10, drop=()):
 
 
 def make_run(spark, tmp_path, site, now, **options):
-    setting = Setting(f"file://{tmp_path}/state", ["tv"], ["tv"], {"tv": ["ESSENTIAL"]}, video_url="http://v/", publication_url="http://p/", pause=0.0)
+    setting = Setting(f"file://{tmp_path}/state", ["tv"], ["tv"], {"tv": ["ESSENTIAL"]}, video_url="http://v/", publication_url="http://p/", pause=0.0, buckets=2)
     sinks = {name: delivery.FileDestination(str(tmp_path / name)) for name in records.INDEXES}
     crm = delivery.FileDestination(str(tmp_path / "crm"))
     return Run(spark, setting, site, crm, sinks, control.Control(str(tmp_path / "control.json")), now=lambda: now, **options), crm, sinks
