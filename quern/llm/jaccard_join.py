@@ -16,8 +16,9 @@ large ones (of one smallest holder together) are dealt into blocks, every two bl
 intersected there too, and only links that join components leave it. That compares all pairs of a large group that are not linked
 yet, but moves each document only once for each block of the group.
 
-Filters and sketch have 2^filter_bits bits and 2^sketch_bits counters (16 MB each in a task) whatever the input. Raise them with
-the corpus: what they cannot tell apart any more gives more candidates, never fewer. Tokens, sets and documents that more than
+The filters over all tokens have filter_bits bits (32 MB each), those over prefix tokens half as many, the sketch 2^sketch_bits counters
+(4 MB), whatever the input. Raise filter_bits with the corpus: it should not be far below the number of tokens, as what a
+filter cannot tell apart any more gives more candidates, never fewer. Tokens, sets and documents that more than
 1 / 2048 of the rows share are joined by broadcast (`common.split_join`).
 
 Defined cases: a document with fewer words than size has one shingle, its whole sequence; null, empty and blank texts have
@@ -306,7 +307,7 @@ class Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, filter_bits: int, sketch_bits: int, split_above: int, block: int, block_tokens: int):
         self.spark = docs.sparkSession
         small_batches(self.spark)
-        self.size, self.percent, self.split_above, self.block, self.block_tokens, self.filter_bits = size, percent, split_above, block, block_tokens, filter_bits
+        self.size, self.percent, self.split_above, self.block, self.block_tokens, self.filter_bits = size, percent, split_above, block, block_tokens, max(4096, filter_bits // 2)
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
         facts = stash(few(self.docs).mapInArrow(freed(_facts(size, filter_bits, sketch_bits)), FACTS), "facts")
         parts = facts.where("slice is not null").select("slice", "data")
@@ -344,15 +345,18 @@ class Join:
         return (100 * F.least(n, m) >= self.percent * F.greatest(n, m)) & ((100 + self.percent) * F.least(n - pos, m - place) >= self.percent * (n + m))
 
     def holders(self) -> DataFrame:
-        """(token, doc, n, pos, least, held): holders of each order-one prefix token that at least two nodes hold; least is the
-        smallest of them as struct(doc, n, pos)."""
+        """(token, doc, n, pos, least, held): holders of each order-one prefix token that at least two nodes hold, where places and
+        sizes leave room for a link; least is the smallest of them as struct(doc, n, pos)."""
         lists = self.signatures.select("doc_id", "n", "p1")
         twice = merged_twice(few(lists.select("p1")).mapInArrow(freed(_prefix_filter(self.filter_bits)), "slice int, data binary"), self.filter_bits)
         wanted = self.spark.sparkContext.broadcast(Bits(twice))
         tokens = stash(lists.mapInArrow(freed(_shared_tokens(wanted)), "token long, doc long, n long, pos long"), "prefix-tokens")
         wanted.unpersist()
-        group = tokens.groupBy("token").agg(F.min(F.struct("doc", "n", "pos")).alias("least"), F.max("doc").alias("last"), F.count("*").alias("held"))
-        shared = stash(group.where("least.doc < last").drop("last"), "shared-tokens")
+        early = (100 + self.percent) * (F.col("n") - F.col("pos")) >= 2 * self.percent * F.col("n")  # of a pair the smaller set must hold it so
+        whole = F.struct("doc", "n", "pos")
+        group = tokens.groupBy("token").agg(F.min(whole).alias("least"), F.max(whole).alias("last"), F.count("*").alias("held"), F.max(early).alias("early"))
+        useful = (F.col("held") > 2) | self.fits("least.n", "least.pos", "last.n", "last.pos")
+        shared = stash(group.where("least.doc < last.doc and early").where(useful).drop("last", "early"), "shared-tokens")
         out = stash(split_join(tokens, shared, "token", "held"), "holders")
         discard(tokens, shared)
         release(self.spark)
@@ -442,7 +446,7 @@ def row_key(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
 
 
-def joined(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, filter_bits: int = 1 << 27, sketch_bits: int = 24, split_above: int = 12, block: int = 128, block_tokens: int = 1 << 20) -> Join:
+def joined(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, filter_bits: int = 1 << 28, sketch_bits: int = 22, split_above: int = 12, block: int = 128, block_tokens: int = 1 << 20) -> Join:
     return Join(docs, id_col, text_col, size, percent, filter_bits, sketch_bits, split_above, block, block_tokens)
 
 
