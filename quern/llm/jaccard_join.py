@@ -16,7 +16,7 @@ large ones (of one smallest holder together) are dealt into blocks, every two bl
 intersected there too, and only links that join components leave it. That compares all pairs of a large group that are not linked
 yet, but moves each document only once for each block of the group.
 
-The filters over all tokens have filter_bits bits (32 MB each), those over prefix tokens half as many, the sketch 2^sketch_bits counters
+The filters over all tokens, and those over prefix tokens, have filter_bits bits (32 MB each), the sketch 2^sketch_bits counters
 (4 MB), whatever the input. Raise filter_bits with the corpus: it should not be far below the number of tokens, as what a
 filter cannot tell apart any more gives more candidates, never fewer. Tokens, sets and documents that more than
 1 / 2048 of the rows share are joined by broadcast (`common.split_join`).
@@ -307,7 +307,7 @@ class Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, filter_bits: int, sketch_bits: int, split_above: int, block: int, block_tokens: int):
         self.spark = docs.sparkSession
         small_batches(self.spark)
-        self.size, self.percent, self.split_above, self.block, self.block_tokens, self.filter_bits = size, percent, split_above, block, block_tokens, max(4096, filter_bits // 2)
+        self.size, self.percent, self.split_above, self.block, self.block_tokens, self.filter_bits = size, percent, split_above, block, block_tokens, filter_bits
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
         facts = stash(few(self.docs).mapInArrow(freed(_facts(size, filter_bits, sketch_bits)), FACTS), "facts")
         parts = facts.where("slice is not null").select("slice", "data")
