@@ -17,7 +17,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -62,11 +62,11 @@ def _clear() -> None:
             return
 
 
-def stash(df: DataFrame, name: str, *, files: int | None = None) -> DataFrame:
+def stash(df: DataFrame, name: str, *, files: int | None = None, codec: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and lost executors cost nothing."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    (df.coalesce(files) if files else df).write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out._quern_path = path
     return out
@@ -79,6 +79,19 @@ def discard(*stashed: DataFrame) -> None:
         _made.remove((df.sparkSession, df._quern_path))
 
 
+def in_order(rows: DataFrame, *order) -> DataFrame:
+    """rows, which must come from files, with `place`: from 0, in this order of all rows.
+
+    Sorted by range and written; a place is the first of its task and the number in it. Rows that are alike are told apart by
+    where they lie, so no value of the order is too frequent for a task."""
+    salted = rows.withColumn("__at", F.monotonically_increasing_id())
+    ordered = salted.repartitionByRange(*order, "__at").sortWithinPartitions(*order, "__at").drop("__at")
+    ordered = stash(ordered.withColumn("__at", F.monotonically_increasing_id()), "in-order").withColumn("__task", F.shiftright("__at", 33))
+    tasks = ordered.groupBy("__task").agg(F.count("*").alias("__held"))
+    starts = tasks.select("__task", (F.sum("__held").over(Window.orderBy("__task")) - F.col("__held")).alias("__start"))
+    return ordered.join(starts, "__task").select(*rows.columns, (F.col("__start") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).alias("place"))
+
+
 def few(df: DataFrame) -> DataFrame:
     """The rows in at most a few partitions a core, without a shuffle: for tasks that each give out a structure of fixed size."""
     return df.coalesce(max(32, 4 * df.sparkSession.sparkContext.defaultParallelism))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, license_scan, line_dedup, mixing, neighbour_graph, quality_model, quality_rules, sentencepiece_bpe, suffix_dedup, warc
+from . import fill_middle, importance, jaccard_join, license_scan, line_dedup, mixing, neighbour_graph, quality_model, quality_rules, sentencepiece_bpe, sharding, suffix_dedup, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -183,3 +183,89 @@ select d.doc_id, n n_bytes, coalesce(n_removed, 0)::bigint n_removed, coalesce(n
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+#: CRC-32 of a string's UTF-8 bytes, as the reflected polynomial prescribes; the table of 256 is made by its rule.
+CRC_TABLE = "table8 as (select list(list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n) order by n) t8 from (select unnest(range(256)) n))"
+
+
+def crc32_sql(text: str) -> str:
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, t8[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295)"
+
+
+@query(
+    "op11_sharding",
+    f"""
+with {CRC_TABLE},
+d as (select doc_id, source, coalesce('=' || source, '~') k, coalesce(text, '') t, octet_length(encode(coalesce(text, '')))::bigint + 8 size,
+             ('0x' || substr(md5('shard:' || coalesce(doc_id::varchar, '~' || coalesce(text, ''))), 1, 15))::bigint h from documents),
+c as (select d.*, {crc32_sql("t")} text_crc32 from d, table8),
+r as (select *, row_number() over (partition by k order by h, doc_id nulls first, text_crc32) - 1 rank, count(*) over (partition by k) n from c),
+f as (select *, (rank::double + ('0x' || substr(md5('shard-phase:' || k), 1, 13))::bigint::double / 4503599627370496::double) / n::double fraction from r),
+p as (select *, row_number() over (order by fraction, k) - 1 place, count(*) over () total from f),
+s as (select *, (place * 24) // total shard from p)
+select doc_id, size, text_crc32, 'rows' law, shard::int shard, place - (shard * total + 23) // 24 slot, null::int grown_shard from s
+""",
+)
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.interleaved(table(spark, sf_dir, "documents"), 24)
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"),
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query(
+    "op12_fill_middle",
+    r"""
+with d as (select doc_id, coalesce(text, '') t, sha256('42:' || coalesce(doc_id::varchar, '')) h from documents),
+w as (select doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') u, ('0x' || h[1:8])::bigint h1, ('0x' || h[9:16])::bigint h2, ('0x' || h[17:24])::bigint h3, ('0x' || h[25:32])::bigint h4 from d),
+c as (select *, len(u) n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) b,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50 then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end form from w),
+p as (select doc_id, t, n, form, array_to_string(u[:a], '') prefix, array_to_string(u[a + 1:b], '') middle, array_to_string(u[b + 1:], '') suffix from c),
+o as (select *, case form when 'plain' then t when 'spm' then '<S>' || suffix || '<P>' || prefix || '<M>' || middle else '<P>' || prefix || '<S>' || suffix || '<M>' || middle end output from p)
+select doc_id, n::bigint n, form, case when form <> 'plain' then length(prefix) end::bigint prefix_chars, case when form <> 'plain' then length(middle) end::bigint middle_chars, sha256(output) output_sha256, sha256(t) restored_sha256 from o
+""".replace(chr(92) * 2, chr(92)),
+)
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.transformed(table(spark, sf_dir, "documents"))
+    digest = lambda x: F.sha2(x.cast("binary"), 256)
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(again).alias("restored_sha256"))
+
+
+def _runs_sql(name: str, rows: str) -> str:
+    """name(doc_id, m, f): the runs of one to three words, one row each."""
+    words = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".replace(chr(92) * 2, chr(92)).format(LOWER.format("coalesce(text, '')"))
+    return f"""{name}_w as (select *, {words} ws from {rows}),
+{name} as (select doc_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1]), list_transform(range(1, len(ws) - 1), lambda k: ws[k] || ' ' || ws[k + 1] || ' ' || ws[k + 2]))) f from {name}_w)"""
+
+
+@query(
+    "op13_importance",
+    f"""
+with {CRC_TABLE},
+{_runs_sql("x", "documents")},
+{_runs_sql("y", "(select item_id doc_id, text from benchmark)")},
+b as (select f, {crc32_sql("f")} % 10000 bucket from (select distinct f from (select f from x union all select f from y)), table8),
+s as (select bucket, count(*) s from x join b using (f) group by bucket),
+t as (select bucket, count(*) t from y join b using (f) group by bucket),
+g as (select k.bucket, floor(1000::double * ln(((coalesce(t, 0) + 1)::double * (select count(*) + 10000 from x)::double) / ((coalesce(s, 0) + 1)::double * (select count(*) + 10000 from y)::double)))::bigint gain
+      from (select unnest(range(10000)) bucket) k left join s using (bucket) left join t using (bucket)),
+q as (select doc_id, sum(gain)::bigint weight, count(*) n_features from x join b using (f) join g using (bucket) group by doc_id),
+e as (select w.doc_id, len(ws) m, coalesce(n_features, 0)::bigint n_features, coalesce(weight, 0)::bigint weight, ('0x' || sha256('42:' || coalesce(w.doc_id::varchar, ''))[1:8])::bigint::double h from x_w w left join q using (doc_id)),
+z as (select *, weight + floor(-1000::double * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint score from e),
+r as (select doc_id, row_number() over (order by score desc, doc_id) r from z where m >= 20)
+select z.doc_id, n_features, weight, score, case when r <= (select 5 * count(*) // 100 from r) then r end::bigint rank from z left join r using (doc_id)
+""",
+)
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
