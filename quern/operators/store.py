@@ -1,7 +1,9 @@
 """Keyed record store: a versioned snapshot with change log, tombstones and tags.
 
-Snapshot, log and tombstones of a run are one commit (see `versions`), so a failed run leaves the store as it was and a repeated
-one adds nothing twice. Records are dealt to buckets by key; a run rewrites only the buckets in which something changed."""
+Snapshot, log and tombstones of a run are one commit (see `versions`), so a failed run leaves the store as it was, a repeated
+one adds nothing twice, and of two runs at the same time the second is made again or refused. Records are dealt to buckets by key.
+Changes of some records are written beside their buckets and merged when they are read; a run that changes a large part writes the
+buckets anew."""
 
 from __future__ import annotations
 
@@ -25,6 +27,17 @@ def tag_replace(tags: Column, old: str, new: str) -> Column:
     return F.when(F.array_contains(tags, old), F.array_union(F.array_remove(tags, old), F.array(F.lit(new)))).otherwise(tags)
 
 
+#: Changes of single records that are kept as such until their bucket is compacted: name -> (column, function of value and arguments).
+PATCHES = {
+    "add tag": ("tags", lambda tags, a: F.array_union(tags, a)),
+    "remove tag": ("tags", lambda tags, a: F.array_except(tags, a)),
+    "replace tag": ("tags", lambda tags, a: F.when(F.array_contains(tags, F.get(a, F.lit(0))), F.array_union(F.array_except(tags, F.slice(a, 1, 1)), F.slice(a, 2, 1))).otherwise(tags)),
+    "tags": ("tags", lambda tags, a: a),
+    "hash": ("hash", lambda hash_, a: F.get(a, F.lit(0))),
+}
+MANY = 4  # a run that changes more than one record in so many writes the buckets anew
+
+
 def tagged(rows: DataFrame, tag: str) -> DataFrame:
     return rows.where(F.array_contains("tags", tag))
 
@@ -87,7 +100,7 @@ class Store:
     def __init__(self, spark: SparkSession, folder: str, key: str, fields: list[str], *, newest_by: str | None = None, created: str | None = None, buckets: int = 16):
         self.spark, self.folder, self.key, self.fields = spark, folder.rstrip("/"), key, fields
         self.newest_by, self.created = newest_by, created
-        self.versions = Versions(spark, folder, buckets)
+        self.versions = Versions(spark, folder, buckets, patches=PATCHES)
 
     def version(self) -> int:
         """The current version; 0 before the first write."""
@@ -96,9 +109,18 @@ class Store:
     def read(self, version: int | None = None) -> DataFrame:
         return self.versions.read("rows", version)
 
+    def count(self, version: int | None = None) -> int:
+        """The number of records."""
+        return self.read(version).count()
+
+    def ids(self, version: int | None = None) -> DataFrame:
+        """The keys of the records."""
+        return self.read(version).select(self.key)
+
     def table(self, name: str) -> DataFrame | None:
         """changes or tombstones of all versions so far."""
-        return self.versions.read(name) if self.versions.has(name) else None
+        m = self.versions.manifest()
+        return self.versions.read(name, manifest=m) if name in m["schemas"] else None
 
     def entries(self, ids: DataFrame, *columns: str) -> DataFrame:
         """The records of the keys in ids (all columns, or some, such as data_updated, data_created or hash)."""
@@ -106,6 +128,7 @@ class Store:
         return rows.select(self.key, *columns) if columns else rows
 
     def write(self, rows: DataFrame, logs: dict[str, DataFrame] | None = None) -> int:
+        """Replace all records, by a writer that has read none."""
         return self.versions.commit({"rows": (rows, self.key, None)}, logs)
 
     def prepared(self, rows: DataFrame, now: int) -> DataFrame:
@@ -128,98 +151,169 @@ class Store:
         """Bring the store to rows (one a key). A pull that is not full deletes nothing, nor does one that lost too many; with
         deletable (key) only those records are deleted.
 
-        Returns the counts by operation. A record whose hash differs while its fields are equal gets the new hash and nothing else."""
+        Returns the counts by operation. A record whose hash differs while its fields are equal gets the new hash and nothing else.
+        One version is read throughout; if another run changes it meanwhile, this one ends with versions.Conflict."""
         new = self.prepared(rows, now)
-        if not self.version():
+        c = self.versions.begin()
+        if not c.at:
             if dry_run:
                 return {"add": new.count()}
-            self.write(new)
-            return {"add": self.read().count()}
-        seen = None
-        if not full:  # only the buckets of the new records are read
-            seen = [r.b for r in new.select(self.versions.bucket(self.key).alias("b")).distinct().collect()]  # at most `buckets` rows
-        old = self.versions.read("rows", buckets=seen)
+            c.replace("rows", new, self.key)
+            return {"add": self.read(c.commit()).count()}
+        seen = None if full else self.versions.touched(new, self.key)  # only the buckets of the new records are read
+        old = c.read("rows", seen)
         ops = self._planned(old, new, full)
         if deletable is not None:
             ops = cdc.only_deletable(ops, deletable, self.key)
         ops = ops.withColumn("rehash", F.coalesce((F.col("op") == "none") & (F.col("old")["hash"] != F.col("new")["hash"]), F.lit(False))).persist()
         try:
-            counts = {r.op: r.n for r in cdc.counters(ops.where("op <> 'absent'")).collect()}  # five rows
+            counted = {(r.op, r.rehash): r.n for r in ops.groupBy("op", "rehash").agg(F.count("*").alias("n")).collect()}  # six rows
+            counts: dict[str, int] = {}
+            for (op, _), n in counted.items():
+                counts[op] = counts.get(op, 0) + n
+            held = sum(counts.values())
+            counts.pop("absent", None)
             deletes = most_deletions is None or counts.get("delete", 0) <= most_deletions
             if not full or not deletes:
                 counts["delete"] = 0
-            if not dry_run:
-                self._apply(old, ops, now, deletes)
+            moved = sum(counts.get(op, 0) for op in ("add", "update", "delete")) + counted.get(("none", True), 0)
+            if moved and not dry_run:
+                self._apply(c, old, ops, now, deletes, anew=moved * MANY > held)
         finally:
             ops.unpersist()
         return counts
 
-    def _apply(self, old: DataFrame, ops: DataFrame, now: int, deletes: bool) -> None:
+    def _apply(self, c, old: DataFrame, ops: DataFrame, now: int, deletes: bool, *, anew: bool) -> None:
         moved = ops.where(F.col("rehash") | F.col("op").isin("add", "update", *(("delete",) if deletes else ())))
-        touched = [r.b for r in moved.select(self.versions.bucket(self.key).alias("b")).distinct().collect()]  # at most `buckets` rows
-        if not touched:
-            return
-        fields = [(c, t) for c, t in old.dtypes if c in self.fields]
+        fields = [(f, t) for f, t in old.dtypes if f in self.fields]
         o, n = F.col("old"), F.col("new")
         changed = n.withField("tags", o["tags"]) if self.created else n.withField("data_created", o["data_created"]).withField("tags", o["tags"])
         taken = F.when(F.col("op") == "add", n).when(F.col("op") == "update", changed).when(F.col("op") == "none", o.withField("hash", F.coalesce(n["hash"], o["hash"]))).otherwise(o)
-        own = ops.where(self.versions.bucket(self.key).isin(touched))
-        after = (own.where("op <> 'delete'") if deletes else own).select(taken.alias("r")).select("r.*").select(old.columns)
+        record = lambda some: some.select(taken.alias("r")).select("r.*").select(old.columns)
+        if anew:
+            touched = self.versions.touched(moved, self.key)
+            own = ops.where(self.versions.bucket(self.key).isin(touched))
+            c.replace("rows", record(own.where("op <> 'delete'") if deletes else own), self.key, touched)
+        else:
+            c.put("rows", record(ops.where("op = 'add'")), fresh=True)
+            c.put("rows", record(ops.where("op = 'update'")))
+            c.patch("rows", ops.where("rehash").select(self.key, F.lit("hash").alias("op"), F.array(n["hash"]).alias("arg")), ["hash"])
+            if deletes:
+                c.drop("rows", ops.where("op = 'delete'"))
         stamp = F.lit(now).cast("long").alias("ts")
-        logs = {"changes": cdc.field_changes(ops, self.key, fields).select("*", stamp)}
+        c.append("changes", cdc.field_changes(ops, self.key, fields).select("*", stamp))
         if deletes:
-            logs["tombstones"] = tombstones(ops, self.table("tombstones"), self.key).select("*", stamp)
-        self.versions.commit({"rows": (after, self.key, touched)}, logs)
+            c.append("tombstones", self._tombstones(c, ops).select("*", stamp))
+        c.commit()
+        self.versions.upkeep()
+
+    def _tombstones(self, c, ops: DataFrame) -> DataFrame:
+        return tombstones(ops, c.read("tombstones") if c.has("tombstones") else None, self.key)
 
     def put(self, rows: DataFrame, *, now: int) -> None:
-        """Insert or overwrite records, without tags."""
+        """Insert or overwrite records, without tags. Writes these records only."""
+        c = self.versions.begin()
         new = self.prepared(rows, now)
-        old = self.read().join(rows.select(self.key), self.key, "left_anti") if self.version() else None
-        self.write(new if old is None else old.unionByName(new))
+        if c.has("rows"):
+            c.put("rows", new)
+        else:
+            c.replace("rows", new, self.key)
+        c.commit()
+        self.versions.upkeep()
 
     def delete(self, ids: DataFrame, *, now: int, keep: bool = True) -> None:
-        """Drop the records of these keys; keep: as tombstones."""
-        rows = self.read()
+        """Drop the records of these keys; keep: as tombstones. Writes their keys and tombstones only."""
+        c = self.versions.begin()
+        self._deleted(c, c.read("rows", self.versions.touched(ids, self.key)), ids, now, keep)
+        c.commit()
+        self.versions.upkeep()
+
+    def _deleted(self, c, rows: DataFrame, ids: DataFrame, now: int, keep: bool) -> None:
         gone = rows.join(ids.select(self.key).distinct(), self.key, "left_semi")
-        ops = gone.select(self.key, F.lit("delete").alias("op"), F.struct(*rows.columns).alias("old"))
-        logs = {"tombstones": tombstones(ops, self.table("tombstones"), self.key).withColumn("ts", F.lit(now).cast("long"))} if keep else None
-        self.write(rows.join(ids.select(self.key), self.key, "left_anti"), logs)
+        c.drop("rows", gone)
+        if keep:
+            ops = gone.select(self.key, F.lit("delete").alias("op"), F.struct(*rows.columns).alias("old"))
+            c.append("tombstones", self._tombstones(c, ops).withColumn("ts", F.lit(now).cast("long")))
 
     def delete_tagged(self, tag: str, *, now: int, keep: bool = True, dry_run: bool = False) -> DataFrame:
         """Delete the records with a tag; their keys, read from the version before."""
-        ids = tagged(self.versions.read("rows", self.version()), tag).select(self.key)
+        c = self.versions.begin()
+        rows = c.read("rows")
+        ids = tagged(rows, tag).select(self.key)
         if not dry_run:
-            self.delete(ids, now=now, keep=keep)
+            self._deleted(c, rows, ids, now, keep)
+            c.commit()
+            self.versions.upkeep()
         return ids
 
     def set_hash(self, hashes: DataFrame) -> None:
-        """Replace the stored hash by that in hashes (key, hash)."""
-        rows = self.read()
-        h = hashes.select(self.key, F.col("hash").alias("__hash"))
-        self.write(rows.join(h, self.key, "left").withColumn("hash", F.coalesce("__hash", "hash")).select(rows.columns))
+        """Replace the stored hash by that in hashes (key, hash). Writes these hashes only."""
+        self._patch(hashes.select(self.key, F.lit("hash").alias("op"), F.array("hash").alias("arg")), ["hash"])
+
+    def _patch(self, rows: DataFrame, ops: list[str]) -> int:
+        c = self.versions.begin()
+        c.patch("rows", rows, ops)
+        version = c.commit()
+        self.versions.upkeep()
+        return version
+
+    def _tag(self, op: str, tags: list[str], ids: DataFrame | None) -> int:
+        if ids is not None:
+            return self._patch(ids.select(self.key).distinct().select(self.key, F.lit(op).alias("op"), F.array(*map(F.lit, tags)).alias("arg")), [op])
+        c = self.versions.begin()
+        c.patch_all("rows", op, tags)
+        version = c.commit()
+        self.versions.upkeep()
+        return version
+
+    def add_tag(self, tag: str, ids: DataFrame | None = None) -> int:
+        """Tag the records of ids, which writes their keys, or all of them, which writes a manifest only; the version."""
+        return self._tag("add tag", [tag], ids)
+
+    def remove_tag(self, tag: str, ids: DataFrame | None = None) -> int:
+        return self._tag("remove tag", [tag], ids)
+
+    def replace_tag(self, old: str, new: str, ids: DataFrame | None = None) -> int:
+        """Only where the old tag is present."""
+        return self._tag("replace tag", [old, new], ids)
 
     def retag(self, change, ids: DataFrame | None = None) -> int:
-        """Write a version with tags replaced by change(tags), on all records or those of ids."""
-        rows = self.read()
-        if ids is None:
-            return self.write(rows.withColumn("tags", change(F.col("tags"))))
-        mine = ids.select(self.key).distinct().withColumn("__mine", F.lit(True))
-        new = F.when(F.col("__mine"), change(F.col("tags"))).otherwise(F.col("tags"))
-        return self.write(rows.join(mine, self.key, "left").withColumn("tags", new).select(rows.columns))
-
-    def retain(self, keep: int = 48) -> None:
+        """Replace tags by change(tags), any function of the column, on all records or those of ids. Writes the records whose tags change."""
+        c = self.versions.begin()
+        rows = c.read("rows", None if ids is None else self.versions.touched(ids, self.key))
+        if ids is not None:
+            rows = rows.join(ids.select(self.key).distinct(), self.key, "left_semi")
+        new = change(F.col("tags")).cast("array<string>")
+        c.patch("rows", rows.where(~new.eqNullSafe(F.col("tags"))).select(self.key, F.lit("tags").alias("op"), new.alias("arg")), ["tags"])
+        version = c.commit()
+        self.versions.upkeep()
+        return version
+
+    def retag_to(self, rows: DataFrame) -> int:
+        """Bring the tags of records to those in rows (key, tags), which were read from this store. Writes what differs."""
+        c = self.versions.begin()
+        now = c.read("rows").select(self.key, F.col("tags").alias("__now"))
+        moved = rows.select(self.key, "tags").join(now, self.key).where(~F.col("tags").eqNullSafe(F.col("__now")))
+        c.patch("rows", moved.select(self.key, F.lit("tags").alias("op"), F.col("tags").alias("arg")), ["tags"])
+        version = c.commit()
+        self.versions.upkeep()
+        return version
+
+    def retain(self, keep: int = 48, **options) -> None:
         """Drop all but the newest versions."""
-        self.versions.retain(keep)
+        self.versions.retain(keep, **options)
 
     def wipe(self) -> None:
         """Drop the records; change log and tombstones stay."""
-        if self.version():
-            self.write(self.read().limit(0))
+        c = self.versions.begin()
+        if c.at:
+            c.replace("rows", c.read("rows").limit(0), self.key)
+            c.commit()
             self.retain(1)
 
     def clear_changes(self) -> None:
         """Empty the change log."""
-        m = self.versions.manifest()
-        if "changes" in m["logs"]:
-            m["logs"]["changes"] = []
-            self.versions._publish(m)
+        c = self.versions.begin()
+        if c.has("changes"):
+            c.clear("changes")
+            c.commit()

@@ -2,7 +2,11 @@
 and summaries kept as versioned tables, and their removal with the text.
 
 A plan says what to do with each text; `TextStore` makes it so. Text, artefacts and log change in one commit, so an artefact never
-outlives the text that it was made from, and every driver works only on the documents that lack its artefact."""
+outlives the text that it was made from, and every driver works only on the documents that lack its artefact.
+
+Document counts are a table of signed numbers by term: each document adds one to its terms when it is counted and takes it off when its
+text changes or goes. What waits to be counted is a log of (document, term), written with the term counts, and which documents are counted
+is a table of its own, so an update reads and writes in proportion to the documents that are new."""
 
 from __future__ import annotations
 
@@ -14,12 +18,12 @@ from pyspark.sql import functions as F
 from ..functions import people as P
 from ..functions import text as T
 from . import analytics
-from .store import tag_add, tag_remove, tagged
+from .store import PATCHES, tag_add, tag_remove, tagged
 from .versions import Versions
 
 SOURCES = ("json", "pdf")  # tags of where a text came from, in the order in which they are preferred
 ARTEFACTS = ("term_counts", "tfidf", "pseudo")
-COUNTED = "in_doc_counts"
+PENDING = "term string, epoch long"
 
 
 # ---- where a text comes from ----
@@ -133,39 +137,27 @@ def ignored_terms(people: DataFrame, key: str, always: list[str], *lists: str) -
 
 class TextStore:
     """texts (key, text, hash, data_created, data_updated, tags), term_counts (key, term, count), doc_counts (term, n_docs), tfidf (key,
-    term, tfidf) and pseudo (key, pseudo, issue) below one folder."""
+    term, tfidf), pseudo (key, pseudo, issue) and counted (key), the documents that doc_counts includes, below one folder."""
 
     def __init__(self, spark: SparkSession, folder: str, key: str = "doc_id", key_type: str = "bigint", *, counts: Callable[[DataFrame], DataFrame] = analytics.full_counts, buckets: int = 16):
         self.spark, self.key, self.key_type, self.counts = spark, key, key_type, counts
-        self.versions = Versions(spark, folder, buckets)
-
-    def read(self, name: str = "texts") -> DataFrame:
-        kinds = {
-            "texts": f"{self.key} {self.key_type}, text string, hash string, data_created long, data_updated long, tags array<string>",
-            "term_counts": f"{self.key} {self.key_type}, term string, count long",
-            "tfidf": f"{self.key} {self.key_type}, term string, tfidf double",
-            "pseudo": f"{self.key} {self.key_type}, pseudo string, issue string",
+        self.versions = Versions(spark, folder, buckets, patches=PATCHES)
+        self.kinds = {
+            "texts": f"{key} {key_type}, text string, hash string, data_created long, data_updated long, tags array<string>",
+            "term_counts": f"{key} {key_type}, term string, count long",
+            "tfidf": f"{key} {key_type}, term string, tfidf double",
+            "pseudo": f"{key} {key_type}, pseudo string, issue string",
             "doc_counts": "term string, n_docs long",
+            "counted": f"{key} {key_type}",
+            "pending": f"{key} {key_type}, {PENDING}",
+            "totals": "name string, n long",
         }
-        return self.versions.read(name) if self.versions.has(name) else self.spark.createDataFrame([], kinds[name])
-
-    def _touched(self, ids: DataFrame) -> list[int]:
-        return [r.b for r in ids.select(self.versions.bucket(self.key).alias("b")).distinct().collect()]  # at most `buckets` rows
-
-    def _without(self, name: str, gone: DataFrame, touched: list[int]) -> DataFrame:
-        rows = self.versions.read(name, buckets=touched) if self.versions.has(name) else self.read(name)
-        return rows.join(gone, self.key, "left_anti")
 
-    def _uncounted(self, gone: DataFrame) -> DataFrame:
-        """(term, n_docs) below zero for the terms of the documents in gone that the document counts include."""
-        counted = tagged(self.read(), COUNTED).join(gone, self.key, "left_semi").select(self.key)
-        return self.read("term_counts").join(counted, self.key, "left_semi").groupBy("term").agg((-F.count("*")).alias("n_docs"))
+    def read(self, name: str = "texts") -> DataFrame:
+        return self._of(self.versions.begin(), name)
 
-    def _summed(self, *parts: DataFrame) -> DataFrame:
-        rows = self.read("doc_counts")
-        for p in parts:
-            rows = rows.unionByName(p)
-        return rows.groupBy("term").agg(F.sum("n_docs").alias("n_docs")).where("n_docs > 0")
+    def _of(self, c, name: str, touched: list[int] | None = None) -> DataFrame:
+        return c.read(name, touched) if c.has(name) else self.spark.createDataFrame([], self.kinds[name])
 
     def sync(self, plan: DataFrame, *, now: int, dry_run: bool = False) -> dict[str, int]:
         """Make a text_plan so; the counts by operation. What was derived from changed and deleted texts goes, in the same commit."""
@@ -179,21 +171,34 @@ class TextStore:
         return counts
 
     def _apply(self, plan: DataFrame, now: int) -> None:
-        key = self.key
+        c, key = self.versions.begin(), self.key
         moved = plan.where("op in ('add', 'update', 'delete')").select(key)
-        touched = self._touched(moved)
+        touched = self.versions.touched(moved, key)
         gone = plan.where("op in ('update', 'delete')").select(key)
-        old = self.read().select(F.col(key).alias("__k"), F.col("tags").alias("__tags"), F.col("data_created").alias("__created"))
+        old = self._of(c, "texts", touched).select(F.col(key).alias("__k"), F.col("tags").alias("__tags"), F.col("data_created").alias("__created"))
         fresh = plan.where("op in ('add', 'update')").join(old, F.col(key) == F.col("__k"), "left")
-        other = F.filter(F.coalesce("__tags", F.array().cast("array<string>")), lambda t: ~t.isin(*SOURCES, COUNTED))
-        fresh = fresh.select(key, "text", "hash", F.coalesce("__created", "data_created").alias("data_created"), F.lit(now).cast("long").alias("data_updated"), F.concat(other, F.array("source")).alias("tags"))
-        tables = {"texts": (self._without("texts", moved, touched).unionByName(fresh), key, touched)}
+        other = F.filter(F.coalesce("__tags", F.array().cast("array<string>")), lambda t: ~t.isin(*SOURCES))
+        row = [key, "text", "hash", F.coalesce("__created", "data_created").alias("data_created"), F.lit(now).cast("long").alias("data_updated"), F.concat(other, F.array("source")).alias("tags")]
+        if c.has("texts"):
+            c.put("texts", fresh.where("op = 'add'").select(*row), fresh=True)
+            c.put("texts", fresh.where("op = 'update'").select(*row))
+            c.drop("texts", plan.where("op = 'delete'"))
+        else:
+            c.replace("texts", fresh.select(*row), key)
         for name in ARTEFACTS:
-            if self.versions.has(name):
-                tables[name] = (self._without(name, gone, touched), key, touched)
-        if self.versions.has("doc_counts"):
-            tables["doc_counts"] = (self._summed(self._uncounted(gone)), "term", None)
-        self.versions.commit(tables, {"log": moved.join(plan, key).select(key, "op", "hash", F.lit(now).cast("long").alias("ts"))})
+            if c.has(name):
+                c.drop(name, gone)
+        if c.has("counted"):
+            had = self._of(c, "counted", touched).join(gone, key, "left_semi")
+            off = self._of(c, "term_counts", touched).join(had, key, "left_semi").groupBy("term").agg((-F.count("*")).alias("n_docs"))
+            c.add("doc_counts", off, "term")
+            c.add("totals", had.agg((-F.count("*")).alias("n")).select(F.lit("counted").alias("name"), "n"), "name")
+            c.drop("counted", had)
+        if c.has("pending"):
+            c.append("pending", gone.select(key, F.lit(None).cast("string").alias("term"), F.lit(c.at + 1).cast("long").alias("epoch")))
+        c.append("log", moved.join(plan, key).select(key, "op", "hash", F.lit(now).cast("long").alias("ts")))
+        c.commit()
+        self.versions.upkeep()
 
     def delete_from(self, source: str, *, now: int) -> dict[str, int]:
         """Delete the texts that came from a source, with all that was derived from them."""
@@ -201,18 +206,33 @@ class TextStore:
         return self.sync(tagged(self.read(), source).select(self.key, F.lit("delete").alias("op"), none.alias("text"), none.alias("source"), "hash", "data_created"), now=now)
 
     def missing(self, artefact: str, *, most: int | None = None, force: bool = False) -> DataFrame:
-        return lacking(self.read(), self.read(artefact), self.key, most=most, force=force)
+        return self._missing(self.versions.begin(), artefact, most, force)
+
+    def _missing(self, c, artefact: str, most: int | None, force: bool) -> DataFrame:
+        return lacking(self._of(c, "texts"), self._of(c, artefact), self.key, most=most, force=force)
 
-    def _add(self, name: str, ids: DataFrame, rows: DataFrame) -> None:
-        touched = self._touched(ids)
-        if touched:
-            self.versions.commit({name: (self._without(name, ids, touched).unionByName(rows), self.key, touched)})
+    def _add(self, c, name: str, ids: DataFrame, rows: DataFrame, *, anew: bool) -> None:
+        """Rows of the documents in ids; anew: in the place of what they have."""
+        if not c.has(name):
+            c.replace(name, rows, self.key)
+        else:
+            if anew:
+                c.drop(name, ids)
+            c.put(name, rows, fresh=True)
 
     def update_term_counts(self, *, most: int | None = None) -> None:
         """Count the terms of the texts that have no counts."""
-        ids = self.missing("term_counts", most=most)
-        docs = self.read().join(ids, self.key, "left_semi").select(F.col(self.key).alias("doc_id"), "text")
-        self._add("term_counts", ids, self.counts(docs).withColumnRenamed("doc_id", self.key))
+        c = self.versions.begin()
+        ids = self._missing(c, "term_counts", most, False)
+        docs = self._of(c, "texts").join(ids, self.key, "left_semi").select(F.col(self.key).alias("doc_id"), "text")
+        made = self.counts(docs).withColumnRenamed("doc_id", self.key).persist()
+        try:
+            self._add(c, "term_counts", ids, made, anew=False)
+            c.append("pending", made.select(self.key, "term", F.lit(c.at + 1).cast("long").alias("epoch")))
+            c.commit()
+        finally:
+            made.unpersist()
+        self.versions.upkeep()
 
     def term_count(self, ids: DataFrame) -> DataFrame:
         """The counted terms of some documents, largest counts first."""
@@ -220,42 +240,82 @@ class TextStore:
 
     def update_pseudo(self, *, ignored: DataFrame | None = None, more_than: int = 2, limit: int | None = 50_000, most: int | None = None, force: bool = False) -> None:
         """Summaries of the counted texts that have none. ignored: (key, terms)."""
-        counts = self.read("term_counts")
-        ids = self.missing("pseudo", most=most, force=force).join(counts.select(self.key).distinct(), self.key, "left_semi")
+        c = self.versions.begin()
+        counts = self._of(c, "term_counts")
+        ids = self._missing(c, "pseudo", most, force).join(counts.select(self.key).distinct(), self.key, "left_semi")
         own = counts.join(ids, self.key, "left_semi").withColumnRenamed(self.key, "doc_id")
         skip = None if ignored is None else ignored.withColumnRenamed(self.key, "doc_id")
         made = analytics.pseudo_text(own, more_than=more_than, limit=limit, ignored=skip).withColumnRenamed("doc_id", self.key)
-        self._add("pseudo", ids, made)
+        self._add(c, "pseudo", ids, made, anew=force)
+        c.commit()
+        self.versions.upkeep()
 
     def update_doc_counts(self, *, wipe: bool = False) -> int:
-        """Add the terms of documents that the document counts lack (wipe: count anew); the number of documents counted."""
-        texts, counts = self.read(), self.read("term_counts")
-        have = counts.select(self.key).distinct()
-        fresh = have if wipe else have.join(tagged(texts, COUNTED).select(self.key), self.key, "left_anti")
-        more = analytics.document_counts(counts.join(fresh, self.key, "left_semi"))
-        total = more if wipe else self._summed(more)
-        marked = texts.join(have.withColumn("__have", F.lit(True)), self.key, "left").withColumn("tags", F.when(F.col("__have"), tag_add(F.col("tags"), COUNTED)).otherwise(F.col("tags")))
-        self.versions.commit({"doc_counts": (total, "term", None), "texts": (marked.select(texts.columns), self.key, None)})
-        return tagged(self.read(), COUNTED).count()
+        """Add the terms of the documents that wait to be counted (wipe: count all anew); the number of documents counted."""
+        c, key = self.versions.begin(), self.key
+        total = lambda ids: ids.agg(F.count("*").alias("n")).select(F.lit("counted").alias("name"), "n")
+        if wipe or not c.has("counted"):
+            counts = self._of(c, "term_counts")
+            ids = counts.select(key).distinct()
+            c.replace("doc_counts", analytics.document_counts(counts), "term", mode="sum")
+            c.replace("counted", ids, key)
+            c.replace("totals", total(ids), "name", mode="sum")
+        else:
+            waiting = self._of(c, "pending")
+            off = waiting.where("term is null").groupBy(key).agg(F.max("epoch").alias("__off"))
+            more = waiting.where("term is not null").join(off, key, "left").where("__off is null or epoch > __off").select(key, "term").persist()
+            ids = more.select(key).distinct()
+            c.add("doc_counts", analytics.document_counts(more), "term")
+            c.put("counted", ids, fresh=True)
+            c.add("totals", total(ids), "name")
+        c.clear("pending")
+        c.commit()
+        if not wipe and "more" in locals():
+            more.unpersist()
+        self.versions.upkeep()
+        return self.n_counted()
+
+    def n_counted(self) -> int:
+        """The number of documents that the document counts include."""
+        row = self.read("totals").first()
+        return row.n if row else 0
 
     def update_tfidf(self, *, force: bool = False) -> None:
         """TF-IDF of the counted documents that have none, by the document counts as they are now."""
-        n = tagged(self.read(), COUNTED).count()
-        ids = self.missing("tfidf", force=force).join(tagged(self.read(), COUNTED).select(self.key), self.key, "left_semi")
-        counts = self.read("term_counts").join(ids, self.key, "left_semi").withColumnRenamed(self.key, "doc_id")
-        made = analytics.weighted(counts, analytics.idf_of(self.read("doc_counts"), n)).withColumnRenamed("doc_id", self.key)
-        self._add("tfidf", ids, made)
-
-    def export_text(self, name: str, column: str, folder: str) -> None:
-        """Write one text file a document: folder/<key>.txt, from a column of texts or pseudo."""
-        import re
-
-        fs = self.versions._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
-        jvm = self.spark._jvm
-        for row in self.read(name).select(F.col(self.key).cast("string").alias("k"), F.col(column).alias("t")).where("t is not null").toLocalIterator():
-            out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{folder}/{re.sub(r'[^A-Za-z0-9_.-]', '_', row.k)}.txt"), True)
-            out.write(row.t.encode())
-            out.close()
+        c = self.versions.begin()
+        n = self._of(c, "totals").first()
+        ids = self._missing(c, "tfidf", None, force).join(self._of(c, "counted"), self.key, "left_semi")
+        counts = self._of(c, "term_counts").join(ids, self.key, "left_semi").withColumnRenamed(self.key, "doc_id")
+        made = analytics.weighted(counts, analytics.idf_of(self._of(c, "doc_counts"), n.n if n else 0)).withColumnRenamed("doc_id", self.key)
+        self._add(c, "tfidf", ids, made, anew=force)
+        c.commit()
+        self.versions.upkeep()
+
+    def export_text(self, name: str, column: str, folder: str) -> int:
+        """Write one text file a document: folder/<key>.txt, from a column of texts or pseudo; how many there are now.
+
+        Tasks write their own documents to the folder, which must be a file system that they reach: each file under a name of its own
+        first, then renamed, so a task that is run again writes the same files."""
+        import pyarrow as pa
+
+        def run(batches):
+            import re
+            import uuid
+
+            from pyarrow import fs
+
+            where, root = fs.FileSystem.from_uri(folder)
+            where.create_dir(root, recursive=True)
+            for batch in batches:
+                for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    draft = f"{root}/.{uuid.uuid4().hex}"
+                    with where.open_output_stream(draft) as out:
+                        out.write(t.encode())
+                    where.move(draft, f"{root}/{re.sub(r'[^A-Za-z0-9_.-]', '_', k)}.txt")
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+        rows = self.read(name).select(F.col(self.key).cast("string").alias("k"), F.col(column).alias("t")).where("t is not null")
+        return rows.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
 
     def import_texts(self, folder: str) -> DataFrame:
         """(key, text) of the text files of a folder, keyed by file name."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import people as P
 from ..operators import checks, delivery, enrich, records, texts
-from ..operators.store import Store, tag_add
+from ..operators.store import Store
 from ..operators.versions import Versions
 from ..sources import files, pull
 from . import scratch
@@ -130,7 +130,7 @@ class Run:
         if not self.dry_run and set(counts) & {"add", "update"}:
             same = old.select("id", "hash").join(self.stats.read().select("id", "hash"), ["id", "hash"]) if old is not None else self.stats.read().select("id").limit(0)
             changed = self.stats.read().select("id").join(same.select("id"), "id", "left_anti")
-            self.stats.retag(lambda t: tag_add(t, "comments_changed"), changed)
+            self.stats.add_tag("comments_changed", changed)
         return counts
 
     def _texts(self, store: Store, target: texts.TextStore, kind: str, rows: DataFrame, *, retry: bool, missing: str | None) -> dict:
@@ -142,7 +142,7 @@ class Run:
         plan = scratch.written(texts.text_plan(store.read().select("id", "data_created"), have.select("id", "hash"), found, "id"), f"{kind}-plan")
         counts = target.sync(plan, now=self.now, dry_run=self.dry_run)
         if missing and not self.dry_run and set(counts) & {"missing", "add"}:
-            store.write(texts.retagged_records(store.read(), plan, "id", missing=missing))
+            store.retag_to(texts.retagged_records(store.read(), plan, "id", missing=missing))
         return counts
 
     def video_texts(self, level: Level) -> dict:
@@ -208,8 +208,8 @@ class Run:
                 built = local.join(made.where("action in ('add', 'update', 'delete')").select("id"), "id", "left_anti").select(built.columns).unionByName(built)
             self.crm_local.commit({"records": (built, "id", None)})
             if self.stats.version():
-                self.stats.write(records.consumed_tags(stats, made, "comments_changed"))
-            self.videos.write(records.consumed_tags(self.videos.read(), made, "changed"))
+                self.stats.retag_to(records.consumed_tags(stats, made, "comments_changed"))
+            self.videos.retag_to(records.consumed_tags(self.videos.read(), made, "changed"))
         return counts
 
     def push_crm(self, level: Level) -> dict:

@@ -48,7 +48,7 @@ def test_text_store(spark, tmp_path):
     assert s.sync(plan(spark, s, [1, 2], [(1, "apple apple pear apple", "json")]), now=2) == {"none": 2}
     assert s.sync(plan(spark, s, [1, 2], [(1, "plum", "pdf")]), now=3) == {"update": 1, "none": 1}
     assert [s.missing(a).count() for a in texts.ARTEFACTS] == [1, 1, 1] and rows(s.read("doc_counts")) == [("pear", 1), ("plum", 1)]
-    assert {r.doc_id: r.tags for r in s.read().collect()} == {1: ["pdf"], 2: ["pdf", texts.COUNTED]}
+    assert {r.doc_id: r.tags for r in s.read().collect()} == {1: ["pdf"], 2: ["pdf"]} and rows(s.read("counted")) == [(2,)] and s.n_counted() == 1
     s.update_term_counts()
     assert s.update_doc_counts() == 2 and rows(s.read("doc_counts")) == [("pear", 1), ("plum", 2)]
     assert s.sync(plan(spark, s, [1], []), now=4) == {"delete": 1, "none": 1}
