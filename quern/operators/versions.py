@@ -357,6 +357,7 @@ class Commit:
 
     def fold(self, table: str, buckets: list[int]) -> None:
         """Write buckets anew as they are read; changes that come meanwhile stay on top."""
+        buckets = [b for b in buckets if str(b) in self.manifest["buckets"].get(table, {})]
         rows = self.v.read(table, buckets=buckets, manifest=self.manifest)
         made = {b: {"base": p, "bytes": n, "deltas": []} for b, (p, n) in self.v._write(rows, self.manifest["keys"][table]).items()}
         self._bases[table] = (buckets, made, True)

@@ -483,4 +483,4 @@ def stream_cdc(spark, sf_dir):
     return target.read().select("user_id", "last.event_type", F.round("last.value", 6).alias("value"))
 
 
-from . import sync_queries  # noqa: E402, F401  (registers its queries)
+from . import state_queries, sync_queries  # noqa: E402, F401  (they register their queries)

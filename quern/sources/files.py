@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 VIDEO = (
@@ -79,24 +80,67 @@ def last_page(probe: Callable[[int], int], page_size: int, most: int = 20_000) -
 
 
 class _Page(InputPartition):
-    def __init__(self, offset: int):
-        self.offset = offset
+    def __init__(self, product: str | None, offset: int):
+        self.product, self.offset = product, offset
+
+
+class _Pages:
+    """All pages of a plan, numbered in order: of each product those at 0, size, 2 size .. up to its last offset."""
+
+    def __init__(self, options: dict):
+        plan = json.loads(options["plan"]) if "plan" in options else [[None, int(options.get("page_size", 24)), int(options.get("most", 0))]]
+        self.plan = [(product, int(size), int(last) // int(size) + 1) for product, size, last in plan]
+        self.total = sum(n for _, _, n in self.plan)
+
+    def page(self, number: int) -> _Page:
+        for product, size, n in self.plan:
+            if number < n:
+                return _Page(product, number * size)
+            number -= n
+        raise IndexError(number)
+
+    def place(self, number: int) -> dict:
+        """The position in front of a page, as a stream's offset."""
+        at = self.page(number) if number < self.total else _Page(None, 0)
+        return {"pages": number, "product": at.product, "offset": at.offset}
 
 
 def paged_source(name: str, schema: str | StructType, fetch: Callable[[int, dict], list[tuple]]) -> type[DataSource]:
-    """A data source with one partition a page: register it, then spark.read.format(name).option("page_size", ..).option("most", ..).
+    """A data source with one partition a page, for batches and streams: register it, then spark.read or spark.readStream with
+    .format(name) and option("plan", json of [[product, page size, last offset], ..]), or ("page_size", ..) and ("most", ..) for one product.
 
-    fetch(offset, options) returns a page's rows; it runs on the executors and raises to have the task tried again."""
+    fetch(offset, options) returns a page's rows; it runs on the executors with the product among the options and raises to have
+    the task tried again. A stream's offset is the number of pages read, with the product and offset of the next page; a batch reads up to
+    pages_at_once (64) of them. Started again from its checkpoint it goes on at the page after the last batch."""
 
-    class Reader(DataSourceReader):
+    class Rows:
         def __init__(self, options: dict):
-            self.options = dict(options)
+            self.options, self.pages = dict(options), _Pages(options)
+
+        def read(self, partition):
+            yield from fetch(partition.offset, {**self.options, "product": partition.product})
 
+    class Batch(Rows, DataSourceReader):
         def partitions(self):
-            return [_Page(k) for k in page_offsets(int(self.options.get("page_size", 24)), int(self.options.get("most", 0)))]
+            return [self.pages.page(k) for k in range(self.pages.total)]
 
-        def read(self, partition):
-            yield from fetch(partition.offset, self.options)
+    class Stream(Rows, DataSourceStreamReader):
+        def __init__(self, options: dict):
+            super().__init__(options)
+            self.at, self.step = 0, int(options.get("pages_at_once", 64))
+
+        def initialOffset(self):
+            return self.pages.place(0)
+
+        def latestOffset(self):
+            return self.pages.place(min(self.pages.total, self.at + self.step))
+
+        def partitions(self, start, end):
+            self.at = max(self.at, int(end["pages"]))  # also called for where a restarted stream stands
+            return [self.pages.page(k) for k in range(int(start["pages"]), int(end["pages"]))]
+
+        def commit(self, end):
+            self.at = max(self.at, int(end["pages"]))
 
     class Source(DataSource):
         @classmethod
@@ -107,6 +151,21 @@ def paged_source(name: str, schema: str | StructType, fetch: Callable[[int, dict
             return schema
 
         def reader(self, schema):
-            return Reader(self.options)
+            return Batch(self.options)
+
+        def streamReader(self, schema):
+            return Stream(self.options)
 
     return Source
+
+
+def read_pages(spark: SparkSession, name: str, folder: str, options: dict[str, str]) -> DataFrame:
+    """Everything that a registered paged source has, read as a stream into folder, so that a read that broke off there goes on at the next
+    page. The rows of pages that were read stay as they were then."""
+    stream = spark.readStream.format(name).options(**options).load()
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/checkpoint").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")

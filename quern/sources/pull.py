@@ -1,7 +1,9 @@
 """Pulls from paged interfaces: page sizes and last pages, whole pulls that appear at once, dimensions, snapshots of a table.
 
 `Site` stands for the remote side. Engines outside give one that logs in and fetches over the network; `FolderSite` reads files of
-the same form. A pull writes under a name of its own and becomes current when it is whole, so a failed one leaves the last."""
+the same form. Pages are fetched by tasks (the site is sent to them), so the driver knows the pages and sees none of their items. A
+pull writes under a name of its own and becomes current when it is whole, so a failed one leaves the last; a resumed one goes on
+at the page where it broke off."""
 
 from __future__ import annotations
 
@@ -27,7 +29,8 @@ class Site(Protocol):
 
     def page(self, kind: str, product: str, offset: int) -> list[dict]: ...
 
-    def table(self, name: str, fields: list[str]) -> list[dict]: ...
+    def table(self, name: str, fields: list[str], part: int = 0, parts: int = 1) -> list[dict]:
+        """The rows of a table in its order, or one of so many parts of them that together have each row once, first parts first."""
 
     def comments(self, key: str) -> list[dict]: ...
 
@@ -52,8 +55,9 @@ class FolderSite:
         items = json.loads(path.read_text()) if path.exists() else []
         return items[offset : offset + self.page_size] if kind != "publications" else (items if not offset else [])
 
-    def table(self, name: str, fields: list[str]) -> list[dict]:
+    def table(self, name: str, fields: list[str], part: int = 0, parts: int = 1) -> list[dict]:
         rows = json.loads((self.folder / "tables" / f"{name}.json").read_text())
+        rows = rows[len(rows) * part // parts : len(rows) * (part + 1) // parts]
         return [{"id": r["id"], "fields": {k: v for k, v in r["fields"].items() if k in fields}} for r in rows]
 
     def _optional(self, path: Path, default):
@@ -104,29 +108,43 @@ def updated_paging(old: DataFrame, fresh: DataFrame) -> DataFrame:
 class Pulls:
     """Versioned pulls below a folder: raw items as JSON text with product and page, read into typed records."""
 
-    def __init__(self, spark: SparkSession, folder: str, site: Site):
-        self.spark, self.site = spark, site
+    def __init__(self, spark: SparkSession, folder: str, site: Site, *, pages_at_once: int = 64):
+        self.spark, self.folder, self.site, self.pages_at_once = spark, folder.rstrip("/"), site, pages_at_once
         self.versions = Versions(spark, folder, 1)
+        self.errors: dict[str, str] = {}
 
-    def _items(self, kind: str, product: str, offsets: list[int]) -> list[tuple[str, str, str]]:
-        return [(product, f"{product}-{k:06d}", json.dumps(item)) for k in offsets for item in self.site.page(kind, product, k)]
+    def _source(self, kind: str) -> str:
+        """The name of a registered source of the pages of a kind, as rows (product, file, item)."""
+        site, name = self.site, f"quern_{kind}"
 
-    def pull(self, kind: str, paging: DataFrame | None, products: list[str], *, most: int | None = None) -> bool:
-        """Pull all pages of each product (up to offset `most`), or its one page where paging is None. On any error nothing changes
-        and the answer is False."""
-        rows: list[tuple[str, str, str]] = []
+        def fetch(offset: int, options: dict):
+            product = options["product"]
+            for item in site.page(kind, product, offset):
+                yield (product, f"{product}-{offset:06d}", json.dumps(item))
+
+        self.spark.dataSource.register(files.paged_source(name, "product string, file string, item string", fetch))
+        return name
+
+    def pull(self, kind: str, paging: DataFrame | None, products: list[str], *, most: int | None = None, resume: str | None = None) -> bool:
+        """Pull all pages of each product (up to offset `most`), or its one page where paging is None, by tasks. On any error nothing
+        changes and the answer is False.
+
+        resume: a name for this pull. What it has read is kept below drafts/<name>, and a pull of that name that broke off goes on there."""
+        sizes = {p: (1, 0) for p in products}
+        if paging is not None:
+            rows = paging.where(F.col("product").isin(*products)).collect()  # a row a product
+            sizes = {r["product"]: (r["base_multiple"], r["max_multiple"] if most is None else min(most, r["max_multiple"])) for r in rows}
         try:
-            for product in products:
-                offsets = [0]
-                if paging is not None:
-                    base, last = paging_of(paging, product, "base_multiple"), paging_of(paging, product, "max_multiple")
-                    offsets = files.page_offsets(base, last if most is None else min(most, last))
-                rows.extend(self._items(kind, product, offsets))
+            plan = json.dumps([[p, *sizes[p]] for p in products])
+            options, name = {"plan": plan, "pages_at_once": str(self.pages_at_once)}, self._source(kind)
+            draft = f"{self.folder}/drafts/{kind}-{resume}"
+            items = files.read_pages(self.spark, name, draft, options) if resume else self.spark.read.format(name).options(**options).load()
+            self.versions.commit({kind: (items, "file", None)}, facts={kind: {"products": products, "whole": most is None}})
         except Exception as e:  # the last pull stays current
-            self.errors = {kind: repr(e)}
+            self.errors[kind] = repr(e)
             return False
-        frame = self.spark.createDataFrame(rows, "product string, file string, item string")
-        self.versions.commit({kind: (frame, "file", None)}, facts={kind: {"products": products, "whole": most is None}})
+        if resume:
+            self.versions._fs.delete(self.versions._path(f"drafts/{kind}-{resume}"), True)
         return True
 
     def read(self, kind: str, schema: str, fields: dict) -> DataFrame:
@@ -173,16 +191,28 @@ def rekeyed(rows: DataFrame, key: str, fields: list[str], *, order: str = "posit
 
 
 class Snapshots:
-    """Pulls of a remote table, newest first; the raw rows of the last `keep` pulls stay."""
+    """Pulls of a remote table by tasks, newest first; the raw rows of the last `keep` pulls stay."""
 
-    def __init__(self, spark: SparkSession, folder: str, site: Site, table: str, fields: list[str], key: str, *, keep: int = 48):
-        self.spark, self.site, self.table, self.fields, self.key, self.keep = spark, site, table, fields, key, keep
+    def __init__(self, spark: SparkSession, folder: str, site: Site, table: str, fields: list[str], key: str, *, keep: int = 48, parts: int = 4):
+        self.spark, self.site, self.table, self.fields, self.key, self.keep, self.parts = spark, site, table, fields, key, keep, parts
         self.versions = Versions(spark, f"{folder.rstrip('/')}/{table}", 1)
 
     def pull(self) -> None:
-        got = self.site.table(self.table, [f for f in self.fields if f != "id"])
-        rows = [(k, r["id"], {f: json.dumps(v) for f, v in r["fields"].items()}) for k, r in enumerate(got)]
-        self.versions.commit({"raw": (self.spark.createDataFrame(rows, "position long, id string, fields map<string,string>"), "id", None)})
+        site, table, parts, wanted = self.site, self.table, self.parts, [f for f in self.fields if f != "id"]
+
+        def run(batches):
+            import pyarrow as pa
+
+            kind = pa.map_(pa.string(), pa.string())
+            for batch in batches:
+                for part in batch.column(0).to_pylist():
+                    got = site.table(table, wanted, part, parts)
+                    at = [(part << 40) + k for k in range(len(got))]
+                    fields = [[(f, json.dumps(v)) for f, v in r["fields"].items()] for r in got]
+                    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([r["id"] for r in got], pa.string()), pa.array(fields, kind)], ["position", "id", "fields"])
+
+        rows = self.spark.range(0, parts, 1, parts).mapInArrow(run, "position long, id string, fields map<string,string>")
+        self.versions.commit({"raw": (rows, "id", None)})
         self.versions.retain(self.keep)
 
     def load(self, *, fresh: bool = False) -> DataFrame:

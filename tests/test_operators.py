@@ -1,11 +1,13 @@
+import json
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import analytics, cdc, checks, enrich, outbox
 from quern.operators.store import Store
 from quern.plans.control import LEVELS, Control, Stopped, may_delete, run_steps
-from quern.sources import files
+from quern.sources import files, pull
 
 
 def rows(df):
@@ -195,6 +197,56 @@ def test_sources(spark, tmp_path):
     assert sorted(r.n for r in spark.read.format("numbers").option("page_size", "3").option("most", "6").load().collect()) == list(range(9))
 
 
+def test_a_broken_off_read_goes_on_at_the_next_page(spark, tmp_path):
+    """Each page is fetched once, though the stream broke off and a new source read on from its checkpoint."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    plan = json.dumps([["a", 3, 9], ["b", 2, 2], ["c", 5, 0]])
+
+    def fetch(broken):
+        def one(offset, options):
+            if broken and options["product"] == "b":
+                raise OSError("down")
+            with (calls / f"{options['product']}-{offset}").open("a") as out:
+                out.write("x")
+            return [(f"{options['product']}{offset + k}",) for k in range(2)]
+
+        return one
+
+    options = {"plan": plan, "pages_at_once": "1"}
+    spark.dataSource.register(files.paged_source("broken", "n string", fetch(True)))
+    with pytest.raises(Exception, match="down"):
+        files.read_pages(spark, "broken", f"file://{tmp_path}/read", options)
+    assert sorted(p.name for p in calls.iterdir()) == ["a-0", "a-3", "a-6", "a-9"]
+    spark.dataSource.register(files.paged_source("whole", "n string", fetch(False)))
+    got = files.read_pages(spark, "whole", f"file://{tmp_path}/read", options)
+    assert sorted(r.n for r in got.collect()) == sorted(f"{p}{o + k}" for p, o in (("a", 0), ("a", 3), ("a", 6), ("a", 9), ("b", 0), ("b", 2), ("c", 0)) for k in range(2))
+    assert {p.read_text() for p in calls.iterdir()} == {"x"} and len(list(calls.iterdir())) == 7
+    assert sorted(r.n for r in spark.read.format("whole").options(**options).load().collect()) == sorted(r.n for r in got.collect())
+
+
+def test_pulls_fetch_on_executors(spark, tmp_path, monkeypatch):
+    """The driver neither lists items nor makes frames of them."""
+
+    class Site(pull.FolderSite):
+        def page(self, kind, product, offset):
+            return [{"id": f"{product}{offset + k}", "attributes": {}} for k in range(4 if offset < 8 else 2)] if product != "bad" else 1 / 0
+
+        def table(self, name, fields, part=0, parts=1):
+            return [{"id": f"r{part}-{k}", "fields": {"name": f"n{k}"}} for k in range(3)]
+
+    p = pull.Pulls(spark, f"file://{tmp_path}/pulls", Site(str(tmp_path)), pages_at_once=2)
+    paging = spark.createDataFrame([("x", 4, 8), ("y", 4, 4), ("bad", 4, 4)], pull.PAGING)
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    assert p.pull("videos", paging, ["x", "y"]) and p.versions.read("videos").count() == 18
+    assert sorted(r.n for r in p.files("videos").collect()) == [2, 4, 4, 4, 4]
+    assert not p.pull("videos", paging, ["x", "bad"]) and "videos" in p.errors and p.versions.read("videos").count() == 18
+    assert not p.pull("videos", paging, ["x", "bad"], resume="r1") and p.pull("videos", paging, ["x", "y"], most=4, resume="r2")
+    assert p.versions.read("videos").count() == 16
+    t = pull.Snapshots(spark, f"file://{tmp_path}/crm", Site(str(tmp_path)), "guests", ["id", "name"], "id")
+    assert t.load().count() == 12
+
+
 def test_sources_write_reports(spark, tmp_path):
     r = spark.createDataFrame([(1, ["a", "b"], "x")], "id int, tags array<string>, other string")
     files.write_report(r, str(tmp_path / "r"), fields=["id", "tags"])
