@@ -8,8 +8,10 @@ every candidate unit, and no join is needed.
 
 Units are what the SQL of the query compares. With `windows` the words of the whole text are searched as well, across lines and
 paragraphs, so a notice inside a line or wrapped in a longer paragraph is found: a window runs from one bigram of the template to
-another one and has as many bigrams as the size bound allows, at most. `embedded` has the templates that a window reaches, each with
-its best coefficient; a template is left out if a better one that is no shorter overlaps its best window.
+another one and has as many bigrams as the size bound allows, at most. The bigrams of all windows from one start are counted in one pass, by
+the place where each stood last, so the work is at most the template's hits times its size. `embedded` has the templates that a window
+reaches, each with its best coefficient (of equal ones the first window); a template is left out if a better one that is no shorter
+overlaps its best window.
 
 Normal form: A-Z lower-cased, everything but a-z, 0-9 and dots inside numbers becomes one space.
 Defined cases: null, empty and blank texts have no licence; ties of the coefficient go to the template of smaller name; repeated
@@ -99,26 +101,53 @@ def unit_bigrams(unit: Column) -> Column:
 def embedded(text: Column, sets: dict[str, list[str]], threshold: float) -> Column:
     """array<struct<dice, name>> of the templates that a window of the text's words reaches, best first."""
     fixed = F.array(*(F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, s)).alias("grams"), F.lit(needed(len(s), threshold)).alias("least"), F.lit(math.floor(len(s) * (2 - threshold) / threshold + 1e-9)).alias("most")) for n, s in sets.items()))
-    none = F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("name"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+    def place_before(grams: Column) -> Column:
+        """For each bigram the place where the same one stood last, -1 if nowhere: by sorting, not by comparing all."""
+        ranked = F.array_sort(F.transform(grams, lambda g, k: F.struct(g.alias("g"), k.alias("k"))))
+        last = lambda r, x, k: F.when((k > 0) & (F.get(r, k - 1)["g"] == x["g"]), F.get(r, k - 1)["k"]).otherwise(F.lit(-1))
+        placed = let(ranked, lambda r: F.array_sort(F.transform(r, lambda x, k: F.struct(x["k"].alias("k"), last(r, x, k).alias("last")))))
+        return F.transform(placed, lambda x: x["last"])
 
     def search(grams: Column) -> Column:
-        def best_window(t: Column) -> Column:
-            def from_hits(hits: Column) -> Column:
-                def scored(i: Column, j: Column) -> Column:
-                    own = F.array_distinct(F.slice(grams, i + 1, j - i + 1))
-                    return let(own, lambda o: F.struct((2.0 * F.size(F.array_intersect(o, t["grams"])) / (F.size(o) + F.size(t["grams"]))).alias("dice"), t["name"].alias("name"), i.alias("start"), j.alias("end")))
+        def windows(last: Column) -> Column:
+            def best_window(t: Column) -> Column:
+                def from_flags(hit: Column) -> Column:
+                    """From each place of a template's bigram the distinct bigrams are counted once through, as far as a window may reach."""
+                    size = F.size(t["grams"])
 
-                def from_start(i: Column) -> Column:
-                    ends = F.filter(hits, lambda j: (j >= i) & (j < i + t["most"]))
-                    enough = lambda js: F.size(F.array_distinct(F.transform(js, lambda j: F.get(grams, j)))) >= t["least"]
-                    return let(ends, lambda js: F.when(enough(js), F.transform(js, lambda j: scored(i, j))).otherwise(F.array().cast("array<struct<dice:double,name:string,start:int,end:int>>")))
+                    def from_hits(hits: Column) -> Column:
+                        """A start is tried only if enough hits for any match lie within reach, and none after a whole match."""
+                        near = F.filter(F.transform(hits, lambda i, h: F.when(F.get(hits, h + t["least"] - 1) < i + t["most"], i)), lambda i: i.isNotNull())
 
-                return F.aggregate(F.flatten(F.transform(hits, from_start)), none, lambda acc, x: F.when(x["dice"] > acc["dice"], x).otherwise(acc))
+                        def from_start(best: Column, i: Column) -> Column:
+                            def step(acc: Column, k: Column) -> Column:
+                                new = F.get(last, k) < i
+                                own = acc["own"] + F.when(new, 1).otherwise(0)
+                                shared = acc["shared"] + F.when(new & F.get(hit, k), 1).otherwise(0)
 
-            return let(F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda k: F.array_contains(t["grams"], F.get(grams, k))), from_hits)
+                                def counted(c: Column) -> Column:
+                                    dice = 2.0 * c["shared"] / (c["own"] + size)
+                                    better = F.get(hit, k) & (dice > acc["dice"])
+                                    return F.struct(c["own"].alias("own"), c["shared"].alias("shared"), F.when(better, dice).otherwise(acc["dice"]).alias("dice"), F.when(better, i).otherwise(acc["start"]).alias("start"), F.when(better, k).otherwise(acc["end"]).alias("end"))
+
+                                return let(F.struct(own.alias("own"), shared.alias("shared")), counted)
+
+                            reach = F.sequence(i, F.least(i + t["most"], F.size(grams)) - 1)
+                            begin = F.struct(F.lit(0).alias("own"), F.lit(0).alias("shared"), best["dice"].alias("dice"), best["start"].alias("start"), best["end"].alias("end"))
+                            return F.when(best["dice"] >= 1.0, best).otherwise(F.aggregate(reach, begin, step, lambda acc: F.struct(acc["dice"].alias("dice"), acc["start"].alias("start"), acc["end"].alias("end"))))
+
+                        nothing = F.struct(F.lit(0.0).alias("dice"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+                        return F.aggregate(near, nothing, from_start, lambda best: F.struct(best["dice"].alias("dice"), t["name"].alias("name"), best["start"].alias("start"), best["end"].alias("end")))
+
+                    return let(F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda k: F.get(hit, k)), from_hits)
+
+                return let(F.transform(grams, lambda g: F.array_contains(t["grams"], g)), from_flags)
+
+            return best_window
 
         def best_of_all(possible: Column) -> Column:
-            return F.filter(F.transform(possible, best_window), lambda x: x["dice"] >= threshold)
+            found = let(place_before(grams), lambda last: F.transform(possible, windows(last)))
+            return F.when(F.size(possible) > 0, F.filter(found, lambda x: x["dice"] >= threshold))
 
         possible = F.filter(fixed, lambda t: F.size(F.array_intersect(grams, t["grams"])) >= t["least"])
         return F.when(F.size(grams) > 0, let(possible, best_of_all))

@@ -515,6 +515,37 @@ def test_anchor_words_are_in_every_match():
                 assert anchors & set(other)
 
 
+def test_windows_of_long_texts_in_linear_time(spark):
+    """A megabyte of one licence, and near copies with words replaced: the best window is found, and twice the text takes no more than some twice the time."""
+    import time
+
+    text = license_scan.TEMPLATES["bsd-3-clause"]
+    rng = random.Random(1)
+    near = " ".join(w if rng.random() < 0.93 else f"zz{rng.randrange(99)}" for w in (text + " ") .split() * 8)
+    scan = lambda t: license_scan.scan(spark.createDataFrame([(1, t)], "doc_id long, text string")).collect()[0]
+    scan(text)
+    took = []
+    for n in (700, 1500):
+        began = time.time()
+        assert {(x.name, x.dice) for x in scan((text + " ") * n).embedded} == {("bsd", 1.0), ("bsd-3-clause", 1.0)}
+        took.append(time.time() - began)
+    assert took[1] < 4 * took[0] + 5
+    words = license_scan.plain_words(near)
+    grams = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+    own = set(license_scan.bigrams(license_scan.plain_words(text)))
+    reach = int(len(own) * 1.5 + 1e-9)
+    best = max((2 * len(own & set(grams[i : j + 1])) / (len(set(grams[i : j + 1])) + len(own)) for i in range(len(grams)) if grams[i] in own for j in range(i, min(i + reach, len(grams))) if grams[j] in own and j > i + 60), default=0)
+    got = {x.name: x.dice for x in scan(near).embedded}
+    assert best >= 0.8 and got["bsd-3-clause"] == best
+
+
+def test_ties_of_licences_go_to_the_smaller_name(spark):
+    same = {"z": "one two three four", "a": "one two three four", "m": "other words here now"}
+    r = license_scan.scan(spark.createDataFrame([(1, "one two three four"), (2, "x\none two three four\nother words here now")], "doc_id long, text string"), templates=same)
+    got = {x.doc_id: (x.licence, x.n_units, x.licences, [e.name for e in x.embedded]) for x in r.collect()}
+    assert got == {1: ("a", 1, ["a"], ["a", "z"]), 2: ("a", 2, ["a", "m"], ["a", "m", "z"])}
+
+
 # ---- 7 ----
 
 
