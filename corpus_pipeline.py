@@ -38,7 +38,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality classifier", quality), ("line dedup", lines), ("n-gram jaccard join", near_copies), ("mixing", mix), ("sentencepiece", encode)]
-#: A trained classifier and merge-dropout are not SQL; tests/llm compares run() with a plain version.
+#: A trained classifier and merge-dropout are not SQL; tests/llm compares each stage with a plain version and run() with the stages.
 ORACLE_SQL = None
 
 

@@ -1,7 +1,8 @@
 """Delivery to destinations: the push loop over search units, several indexes, and the rows of the customer-relations table.
 
-A destination is an object with upsert(key, record) and delete(key) that raise on failure; it is sent to the tasks. Outcomes are
-written before they are read, since reading a delivery again would send it again."""
+A destination is an object with upsert(key, record) and delete(key) that raise on failure; it is sent to the tasks, several of which
+deliver under one rate. Outcomes are written before they are read, since reading a delivery again would send it again; with a
+ledger a task that is run again does not."""
 
 from __future__ import annotations
 
@@ -60,7 +61,7 @@ class FileDestination:
         return held
 
 
-def push(units: DataFrame, key: str, texts: DataFrame | None, destination, written: Written, *, allowed: list[str] | None = None, delete_tag: str = "delete", most_bytes: int = 100_000, full_below: int = 10_000, writers: int = 1, pause: float = 0.0, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
+def push(units: DataFrame, key: str, texts: DataFrame | None, destination, written: Written, *, allowed: list[str] | None = None, delete_tag: str = "delete", most_bytes: int = 100_000, full_below: int = 10_000, writers: int = 4, pause: float = 0.0, dry_run: bool = False, ledger: str | None = None) -> tuple[DataFrame, DataFrame]:
     """One run over units (key, pushed, current, tags, ...): (the units after it, (key, outcome, error)).
 
     Tagged units are deleted at the destination and, if that worked, here. Of the others the undelivered allowed fields are sent,
@@ -77,9 +78,10 @@ def push(units: DataFrame, key: str, texts: DataFrame | None, destination, writt
         sent = good.select(key, "fields", none.alias("error"))
         dropped = gone.select(key, none.alias("error"))
     else:
-        sent = written(outbox.deliver(good, key, destination.upsert, writers=writers, pause=pause), "sent")
+        book = lambda part: f"{ledger}/{part}" if ledger else None
+        sent = written(outbox.deliver(good, key, destination.upsert, writers=writers, pause=pause, ledger=book("sent")), "sent")
         calls = gone.select(key, F.array().cast("array<string>").alias("fields"), F.lit("").alias("record"))
-        dropped = written(outbox.deliver(calls, key, lambda k, _: destination.delete(k), writers=writers, pause=pause), "dropped").select(key, "error")
+        dropped = written(outbox.deliver(calls, key, lambda k, _: destination.delete(k), writers=writers, pause=pause, ledger=book("dropped")), "dropped").select(key, "error")
     outcome = lambda error, name: F.when(error.isNull(), name).otherwise("failed")
     report = sent.select(key, outcome(F.col("error"), "pushed").alias("outcome"), "error")
     report = report.unionByName(large.select(key, F.lit("too_large").alias("outcome"), F.concat(F.col("bytes").cast("string"), F.lit(" bytes")).alias("error")))
@@ -149,9 +151,9 @@ def crm_plan(local: DataFrame, remote: DataFrame, *, repush_tag: str = "repush")
     return both.select(F.coalesce("id", "__r").alias("id"), action.alias("action"), "crm_id", F.to_json("record").alias("record"))
 
 
-def push_crm(local: DataFrame, remote: DataFrame, destination, written: Written, *, repush_tag: str = "repush", pause: float = 0.2, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(local after it, (id, action, error)): carry out crm_plan by one writer that pauses after each call. The tag goes only with
-    success. A mismatch stops the run before anything is sent."""
+def push_crm(local: DataFrame, remote: DataFrame, destination, written: Written, *, repush_tag: str = "repush", writers: int = 4, pause: float = 0.2, dry_run: bool = False, ledger: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(local after it, (id, action, error)): carry out crm_plan by writers that together send a call every `pause` seconds. The tag goes
+    only with success. A mismatch stops the run before anything is sent."""
     plan = written(crm_plan(local, remote, repush_tag=repush_tag), "crm-plan")
     wrong = plan.where("action = 'mismatch'").limit(5).collect()
     if wrong:
@@ -169,7 +171,7 @@ def push_crm(local: DataFrame, remote: DataFrame, destination, written: Written,
             destination.upsert(crm_id or key, record)
 
     calls = work.select("id", F.array().cast("array<string>").alias("fields"), F.to_json(F.array(F.col("action"), F.col("crm_id"), F.col("record"))).alias("record"))
-    done = written(outbox.deliver(calls, "id", send, writers=1, pause=pause), "crm-sent").select("id", "error")
+    done = written(outbox.deliver(calls, "id", send, writers=writers, pause=pause, ledger=ledger), "crm-sent").select("id", "error")
     report = plan.join(done, "id", "left").select("id", "action", "error")
     cleared = report.where("action = 'update' and error is null").select(F.col("id").alias("__ok"))
     tags = F.when(F.col("__ok").isNotNull(), tag_remove(F.col("tags"), repush_tag)).otherwise(F.col("tags"))
@@ -177,7 +179,7 @@ def push_crm(local: DataFrame, remote: DataFrame, destination, written: Written,
     return after, report
 
 
-def push_lists(theirs: DataFrame, ours: DataFrame, key: str, field_name: str, destination, written: Written, *, pause: float = 0.2, dry_run: bool = False) -> tuple[DataFrame, int]:
+def push_lists(theirs: DataFrame, ours: DataFrame, key: str, field_name: str, destination, written: Written, *, writers: int = 4, pause: float = 0.2, dry_run: bool = False, ledger: str | None = None) -> tuple[DataFrame, int]:
     """Deliver one list field of the records that both sides have, where it differs: (key, prior, new, error), and how many keys only
     ours has. theirs has crm_id."""
     both, only = outbox.field_delta(theirs, ours, key, field_name)
@@ -187,5 +189,5 @@ def push_lists(theirs: DataFrame, ours: DataFrame, key: str, field_name: str, de
         return changed.select(key, "prior", "new", F.lit(None).cast("string").alias("error")), missing
     record = F.to_json(F.struct(F.col("new").alias(field_name)))
     calls = changed.select("crm_id", F.array().cast("array<string>").alias("fields"), record.alias("record"))
-    done = written(outbox.deliver(calls, "crm_id", destination.upsert, writers=1, pause=pause), "lists-sent").select("crm_id", "error")
+    done = written(outbox.deliver(calls, "crm_id", destination.upsert, writers=writers, pause=pause, ledger=ledger), "lists-sent").select("crm_id", "error")
     return changed.join(done, "crm_id").select(key, "prior", "new", "error"), missing

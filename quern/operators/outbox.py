@@ -142,30 +142,47 @@ def replicas(rows: DataFrame, key: str, orders: dict[str, tuple[str, bool]]) ->
     return {name: rows.orderBy(F.col(c).asc() if up else F.col(c).desc(), key) for name, (c, up) in orders.items()}
 
 
-def deliver(deltas: DataFrame, key: str, send: Callable[[str, str], None], *, writers: int = 1, pause: float = 0.0) -> DataFrame:
-    """(key, fields, error): call send(key, record) for each row in `writers` tasks, pausing after each; error is null on success.
+def deliver(deltas: DataFrame, key: str, send: Callable[[str, str], None], *, writers: int = 1, pause: float = 0.0, ledger: str | None = None, holds: Callable[[str], bool] | None = None, lease: float = 30.0) -> DataFrame:
+    """(key, fields, error): call send(key, record) for each row in `writers` tasks; error is null on success. All writers together send
+    one record every `pause` seconds at most, in time slots dealt to them.
 
-    The result must be written before it is read twice, as reading it sends."""
+    The result must be written before it is read twice, as reading it sends. With a ledger (a mounted folder, one for each delivery) a task
+    that is tried again, or run twice, sends nothing again that is settled there; holds(id) asks the destination about what is in doubt, and
+    lease is how many seconds a silent owner of a partition is waited for."""
     import time
 
     import pyarrow as pa
+    from pyspark import TaskContext
 
-    names = ["key", "fields", "error"]
+    from .ledger import Ledger, Slots
+
+    names, begin = ["key", "fields", "error"], time.time()
 
     def run(batches):
+        at = TaskContext.get().partitionId()
+        slots, book = Slots(begin, pause, at, writers), Ledger(ledger, at, lease=lease) if ledger else None
+
+        def one(k, record) -> str | None:
+            def paced() -> None:
+                slots.wait()
+                send(k, record)
+
+            if book:
+                return book.once(k, record, paced, holds)
+            try:
+                paced()
+            except Exception as e:  # the row stays undelivered and says why
+                return str(e)[:500]
+            return None
+
         for batch in batches:
-            errors = []
-            for k, record in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                try:
-                    send(k, record)
-                    errors.append(None)
-                except Exception as e:  # the row stays undelivered and says why
-                    errors.append(str(e)[:500])
-                time.sleep(pause)
+            errors = [one(k, record) for k, record in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(errors, pa.string())], names)
+        if book:
+            book.close()
 
     kind = dict(deltas.dtypes)[key]
-    return deltas.select(key, "fields", "record").repartition(writers).mapInArrow(run, f"key {kind}, fields array<string>, error string").withColumnRenamed("key", key)
+    return deltas.select(key, "fields", "record").repartition(writers, key).mapInArrow(run, f"key {kind}, fields array<string>, error string").withColumnRenamed("key", key)
 
 
 def field_delta(theirs: DataFrame, ours: DataFrame, key: str, field: str) -> tuple[DataFrame, DataFrame]:

@@ -1,4 +1,4 @@
-"""Runs at three levels of thoroughness, with a kill switch and gates on deletions."""
+"""Runs at three levels of thoroughness as graphs of steps, with a kill switch that also ends running work, and gates on deletions."""
 
 from __future__ import annotations
 
@@ -46,7 +46,7 @@ LEVELS = {1: Level(48, 5, 4, False, False), 2: Level(None, 10, None, True, False
 
 
 class Stopped(Exception):
-    """The kill switch was off before a step."""
+    """The kill switch went off before a step, or in it."""
 
 
 def run_steps(control: Control, level: int, steps: list[tuple[str, Callable[[Level], object]]], *, switch: str = "jobs") -> dict[str, object]:
@@ -63,6 +63,58 @@ def run_steps(control: Control, level: int, steps: list[tuple[str, Callable[[Lev
     return results
 
 
+def run_graph(control: Control, level: int, steps: list[tuple[str, Callable[[Level], object], tuple[str, ...]]], context, *, switch: str = "jobs", at_once: int = 4, poll: float = 0.5) -> dict[str, object]:
+    """Run steps (name, step, names of the steps before it), those that wait for nothing at the same time, each in a scheduler pool of its
+    own name (pools matter where the context schedules fairly). A step that fails is recorded and what follows it runs.
+
+    The switches are read every `poll` seconds. When one goes off no step begins, the Spark jobs of the running ones are cancelled by their
+    tag, and Stopped is raised when these have ended. Stores are as they were, as a commit appears at its end or not at all."""
+    import uuid
+    from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+
+    run, results, waiting, running = uuid.uuid4().hex[:12], {}, {n: set(after) for n, _, after in steps}, {}
+    work = {n: step for n, step, _ in steps}
+    unknown = {a for after in waiting.values() for a in after} - set(work)
+    if unknown:
+        raise ValueError(f"unknown steps: {sorted(unknown)}")
+
+    def one(name: str) -> object:
+        context.addJobTag(f"{run}-{name}")
+        context.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return work[name](LEVELS[level])
+        finally:
+            context.removeJobTag(f"{run}-{name}")
+
+    def collect(done: set[Future]) -> None:
+        for f in done:
+            name = running.pop(f)
+            results[name] = f.exception() or f.result()
+            for after in waiting.values():
+                after.discard(name)
+
+    def stopped() -> bool:
+        return control.get(switch) is False or control.get("everything") is False
+
+    with ThreadPoolExecutor(at_once) as pool:
+        while waiting or running:
+            if stopped():
+                names = [*running.values(), *waiting]
+                while running:
+                    for name in running.values():
+                        context.cancelJobsWithTag(f"{run}-{name}")
+                    collect(wait(running, timeout=poll).done)
+                control.set(switch, True)  # the job's own switch is ready for its next run; the global one stays off
+                raise Stopped(names[0])
+            for name in [n for n, after in waiting.items() if not after][: at_once - len(running)]:
+                del waiting[name]
+                running[pool.submit(one, name)] = name
+            if not running:
+                raise ValueError(f"steps wait for each other: {sorted(waiting)}")
+            collect(wait(running, timeout=poll, return_when=FIRST_COMPLETED).done)
+    return {n: results[n] for n, _, _ in steps}
+
+
 def may_delete(level: Level, *, pull_ok: bool, ids_ok: bool, full: bool) -> bool:
     return level.deletions and pull_ok and ids_ok and full
 

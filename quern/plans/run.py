@@ -1,6 +1,7 @@
-"""The whole run: pull from the site, bring the stores up to date, derive texts' artefacts, and deliver to both destinations, in
-eighteen steps at three levels of thoroughness (`control.LEVELS`). Every step is a method, so a run can be cut short or a step be
-run alone; what a step needs it reads from the stores, so a failed step holds up only what the stores then lack."""
+"""The whole run: pull from the site, bring the stores up to date, derive texts' artefacts, deliver to both destinations and drop old
+versions, in seventeen steps at three levels of thoroughness (`control.LEVELS`). Every step is a method, so a run can be cut short or
+a step be run alone; what a step needs it reads from the stores, so a failed step holds up only what the stores then lack. Steps
+are a graph: videos and publications, comments and texts, dimensions and artefacts go side by side."""
 
 from __future__ import annotations
 
@@ -16,7 +17,7 @@ from ..operators.store import Store
 from ..operators.versions import Versions
 from ..sources import files, pull
 from . import scratch
-from .control import Control, Level, may_delete, run_steps
+from .control import Control, Level, may_delete, run_graph
 
 MISSING = "transcript_missing"
 
@@ -40,6 +41,8 @@ class Setting:
     new_for_days: int = 14
     pause: float = 0.2
     buckets: int = 16
+    keep_versions: int = 48
+    at_once: int = 4
 
 
 class Run:
@@ -187,11 +190,9 @@ class Run:
         self.crm_shows.load(fresh=True)
         self.crm_videos.load(fresh=True)
 
-    def _local(self) -> DataFrame:
-        return self.crm_local.read("records") if self.crm_local.has("records") else None
-
     def crm_records(self, level: Level) -> dict:
-        local = self._local()
+        c = self.crm_local.begin()
+        local = c.read("records") if c.has("records") else None
         target = self.spark.createDataFrame([], "id string, data_updated long, tags array<string>") if local is None else local.select("id", "data_updated", "tags")
         dim = lambda d, name: d.select(F.col(name).alias("name"), F.col("id").alias("crm_id"))
         stats = self.stats.read() if self.stats.version() else self.spark.createDataFrame([], "id string, n_comments long, n_replies long, likes long, dislikes long, tags array<string>")
@@ -204,22 +205,30 @@ class Run:
         self.report["issues"] = records.issue_table(made)
         if not self.dry_run:
             built = made.where("action in ('add', 'update')").select("id", "record", F.col("record.last_change").alias("data_updated"), "tags")
-            if local is not None:
-                built = local.join(made.where("action in ('add', 'update', 'delete')").select("id"), "id", "left_anti").select(built.columns).unionByName(built)
-            self.crm_local.commit({"records": (built, "id", None)})
+            if local is None:
+                c.replace("records", built, "id")
+            else:
+                c.drop("records", made.where("action = 'delete'"))
+                c.put("records", built)
+            c.commit()
+            self.crm_local.upkeep()
             if self.stats.version():
                 self.stats.retag_to(records.consumed_tags(stats, made, "comments_changed"))
             self.videos.retag_to(records.consumed_tags(self.videos.read(), made, "changed"))
         return counts
 
     def push_crm(self, level: Level) -> dict:
-        local = self._local()
-        if local is None:
+        c = self.crm_local.begin()
+        if not c.has("records"):
             return {}
+        local = c.read("records")
         remote = self.crm_videos.load().select("website_id", F.col("id").alias("crm_id"))
         after, report = delivery.push_crm(local, remote, self.crm, scratch.written, pause=self.setting.pause, dry_run=self.dry_run)
         if not self.dry_run:
-            self.crm_local.commit({"records": (after, "id", None)})
+            moved = report.where("action = 'update' and error is null").select("id")
+            c.put("records", after.join(moved, "id", "left_semi").select(local.columns))
+            c.commit()
+            self.crm_local.upkeep()
         return {f"{r.action}{'' if r.ok else ' failed'}": r.n for r in report.groupBy("action", F.col("error").isNull().alias("ok")).agg(F.count("*").alias("n")).collect()}
 
     # ---- 18: the search indexes ----
@@ -236,31 +245,51 @@ class Run:
         kept = {"videos": self.transcripts, "videos_full": self.transcripts, "publications": self.full_texts}
 
         def index(name: str) -> delivery.Index:
-            store = self.units[name]
+            c = self.units[name].begin()
 
             def load() -> DataFrame:
-                if store.has("units"):
-                    return store.read("units")
+                if c.has("units"):
+                    return c.read("units")
                 kinds = ", ".join(f"{c}:{t}" for c, t in made[name]().dtypes if c not in ("id", "hash", "issues"))
                 return self.spark.createDataFrame([], empty.format(kinds))
 
             def with_pseudo() -> DataFrame:
                 return kept[name].read().select("id", "text").join(kept[name].read("pseudo").select("id", "pseudo"), "id", "left")
 
-            return delivery.Index(name, made[name], records.INDEXES[name], self.indexes[name], load, lambda rows: store.commit({"units": (rows, "id", None)}), with_pseudo)
+            def save(rows: DataFrame) -> None:
+                c.replace("units", rows, "id")
+                c.commit()
+
+            return delivery.Index(name, made[name], records.INDEXES[name], self.indexes[name], load, save, with_pseudo)
 
         names = [n for n in ("videos", "videos_full", "publications") if n in self.indexes and (n == "videos" or level.deletions)]
         if not self.publications.version():
             names = [n for n in names if n != "publications"]
         return delivery.push_indexes([index(n) for n in names], records.unit_plan, scratch.written, dry_run=self.dry_run, may_go_on=lambda: self.control.get("jobs") is not False)
 
-    def steps(self) -> list[tuple[str, Callable[[Level], object]]]:
-        names = "login probe pull_videos sync_videos pull_publications sync_publications comments video_texts publication_texts term_counts summaries subjects dimensions crm_records push_crm search".split()
-        return [(n, getattr(self, n)) for n in names]
+    def retention(self, level: Level) -> dict[str, int]:
+        """Drop all but the newest versions of everything that the run keeps; the number of versions left."""
+        if self.dry_run:
+            return {}
+        kept = {"pulls": self.pulls, "videos": self.videos, "publications": self.publications, "stats": self.stats, "transcripts": self.transcripts, "full texts": self.full_texts}
+        every = {n: s.versions for n, s in kept.items()} | {"paging": self.paging, "crm records": self.crm_local} | {f"units {n}": v for n, v in self.units.items()}
+        for v in every.values():
+            v.retain(self.setting.keep_versions)
+        return {n: len(v.numbers()) for n, v in every.items()}
+
+    def steps(self) -> list[tuple[str, Callable[[Level], object], tuple[str, ...]]]:
+        """(name, step, the steps that it waits for)."""
+        after = {
+            "login": (), "probe": ("login",), "pull_videos": ("probe",), "sync_videos": ("pull_videos",), "pull_publications": ("login", "pull_videos"), "sync_publications": ("pull_publications",),
+            "comments": ("sync_videos",), "video_texts": ("sync_videos",), "publication_texts": ("sync_publications",), "term_counts": ("video_texts", "publication_texts"), "summaries": ("term_counts",),
+            "dimensions": ("login", "pull_videos"), "subjects": ("sync_videos",), "crm_records": ("comments", "video_texts", "subjects", "dimensions"), "push_crm": ("crm_records",),
+            "search": ("summaries", "sync_publications", "crm_records"), "retention": ("search", "push_crm"),
+        }
+        return [(n, getattr(self, n), before) for n, before in after.items()]
 
     def run(self, level: int) -> dict[str, object]:
         """All steps at a level; the site is logged out of however it ends. The results by step: what it returned, or its error."""
         try:
-            return run_steps(self.control, level, self.steps())
+            return run_graph(self.control, level, self.steps(), self.spark.sparkContext, at_once=self.setting.at_once)
         finally:
             self.site.logout()

@@ -279,6 +279,134 @@ def test_a_failed_pull_stops_the_job(spark, tmp_path):
     assert run.videos.version() == 0 and run.control.get("jobs") is True
 
 
+def test_running_work_is_stopped_and_leaves_the_stores(spark, tmp_path):
+    """The switch goes off while a Spark job of one step runs for minutes: it ends within seconds, and nothing of it is seen."""
+    import threading
+    import time
+
+    from quern.operators.store import Store
+
+    s = Store(spark, f"file://{tmp_path}/store", "k", ["v"])
+    s.sync(spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v")), now=1)
+    c, began = control.Control(str(tmp_path / "control.json")), threading.Event()
+
+    def slow(batches):
+        for batch in batches:
+            time.sleep(120)
+            yield batch
+
+    def step(level):
+        began.set()
+        rows = spark.range(0, 50, 1, 2).mapInArrow(slow, "id long").select(F.col("id").alias("k"), F.lit("b").alias("v"))
+        s.sync(rows, now=2)
+
+    seen = []
+    steps = [("first", lambda level: seen.append("first"), ()), ("beside", lambda level: spark.range(10).count(), ()), ("slow", step, ("first",)), ("never", lambda level: seen.append("never"), ("slow",))]
+    threading.Thread(target=lambda: began.wait(60) and time.sleep(2) or c.set("jobs", False)).start()
+    start = time.time()
+    with pytest.raises(control.Stopped):
+        control.run_graph(c, 1, steps, spark.sparkContext)
+    assert time.time() - start < 40 and seen == ["first"] and c.get("jobs") is True
+    assert s.version() == 1 and {r.v for r in s.read().collect()} == {"a"}
+
+
+def test_graph_of_steps(spark, tmp_path):
+    import threading
+
+    c, meet = control.Control(str(tmp_path / "control.json")), threading.Barrier(2, timeout=30)
+    order = []
+    side = lambda name: lambda level: (meet.wait(), order.append(name), name)[2]  # noqa: E731  both must run at the same time
+    broken = lambda level: 1 / 0
+    steps = [("a", side("a"), ()), ("b", side("b"), ()), ("bad", broken, ("a",)), ("last", lambda level: order.append("last") or level.deletions, ("bad", "b"))]
+    got = control.run_graph(c, 2, steps, spark.sparkContext)
+    assert list(got) == ["a", "b", "bad", "last"] and got["a"] == "a" and isinstance(got["bad"], ZeroDivisionError) and got["last"] is True and order[-1] == "last"
+    for wrong in ([("a", broken, ("x",))], [("a", broken, ("b",)), ("b", broken, ("a",))]):
+        with pytest.raises(ValueError):
+            control.run_graph(c, 1, wrong, spark.sparkContext)
+
+
+def test_old_versions_are_dropped_by_the_run(spark, tmp_path):
+    from quern.operators.versions import Versions
+
+    run, _, _ = make_run(spark, tmp_path, make_site(tmp_path, n=1), 1)
+    run.setting.keep_versions = 2
+    row = spark.createDataFrame([("tv", 1, 1)], pull.PAGING)
+    for _ in range(4):
+        Versions(spark, f"file://{tmp_path}/state/paging", 1).commit({"paging": (row, "product", None)})
+    assert run.retention(control.LEVELS[1])["paging"] == 2 and run.paging.read("paging").count() == 1
+
+
+# ---- the ledger ----
+
+
+def test_a_killed_delivery_sends_each_record_once(spark, tmp_path):
+    """A task dies midway; the job that runs again sends what was not sent, and asks about what is in doubt."""
+    import os
+
+    sent = tmp_path / "sent"
+    sent.mkdir()
+    deltas = spark.createDataFrame([(f"k{k}", ["f"], f"r{k}") for k in range(30)], "id string, fields array<string>, record string")
+
+    def send(die):
+        def one(key, record):
+            if key == "k7" and not die:
+                raise OSError("refused")
+            with (sent / key).open("a") as out:
+                out.write("x")
+            if die and len(list(sent.iterdir())) == 12:
+                os._exit(1)  # after it was sent, before it is settled
+
+        return one
+
+    from quern.operators.ledger import record_id
+
+    ids = {record_id(f"k{k}", f"r{k}"): f"k{k}" for k in range(30)}
+    book = f"file://{tmp_path}/ledger"
+    with pytest.raises(Exception, match="."):
+        outbox.deliver(deltas, "id", send(True), writers=2, ledger=book, lease=1.0).collect()
+    first = {p.name for p in sent.iterdir()}
+    assert 12 <= len(first) < 30
+    out = outbox.deliver(deltas, "id", send(False), writers=2, ledger=book, lease=1.0, holds=lambda i: (sent / ids[i]).exists()).collect()
+    assert {r.id for r in out if r.error} <= {"k7"} and len(out) == 30
+    assert {p.read_text() for p in sent.iterdir()} == {"x"} and {f"k{k}" for k in range(30)} - {"k7"} <= {p.name for p in sent.iterdir()}
+    again = outbox.deliver(deltas, "id", send(False), writers=2, ledger=book, lease=1.0).collect()
+    assert len(again) == 30 and {p.read_text() for p in sent.iterdir()} == {"x"}
+
+
+def test_two_attempts_at_the_same_time_send_once(tmp_path):
+    import threading
+    import time
+
+    from quern.operators.ledger import Ledger, Slots
+
+    sent = []
+
+    def attempt():
+        book = Ledger(str(tmp_path / "book"), 3, lease=20, wait=0.02)
+        for k in range(20):
+            book.once(k, "r", lambda k=k: (time.sleep(0.01), sent.append(k)))
+        book.close()
+
+    threads = [threading.Thread(target=attempt) for _ in range(3)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(sent) == list(range(20))
+    slots, times = [Slots(time.time(), 0.05, k, 3) for k in range(3)], []
+
+    def write(s):
+        for _ in range(4):
+            s.wait()
+            times.append(time.time())
+
+    threads = [threading.Thread(target=write, args=(s,)) for s in slots]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    times.sort()
+    assert times[-1] - times[0] >= 0.05 * 10 and sum(b - a < 0.02 for a, b in zip(times, times[1:], strict=False)) <= 2
+    with pytest.raises(ValueError):
+        Ledger("s3://bucket/x", 0)
+
+
 def test_schedule_and_command_line(tmp_path):
     path = str(tmp_path / "control.json")
     c, ran, clock = control.Control(path), [], [0.0]
