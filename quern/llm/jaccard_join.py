@@ -304,10 +304,11 @@ def _links(percent: int):
 class Join:
     """The state of one join: the rows, the nodes' signatures and what has been compared."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, filter_bits: int, sketch_bits: int, split_above: int, block: int, block_tokens: int):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, filter_bits: int, sketch_bits: int, split_above: int, block: int, block_tokens: int, most_bits: int):
         self.spark = docs.sparkSession
         small_batches(self.spark)
         self.size, self.percent, self.split_above, self.block, self.block_tokens, self.filter_bits = size, percent, split_above, block, block_tokens, filter_bits
+        self.least_bits, self.most_bits = 1 << 12, most_bits
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
         facts = stash(few(self.docs).mapInArrow(freed(_facts(size, filter_bits, sketch_bits)), FACTS), "facts")
         parts = facts.where("slice is not null").select("slice", "data")
@@ -348,7 +349,9 @@ class Join:
         """(token, doc, n, pos, least, held): holders of each order-one prefix token that at least two nodes hold, where places and
         sizes leave room for a link; least is the smallest of them as struct(doc, n, pos)."""
         lists = self.signatures.select("doc_id", "n", "p1")
-        twice = merged_twice(few(lists.select("p1")).mapInArrow(freed(_prefix_filter(self.filter_bits)), "slice int, data binary"), self.filter_bits)
+        held = lists.agg(F.sum(F.size("p1"))).first()[0] or 0
+        bits = min(self.most_bits, max(self.least_bits, 1 << (8 * held - 1).bit_length() if held else 0))  # 8 to 16 a token
+        twice = merged_twice(few(lists.select("p1")).mapInArrow(freed(_prefix_filter(bits)), "slice int, data binary"), bits)
         wanted = self.spark.sparkContext.broadcast(Bits(twice))
         tokens = stash(lists.mapInArrow(freed(_shared_tokens(wanted)), "token long, doc long, n long, pos long"), "prefix-tokens")
         wanted.unpersist()
@@ -446,8 +449,8 @@ def row_key(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
 
 
-def joined(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, filter_bits: int = 1 << 28, sketch_bits: int = 22, split_above: int = 12, block: int = 128, block_tokens: int = 1 << 20) -> Join:
-    return Join(docs, id_col, text_col, size, percent, filter_bits, sketch_bits, split_above, block, block_tokens)
+def joined(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, filter_bits: int = 1 << 28, sketch_bits: int = 22, split_above: int = 12, block: int = 128, block_tokens: int = 1 << 20, most_bits: int = 1 << 30) -> Join:
+    return Join(docs, id_col, text_col, size, percent, filter_bits, sketch_bits, split_above, block, block_tokens, most_bits)
 
 
 def jaccard_components(docs: DataFrame, **options) -> DataFrame:
