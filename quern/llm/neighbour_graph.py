@@ -213,7 +213,7 @@ class Graph:
 
     def search(self, queries: DataFrame, *, beam: int = 320, expand: int = 64, rounds: int = 100, entries: int = 8, answer: int = 16) -> DataFrame:
         """(query, node, s): the `answer` best nodes for each (query, v, start) row, start being its own node or null. A search ends
-        when all of its beam is expanded; `rounds` only bounds what cannot happen, as a round expands at least one node of a query."""
+        when all of its beam is expanded, which a round brings nearer by a node of each query at least; it raises if `rounds` are not enough."""
         both = stash(self.edges.select("a", "b").unionAll(self.edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "adjacent")
         queries = stash(queries, "queries")
         dot = F.arrow_udf(_dot, "float")
@@ -235,6 +235,8 @@ class Graph:
             release(self.nodes.sparkSession)
             if not state.where("done = 0").limit(1).count():
                 break
+        else:
+            raise RuntimeError(f"searches did not settle in {rounds} rounds")
         return state.withColumn("k", F.row_number().over(order)).where(F.col("k") <= answer).select("query", "node", "s")
 
 

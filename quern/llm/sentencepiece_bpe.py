@@ -481,7 +481,9 @@ def encoded_documents(docs: DataFrame, *, id_col="doc_id", text_col="text", piec
     kept = [c for c in docs.columns if c != pieces_col]
     if not copies:
         return docs.select(*(docs[c] for c in kept), codec.encode(docs[text_col], docs[id_col]).alias(pieces_col))
-    same = Window.partitionBy("row." + id_col, F.xxhash64("row." + text_col)).orderBy(F.xxhash64("row"))
-    rows = docs.select(F.struct(*(docs[c] for c in kept)).alias("row"))
+    text = F.col("row." + text_col)
+    alone = F.when(F.octet_length(F.coalesce(text, F.lit(""))) == 0, F.monotonically_increasing_id())  # nothing is drawn for empty texts
+    same = Window.partitionBy("row." + id_col, F.xxhash64(text), "alone").orderBy(F.xxhash64("row"))
+    rows = docs.select(F.struct(*(docs[c] for c in kept)).alias("row")).select("row", alone.alias("alone"))
     rows = rows.select("row", F.row_number().over(same).alias("copy"))
-    return rows.select("row.*", codec.encode(F.col("row." + text_col), F.col("row." + id_col), F.col("copy")).alias(pieces_col))
+    return rows.select("row.*", codec.encode(text, F.col("row." + id_col), F.col("copy")).alias(pieces_col))

@@ -242,6 +242,18 @@ def read_warc(archives: DataFrame, *, split: int = 1 << 22, with_payload: bool =
     return ranges.repartition(max(1, min(100_000, total // split)), "path", "start").mapInArrow(_scan(with_payload), SCHEMA)
 
 
+def read_whole(archives: DataFrame, **options) -> DataFrame:
+    """read_warc of a manifest (path, size, records), written to the shared folder; it raises if an archive gave another number of records
+    than the manifest says."""
+    out = stash(read_warc(archives, **options), "warc-records")
+    got = out.groupBy("path").agg(F.count("*").alias("got"))
+    both = archives.select("path", "records").join(got, "path", "left").where(~F.col("records").eqNullSafe(F.coalesce("got", F.lit(0))))
+    wrong = both.limit(5).collect()
+    if wrong:
+        raise ValueError("records lost or added: " + ", ".join(f"{r.path}: {r.got} of {r.records}" for r in wrong))
+    return out
+
+
 def archives_at(spark: SparkSession, glob: str) -> DataFrame:
     """(path, size) of the files that match, listed by Spark without reading them."""
     return spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("size"))

@@ -221,6 +221,25 @@ def test_warc_reader_owns_what_starts_in_its_range(tmp_path):
         assert seen == [str(k) for k in range(20)]
 
 
+def test_records_that_are_lost_are_noticed(spark):
+    """A member whose bytes are broken is not read; read_whole says so, read_warc gives the others."""
+    rows = spark.createDataFrame([(k, f"http://x/{k}", f"<p>{k}</p>" * 40) for k in range(12)], "page_id long, url string, html string").coalesce(1)
+    written = warc.write_warc(rows)
+    assert warc.read_whole(written).count() == 12
+    with pytest.raises(ValueError, match="12 of 13"):
+        warc.read_whole(written.withColumn("records", F.col("records") + 1))
+    path = written.first().path.removeprefix("file:")
+    data = bytearray(open(path, "rb").read())
+    at = [m.start() for m in re.finditer(re.escape(warc.MAGIC), bytes(data))][5]
+    data[at + 20 : at + 30] = b"\xff" * 10
+    open(path, "wb").write(bytes(data))
+    crc = __import__("pathlib").Path(path)
+    (crc.parent / f".{crc.name}.crc").unlink(missing_ok=True)
+    assert warc.read_warc(written).count() == 11
+    with pytest.raises(ValueError, match="11 of 12"):
+        warc.read_whole(written)
+
+
 def test_warc_of_nothing(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_warc(warc.write_warc(empty)).count() == 0
