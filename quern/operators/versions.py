@@ -20,12 +20,15 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 RATIO, AT_LEAST, MOST_DELTAS, MOST_PATCHES = 0.25, 8 << 20, 16, 8  # when changes are folded into their bucket
+WRITES = 8  # of one commit at the same time
 FANOUT = 10  # segments of a log that are merged into one
 BUCKET_BYTES = 512 << 20  # mean size of a bucket at which their number doubles
 GRACE_MS = 3_600_000  # younger files that no version names may belong to a commit under way
@@ -318,7 +321,8 @@ class Versions:
 
 
 class Commit:
-    """One transaction: what it reads is what it started from, what it writes appears with commit()."""
+    """One transaction: what it reads is what it started from; what it writes is written, all tables at the same time, and appears with
+    commit()."""
 
     def __init__(self, versions: Versions):
         self.v = versions
@@ -334,6 +338,7 @@ class Commit:
         self._segments: dict[str, list[dict]] = {}
         self._merged: list[tuple[str, list[str], dict]] = []
         self._cleared: dict[str, list[str]] = {}
+        self._writes: list[Callable[[], None]] = []
 
     def has(self, table: str) -> bool:
         return table in self.manifest["schemas"]
@@ -352,19 +357,30 @@ class Commit:
     def replace(self, table: str, rows: DataFrame, key: str, buckets: list[int] | None = None, *, mode: str | None = None) -> None:
         """rows are all rows of these buckets (None: of the table) from now on."""
         self._declare(table, rows, key, mode)
-        made = {b: {"base": p, "bytes": n, "deltas": []} for b, (p, n) in self.v._write(rows, key).items()}
-        self._bases[table] = (buckets, made, False)
+        self._becomes(table, rows, key, buckets, False)
+
+    def _becomes(self, table: str, rows: DataFrame, key: str, buckets: list[int] | None, folded: bool) -> None:
+        def write() -> None:
+            made = {b: {"base": p, "bytes": n, "deltas": []} for b, (p, n) in self.v._write(rows, key).items()}
+            self._bases[table] = (buckets, made, folded)
+
+        self._bases[table] = (buckets, {}, folded)
+        self._writes.append(write)
 
     def fold(self, table: str, buckets: list[int]) -> None:
         """Write buckets anew as they are read; changes that come meanwhile stay on top."""
         buckets = [b for b in buckets if str(b) in self.manifest["buckets"].get(table, {})]
         rows = self.v.read(table, buckets=buckets, manifest=self.manifest)
-        made = {b: {"base": p, "bytes": n, "deltas": []} for b, (p, n) in self.v._write(rows, self.manifest["keys"][table]).items()}
-        self._bases[table] = (buckets, made, True)
+        self._becomes(table, rows, self.manifest["keys"][table], buckets, True)
 
     def _change(self, table: str, rows: DataFrame, key: str, kind: str, ops: list[str] = ()) -> None:  # type: ignore[assignment]
-        for b, (path, n) in self.v._write(rows, key).items():
-            self._deltas.setdefault(table, {}).setdefault(b, []).append({"path": path, "bytes": n, "kind": kind, "ops": list(ops)})
+        held = self._deltas.setdefault(table, {})
+
+        def write() -> None:
+            for b, (path, n) in self.v._write(rows, key).items():
+                held.setdefault(b, []).append({"path": path, "bytes": n, "kind": kind, "ops": list(ops)})
+
+        self._writes.append(write)
 
     def put(self, table: str, rows: DataFrame, key: str | None = None, *, fresh: bool = False) -> None:
         """rows in the place of all rows of their keys; fresh: there are none of these keys."""
@@ -394,7 +410,8 @@ class Commit:
     def append(self, log: str, rows: DataFrame) -> None:
         if log not in self.manifest["schemas"]:
             self._declare(log, rows, None)
-        self._segments.setdefault(log, []).extend({"path": p, "level": 0} for p, _ in self.v._write(rows, None).values())
+        held = self._segments.setdefault(log, [])
+        self._writes.append(lambda: held.extend({"path": p, "level": 0} for p, _ in self.v._write(rows, None).values()))
 
     def clear(self, log: str) -> None:
         """Take off a log what it held when this began."""
@@ -404,8 +421,12 @@ class Commit:
         """Write segments of a log as one, in order of the first column."""
         schema = StructType.fromJson(self.manifest["schemas"][log])
         rows = self.v._files(schema, [s["path"] for s in segments])
-        made = self.v._write(rows.sort(schema.names[0]), None)
-        self._merged.append((log, [s["path"] for s in segments], {"path": next(iter(made.values()))[0], "level": level} if made else {}))
+
+        def write() -> None:
+            made = self.v._write(rows.sort(schema.names[0]), None)
+            self._merged.append((log, [s["path"] for s in segments], {"path": next(iter(made.values()))[0], "level": level} if made else {}))
+
+        self._writes.append(write)
 
     def _wrote(self) -> dict:
         """Table -> buckets that this commit changes, null for all; a fold changes nothing that can be read."""
@@ -484,7 +505,11 @@ class Commit:
         return m
 
     def commit(self) -> int:
-        """Publish; the version. What others publish first is taken in, or ends this commit with Conflict."""
+        """Write and publish; the version. What others publish first is taken in, or ends this commit with Conflict."""
+        with ThreadPoolExecutor(WRITES) as pool:  # each is a Spark job of the thread that commits
+            for done in [pool.submit(inheritable_thread_target(self.v.spark)(w)) for w in self._writes]:
+                done.result()
+        self._writes.clear()
         while True:
             newest = self.v.version()
             if newest != self.at:
