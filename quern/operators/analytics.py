@@ -82,36 +82,52 @@ def top_terms(weights: DataFrame, n: int) -> DataFrame:
     return weights.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def pseudo_text(counts: DataFrame, *, more_than: int = 2, limit: int | None = 50_000, ignored: DataFrame | None = None, most_rounds: int = 40) -> DataFrame:
-    """(doc_id, pseudo, issue): each term of count over more_than, repeated ceil(count / (more_than + 1)) times on lines of its
-    own, largest counts first. Above limit bytes all terms come back, and until the text fits: terms counted once go and the
-    counts are divided by the smallest left, rounded up. Ignored terms take part in the counts, not in the text. No text left:
-    pseudo is null and issue says so. ignored: (doc_id, terms)."""
-    own = counts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("neg"), "term"))).alias("terms"))
-    if ignored is not None:
-        own = own.join(ignored.select("doc_id", F.col("terms").alias("ignored")), "doc_id", "left")
-    skip = F.coalesce(F.col("ignored"), F.array().cast("array<string>")) if ignored is not None else F.array().cast("array<string>")
-    full = F.transform("terms", lambda t: F.struct(t["term"].alias("term"), (-t["neg"]).alias("n")))
-    own = own.select("doc_id", full.alias("full"), skip.alias("skip"))
-    seen = lambda terms: F.filter(terms, lambda t: ~F.array_contains(F.col("skip"), t["term"]))
-    size = lambda terms: F.aggregate(seen(terms), F.lit(0).cast("long"), lambda acc, t: acc + t["n"] * (F.octet_length(t["term"]) + 1))
-    first = F.transform(F.filter("full", lambda t: t["n"] > more_than), lambda t: F.struct(t["term"].alias("term"), F.ceil(t["n"] / (more_than + 1)).alias("n")))
-    own = own.withColumn("first", first)
+def summary_weights(counts: DataFrame, *, more_than: int = 2, limit: int | None = 50_000, most_rounds: int = 40) -> DataFrame:
+    """(doc_id, weights array<struct<count, n>>): how often a summary repeats the terms of each count, from counts (doc_id, term, count, skip).
+
+    All terms of one count fare alike, so a document is its histogram: a row for each count with the bytes of its terms that are not
+    skipped. The rounds run over the distinct counts, of which a document of w words has less than the root of 2 w."""
+    bytes_ = F.sum(F.when(F.col("skip"), 0).otherwise(F.octet_length("term") + 1)).cast("long").alias("bytes")
+    histogram = counts.groupBy("doc_id", "count").agg(bytes_)
+    own = histogram.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("count", "bytes"))).alias("h"))
+    part = lambda x, n: F.struct(x["count"].alias("count"), n.cast("long").alias("n"), x["bytes"].alias("bytes"))
+    first = F.transform(F.filter("h", lambda x: x["count"] > more_than), lambda x: part(x, F.ceil(x["count"] / (more_than + 1))))
+    own = own.select("doc_id", F.transform("h", lambda x: part(x, x["count"])).alias("full"), first.alias("first"))
     chosen = F.col("first")
     if limit is not None:
+        size = lambda h: F.aggregate(h, F.lit(0).cast("long"), lambda acc, x: acc + x["n"] * x["bytes"])
 
-        def shrink(terms):
-            left = F.filter(terms, lambda t: t["n"] > 1)
-            low = F.array_min(F.transform(left, lambda t: t["n"]))
-            return F.transform(left, lambda t: F.struct(t["term"].alias("term"), F.ceil(t["n"] / low).alias("n")))
+        def shrink(h: Column) -> Column:
+            left = F.filter(h, lambda x: x["n"] > 1)
+            low = F.array_min(F.transform(left, lambda x: x["n"]))
+            return F.transform(left, lambda x: part(x, F.ceil(x["n"] / low)))
 
         step = lambda acc, k: F.when((k > 1) & ((size(acc) <= limit) | (F.size(acc) == 0)), acc).otherwise(shrink(acc))
         shrunk = F.aggregate(F.sequence(F.lit(1), F.lit(most_rounds)), F.col("full"), step)
         chosen = F.when(size(F.col("first")) <= limit, F.col("first")).otherwise(shrunk)
-    own = own.select("doc_id", "skip", chosen.alias("chosen"))
-    text = F.array_join(F.transform(seen(F.col("chosen")), lambda t: F.repeat(F.concat(t["term"], F.lit("\n")), t["n"].cast("int"))), "")
-    empty = F.size("chosen") == 0
-    return own.select("doc_id", F.when(~empty, text).alias("pseudo"), F.when(empty, "no terms left").alias("issue"))
+    return own.select("doc_id", F.transform(chosen, lambda x: F.struct(x["count"].alias("count"), x["n"].alias("n"))).alias("weights"))
+
+
+def pseudo_text(counts: DataFrame, *, more_than: int = 2, limit: int | None = 50_000, ignored: DataFrame | None = None, most_rounds: int = 40) -> DataFrame:
+    """(doc_id, pseudo, issue): each term of count over more_than, repeated ceil(count / (more_than + 1)) times on lines of its
+    own, largest counts first. Above limit bytes all terms come back, and until the text fits: terms counted once go and the
+    counts are divided by the smallest left, rounded up. Ignored terms take part in the counts, not in the text. No text left:
+    pseudo is null and issue says so. ignored: (doc_id, terms).
+
+    Only the terms of the summary come together in one row, which limit bounds; what decides on them is `summary_weights`."""
+    rows = counts.select("doc_id", "term", "count").withColumn("skip", F.lit(False))
+    if ignored is not None:
+        names = ignored.select(F.col("doc_id").alias("__d"), F.explode("terms").alias("__t")).distinct()
+        rows = rows.drop("skip").join(names, (F.col("doc_id") == F.col("__d")) & (F.col("term") == F.col("__t")), "left").withColumn("skip", F.col("__t").isNotNull()).drop("__d", "__t")
+    weights = summary_weights(rows, more_than=more_than, limit=limit, most_rounds=most_rounds)
+    wanted = weights.select(F.col("doc_id").alias("__d"), F.explode("weights").alias("w"))
+    own = rows.where(~F.col("skip")).join(wanted, (F.col("doc_id") == F.col("__d")) & (F.col("count") == F.col("w.count")))
+    lines = own.select("doc_id", F.struct((-F.col("count")).alias("neg"), "term", F.col("w.n").cast("int").alias("n")).alias("t"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: F.repeat(F.concat(t["term"], F.lit("\n")), t["n"])), "")
+    made = lines.groupBy(F.col("doc_id").alias("__d")).agg(text.alias("__text"))
+    out = weights.join(made, F.col("doc_id") == F.col("__d"), "left")
+    empty = F.size("weights") == 0
+    return out.select("doc_id", F.when(~empty, F.coalesce("__text", F.lit(""))).alias("pseudo"), F.when(empty, "no terms left").alias("issue"))
 
 
 def phrase_report(docs: DataFrame, texts: DataFrame, phrase: str, margin: int = 25) -> DataFrame:

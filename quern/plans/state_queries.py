@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import mining, store, texts
 from ..operators.phrase_index import PhraseIndex, places
 from ..operators.versions import Conflict
-from ..sources import files
+from ..sources import files, pull
 from .catalogue import docs, query, table
 from .scratch import folder, written
 
@@ -227,3 +227,111 @@ def mined_phrases(spark, sf_dir):
     """Phrases of two to four words that attract each other, with their C-value."""
     out = written(mining.phrases(docs(spark, sf_dir)), "phrases")
     return out.select("phrase", "size", "n", F.round("ratio", 4).alias("ratio"), F.round("c_value", 6).alias("c_value"))
+
+
+# ---- rows of a run ----
+
+
+@query("probed_pages", "select o_orderpriority product, 24::bigint base_multiple, ((count(*) - 1) // 24 * 24)::bigint max_multiple from orders group by o_orderpriority")
+def probed_pages(spark, sf_dir):
+    """Page sizes and last pages of five products, found by probing pages of a site that holds the orders."""
+    held = {r[0]: r[1] for r in table(spark, sf_dir, "orders").groupBy("o_orderpriority").count().collect()}  # five rows
+
+    class Site:
+        def page(self, kind, product, offset):
+            return range(max(0, min(24, held[product] - offset)))
+
+    found, errors = pull.probe_paging(spark, Site(), "videos", sorted(held), most=max(held.values()))
+    if errors:
+        raise ValueError(str(errors))
+    stale = found.limit(1).withColumn("max_multiple", F.lit(1).cast("long"))
+    return pull.updated_paging(stale, found)
+
+
+@query("text_files", "select doc_id, length(text) chars, sha256(text) text_sha256 from documents where text <> ''")
+def text_files(spark, sf_dir):
+    """Texts written by tasks as one file a document, and read again."""
+    d = docs(spark, sf_dir).where("text <> ''")
+    s = texts.TextStore(spark, folder(spark, "texts"), buckets=2)
+    s.sync(texts.text_plan(d.select("doc_id", F.lit(0).alias("data_created")), s.read(), d.select("doc_id", "text", F.lit("json").alias("source")), "doc_id"), now=1)
+    at = folder(spark, "files")
+    s.export_text("texts", "text", at)
+    return s.import_texts(at).select("doc_id", F.length("text").cast("long").alias("chars"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+@query("publication_sync", """select o_orderkey::varchar id, case when o_orderkey % 9 = 0 then 99 else o_orderkey % 40 end::bigint pages, epoch_ms(o_orderdate)::bigint data_created, case when o_orderkey % 9 = 0 or o_orderkey % 7 = 0 then 2 else 1 end::bigint data_updated
+from orders where o_orderkey % 11 <> 0""")
+def publication_sync(spark, sf_dir):
+    """Publications after two pulls: some are new, changed or gone."""
+    from .sync_queries import publications
+
+    key, fields = F.col("id").cast("long"), ["title", "pages", "assets", "published_on"]
+    rows = publications(spark, sf_dir).select("id", "title", F.col("pages").cast("long").alias("pages"), "assets", "published_on")
+    s = store.Store(spark, folder(spark, "publications"), "id", fields, created="published_on", buckets=4)
+    s.sync(rows.where(key % 7 != 0), now=1)
+    s.sync(rows.where(key % 11 != 0).withColumn("pages", F.when(key % 9 == 0, 99).otherwise(F.col("pages"))), now=2)
+    return s.read().select("id", "pages", "data_created", "data_updated")
+
+
+@query("pushed_indexes", """select name, outcome, count(*) n from (select 'all' name, case when o_orderkey % 5 = 0 then 'unchanged' else 'pushed' end outcome from orders union all
+select 'some', case when o_orderkey % 5 = 0 then 'unchanged' else 'pushed' end from orders where o_orderkey % 2 = 0) group by all""")
+def pushed_indexes(spark, sf_dir):
+    """Two indexes brought up to date and pushed in turn to a folder; units that were pushed before are left alone."""
+    from ..operators import delivery, records
+
+    fresh = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")).withColumn("hash", F.sha2(F.concat_ws("|", "id", "status", "priority"), 256))
+    value = lambda: F.struct("status", "priority")
+    old = fresh.where("id % 5 = 0").select("id", value().alias("pushed"), value().alias("current"), "hash", F.array().cast("array<string>").alias("tags"))
+
+    class Nowhere:
+        """The rows of interest are the outcomes."""
+
+        def upsert(self, key, record):
+            pass
+
+        delete = upsert
+
+    def index(name: str, where: str) -> delivery.Index:
+        return delivery.Index(name, lambda: fresh.where(where), ["status", "priority"], Nowhere(), lambda: old.where(where), lambda rows: None)
+
+    counts = delivery.push_indexes([index("all", "true"), index("some", "id % 2 = 0")], records.unit_plan, written)
+    return spark.createDataFrame([(n, o, k) for n, c in counts.items() for o, k in c.items()], "name string, outcome string, n long")
+
+
+@query("retained_versions", "select 'kept' what, 3::bigint n union all select 'rows', count(*) from orders where o_orderkey % 3 = 0")
+def retained_versions(spark, sf_dir):
+    """A store of many versions after all but the newest three were dropped; its rows are as they were."""
+    s, rows = _orders(spark, sf_dir)
+    for k in range(3):
+        s.add_tag(f"t{k}")
+    s.delete(rows.where("o_orderkey % 3 <> 0"), now=2)
+    s.retain(3, grace_ms=0)
+    row = lambda what, df: df.agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "n")
+    return row("kept", spark.createDataFrame([(v,) for v in s.versions.numbers()], "v long")).unionByName(row("rows", s.read().where("size(tags) = 3")))
+
+
+@query("ledger_outcomes", "select o_orderkey, case when o_orderkey % 6 = 1 then 'refused' end error, 1::bigint sent from orders")
+def ledger_outcomes(spark, sf_dir):
+    """A delivery under a ledger that runs twice, as a retried task does: what was sent is not sent again, what was refused is."""
+    from ..operators import outbox
+
+    calls = table(spark, sf_dir, "orders").select("o_orderkey", F.array(F.lit("status")).alias("fields"), F.to_json(F.struct("o_orderstatus")).alias("record"))
+    book, log = folder(spark, "ledger"), folder(spark, "sent")
+
+    def send(key, record):
+        import os
+        import uuid
+
+        from ..operators.ledger import local_path
+
+        if key % 6 == 1:
+            raise OSError("refused")
+        where = local_path(log) / f"process={os.getpid()}-{uuid.getnode()}"
+        where.mkdir(parents=True, exist_ok=True)
+        with (where / "keys").open("a") as out:
+            out.write(f"{key}\n")
+
+    for _ in range(2):
+        out = written(outbox.deliver(calls, "o_orderkey", send, writers=4, ledger=book), "outcomes")
+    sent = spark.read.text(f"{log}/*/keys").groupBy(F.col("value").cast("long").alias("o_orderkey")).agg(F.count("*").alias("sent"))
+    return out.select("o_orderkey", "error").join(sent, "o_orderkey", "left").select("o_orderkey", "error", F.coalesce("sent", F.lit(1)).cast("long").alias("sent"))
