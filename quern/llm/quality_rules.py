@@ -1,14 +1,19 @@
 """Quality rules as weak supervision, in DataFrame functions only.
 
 Each rule votes good (1) or bad (-1) or abstains (0) on a document's counts. Documents with the same votes are one pattern, so
-the vote table has 3^rules rows at most whatever the input. Expectation-maximisation over the patterns estimates the share of
-good documents and each rule's accuracy on good and bad ones; a document is kept if its posterior probability of being good
-reaches the threshold and the hard base rules do not fail it.
+the vote table has 3^rules rows at most whatever the input: 177,147 for the 11 rules that there may be, some hundreds in practice.
+Expectation-maximisation over the patterns estimates the share of good documents and how often each rule votes good, bad or not
+at all on good and on bad ones; a document is kept if its posterior probability of being good under that model reaches the
+threshold and the hard base rules do not fail it. The model is fitted on the documents that it decides on, those that pass the
+base. The default rules vote both ways and several look at each kind of fault, so
+that a rule's votes can be held against the others': one rule's fault alone seldom decides, agreeing ones do.
 
 Counts: n_words, word_chars (code points in words), n_symbols, n_dup_lines (lines with a word equal to an earlier line) and
-n_repeat_words (words inside a five-word window that occurs twice or more in the text).
+n_repeat_words (words inside a five-word window that occurs twice or more in the text); for the rules also n_lines, n_upper,
+n_digits, n_symbol_words (words with a symbol), n_symbol_runs, n_shouts, n_stutter (words equal to the one before) and n_distinct.
 Defined cases: null and empty texts have all counts 0, so the base fails; ties of the posterior with the threshold are kept;
-an empty table gives an empty result; repeated rows and null ids are judged like others; other columns are never read.
+an empty table gives an empty result; repeated rows and null ids are judged like others; other columns are never read; a rule
+whose vote is null abstains; more than 11 rules raise ValueError.
 """
 
 from __future__ import annotations
@@ -49,100 +54,119 @@ def repeat_words(words: Column, size: int = WINDOW) -> Column:
     return let(words, lambda w: F.when(F.size(w) <= size, F.lit(0)).otherwise(by_windows(w)))
 
 
+def among(text: Column, characters: str) -> Column:
+    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
+
+
 def counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(docs[text_col], F.lit(""))
     blank = r"[\x20\x09-\x0D]+"
     words = F.split(F.btrim(text, F.lit(SPACES)), blank)
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    solid = F.regexp_replace(text, blank, "")
+    solid = F.translate(text, SPACES, "")
+    stutter = lambda w: F.size(F.filter(w, lambda x, k: F.coalesce(x == F.get(w, k - 1), F.lit(False))))
+    of_words = lambda w: {"n_words": F.size(w), "n_repeat_words": repeat_words(w), "n_stutter": stutter(w), "n_distinct": F.size(F.array_distinct(w))}
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.length(solid).cast("long").alias("word_chars"),
-        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        among(text, SYMBOLS).alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        let(F.when(solid == "", F.array().cast("array<string>")).otherwise(words), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeat_words(w).cast("long").alias("n_repeat_words"))).alias("w"),
-        F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
-        F.regexp_count(solid, F.lit(r"[.,;:!?]")).cast("long").alias("n_marks"),
-        F.regexp_count(solid, F.lit(r"[A-Z]")).cast("long").alias("n_upper"),
-        F.regexp_count(solid, F.lit(r"[0-9]")).cast("long").alias("n_digits"),
+        let(F.when(solid == "", F.array().cast("array<string>")).otherwise(words), lambda w: F.struct(*(c.cast("long").alias(n) for n, c in of_words(w).items()))).alias("w"),
+        (F.lit(1) + among(text, "\n")).alias("n_lines"),
+        among(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"),
+        among(text, "0123456789").alias("n_digits"),
+        F.regexp_count(text, F.lit(r"[#*$%&|<>][^\x20\x09-\x0D]*")).cast("long").alias("n_symbol_words"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]{2,}")).cast("long").alias("n_symbol_runs"),
         F.regexp_count(text, F.lit(r"[!?]{2,}")).cast("long").alias("n_shouts"),
-    ).select("doc_id", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "n_lines", "n_marks", "n_upper", "n_digits", "n_symbol_runs", "n_shouts")
+    ).select("doc_id", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "n_lines", "n_upper", "n_digits", "n_symbol_words", "n_symbol_runs", "n_shouts", "w.n_stutter", "w.n_distinct")
 
 
 def share(part: str, whole: str) -> Column:
     return F.col(part) / F.greatest(F.col(whole), F.lit(1))
 
 
-def default_rules() -> dict[str, tuple[Column, int]]:
-    """name -> (when it votes, its vote: 1 good, -1 bad); else it abstains."""
+def up_to(x: Column, good: float, bad: float) -> Column:
+    """Votes good under the one bound, bad from the other one on, and abstains between."""
+    return F.when(x < good, 1).when(x >= bad, -1).otherwise(0)
+
+
+def default_rules() -> dict[str, Column]:
+    """name -> its vote: 1 good, -1 bad, 0 abstains. Three look at symbols, four at repetition, four at the shape of words."""
     word = share("word_chars", "n_words")
+    variety = F.col("n_distinct") / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     return {
-        "symbols": (share("n_symbols", "word_chars") >= 0.06, -1),
-        "symbol_runs": (share("n_symbol_runs", "n_words") >= 0.25, -1),
-        "capitals": (share("n_upper", "word_chars") >= 0.4, -1),
-        "shouts": (share("n_shouts", "n_words") >= 0.2, -1),
-        "repeats": (share("n_repeat_words", "n_words") >= 0.15, -1),
-        "lines": (share("n_dup_lines", "n_lines") >= 0.3, -1),
-        "digits": (share("n_digits", "word_chars") >= 0.4, -1),
-        "odd_words": ((word <= 2) | (word >= 14), -1),
-        "prose": (word.between(2.5, 10) & (share("n_symbols", "word_chars") < 0.02) & (share("n_upper", "word_chars") < 0.2) & (share("n_marks", "n_words") < 0.4), 1),
+        "symbols": up_to(share("n_symbols", "word_chars"), 0.02, 0.06),
+        "symbol_words": up_to(share("n_symbol_words", "n_words"), 0.05, 0.2),
+        "symbol_runs": up_to(share("n_symbol_runs", "n_words"), 0.02, 0.1),
+        "repeats": up_to(share("n_repeat_words", "n_words"), 0.1, 0.15),
+        "lines": F.when(F.col("n_dup_lines") == 1, 0).otherwise(up_to(share("n_dup_lines", "n_lines"), 0.12, 0.3)),  # one may be a heading
+        "stutter": up_to(share("n_stutter", "n_words"), 0.1, 0.2),
+        "variety": F.when(variety >= 3, 1).when(variety < 2.2, -1).otherwise(0),
+        "capitals": up_to(share("n_upper", "word_chars"), 0.15, 0.3),
+        "shouts": up_to(share("n_shouts", "n_words"), 0.02, 0.1),
+        "digits": up_to(share("n_digits", "word_chars"), 0.05, 0.2),
+        "word_length": F.when(word.between(3, 10), 1).when((word <= 2) | (word >= 14), -1).otherwise(0),
     }
 
 
 class Estimate:
     """Label model: the share of good documents and, for good and for bad ones, how often each rule votes good, bad or not at all.
 
-    Expectation-maximisation over (votes, number of documents). The first round takes every vote as right with probability
-    `belief` and abstentions as saying nothing; after it the data decide, and abstentions, too, tell the kinds apart. A document is
-    judged by the votes cast on it alone: one without votes has the share of good ones as its posterior. The prior is a fixed number of documents: `weight` of each
-    kind, on which a rule votes as often as it does over all and is right with a share of `belief`, and one of each kind on the
-    share of good ones. It keeps estimates off 0 and 1 and rules with a few votes near the belief; any more data outweighs it."""
+    Expectation-maximisation over (votes, number of documents). The first round takes a rule's vote on a good document as right
+    with probability `belief`, on a bad one with `finds` (belief, if none is given): a bad document need not have every fault, so
+    rules that look at other faults call it good. Abstentions say nothing in the first round; after it the data decide, of votes and of
+    abstentions alike, and what is fitted is what judges. The prior is a fixed number of documents: `weight` of each kind, on which
+    a rule votes as often as it does over all and is right with those shares, and one of each kind on the share of good ones. It keeps
+    estimates off 0 and 1 and rules with a few votes near the belief; any more data outweighs it. A rule without votes says nothing."""
 
-    def __init__(self, patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 30, belief: float = 0.97, weight: float = 4.0):
+    def __init__(self, patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 30, belief: float = 0.97, weight: float = 4.0, finds: float | None = None):
         total = sum(n for _, n in patterns)
         cast = [sum(n for votes, n in patterns if votes[k]) for k in range(rules)]
+        right = {1: belief, -1: belief if finds is None else finds}
+        given = {(c, v): right[c] if c == v else 1 - right[c] for c in (1, -1) for v in (1, -1)}
         self.prior, self.accuracy = 0.8, [belief] * rules
-        first = math.log(belief / (1 - belief))
-        self.odds, self.silence = [{1: first, 0: 0.0, -1: -first} for _ in range(rules)], [0.0] * rules
+        self.odds = [{0: 0.0, **{v: math.log(given[1, v] / given[-1, v]) for v in (1, -1)}} for _ in range(rules)]
         for _ in range(rounds if total else 0):
-            good = [(votes, n, self.posterior(votes, self.silence)) for votes, n in patterns]
+            good = [(votes, n, self.posterior(votes)) for votes, n in patterns]
             of = {1: sum(n * p for _, n, p in good), -1: sum(n * (1 - p) for _, n, p in good)}
             for k in (k for k in range(rules) if cast[k]):
                 rate = cast[k] / total
-                mean = {1: rate * belief, -1: rate * (1 - belief), 0: 1 - rate}  # of v times the kind's sign: 1 is right
                 seen = {(c, v): 0.0 for c in (1, -1) for v in (1, 0, -1)}
                 for votes, n, p in good:
                     seen[1, votes[k]] += n * p
                     seen[-1, votes[k]] += n * (1 - p)
-                share = {(c, v): (x + weight * mean[c * v]) / (of[c] + weight) for (c, v), x in seen.items()}
-                self.odds[k] = {1: math.log(share[1, 1] / share[-1, 1]), 0: 0.0, -1: math.log(share[1, -1] / share[-1, -1])}
-                self.silence[k] = math.log(share[1, 0] / share[-1, 0]) if share[1, 0] and share[-1, 0] else 0.0
+                share = {(c, v): (x + weight * (rate * given[c, v] if v else 1 - rate)) / (of[c] + weight) for (c, v), x in seen.items()}
+                self.odds[k] = {v: math.log(share[1, v] / share[-1, v]) if share[1, v] and share[-1, v] else 0.0 for v in (1, 0, -1)}
                 self.accuracy[k] = (seen[1, 1] + seen[-1, -1] + weight * belief) / (cast[k] + weight)
             self.prior = (of[1] + 1) / (total + 2)
 
     def log_odds(self, votes) -> float:
         return math.log(self.prior / (1 - self.prior)) + sum(odds[v] for v, odds in zip(votes, self.odds, strict=True))
 
-    def posterior(self, votes, silence=None) -> float:
-        odds = self.log_odds(votes) + (sum(x for v, x in zip(votes, silence, strict=True) if not v) if silence else 0.0)
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
+    def posterior(self, votes) -> float:
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.log_odds(votes)))))
 
     def column(self, names) -> Column:
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
         for name, by in zip(names, self.odds, strict=True):
-            odds = odds + F.when(F.col(name) > 0, by[1]).when(F.col(name) < 0, by[-1]).otherwise(0.0)
+            odds = odds + F.when(F.col(name) > 0, by[1]).when(F.col(name) < 0, by[-1]).otherwise(by[0])
         return 1 / (1 + F.exp(-odds))
 
 
+MOST = 11
+BELIEF, FINDS = 0.98, 0.3
+
+
 def judge(docs: DataFrame, *, id_col="doc_id", text_col="text", threshold: float = 0.5, rules=None) -> DataFrame:
-    """Per row the counts, base_failed, quality (the posterior) and kept."""
+    """Per row the counts, base_failed, quality (the posterior) and kept. rules: name -> vote, a column of 1, -1 or 0 over the counts."""
     rules = default_rules() if rules is None else rules
+    if len(rules) > MOST:
+        raise ValueError(f"{len(rules)} rules, {MOST} at most")
     names = [f"vote_{x}" for x in rules]
     known = stash(counts(docs, id_col, text_col), "quality-counts")
-    voted = known.select("*", *(F.when(when, vote).otherwise(0).alias(n) for n, (when, vote) in zip(names, rules.values(), strict=True)))
+    voted = known.select("*", *(F.coalesce(F.signum(vote).cast("int"), F.lit(0)).alias(n) for n, vote in zip(names, rules.values(), strict=True)))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    table = voted.groupBy(*names).count().collect()  # one row a pattern: 2^rules at most
-    model = Estimate([(tuple(r[:-1]), r[-1]) for r in sorted(map(tuple, table))], len(names))
+    table = voted.where(~failed).groupBy(*names).count().collect()  # one row a pattern: 3^MOST at most
+    model = Estimate([(tuple(r[:-1]), r[-1]) for r in sorted(map(tuple, table))], len(names), belief=BELIEF, finds=FINDS)
     out = voted.withColumn("base_failed", failed).withColumn("quality", model.column(names))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)).select(*known.columns, "base_failed", "quality", "kept")
