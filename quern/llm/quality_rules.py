@@ -54,31 +54,26 @@ def repeat_words(words: Column, size: int = WINDOW) -> Column:
     return let(words, lambda w: F.when(F.size(w) <= size, F.lit(0)).otherwise(by_windows(w)))
 
 
-def among(text: Column, characters: str) -> Column:
-    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
-
-
 def counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(docs[text_col], F.lit(""))
     blank = r"[\x20\x09-\x0D]+"
-    words = F.split(F.btrim(text, F.lit(SPACES)), blank)
+    solid = F.btrim(text, F.lit(SPACES))
+    words = F.when(solid == "", F.array().cast("array<string>")).otherwise(F.split(solid, blank))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    solid = F.translate(text, SPACES, "")
     stutter = lambda w: F.size(F.filter(w, lambda x, k: F.coalesce(x == F.get(w, k - 1), F.lit(False))))
-    of_words = lambda w: {"n_words": F.size(w), "n_repeat_words": repeat_words(w), "n_stutter": stutter(w), "n_distinct": F.size(F.array_distinct(w))}
+    of_words = lambda w: {"n_words": F.size(w), "word_chars": F.aggregate(w, F.lit(0), lambda n, x: n + F.length(x)), "n_repeat_words": repeat_words(w), "n_stutter": stutter(w), "n_distinct": F.size(F.array_distinct(w))}
     return docs.select(
         F.col(id_col).alias("doc_id"),
-        F.length(solid).cast("long").alias("word_chars"),
-        among(text, SYMBOLS).alias("n_symbols"),
+        F.regexp_count(text, F.lit(rf"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        let(F.when(solid == "", F.array().cast("array<string>")).otherwise(words), lambda w: F.struct(*(c.cast("long").alias(n) for n, c in of_words(w).items()))).alias("w"),
-        (F.lit(1) + among(text, "\n")).alias("n_lines"),
-        among(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"),
-        among(text, "0123456789").alias("n_digits"),
+        let(words, lambda w: F.struct(*(c.cast("long").alias(n) for n, c in of_words(w).items()))).alias("w"),
+        F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
+        F.regexp_count(text, F.lit("[A-Z]")).cast("long").alias("n_upper"),
+        F.regexp_count(text, F.lit("[0-9]")).cast("long").alias("n_digits"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>][^\x20\x09-\x0D]*")).cast("long").alias("n_symbol_words"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]{2,}")).cast("long").alias("n_symbol_runs"),
         F.regexp_count(text, F.lit(r"[!?]{2,}")).cast("long").alias("n_shouts"),
-    ).select("doc_id", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "n_lines", "n_upper", "n_digits", "n_symbol_words", "n_symbol_runs", "n_shouts", "w.n_stutter", "w.n_distinct")
+    ).select("doc_id", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", "n_lines", "n_upper", "n_digits", "n_symbol_words", "n_symbol_runs", "n_shouts", "w.n_stutter", "w.n_distinct")
 
 
 def share(part: str, whole: str) -> Column:
