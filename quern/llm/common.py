@@ -421,19 +421,33 @@ class TwiceFilter:
         """Work in what waits; the distinct hashes and how often they waited."""
         h, times = np.unique(np.concatenate(self.held), return_counts=True) if self.held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         self.held, self.size = [], 0
+        self.mark(h, times)
+        return h, times
+
+    def mark(self, h: np.ndarray, times: np.ndarray) -> None:
+        """Work in sorted distinct hashes and in how many documents they were."""
         if len(h):
             word, mask = bloom_places(len(self.once), h)
             seen = (times > 1) | ((self.once[word] & mask) == mask)
             first = np.flatnonzero(np.diff(word, prepend=-1))
             self.once[word[first]] |= np.bitwise_or.reduceat(mask, first)
             self.twice[word[first]] |= np.bitwise_or.reduceat(np.where(seen, mask, np.uint64(0)), first)
-        return h, times
 
     def slices(self) -> pa.RecordBatch:
         self.take()
         return _both(range(SLICES), np.split(self.once, SLICES), np.split(self.twice, SLICES))
 
 
+def text_bytes(texts: DataFrame, text_col: str) -> int:
+    """The bytes of all texts."""
+    return int(texts.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0)
+
+
+def power_above(n: float, least: int = 1 << 12) -> int:
+    """The smallest power of two that is not below n, nor below least."""
+    return max(least, 1 << max(0, math.ceil(n) - 1).bit_length())
+
+
 def _both(slices, once, twice) -> pa.RecordBatch:
     packed = []
     for a, t in zip(once, twice, strict=True):

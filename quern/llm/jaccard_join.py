@@ -16,10 +16,11 @@ large ones (of one smallest holder together) are dealt into blocks, every two bl
 intersected there too, and only links that join components leave it. That compares all pairs of a large group that are not linked
 yet, but moves each document only once for each block of the group.
 
-The filters over all tokens, and those over prefix tokens, have filter_bits bits (32 MB each), the sketch 2^sketch_bits counters
-(4 MB), whatever the input. Raise filter_bits with the corpus: it should not be far below the number of tokens, as what a
-filter cannot tell apart any more gives more candidates, never fewer. Tokens, sets and documents that more than
-1 / 2048 of the rows share are joined by broadcast (`common.split_join`).
+What a filter cannot tell apart any more gives more candidates, never fewer, so the filters follow the corpus (`sizes`): those over all
+tokens have one to two bits for each four bytes of text, the sketch one counter for 64 of these bits, 16 MB at most, and those over
+prefix tokens 8 to 16 bits a token. Beyond 128 MB the filters over all tokens hold every second or fourth token only, chosen by hash: a
+document whose tokens are mostly its own still has more of them than its prefix takes. Only then they grow on. Tokens, sets and documents
+that more than 1 / 2048 of the rows share are joined by broadcast (`common.split_join`).
 
 Defined cases: a document with fewer words than size has one shingle, its whole sequence; null, empty and blank texts have
 none and link with nothing; a null id links with nothing and has a null component; rows that repeat an id are one node, each
@@ -36,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICES, Bits, Compressed, TwiceFilter, components, discard, few, freed, groups_of, id_filter, in_bloom, in_filter, in_slices, merged_slices, merged_twice, mix, release, shingle_sets, small_batches, split_join, stash
+from .common import SLICES, Bits, Compressed, TwiceFilter, components, discard, few, freed, groups_of, id_filter, in_bloom, in_filter, in_slices, merged_slices, merged_twice, mix, power_above, release, shingle_sets, small_batches, split_join, stash, text_bytes
 
 SEEDS = tuple(np.uint64(x) for x in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
@@ -46,15 +47,33 @@ SEEDS = tuple(np.uint64(x) for x in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F))
 FACTS = "doc_id long, key long, n long, print binary, slice int, data binary"
 
 
-def _facts(size: int, filter_bits: int, sketch_bits: int):
+def sizes(n_bytes: int, most: int = 1 << 30) -> tuple[int, int, int]:
+    """For texts of so many bytes: the bits of the filters over all tokens, of how many tokens they hold one, and the sketch's bits."""
+    bits, every = power_above(n_bytes / 4, 1 << 16), 1
+    sketch = min(24, bits.bit_length() - 7)
+    while bits > most and every < 4:
+        bits, every = bits // 2, every * 2
+    return bits, every, sketch
+
+
+def chosen(tokens: np.ndarray, every: int) -> np.ndarray:
+    """Which tokens the filters over all tokens hold: one in `every`, a power of two, by bits that neither filter nor sketch uses."""
+    return (tokens >> np.uint64(16)) & np.uint64(every - 1) == 0
+
+
+def _facts(size: int, filter_bits: int, every: int, sketch_bits: int):
     """Columns (doc_id, key, text): size and digest of each row's set; then the task's filters in slices 0 .. SLICES and its sketch,
     one byte a cell (they stop at 255, which is frequent enough to be told apart), in the slices behind them."""
 
     def run(batches):
-        seen, total = TwiceFilter(filter_bits, 1 << 60), np.zeros(1 << sketch_bits, np.uint8)
+        seen, total = TwiceFilter(filter_bits), np.zeros(1 << sketch_bits, np.uint8)
+        held: list[np.ndarray] = []
 
         def take():
-            h, times = seen.take()
+            h, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            held.clear()
+            mine = chosen(h, every)
+            seen.mark(h[mine], times[mine])
             cells, first = np.unique((h >> np.uint64(64 - sketch_bits)).astype(np.int64), return_index=True)
             if len(cells):
                 total[cells] = np.minimum(total[cells] + np.minimum(np.add.reduceat(times, first), 255), 255)
@@ -62,8 +81,8 @@ def _facts(size: int, filter_bits: int, sketch_bits: int):
         for batch in batches:
             for first, texts in groups_of(batch.column(2)):
                 tokens, bounds = shingle_sets(texts, size)
-                seen.add(tokens)
-                if seen.size > 500_000:
+                held.append(tokens)
+                if sum(map(len, held)) > 500_000:
                     take()
                 n = np.diff(bounds)
                 prints = [hashlib.blake2b(tokens[s:e].tobytes(), digest_size=16).digest() if e > s else None for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
@@ -85,17 +104,18 @@ def _sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Order(Compressed):
-    """A token's class, which is first in all global orders: 0 for tokens that the twice filter lacks, 1 for cells of the sketch at
+    """A token's class, which is first in all global orders: 0 for chosen tokens that the twice filter lacks, 1 for cells of the sketch at
     or below the mean count, rising with the logarithm of the excess."""
 
-    def __init__(self, twice: np.ndarray, counts: np.ndarray, sketch_bits: int):
+    def __init__(self, twice: np.ndarray, counts: np.ndarray, sketch_bits: int, every: int = 1):
+        self.every = every
         mean = float(counts.mean()) if len(counts) else 0.0
         steps = np.floor(2 * np.log2(1 + np.maximum(0, np.arange(65_536) - mean) / (1 + 2 * np.sqrt(mean)))).astype(np.uint8)
         self.twice, self.classes, self.shift = twice, steps[counts] if len(counts) else np.zeros(1 << sketch_bits, np.uint8), 64 - sketch_bits
 
     def keys(self, tokens: np.ndarray) -> list[np.ndarray]:
         """The tokens' keys in each order; of equal keys the smaller token is first."""
-        known = in_bloom(self.twice, tokens)
+        known = in_bloom(self.twice, tokens) | ~chosen(tokens, self.every)
         kind = np.zeros(len(tokens), np.uint64)
         kind[known] = self.classes[(tokens[known] >> np.uint64(self.shift)).astype(np.int64)] + np.uint64(1)
         return [(kind << np.uint64(56)) | (mix(tokens ^ seed) >> np.uint64(8)) for seed in SEEDS]
@@ -304,19 +324,21 @@ def _links(percent: int):
 class Join:
     """The state of one join: the rows, the nodes' signatures and what has been compared."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, filter_bits: int, sketch_bits: int, split_above: int, block: int, block_tokens: int, most_bits: int):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, filter_bits: int | None, sketch_bits: int | None, split_above: int, block: int, block_tokens: int, most_bits: int):
         self.spark = docs.sparkSession
         small_batches(self.spark)
-        self.size, self.percent, self.split_above, self.block, self.block_tokens, self.filter_bits = size, percent, split_above, block, block_tokens, filter_bits
+        self.size, self.percent, self.split_above, self.block, self.block_tokens = size, percent, split_above, block, block_tokens
         self.least_bits, self.most_bits = 1 << 12, most_bits
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-        facts = stash(few(self.docs).mapInArrow(freed(_facts(size, filter_bits, sketch_bits)), FACTS), "facts")
+        bits, every, sketch = sizes(text_bytes(self.docs, "text") if filter_bits is None or sketch_bits is None else 0)
+        filter_bits, every, sketch_bits = filter_bits or bits, 1 if filter_bits else every, sketch_bits or sketch
+        facts = stash(few(self.docs).mapInArrow(freed(_facts(size, filter_bits, every, sketch_bits)), FACTS), "facts")
         parts = facts.where("slice is not null").select("slice", "data")
         twice = merged_twice(parts.where(F.col("slice") < SLICES), filter_bits)
         counts = merged_slices(parts.where(F.col("slice") >= SLICES).select((F.col("slice") - SLICES).alias("slice"), "data"), _sum, first="u1", then="u2")
         self.rows = stash(facts.where("slice is null").select("doc_id", "key", "n", "print"), "rows")
         discard(facts)
-        self.order = self.spark.sparkContext.broadcast(Order(twice, counts, sketch_bits))
+        self.order = self.spark.sparkContext.broadcast(Order(twice, counts, sketch_bits, every))
 
     def nodes(self) -> None:
         """equal: (print, rep, held), the smallest document of each set; placed: (doc_id, key, rep) of the rows with one; the
@@ -449,7 +471,7 @@ def row_key(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
 
 
-def joined(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, filter_bits: int = 1 << 28, sketch_bits: int = 22, split_above: int = 12, block: int = 128, block_tokens: int = 1 << 20, most_bits: int = 1 << 30) -> Join:
+def joined(docs: DataFrame, *, id_col="doc_id", text_col="text", size: int = 5, percent: int = 80, filter_bits: int | None = None, sketch_bits: int | None = None, split_above: int = 12, block: int = 128, block_tokens: int = 1 << 20, most_bits: int = 1 << 30) -> Join:
     return Join(docs, id_col, text_col, size, percent, filter_bits, sketch_bits, split_above, block, block_tokens, most_bits)
 
 
