@@ -3,7 +3,8 @@
 Only suffixes at anchors are sorted. Anchors are the positions whose 24-byte gram has the smallest hash of some window of
 `length` bytes; the choice depends on the window's bytes alone, so equal strings hold anchors at equal places and every match
 is seen from an anchor inside it. An anchor's entry is the text from it on (`length` bytes) followed by the bytes before it,
-backwards. Two Bloom filters of fixed size (seen, seen twice) leave out the anchors whose gram no other document has.
+backwards. Two Bloom filters (seen, seen twice) leave out the anchors whose gram no other document has; they have a bit or two for each
+five bytes of text (`filter_size`), some three to six for each gram, up to 256 MB.
 
 Tasks sort bounded runs of entries and exchange them front-coded: each entry as the length it shares with the one before and the
 rest. The receivers merge the runs of a key range with a loser tree that carries the shared lengths: two entries are compared
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _PACK, SLICES, Compressed, TwiceFilter, _merge_twice, few, freed, gathered, in_bloom, merged_twice, mix, only_twice, small_batches, stash, texts_of, twice_of
+from .common import _PACK, SLICES, Compressed, TwiceFilter, _merge_twice, few, freed, gathered, in_bloom, merged_twice, mix, only_twice, power_above, small_batches, stash, text_bytes, texts_of, twice_of
 
 GRAM = 24
 SEGMENT = 1 << 18
@@ -601,13 +602,19 @@ def _splitters(docs: DataFrame, length: int, ranges: int, sample: int = 400) ->
     return sorted({heads[len(heads) * k // ranges] for k in range(1, ranges)}) if heads else []
 
 
-def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int = 1 << 28, hot: int = 100_000) -> DataFrame:
+def filter_size(n_bytes: int, most: int = 1 << 31) -> int:
+    """The bits of the filters over the grams of texts of so many bytes, of which about 7 in 100 are anchors."""
+    return min(most, power_above(n_bytes / 5, 1 << 16))
+
+
+def duplicate_spans(docs: DataFrame, *, length: int = 50, filter_bits: int | None = None, hot: int = 100_000) -> DataFrame:
     """From (doc_id, h, text) without nulls: spans (doc_id, h, start, stop) of the bytes to remove; they may overlap."""
     spark = docs.sparkSession
     if length < 2 * GRAM:
         raise ValueError(f"strings of {2 * GRAM} bytes or more only")
     small_batches(spark)
     rows = docs.where(F.octet_length("text") >= length).select("doc_id", "h", "text")
+    filter_bits = filter_bits or filter_size(text_bytes(rows, "text"))
     suspects = suspects_of(rows, length, filter_bits, hot)
     if len(suspects.hot):
         bits = filter_bits // 4

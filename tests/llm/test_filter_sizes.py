@@ -2,15 +2,15 @@
 
 import pytest
 
-from quern.llm import common, jaccard_join
+from quern.llm import common, jaccard_join, suffix_dedup
 from tests.llm.test_operators import docs, linked_components, plain, texts  # noqa: F401
 
 
 def test_filters_follow_the_corpus():
     half, six = 864_000_000, 10_200_000_000
-    for size in (lambda n: jaccard_join.sizes(n)[0] * jaccard_join.sizes(n)[1],):
+    for size in (lambda n: jaccard_join.sizes(n)[0] * jaccard_join.sizes(n)[1], suffix_dedup.filter_size):
         assert size(half) >= half / 5 and size(six) >= six / 5
-    assert jaccard_join.sizes(six)[0] <= 1 << 30
+    assert jaccard_join.sizes(six)[0] <= 1 << 30 and suffix_dedup.filter_size(10**12) == 1 << 31
     assert common.power_above(0) == 1 << 12 and common.power_above(4097) == 1 << 13
 
 
