@@ -6,6 +6,11 @@ for `lease` seconds and is taken to be lost, and only then creates the next owne
 record's idempotency key before it sends, and what came of it after. What a former owner has settled is not sent again; what it
 meant to send without settling is in doubt: if the destination can say whether it has it, it is asked, else it is sent again.
 
+Records go in groups: the intents of a group are on the disk, by one sync, before the first of it is sent; an outcome is in the file at
+once and on the disk after SYNC seconds at most. So a process that dies leaves one record that was sent and not settled, and a machine that
+is lost those of the last SYNC seconds; what else of the group has an intent was not sent. A partition's records are dealt to BOOKS
+journals, one after the other, so a task holds a part of what it has to know.
+
 The folder must be a file system that all executors mount, as tasks create files there exclusively. A settled failure is tried again
 by the next run of the job."""
 
@@ -19,6 +24,9 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 from urllib.parse import unquote, urlparse
 
+BOOKS = 64  # journals of a partition
+SYNC = 0.1
+
 
 def record_id(key, record: str | None) -> str:
     """The idempotency key of a record: equal for equal content only."""
@@ -55,7 +63,7 @@ class Ledger:
                 elif line["state"] == "settled":
                     self.doubtful.discard(line["id"])
                     self.settled[line["id"]] = line["error"]
-        self.out = self._file("journal", turn).open("a")
+        self.out, self.synced = self._file("journal", turn).open("a"), time.time()
 
     def _file(self, kind: str, turn: int) -> Path:
         return self.base / f"{self.partition:06d}-{turn:04d}.{kind}"
@@ -71,33 +79,53 @@ class Ledger:
     def _ended(self, turn: int) -> bool:
         path = self._file("journal", turn)
         last = path if path.exists() else self._file("owner", turn)
-        return time.time() - last.stat().st_mtime > self.lease or any(x["state"] == "end" for x in self._lines(turn))
-
-    def _note(self, **line) -> None:
-        self.out.write(json.dumps(line) + "\n")
+        return time.time() - last.stat().st_mtime > self.lease or self._closed(path)
+
+    @staticmethod
+    def _closed(path: Path) -> bool:
+        """Whether the last line is the end."""
+        if not path.exists():
+            return False
+        with path.open("rb") as f:
+            f.seek(max(0, f.seek(0, os.SEEK_END) - 64))
+            return f.read().endswith(b'{"state": "end"}\n')
+
+    def _note(self, *lines: str, sync: bool = True) -> None:
+        self.out.write("".join(f"{{{x}}}\n" for x in lines))
         self.out.flush()
-        os.fsync(self.out.fileno())
+        if sync:
+            os.fsync(self.out.fileno())
+            self.synced = time.time()
 
     def once(self, key, record: str | None, send: Callable[[], None], holds: Callable[[str], bool] | None = None) -> str | None:
         """Send unless that is settled; the error, or None."""
-        name = record_id(key, record)
-        if self.settled.get(name, "") is None:
-            return None
-        if name in self.doubtful and holds is not None and holds(name):
-            self._note(state="settled", id=name, error=None)
-            return None
-        self._note(state="intent", id=name)
-        try:
-            send()
-            error = None
-        except Exception as e:  # the row stays undelivered and says why
-            error = str(e)[:500]
-        self._note(state="settled", id=name, error=error)
-        self.settled[name] = error
+        return self.each([(key, record)], lambda *_: send(), holds)[0]
+
+    def each(self, rows: list[tuple], send: Callable[[object, str | None], None], holds: Callable[[str], bool] | None = None) -> list[str | None]:
+        """Send those of the rows (key, record) that are not settled; for each the error, or None."""
+        names = [record_id(*row) for row in rows]
+        open_ = list(dict.fromkeys(x for x in names if self.settled.get(x, "") is not None))
+        if open_:
+            self._note(*(f'"state": "intent", "id": "{x}"' for x in open_ if holds is None or x not in self.doubtful))
+        for row, name in zip(rows, names, strict=True):
+            if self.settled.get(name, "") is not None:
+                self.settled[name] = self._sent(row, name, send, holds)
+        self._note()
+        return [self.settled[x] for x in names]
+
+    def _sent(self, row: tuple, name: str, send, holds) -> str | None:
+        error = None
+        if name not in self.doubtful or holds is None or not holds(name):
+            try:
+                send(*row)
+            except Exception as e:  # the row stays undelivered and says why
+                error = str(e)[:500]
+        self.doubtful.discard(name)
+        self._note(f'"state": "settled", "id": "{name}", "error": {json.dumps(error)}', sync=time.time() - self.synced > SYNC)
         return error
 
     def close(self) -> None:
-        self._note(state="end")
+        self._note('"state": "end"')
         self.out.close()
 
 

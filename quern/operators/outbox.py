@@ -149,40 +149,54 @@ def deliver(deltas: DataFrame, key: str, send: Callable[[str, str], None], *, wr
     The result must be written before it is read twice, as reading it sends. With a ledger (a mounted folder, one for each delivery) a task
     that is tried again, or run twice, sends nothing again that is settled there; holds(id) asks the destination about what is in doubt, and
     lease is how many seconds a silent owner of a partition is waited for."""
+    import itertools
     import time
 
     import pyarrow as pa
     from pyspark import TaskContext
 
-    from .ledger import Ledger, Slots
+    from .ledger import BOOKS, Ledger, Slots, local_path
 
+    if ledger and any(local_path(ledger).glob("*.journal")):
+        raise ValueError("a ledger of an older layout")
     names, begin = ["key", "fields", "error"], time.time()
 
     def run(batches):
         at = TaskContext.get().partitionId()
-        slots, book = Slots(begin, pause, at, writers), Ledger(ledger, at, lease=lease) if ledger else None
+        slots, book, now = Slots(begin, pause, at, writers), None, None
 
-        def one(k, record) -> str | None:
-            def paced() -> None:
-                slots.wait()
-                send(k, record)
+        def paced(k, record) -> None:
+            slots.wait()
+            send(k, record)
 
-            if book:
-                return book.once(k, record, paced, holds)
+        def plain(k, record) -> str | None:
             try:
-                paced()
+                paced(k, record)
             except Exception as e:  # the row stays undelivered and says why
                 return str(e)[:500]
             return None
 
         for batch in batches:
-            errors = [one(k, record) for k, record in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            rows = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
+            if not ledger:
+                errors = [plain(*row) for row in rows]
+            else:
+                errors = []
+                for b, part in itertools.groupby(zip(batch.column(3).to_pylist(), rows, strict=True), lambda x: x[0]):
+                    if b != now:
+                        if book:
+                            book.close()
+                        book, now = Ledger(f"{ledger}/{b}", at, lease=lease), b
+                    errors += book.each([row for _, row in part], paced, holds)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(errors, pa.string())], names)
         if book:
             book.close()
 
     kind = dict(deltas.dtypes)[key]
-    return deltas.select(key, "fields", "record").repartition(writers, key).mapInArrow(run, f"key {kind}, fields array<string>, error string").withColumnRenamed("key", key)
+    rows = deltas.select(key, "fields", "record").repartition(writers, key)
+    if ledger:
+        rows = rows.withColumn("__book", F.pmod(F.xxhash64(key), F.lit(BOOKS)).cast("int")).sortWithinPartitions("__book")
+    return rows.mapInArrow(run, f"key {kind}, fields array<string>, error string").withColumnRenamed("key", key)
 
 
 def field_delta(theirs: DataFrame, ours: DataFrame, key: str, field: str) -> tuple[DataFrame, DataFrame]:

@@ -316,7 +316,7 @@ def ledger_outcomes(spark, sf_dir):
     from ..operators import outbox
 
     calls = table(spark, sf_dir, "orders").select("o_orderkey", F.array(F.lit("status")).alias("fields"), F.to_json(F.struct("o_orderstatus")).alias("record"))
-    book, log = folder(spark, "ledger"), folder(spark, "sent")
+    book, log, opened = folder(spark, "ledger"), folder(spark, "sent"), {}
 
     def send(key, record):
         import os
@@ -326,10 +326,11 @@ def ledger_outcomes(spark, sf_dir):
 
         if key % 6 == 1:
             raise OSError("refused")
-        where = local_path(log) / f"process={os.getpid()}-{uuid.getnode()}"
-        where.mkdir(parents=True, exist_ok=True)
-        with (where / "keys").open("a") as out:
-            out.write(f"{key}\n")
+        if "out" not in opened:  # one file a task, in which each line is at once
+            where = local_path(log) / f"process={os.getpid()}-{uuid.uuid4().hex}"
+            where.mkdir(parents=True)
+            opened["out"] = (where / "keys").open("a", buffering=1)
+        opened["out"].write(f"{key}\n")
 
     for _ in range(2):
         out = written(outbox.deliver(calls, "o_orderkey", send, writers=4, ledger=book), "outcomes")

@@ -407,6 +407,26 @@ def test_two_attempts_at_the_same_time_send_once(tmp_path):
         Ledger("s3://bucket/x", 0)
 
 
+def test_a_ledger_syncs_groups_and_holds_one_book(spark, tmp_path, monkeypatch):
+    """The disk is waited for a few times a group, not twice a record, and a partition's records lie in many journals."""
+    import os
+
+    from quern.operators.ledger import Ledger
+
+    synced, real = [], os.fsync
+    monkeypatch.setattr(os, "fsync", lambda f: (synced.append(f), real(f)))
+    book, sent = Ledger(str(tmp_path / "one"), 0), []
+    assert book.each([(k, "r") for k in range(1000)] + [(5, "r")], lambda k, _: sent.append(k)) == [None] * 1001
+    book.close()
+    assert sent == list(range(1000)) and len(synced) < 200
+    again = Ledger(str(tmp_path / "one"), 0)
+    assert len(again.settled) == 1000 and not again.doubtful and again.once(7, "r", lambda: sent.append(7)) is None and len(sent) == 1000
+    deltas = spark.range(2000).select("id", F.array(F.lit("f")).alias("fields"), F.lit("r").alias("record"))
+    assert outbox.deliver(deltas, "id", lambda k, r: None, writers=2, ledger=f"file://{tmp_path}/many").count() == 2000
+    held = [len(p.read_text().splitlines()) for p in (tmp_path / "many").rglob("*.journal")]
+    assert len(held) == 128 and max(held) < 200
+
+
 def test_schedule_and_command_line(tmp_path):
     path = str(tmp_path / "control.json")
     c, ran, clock = control.Control(path), [], [0.0]
