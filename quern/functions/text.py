@@ -81,6 +81,23 @@ def _once(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def counted(words: Column) -> Column:
+    """array<struct<term, count>>: the distinct words in order and how often each is there."""
+
+    def runs(s: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        one = lambda at: F.transform(at, lambda p, k: F.struct(F.get(s, p).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - p).cast("long").alias("count")))
+        return F.when(F.size(s) > 0, _once(first, one)).otherwise(F.array().cast("array<struct<term:string,count:bigint>>"))
+
+    return _once(F.sort_array(words), runs)
+
+
+def strongest(counts: Column) -> Column:
+    """Of array<struct<term, count>> one entry a term, with the largest count; empty terms go."""
+    last = lambda s: F.filter(s, lambda x, k: (x["term"] != "") & ~F.coalesce(F.get(s, k + 1)["term"] == x["term"], F.lit(False)))
+    return _once(F.array_sort(counts), last)
+
+
 def snippets(text: Column, phrase: str, margin: int = 25) -> Column:
     """Each hit, without overlaps, with up to margin characters on both sides; the left side never reaches into the hit before.
 

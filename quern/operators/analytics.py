@@ -7,25 +7,42 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
+COMMON = 100_000  # terms whose weights are sent to every task, some tens of bytes each
 
-def term_counts(docs: DataFrame, *, stop_words: bool = False, clean: bool = False) -> DataFrame:
+
+def _of_texts(docs: DataFrame, *parts) -> DataFrame:
+    """(doc_id, counts) by the functions of a text that give words: each one's words are counted over a document's texts, cleaned if it says so,
+    and a term keeps its largest count. Only texts are shuffled, once, and not the words, of which there are many times more bytes."""
+    own = docs.where(F.col("text").isNotNull()).groupBy("doc_id").agg(F.collect_list("text").alias("texts"))
+    cleaned = lambda x: F.struct(T.clean_term(x["term"]).alias("term"), x["count"].alias("count"))
+    found = [(T.counted(F.flatten(F.transform("texts", words))), clean) for words, clean in parts]
+    found = [F.transform(c, cleaned) if clean else c for c, clean in found]
+    return own.select("doc_id", (T.strongest(F.concat(*found)) if any(clean for _, clean in parts) else found[0]).alias("counts"))
+
+
+def _rows(own: DataFrame, total: bool = False) -> DataFrame:
+    rows = own.select("doc_id", *([F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x["count"]).alias("total")] if total else []), F.explode("counts").alias("c"))
+    return rows.select("doc_id", "c.term", "c.count", *(["total"] if total else []))
+
+
+def _words(stop_words: bool):
+    return (lambda t: F.filter(T.tokens(t), lambda w: ~w.isin(*T.STOP_WORDS))) if stop_words else T.tokens
+
+
+def _phrases(longest: int):
+    split = r"[^\p{L}\p{N}' ]+|(?<![\p{L}\p{N}'])(?:" + "|".join(T.STOP_WORDS) + r")(?![\p{L}\p{N}'])"
+    return lambda t: F.filter(F.transform(F.split(F.lower(t), split), T.normal_space), lambda p: F.size(F.split(p, " ")).between(2, longest))
+
+
+def term_counts(docs: DataFrame, *, stop_words: bool = False, clean: bool = False, total: bool = False) -> DataFrame:
     """(doc_id, term, count): distinct lower-cased words. Raw words are counted first; of words that clean to one term the
-    largest count stays."""
-    words = docs.select("doc_id", F.explode(T.tokens(F.col("text"))).alias("term"))
-    if stop_words:
-        words = words.where(~F.col("term").isin(*T.STOP_WORDS))
-    counts = words.groupBy("doc_id", "term").agg(F.count("*").alias("count"))
-    if not clean:
-        return counts
-    return merge_counts(counts.select("doc_id", T.clean_term(F.col("term")).alias("term"), "count"))
+    largest count stays. With total, also the sum of a document's counts."""
+    return _rows(_of_texts(docs, (_words(stop_words), clean)), total)
 
 
 def phrase_counts(docs: DataFrame, longest: int = 3) -> DataFrame:
     """(doc_id, term, count) of candidate phrases: runs of two to `longest` words between stop words and punctuation."""
-    split = r"[^\p{L}\p{N}' ]+|(?<![\p{L}\p{N}'])(?:" + "|".join(T.STOP_WORDS) + r")(?![\p{L}\p{N}'])"
-    runs = docs.select("doc_id", F.explode(F.split(F.lower(F.col("text")), split)).alias("term"))
-    runs = runs.select("doc_id", T.normal_space(F.col("term")).alias("term")).where(F.size(F.split("term", " ")).between(2, longest))
-    return merge_counts(runs.groupBy("doc_id", "term").agg(F.count("*").alias("count")).select("doc_id", T.clean_term(F.col("term")).alias("term"), "count"))
+    return _rows(_of_texts(docs, (_phrases(longest), True)))
 
 
 def merge_counts(*frames: DataFrame) -> DataFrame:
@@ -38,8 +55,8 @@ def merge_counts(*frames: DataFrame) -> DataFrame:
 
 def full_counts(docs: DataFrame) -> DataFrame:
     """Phrases of the text, phrases of the text without apostrophes, and words, merged."""
-    bare = docs.select("doc_id", F.replace("text", F.lit("'"), F.lit("")).alias("text"))
-    return merge_counts(phrase_counts(docs), phrase_counts(bare), term_counts(docs, stop_words=True, clean=True))
+    bare = lambda t: _phrases(3)(F.replace(t, F.lit("'"), F.lit("")))
+    return _rows(_of_texts(docs, (_phrases(3), True), (bare, True), (_words(True), True)))
 
 
 def document_counts(counts: DataFrame) -> DataFrame:
@@ -67,9 +84,18 @@ def idf(n_docs: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def weighted(counts: DataFrame, weight: DataFrame) -> DataFrame:
-    """(doc_id, term, tfidf): the term's share of the document's words times its idf, of weight (term, idf)."""
-    share = counts.withColumn("tf", F.col("count") / F.sum("count").over(Window.partitionBy("doc_id")))
-    return share.join(weight, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    """(doc_id, term, tfidf): the term's share of the document's words times its idf, of weight (term, idf). The document's words are the
+    column total of counts, where there is one.
+
+    The weights of the COMMON commonest terms are broadcast, so that most rows stay in their tasks; the others are joined as
+    Spark chooses. counts and weight are read more than once and should be written."""
+    share = F.col("count") / (F.col("total") if "total" in counts.columns else F.sum("count").over(Window.partitionBy("doc_id")))
+    share = counts.select("doc_id", "term", share.alias("tf"))
+    common = weight.orderBy("idf", "term").limit(COMMON).select("term", "idf", F.lit(True).alias("__common"))
+    both = share.join(F.broadcast(common), "term", "left")
+    rest = both.where("__common is null").select("doc_id", "term", "tf").join(weight.select("term", "idf"), "term")
+    both = both.where("__common").select("doc_id", "term", "tf", "idf").unionByName(rest.select("doc_id", "term", "tf", "idf"))
+    return both.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def tfidf(counts: DataFrame) -> DataFrame:
@@ -120,9 +146,9 @@ def pseudo_text(counts: DataFrame, *, more_than: int = 2, limit: int | None = 50
         names = ignored.select(F.col("doc_id").alias("__d"), F.explode("terms").alias("__t")).distinct()
         rows = rows.drop("skip").join(names, (F.col("doc_id") == F.col("__d")) & (F.col("term") == F.col("__t")), "left").withColumn("skip", F.col("__t").isNotNull()).drop("__d", "__t")
     weights = summary_weights(rows, more_than=more_than, limit=limit, most_rounds=most_rounds)
-    wanted = weights.select(F.col("doc_id").alias("__d"), F.explode("weights").alias("w"))
-    own = rows.where(~F.col("skip")).join(wanted, (F.col("doc_id") == F.col("__d")) & (F.col("count") == F.col("w.count")))
-    lines = own.select("doc_id", F.struct((-F.col("count")).alias("neg"), "term", F.col("w.n").cast("int").alias("n")).alias("t"))
+    wanted = weights.select(F.col("doc_id").alias("__d"), F.map_from_entries("weights").alias("w")).hint("shuffle_hash")  # one row a document
+    own = rows.where(~F.col("skip")).join(wanted, F.col("doc_id") == F.col("__d")).withColumn("n", F.try_element_at("w", F.col("count"))).where("n is not null")
+    lines = own.select("doc_id", F.struct((-F.col("count")).alias("neg"), "term", F.col("n").cast("int").alias("n")).alias("t"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: F.repeat(F.concat(t["term"], F.lit("\n")), t["n"])), "")
     made = lines.groupBy(F.col("doc_id").alias("__d")).agg(text.alias("__text"))
     out = weights.join(made, F.col("doc_id") == F.col("__d"), "left")
