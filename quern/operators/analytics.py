@@ -21,8 +21,12 @@ def _of_texts(docs: DataFrame, *parts) -> DataFrame:
 
 
 def _rows(own: DataFrame, total: bool = False) -> DataFrame:
-    rows = own.select("doc_id", *([F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x["count"]).alias("total")] if total else []), F.explode("counts").alias("c"))
-    return rows.select("doc_id", "c.term", "c.count", *(["total"] if total else []))
+    counts = F.col("counts")
+    if total:  # in the entries, so that it is computed once a document and not once a row
+        entry = lambda x, n: F.struct(x["term"].alias("term"), x["count"].alias("count"), n.alias("total"))
+        summed = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x["count"])
+        counts = T._once(counts, lambda c: T._once(summed(c), lambda n: F.transform(c, lambda x: entry(x, n))))
+    return own.select("doc_id", F.explode(counts).alias("c")).select("doc_id", "c.*")
 
 
 def _words(stop_words: bool):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import people as P
 from ..functions import text as T
 from ..operators import analytics, cdc, checks, enrich, outbox, store
+from .scratch import written
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -92,12 +93,12 @@ def idf(spark, sf_dir):
 
 @query("tfidf", f"with {TFIDF_SQL} select doc_id, term, round(tfidf, 9) tfidf from w")
 def tfidf(spark, sf_dir):
-    return analytics.tfidf(analytics.term_counts(docs(spark, sf_dir))).withColumn("tfidf", F.round("tfidf", 9))
+    return analytics.tfidf(written(analytics.term_counts(docs(spark, sf_dir), total=True), "counts")).withColumn("tfidf", F.round("tfidf", 9))
 
 
 @query("tfidf_top5_per_doc", f"with {TFIDF_SQL}, r as (select doc_id, term, round(tfidf, 9) tfidf, row_number() over (partition by doc_id order by round(tfidf, 9) desc, term)::int rank from w) select * from r where rank <= 5")
 def tfidf_top5(spark, sf_dir):
-    return analytics.top_terms(analytics.tfidf(analytics.term_counts(docs(spark, sf_dir))), 5).select("doc_id", "term", F.round("tfidf", 9).alias("tfidf"), "rank")
+    return analytics.top_terms(analytics.tfidf(written(analytics.term_counts(docs(spark, sf_dir), total=True), "counts")), 5).select("doc_id", "term", F.round("tfidf", 9).alias("tfidf"), "rank")
 
 
 @query("pseudo_text", f"""with {COUNTS_SQL} select d.doc_id, sha256(coalesce(p, '')) pseudo_sha256, p is null no_terms
