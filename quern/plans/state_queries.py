@@ -225,7 +225,7 @@ ar as (select inn, sum(n) / count(*) avg_n from sub group by inn)
 select phrase, size::int size, n, round(ratio, 4) ratio, round(log2(size) * (n - coalesce(avg_n, 0)), 6) c_value from kp left join ar on inn = phrase"""))
 def mined_phrases(spark, sf_dir):
     """Phrases of two to four words that attract each other, with their C-value."""
-    out = written(mining.phrases(docs(spark, sf_dir)), "phrases")
+    out = mining.phrases(docs(spark, sf_dir), keep=written)
     return out.select("phrase", "size", "n", F.round("ratio", 4).alias("ratio"), F.round("c_value", 6).alias("c_value"))
 
 

@@ -140,3 +140,25 @@ def test_mined_phrases_and_segmentation(spark):
         assert got == counts
     none = docs.where("text is null")
     assert mining.collocations(none).count() == 0 and mining.phrases(none).count() == 0
+
+
+def test_pairs_are_counted_by_the_tasks_and_longer_runs_only_of_good_pairs(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["a b c |", " |", "b  c d a |", "a b |"]
+    for most in (1, 9, 1000):
+        batch = pa.RecordBatch.from_arrays([pa.array([t.replace("a", "x") for t in texts])], ["text"])
+        got = Counter()
+        for b in mining._pairs([batch] if most == 1000 else [batch.slice(k, 1) for k in range(4)]):
+            got.update({(r["left_word"], r["right_word"]): r["n"] for r in b.to_pylist()})
+        coded = [w[c].as_py() if c >= 0 else None for words, codes in mining._coded([batch], most) for w, c in ((words, c) for c in codes)]
+        assert got == {("x", "b"): 2, ("b", "c"): 2, ("c", "d"): 1, ("d", "x"): 1}
+        assert coded == ["x", "b", "c", None, None, "b", "c", "d", "x", None, "x", "b", None]
+    docs = spark.createDataFrame([(k, "gold price index; old gold. price list") for k in range(6)] + [(9, "gold price tag"), (10, None)], "doc_id long, text string")
+    every = {(r.left_word, r.right_word): (r.n, r.ratio) for r in mining.collocations(docs).collect()}
+    often = {(r.left_word, r.right_word): (r.n, r.ratio) for r in mining.collocations(docs, least=6).collect()}
+    assert often == {p: x for p, x in every.items() if x[0] >= 6} and ("price", "tag") in every and ("price", "tag") not in often
+    good = spark.createDataFrame([("gold", "price"), ("price", "index")], "left_word string, right_word string")
+    assert {(r.phrase, r["size"], r.n) for r in mining._longer(docs, good, 4).collect()} == {("gold price index", 3, 6)}
+    assert np.unpackbits(mining._filter(good)).sum() == 2
