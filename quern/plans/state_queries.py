@@ -213,7 +213,7 @@ def _with_xlogx(sql: str) -> str:
 @query("collocations", _with_xlogx(f"with {_PAIR_SQL} select left_word, right_word, n, round(ratio, 4) ratio from x"))
 def collocations(spark, sf_dir):
     """Two neighbouring words of a stretch: how often, and the log-likelihood ratio of their being together."""
-    return mining.collocations(docs(spark, sf_dir)).withColumn("ratio", F.round("ratio", 4))
+    return mining.collocations(docs(spark, sf_dir), keep=written).withColumn("ratio", F.round("ratio", 4))
 
 
 @query("mined_phrases", _with_xlogx(f"""with {_PAIR_SQL}, good as (select left_word, right_word, ratio from x where ratio >= 10.83),
