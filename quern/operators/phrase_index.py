@@ -30,9 +30,18 @@ def _absolute(steps: pa.Array) -> pa.Array:
 
 
 def places(docs: DataFrame, key: str) -> DataFrame:
-    """(term, key, places) of the tokens of (key, text): differences of the token numbers at which the term stands."""
-    tokens = docs.select(key, F.posexplode(T.tokens(F.col("text"))).alias("place", "term"))
-    found = tokens.groupBy("term", key).agg(F.array_sort(F.collect_list("place")).alias("p"))
+    """(term, key, places) of the tokens of (key, text): differences of the token numbers at which the term stands. Texts are shuffled by
+    their key, once, and not the tokens, of which there are many times more bytes."""
+    placed = lambda t: F.transform(T.tokens(t), lambda w, k: F.struct(w.alias("term"), k.alias("place")))
+
+    def runs(s: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i)["term"] != F.get(s, i - 1)["term"]))
+        held = lambda at, p, k: F.transform(F.slice(s, p + 1, F.coalesce(F.get(at, k + 1), F.size(s)) - p), lambda x: x["place"])
+        one = lambda at: F.transform(at, lambda p, k: F.struct(F.get(s, p)["term"].alias("term"), held(at, p, k).alias("p")))
+        return F.when(F.size(s) > 0, T._once(first, one)).otherwise(F.array().cast("array<struct<term:string,p:array<int>>>"))
+
+    own = docs.where(F.col("text").isNotNull()).groupBy(key).agg(F.collect_list("text").alias("texts"))
+    found = own.select(key, F.explode(T._once(F.sort_array(F.flatten(F.transform("texts", placed))), runs)).alias("r")).select("r.term", key, "r.p")
     steps = F.transform("p", lambda x, k: x - F.coalesce(F.get("p", k - 1), F.lit(0)))
     return found.select("term", key, steps.alias("places"))
 

@@ -162,3 +162,13 @@ def test_pairs_are_counted_by_the_tasks_and_longer_runs_only_of_good_pairs(spark
     good = spark.createDataFrame([("gold", "price"), ("price", "index")], "left_word string, right_word string")
     assert {(r.phrase, r["size"], r.n) for r in mining._longer(docs, good, 4).collect()} == {("gold price index", 3, 6)}
     assert np.unpackbits(mining._filter(good)).sum() == 2
+
+
+def test_places_shuffle_texts_and_not_tokens(spark):
+    from quern.operators.phrase_index import places
+
+    docs = spark.createDataFrame([(1, "B a b. b"), (1, "a, c"), (2, ""), (3, None), (None, "a a"), (4, "ü x ü")], "doc_id long, text string")
+    made = places(docs, "doc_id")
+    assert {(r.doc_id, r.term): r.places for r in made.collect()} == {(1, "b"): [0, 2, 1], (1, "a"): [0, 1], (1, "c"): [1], (None, "a"): [0, 1], (4, "ü"): [0, 2], (4, "x"): [1]}
+    dealt = [line for line in made._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and all("term" not in line for line in dealt)
