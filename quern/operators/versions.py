@@ -229,7 +229,9 @@ class Versions:
         """Bucket -> (folder, bytes) of what was written, without those that got no row."""
         name = f"data/{uuid.uuid4().hex}"
         dealt = rows.withColumn("__bucket", self.bucket(key) if key else F.lit(0))
-        dealt.hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(f"{self.folder}/{name}")  # few files a bucket, large ones split
+        if key:
+            dealt = dealt.hint("rebalance", "__bucket")  # few files a bucket, large ones split; a log has a file a task and is merged by level
+        dealt.write.partitionBy("__bucket").parquet(f"{self.folder}/{name}")
         found = [f.getPath() for f in self._fs.listStatus(self._path(name)) if f.isDirectory()]
         return {p.getName().split("=")[1]: (f"{name}/{p.getName()}", self._fs.getContentSummary(p).getLength()) for p in found if p.getName().startswith("__bucket=")}
 
