@@ -1,11 +1,16 @@
-"""Text functions as Column expressions; none of them leaves the JVM."""
+"""Text functions as Column expressions; only those that sort characters or words go through Arrow, where a lambda would be interpreted."""
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -65,9 +70,21 @@ def day_of_ms(ms: Column) -> Column:
     return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd")
 
 
+def _in_order(text: bytes) -> bytes:
+    """The characters of UTF-8 in order; a byte that is not UTF-8 counts as a character."""
+    if text.isascii():
+        return np.repeat(np.arange(128, dtype=np.uint8), np.bincount(np.frombuffer(text, np.uint8), minlength=128)).tobytes()
+    points = np.frombuffer(text.decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.sort(points).tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogateescape")
+
+
 def sorted_char_hash(text: Column) -> Column:
     """SHA-256 of the text's characters in order: equal for anagrams, by intent."""
-    return F.sha2(F.array_join(F.sort_array(F.split(text, "")), "").cast("binary"), 256)
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else hashlib.sha256(_in_order(t)).hexdigest() for t in texts.to_pylist()], pa.string())
+
+    return F.arrow_udf(run, StringType())(text.cast("binary"))
 
 
 def word_stream(words: Column) -> Column:
@@ -81,15 +98,24 @@ def _once(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def counted(words: Column) -> Column:
-    """array<struct<term, count>>: the distinct words in order and how often each is there."""
+_COUNTS = ArrayType(StructType([StructField("term", StringType()), StructField("count", LongType())]))
+
 
-    def runs(s: Column) -> Column:
-        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-        one = lambda at: F.transform(at, lambda p, k: F.struct(F.get(s, p).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - p).cast("long").alias("count")))
-        return F.when(F.size(s) > 0, _once(first, one)).otherwise(F.array().cast("array<struct<term:string,count:bigint>>"))
+def _counts(words: pa.Array) -> pa.Array:
+    sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy()
+    found = words.flatten().dictionary_encode()
+    terms, order = found.dictionary, pc.sort_indices(found.dictionary).to_numpy().astype(np.int64)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    key, n = np.unique(np.repeat(np.arange(len(sizes)), sizes) * len(order) + rank[found.indices.to_numpy()], return_counts=True)
+    ends = np.searchsorted(key, np.arange(len(sizes) + 1) * len(order))
+    entries = pa.StructArray.from_arrays([terms.take(pa.array(order[key % max(1, len(order))])), pa.array(n, pa.int64())], ["term", "count"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
 
-    return _once(F.sort_array(words), runs)
+
+def counted(words: Column) -> Column:
+    """array<struct<term, count>>: the distinct words in order and how often each is there. words holds no null."""
+    return F.arrow_udf(lambda lists: _counts(lists), _COUNTS)(words)
 
 
 def strongest(counts: Column) -> Column:

@@ -36,3 +36,21 @@ def test_weights_of_common_and_rare_terms(spark, monkeypatch):
     monkeypatch.setattr(analytics, "COMMON", 2)
     counts = analytics.term_counts(docs, total=True)
     assert rows(analytics.tfidf(counts)) == want and len(want) == 27
+
+
+def test_words_are_counted_and_characters_sorted_without_lambdas(spark):
+    docs = spark.createDataFrame([(1, "b a b"), (2, "--"), (3, "é z a é")], "doc_id long, text string")
+    assert rows(analytics.term_counts(docs)) == sorted([(1, "a", 1), (1, "b", 2), (3, "a", 1), (3, "z", 1), (3, "é", 2)], key=str)
+    counted = analytics.term_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    hashed = docs.select(T.sorted_char_hash(F.col("text")))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in counted and "ArrowEvalPython" in hashed and "sort_array" not in counted + hashed
+
+
+def test_hash_of_any_characters(spark):
+    import hashlib
+
+    texts = ["banana\n", "zé€\U0001f600a", "", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(T.sorted_char_hash(F.col("text"))).collect()]
+    assert got == [None if t is None else hashlib.sha256("".join(sorted(t)).encode()).hexdigest() for t in texts]
+    broken = spark.sql("select cast(x'61ff62' as string) text union all select cast(x'62ff61' as string)").select(T.sorted_char_hash(F.col("text")).alias("h"))
+    assert broken.distinct().count() == 1
