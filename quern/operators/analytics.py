@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import text as T
 
@@ -112,30 +116,42 @@ def top_terms(weights: DataFrame, n: int) -> DataFrame:
     return weights.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def summary_weights(counts: DataFrame, *, more_than: int = 2, limit: int | None = 50_000, most_rounds: int = 40) -> DataFrame:
-    """(doc_id, weights array<struct<count, n>>): how often a summary repeats the terms of each count, from counts (doc_id, term, count, skip).
-
-    All terms of one count fare alike, so a document is its histogram: a row for each count with the bytes of its terms that are not
-    skipped. The rounds run over the distinct counts, of which a document of w words has less than the root of 2 w."""
-    bytes_ = F.sum(F.when(F.col("skip"), 0).otherwise(F.octet_length("term") + 1)).cast("long").alias("bytes")
-    histogram = counts.groupBy("doc_id", "count").agg(bytes_)
-    own = histogram.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("count", "bytes"))).alias("h"))
-    part = lambda x, n: F.struct(x["count"].alias("count"), n.cast("long").alias("n"), x["bytes"].alias("bytes"))
-    first = F.transform(F.filter("h", lambda x: x["count"] > more_than), lambda x: part(x, F.ceil(x["count"] / (more_than + 1))))
-    own = own.select("doc_id", F.transform("h", lambda x: part(x, x["count"])).alias("full"), first.alias("first"))
-    chosen = F.col("first")
-    if limit is not None:
-        size = lambda h: F.aggregate(h, F.lit(0).cast("long"), lambda acc, x: acc + x["n"] * x["bytes"])
-
-        def shrink(h: Column) -> Column:
-            left = F.filter(h, lambda x: x["n"] > 1)
-            low = F.array_min(F.transform(left, lambda x: x["n"]))
-            return F.transform(left, lambda x: part(x, F.ceil(x["n"] / low)))
-
-        step = lambda acc, k: F.when((k > 1) & ((size(acc) <= limit) | (F.size(acc) == 0)), acc).otherwise(shrink(acc))
-        shrunk = F.aggregate(F.sequence(F.lit(1), F.lit(most_rounds)), F.col("full"), step)
-        chosen = F.when(size(F.col("first")) <= limit, F.col("first")).otherwise(shrunk)
-    return own.select("doc_id", F.transform(chosen, lambda x: F.struct(x["count"].alias("count"), x["n"].alias("n"))).alias("weights"))
+def _shrunk(count: np.ndarray, size: np.ndarray, limit: int, most_rounds: int) -> np.ndarray:
+    """How often each term of a document is repeated: terms counted once go and the counts are divided by the smallest left, rounded up, at
+    least once and until the text fits. size: what one repetition adds to the text."""
+    n = count
+    for k in range(most_rounds):
+        if k and ((n * size).sum() <= limit or not n.any()):
+            break
+        n = np.where(n > 1, n, 0)
+        if n.any():
+            n = -(-n // n[n > 0].min())
+    return n
+
+
+def _summaries(own: DataFrame, more_than: int, limit: int | None, most_rounds: int) -> DataFrame:
+    """pseudo_text of (doc_id, counts array<struct<term, count, skip>>), one row a document; skip may be left out."""
+
+    def run(terms: pa.Array, counts: pa.Array, skips: pa.Array) -> pa.Array:
+        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(terms).to_numpy()))).astype(np.int64)
+        words, count, skip = terms.flatten(), counts.flatten().to_numpy(), skips.flatten().to_numpy(zero_copy_only=False).astype(bool)
+        size = np.where(skip, 0, pc.binary_length(words).to_numpy().astype(np.int64) + 1)
+        n = np.where(count > more_than, -(-count // (more_than + 1)), 0)
+        if limit is not None:
+            upto = np.concatenate(([0], np.cumsum(n * size)))[ends]
+            for k in np.flatnonzero(upto[1:] - upto[:-1] > limit):
+                at = slice(ends[k], ends[k + 1])
+                n[at] = _shrunk(count[at], size[at], limit, most_rounds)
+        left = np.concatenate(([0], np.cumsum(n > 0)))[ends]
+        shown = np.flatnonzero((n > 0) & ~skip)
+        lines = list(zip((-count[shown]).tolist(), words.take(pa.array(shown)).to_pylist(), n[shown].tolist(), strict=True))
+        places = np.searchsorted(shown, ends)
+        text = lambda k: "".join((t + "\n") * times for _, t, times in sorted(lines[places[k] : places[k + 1]]))
+        return pa.array([text(k) if left[k + 1] > left[k] else None for k in range(len(terms))], pa.string())
+
+    skip = F.col("counts.skip") if "skip" in own.schema["counts"].dataType.elementType.names else F.transform("counts", lambda x: F.lit(False))
+    made = own.select("doc_id", F.arrow_udf(run, StringType())(F.col("counts.term"), F.col("counts.count"), skip).alias("pseudo"))
+    return made.select("doc_id", "pseudo", F.when(F.col("pseudo").isNull(), "no terms left").alias("issue"))
 
 
 def pseudo_text(counts: DataFrame, *, more_than: int = 2, limit: int | None = 50_000, ignored: DataFrame | None = None, most_rounds: int = 40) -> DataFrame:
@@ -144,20 +160,20 @@ def pseudo_text(counts: DataFrame, *, more_than: int = 2, limit: int | None = 50
     counts are divided by the smallest left, rounded up. Ignored terms take part in the counts, not in the text. No text left:
     pseudo is null and issue says so. ignored: (doc_id, terms).
 
-    Only the terms of the summary come together in one row, which limit bounds; what decides on them is `summary_weights`."""
-    rows = counts.select("doc_id", "term", "count").withColumn("skip", F.lit(False))
+    The terms of a document come together in one row, which is no larger than its text and a few bytes a term."""
+    rows = counts.select("doc_id", "term", F.col("count").cast("long").alias("count"))
+    entry = F.struct("term", "count")
     if ignored is not None:
         names = ignored.select(F.col("doc_id").alias("__d"), F.explode("terms").alias("__t")).distinct()
-        rows = rows.drop("skip").join(names, (F.col("doc_id") == F.col("__d")) & (F.col("term") == F.col("__t")), "left").withColumn("skip", F.col("__t").isNotNull()).drop("__d", "__t")
-    weights = summary_weights(rows, more_than=more_than, limit=limit, most_rounds=most_rounds)
-    wanted = weights.select(F.col("doc_id").alias("__d"), F.map_from_entries("weights").alias("w")).hint("shuffle_hash")  # one row a document
-    own = rows.where(~F.col("skip")).join(wanted, F.col("doc_id") == F.col("__d")).withColumn("n", F.try_element_at("w", F.col("count"))).where("n is not null")
-    lines = own.select("doc_id", F.struct((-F.col("count")).alias("neg"), "term", F.col("n").cast("int").alias("n")).alias("t"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: F.repeat(F.concat(t["term"], F.lit("\n")), t["n"])), "")
-    made = lines.groupBy(F.col("doc_id").alias("__d")).agg(text.alias("__text"))
-    out = weights.join(made, F.col("doc_id") == F.col("__d"), "left")
-    empty = F.size("weights") == 0
-    return out.select("doc_id", F.when(~empty, F.coalesce("__text", F.lit(""))).alias("pseudo"), F.when(empty, "no terms left").alias("issue"))
+        rows = rows.join(names, (F.col("doc_id") == F.col("__d")) & (F.col("term") == F.col("__t")), "left")
+        entry = F.struct("term", "count", F.col("__t").isNotNull().alias("skip"))
+    return _summaries(rows.groupBy("doc_id").agg(F.collect_list(entry).alias("counts")), more_than, limit, most_rounds)
+
+
+def pseudo_text_of(docs: DataFrame, *, more_than: int = 2, limit: int | None = 50_000, most_rounds: int = 40) -> DataFrame:
+    """pseudo_text of the term_counts of docs (doc_id, text), made in the row of the document: only texts are shuffled."""
+    own = _of_texts(docs, (_words(False), False)).where(F.size("counts") > 0)
+    return _summaries(own, more_than, limit, most_rounds)
 
 
 def phrase_report(docs: DataFrame, texts: DataFrame, phrase: str, margin: int = 25) -> DataFrame:

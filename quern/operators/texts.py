@@ -242,11 +242,11 @@ class TextStore:
         """Summaries of the counted texts that have none. ignored: (key, terms)."""
         c = self.versions.begin()
         counts = self._of(c, "term_counts")
-        ids = self._missing(c, "pseudo", most, force).join(counts.select(self.key).distinct(), self.key, "left_semi")
+        ids = self._missing(c, "pseudo", most, force)
         own = counts.join(ids, self.key, "left_semi").withColumnRenamed(self.key, "doc_id")
         skip = None if ignored is None else ignored.withColumnRenamed(self.key, "doc_id")
         made = analytics.pseudo_text(own, more_than=more_than, limit=limit, ignored=skip).withColumnRenamed("doc_id", self.key)
-        self._add(c, "pseudo", ids, made, anew=force)
+        self._add(c, "pseudo", ids.join(counts.select(self.key).distinct(), self.key, "left_semi"), made, anew=force)
         c.commit()
         self.versions.upkeep()
 

@@ -104,7 +104,7 @@ def tfidf_top5(spark, sf_dir):
 @query("pseudo_text", f"""with {COUNTS_SQL} select d.doc_id, sha256(coalesce(p, '')) pseudo_sha256, p is null no_terms
 from (select distinct doc_id from tc) d left join (select doc_id, string_agg(repeat(term || chr(10), ceil("count" / 3)::int), '' order by "count" desc, term) p from tc where "count" > 2 group by doc_id) using (doc_id)""")
 def pseudo_text(spark, sf_dir):
-    out = analytics.pseudo_text(analytics.term_counts(docs(spark, sf_dir)), limit=None)
+    out = analytics.pseudo_text_of(docs(spark, sf_dir), limit=None)
     return out.select("doc_id", F.sha2(F.coalesce("pseudo", F.lit("")).cast("binary"), 256).alias("pseudo_sha256"), F.col("issue").isNotNull().alias("no_terms"))
 
 
@@ -116,7 +116,7 @@ fin as (select doc_id, term, c, n from (select *, sum(n * (strlen(term) + 1)) ov
 select d.doc_id, p pseudo, case when p is null then 'no terms left' end issue from (select distinct doc_id from tc) d
 left join (select doc_id, string_agg(repeat(term || chr(10), n::int), '' order by c desc, term) p from fin group by doc_id) using (doc_id)""")
 def pseudo_text_capped(spark, sf_dir):
-    return analytics.pseudo_text(analytics.term_counts(docs(spark, sf_dir)), limit=400)
+    return analytics.pseudo_text_of(docs(spark, sf_dir), limit=400)
 
 
 @query("text_switch", r"""with n as (select doc_id, trim(regexp_replace(text, '[ \t\n\x0b\f\r]+', ' ', 'g')) t from documents)

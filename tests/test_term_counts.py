@@ -54,3 +54,13 @@ def test_hash_of_any_characters(spark):
     assert got == [None if t is None else hashlib.sha256("".join(sorted(t)).encode()).hexdigest() for t in texts]
     broken = spark.sql("select cast(x'61ff62' as string) text union all select cast(x'62ff61' as string)").select(T.sorted_char_hash(F.col("text")).alias("h"))
     assert broken.distinct().count() == 1
+
+
+def test_summaries_are_made_in_the_row_of_the_document(spark):
+    docs = spark.createDataFrame([(1, "a b a b a c b c b"), (2, "x y"), (3, "--"), (4, "é é é")], "doc_id long, text string")
+    for limit in (None, 4, 1):
+        want = rows(analytics.pseudo_text(analytics.term_counts(docs), limit=limit))
+        made = analytics.pseudo_text_of(docs, limit=limit)
+        assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert rows(made) == want and len(want) == 3
+    assert rows(analytics.pseudo_text_of(docs, limit=None)) == [(1, "b\nb\na\n", None), (2, None, "no terms left"), (4, "é\n", None)]
