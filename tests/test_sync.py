@@ -65,6 +65,20 @@ def test_text_files(spark, tmp_path):
     assert rows(s.import_texts(f"file://{tmp_path}/out")) == [(1, "one\ntwo"), (2, "ü")]
 
 
+def test_text_files_are_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(texts, "READ", 3)
+    s = texts.TextStore(spark, f"file://{tmp_path}/t", key="name", key_type="string")
+    out = tmp_path / "out"
+    out.mkdir()
+    for k in range(400):
+        (out / f"k{k}.txt").write_bytes(b"x" * (k % 7))
+    for name, data in (("_a.txt", b"own"), (".draft.txt", b"no"), ("notes", b"no"), ("a.b.txt", "ü\r\n".encode())):
+        (out / name).write_bytes(data)
+    got = s.import_texts(f"file://{out}")
+    assert rows(got) == sorted([*((f"k{k}", "x" * (k % 7)) for k in range(400)), ("_a", "own"), ("a.b", "ü\r\n")], key=str)
+    assert "Scan text" not in got._jdf.queryExecution().executedPlan().toString() and got.rdd.getNumPartitions() <= 64
+
+
 def test_missing_tags_and_cascade(spark):
     r = spark.createDataFrame([(1, ["x"]), (2, ["transcript_missing"]), (3, [])], "id int, tags array<string>")
     p = spark.createDataFrame([(1, "missing"), (2, "add")], "id int, op string")
