@@ -39,15 +39,26 @@ def joined_list(*lists: Column, distinct: bool = True) -> Column:
 def people_to_field(rows: DataFrame, dim: DataFrame, *, id_col: str, people_col: str, name: str, value: str, placeholder: str | None = None, ignorable=()) -> DataFrame:
     """(id, found, missing): the dim's value of each person in order, and the names that dim lacks. Ignorable names look up the
     placeholder; if dim lacks that too, they are missing."""
-    each = rows.select(F.col(id_col).alias("__id"), F.posexplode_outer(people_col).alias("pos", "person"))
+    out = people_to_fields(rows, dim, id_col=id_col, people_cols=[people_col], name=name, value=value, placeholder=placeholder, ignorable=ignorable)
+    return out.select(id_col, F.col(f"{people_col}_found").alias("found"), F.col(f"{people_col}_missing").alias("missing"))
+
+
+def people_to_fields(rows: DataFrame, dim: DataFrame, *, id_col: str, people_cols: list[str], name: str, value: str, placeholder: str | None = None, ignorable=()) -> DataFrame:
+    """(id, <column>_found, <column>_missing for each people column): people_to_field of several columns by one join and one grouping."""
+    none = F.array().cast("array<string>")
+    entry = lambda c, k: F.transform(F.coalesce(F.col(c), none), lambda x: F.struct(F.lit(k).alias("field"), x.alias("person")))
+    entries = [entry(c, k) for k, c in enumerate(people_cols)]
+    each = rows.select(F.col(id_col).alias("__id"), F.posexplode_outer(F.concat(*entries)).alias("pos", "e")).select("__id", "pos", "e.field", "e.person")
     plain = P.strip_prefix(F.col("person"))
     asked = F.when(plain.isin(*ignorable), F.lit(placeholder)).otherwise(plain) if ignorable else plain
     d = dim.select(F.col(name).alias("__name"), F.col(value).alias("__value"))
     met = each.withColumn("asked", asked).join(d, F.col("asked") == F.col("__name"), "left")
-    hit = F.when(F.col("__name").isNotNull(), F.struct("pos", F.col("__value").alias("v")))
-    miss = F.when(F.col("__name").isNull() & F.col("person").isNotNull(), F.struct("pos", F.col("person").alias("v")))
-    out = met.groupBy("__id").agg(F.array_sort(F.collect_list(hit)).alias("f"), F.array_sort(F.collect_list(miss)).alias("m"))
-    return out.select(F.col("__id").alias(id_col), F.col("f.v").alias("found"), F.col("m.v").alias("missing"))
+    hit = F.col("__name").isNotNull()
+    one = F.struct("pos", "field", hit.alias("hit"), F.col("__value").alias("value"), F.when(~hit, F.col("person")).alias("person"))
+    out = met.groupBy("__id").agg(F.sort_array(F.collect_list(F.when(F.col("person").isNotNull(), one))).alias("p"))
+    part = lambda k, found: F.filter("p", lambda x: (x["field"] == k) & (x["hit"] == F.lit(found)))
+    fields = [(part(k, True)["value"].alias(f"{c}_found"), part(k, False)["person"].alias(f"{c}_missing")) for k, c in enumerate(people_cols)]
+    return out.select(F.col("__id").alias(id_col), *(x for both in fields for x in both))
 
 
 def all_or_nothing(found: Column, missing: Column) -> Column:

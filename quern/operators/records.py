@@ -16,6 +16,7 @@ from . import cdc, enrich, outbox
 from .store import tag_add, tag_remove
 
 NONE = "array<string>"
+PEOPLE = ("featuring", "interviewer")
 
 
 def day_or_issue(ms: Column, name: str) -> tuple[Column, Column]:
@@ -59,11 +60,13 @@ def with_show(rows: DataFrame, shows: DataFrame, title_rules: list[tuple[str, st
     return joined.withColumn("show_name", F.when(F.col("__asked").isNull(), ruled).otherwise(F.col("__name"))).withColumn("__show_issue", issue).drop("__asked", "__sid", "__name")
 
 
-def _people(rows: DataFrame, guests: DataFrame, column: str, value: str, ignorable, placeholder) -> DataFrame:
-    """(id, found, missing) of a people field as it is written: 'A, B and C'."""
-    lists = rows.select("id", F.filter(P.split_people(F.col(column)), lambda x: x != "").alias("people"))
-    out = enrich.people_to_field(lists, guests, id_col="id", people_col="people", name="name", value=value, placeholder=placeholder, ignorable=ignorable)
-    return out.select(F.col("id").alias(f"__{column}_id"), F.col("found").alias(f"__{column}_found"), F.col("missing").alias(f"__{column}_missing"))
+def _people(rows: DataFrame, guests: DataFrame, value: str, ignorable, placeholder) -> DataFrame:
+    """(__people, __<column>_found, __<column>_missing) of the people fields as they are written: 'A, B and C'."""
+    lists = {c: F.filter(P.split_people(F.col(c)), lambda x: x != "").alias(f"__{c}") for c in PEOPLE}
+    # dealt out by id first: what a task gathers is then bounded by its share of the ids, and not by the size of an input split
+    own = rows.select("id", *PEOPLE).repartition("id").select("id", *lists.values())
+    out = enrich.people_to_fields(own, guests, id_col="id", people_cols=[f"__{c}" for c in PEOPLE], name="name", value=value, placeholder=placeholder, ignorable=ignorable)
+    return out.withColumnRenamed("id", "__people")
 
 
 def needed(videos: DataFrame, target: DataFrame, stats: DataFrame, *, issue_tag: str, upstream_tag: str, comments_tag: str) -> DataFrame:
@@ -109,8 +112,7 @@ def crm_records(
     work = with_show(rows.where("action in ('add', 'update')"), shows, title_rules)
     s = crm_shows.select(F.col("name").alias("__crm_name"), F.col("crm_id").alias("__crm_show"))
     work = work.join(s, F.col("show_name") == F.col("__crm_name"), "left")
-    for column in ("featuring", "interviewer"):
-        work = work.join(_people(work, guests, column, "crm_id", ignorable, placeholder), F.col("id") == F.col(f"__{column}_id"), "left")
+    work = work.join(_people(videos, guests, "crm_id", ignorable, placeholder), F.col("id") == F.col("__people"), "left")
     c = stats.select(F.col("id").alias("__c"), "n_comments", "n_replies", F.col("likes").alias("comment_likes"), F.col("dislikes").alias("comment_dislikes"))
     work = work.join(c, F.col("id") == F.col("__c"), "left").withColumn("__tiers", enrich.tiers(F.col("product"), tiers))
     published, no_published = day_or_issue(F.col("published_on"), "published_on")
@@ -216,8 +218,7 @@ def video_units(videos: DataFrame, *, shows: DataFrame, guests: DataFrame, stats
     """(id, VIDEO_UNIT fields, hash, issues): the current values of each video's search unit. People that the guests lack are left
     out; tags are the union of tags, assets and topics; fields that the video has no data for are null."""
     rows = with_show(videos, shows, [])
-    for column in ("featuring", "interviewer"):
-        rows = rows.join(_people(rows, guests, column, "name", ignorable, placeholder), F.col("id") == F.col(f"__{column}_id"), "left")
+    rows = rows.join(_people(videos, guests, "name", ignorable, placeholder), F.col("id") == F.col("__people"), "left")
     rows = rows.join(stats.select(F.col("id").alias("__c"), "n_comments"), F.col("id") == F.col("__c"), "left")
     rows = _with_texts(rows, texts, summaries).withColumn("__tiers", enrich.tiers(F.col("product"), tiers))
     day, no_day = day_or_issue(F.col("published_on"), "published_on")

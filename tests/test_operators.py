@@ -183,6 +183,21 @@ def test_people_to_field(spark):
     assert {x.id: (x.found, x.missing) for x in out.collect()} == {1: (["recA"], ["B"]), 2: (["rec0"], []), 3: ([], [])}
 
 
+def test_people_of_several_fields_by_one_join(spark):
+    r = spark.createDataFrame([(1, ["Dr. A", "B", "A"], ["B"]), (2, [], None), (3, None, ["A", None])], "id int, f array<string>, i array<string>")
+    dim = spark.createDataFrame([("A", 7)], "name string, n int")
+    out = enrich.people_to_fields(r, dim, id_col="id", people_cols=["f", "i"], name="name", value="n")
+    assert rows(out) == [(1, [7, 7], ["B"], [], ["B"]), (2, [], [], [], []), (3, [], [], [7], [])]
+
+
+def test_records_look_people_up_once(spark):
+    from quern.plans import sync_queries
+
+    for made in (sync_queries.crm_record, sync_queries.search_unit_video):
+        plan = made(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate posexplode") == 1
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "p1.json").write_text('{"data": [{"id": "1", "attributes": {"video_title": "T", "video_likes_count": 3, "video_topic_names": ["x"]}}]}')
     (tmp_path / "p2.json").write_text('{"data": [{"id": "2", "attributes": {"video_featuring": null}}]}')
