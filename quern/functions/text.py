@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import reduce
 
 import numpy as np
@@ -124,6 +125,127 @@ def strongest(counts: Column) -> Column:
     return _once(F.array_sort(counts), last)
 
 
+MARK = "|"  # no word holds it
+SLICE = 32 << 20  # bytes of text whose words are numbered together
+
+
+def marked(text: Column) -> Column:
+    """The text in lower case, with a MARK between spaces for what is neither word, apostrophe nor space."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}' ]+", f" {MARK} ")
+
+
+_NUMBER, _WHOLE = re.compile(NUMBER, re.ASCII), re.compile(WHOLE, re.ASCII)
+_UNCLEAN = "(?s)" + NUMBER.replace(r"\s", r"[\s\x0b]") + "|^.$|" + "|".join(re.sub(r"([\[\].])", r"\\\1", c) for c in (VOID, *CUTS))  # what clean_term changes
+
+
+def _clean(term: str) -> str:
+    """clean_term of one term."""
+    year = _WHOLE.match(term) and len(term) <= 18 and 1700 <= int(term.strip(" ").replace("_", "")) <= 2100
+    if VOID in term or (_NUMBER.match(term) and not year) or len(term) == 1:
+        return ""
+    for item in reversed(CUTS):
+        if item in term:
+            return term.replace(item, "").strip(" ")
+    return term.strip(" ")
+
+
+def _cleaned(terms: pa.Array) -> pa.Array:
+    some = pc.match_substring_regex(terms, _UNCLEAN)
+    return pc.replace_with_mask(terms, some, pa.array([_clean(t) for t in terms.filter(some).to_pylist()], pa.string()))
+
+
+def _joined(words: pa.Array, doc: np.ndarray, codes: np.ndarray, stops: np.ndarray, longest: int) -> tuple[np.ndarray, pa.Array]:
+    """Each run of two to `longest` words between stops: its document and its words."""
+    at = np.flatnonzero(~stops[codes])
+    first = np.flatnonzero(np.concatenate(([True], (np.diff(at) != 1) | (np.diff(doc[at]) != 0)))[: len(at)])
+    size = np.diff(np.concatenate((first, [len(at)])))
+    docs, runs = [doc[:0]], [pa.array([], pa.string())]
+    for n in range(2, longest + 1):
+        start = at[first[size == n]]
+        docs.append(doc[start])
+        runs.append(pc.binary_join_element_wise(*(words.take(pa.array(codes[start + k])) for k in range(n)), " "))
+    return np.concatenate(docs), pa.concat_arrays(runs)
+
+
+def _full(texts: pa.Array, longest: int, whole: bool) -> pa.Array:
+    """counted_runs of some texts."""
+    parts = pc.split_pattern(texts, " ")
+    found = parts.flatten().dictionary_encode()
+    codes, doc = found.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy())
+    quoted = pc.match_substring(found.dictionary, "'").to_numpy(zero_copy_only=False)
+    own = found.dictionary.filter(pa.array(quoted)).to_pylist()
+    split = [[p for p in w.split("'") if p] for w in own]
+    n, bare = len(quoted), [w.replace("'", "") for w in own]
+    more = pa.concat_arrays([found.dictionary, pa.array(bare, pa.string()), pa.array([p for w in split for p in w], pa.string())]).dictionary_encode()
+    words, again = more.dictionary, more.indices.to_numpy().astype(np.int64)  # words without the apostrophes come after the others
+    stops = pc.is_in(words, value_set=pa.array([MARK, *STOP_WORDS])).to_numpy(zero_copy_only=False)
+    some = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+    there = some[codes]
+    codes, doc = codes[there], doc[there]
+    held, terms = [], []  # of each kind: documents and places of the terms in its own list of terms
+    held.append((*_joined(words, doc, codes, stops, longest),))
+    marks = quoted[codes]
+    if whole:
+        if marks.any():  # texts without an apostrophe give the same runs again
+            bared = np.arange(n)
+            bared[quoted] = again[n : n + len(own)]
+            has = np.zeros(len(texts), bool)
+            has[doc[marks]] = True
+            mine = has[doc]
+            d, c = doc[mine], bared[codes[mine]]
+            held.append((*_joined(words, d[some[c]], c[some[c]], stops, longest),))
+        size, first = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        size[quoted] = [len(w) for w in split]
+        first[quoted] = n + len(own) + np.cumsum(size[quoted]) - size[quoted]
+        times = size[codes[marks]]
+        inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        d = np.concatenate((doc[~marks], np.repeat(doc[marks], times)))
+        c = np.concatenate((codes[~marks], again[np.repeat(first[codes[marks]], times) + inner]))
+        held.append((d[~stops[c]], pa.DictionaryArray.from_arrays(pa.array(c[~stops[c]]), words)))
+    keys, counts = [], []
+    for d, t in held:  # raw terms are counted first
+        t = t if isinstance(t, pa.DictionaryArray) else t.dictionary_encode()
+        key, times = np.unique(d * max(1, len(t.dictionary)) + t.indices.to_numpy().astype(np.int64), return_counts=True)
+        keys.append(key)
+        counts.append(times)
+        terms.append(t.dictionary)
+    clean = pa.concat_arrays([_cleaned(t) for t in terms]).dictionary_encode()
+    order = pc.sort_indices(clean.dictionary).to_numpy().astype(np.int64)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    final, void = rank[clean.indices.to_numpy()], pc.equal(clean.dictionary, "").to_numpy(zero_copy_only=False)[order]
+    every, upto = [], 0
+    for key, t in zip(keys, terms, strict=True):
+        size = max(1, len(t))
+        every.append(key // size * max(1, len(order)) + final[upto + key % size])
+        upto += len(t)
+    key, times = np.concatenate(every), np.concatenate(counts)
+    by = np.lexsort((times, key))
+    key, times = key[by], times[by]
+    last = np.concatenate((np.diff(key) != 0, [True]))[: len(key)]  # the largest count of a term
+    key, times = key[last], times[last]
+    left = ~void[key % max(1, len(order))]
+    key, times = key[left], times[left]
+    ends = np.searchsorted(key, np.arange(len(texts) + 1) * max(1, len(order)))
+    entries = pa.StructArray.from_arrays([clean.dictionary.take(pa.array(order[key % max(1, len(order))])), pa.array(times, pa.int64())], ["term", "count"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+
+
+def counted_runs(text: Column, longest: int = 3, *, whole: bool = True) -> Column:
+    """array<struct<term, count>> of a marked text: runs of two to `longest` words between stop words and marks; whole: also the runs of the text
+    without apostrophes, and words. Each kind is counted raw and cleaned, a term keeps its largest count, and empty terms go."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        ends, at, out = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), 0, []
+        while at < len(texts):
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, "right")))
+            out.append(_full(texts.slice(at, upto - at), longest, whole))
+            at = upto
+        return pa.concat_arrays(out) if out else _full(texts, longest, whole)
+
+    return F.arrow_udf(run, _COUNTS)(text)
+
+
 def snippets(text: Column, phrase: str, margin: int = 25) -> Column:
     """Each hit, without overlaps, with up to margin characters on both sides; the left side never reaches into the hit before.
 

@@ -37,9 +37,10 @@ def _words(stop_words: bool):
     return (lambda t: F.filter(T.tokens(t), lambda w: ~w.isin(*T.STOP_WORDS))) if stop_words else T.tokens
 
 
-def _phrases(longest: int):
-    split = r"[^\p{L}\p{N}' ]+|(?<![\p{L}\p{N}'])(?:" + "|".join(T.STOP_WORDS) + r")(?![\p{L}\p{N}'])"
-    return lambda t: F.filter(F.transform(F.split(F.lower(t), split), T.normal_space), lambda p: F.size(F.split(p, " ")).between(2, longest))
+def _of_runs(docs: DataFrame, longest: int, whole: bool) -> DataFrame:
+    """(doc_id, counts) of a document's runs of words; its texts are put together with a mark between, so no run goes on in the next one."""
+    own = docs.where(F.col("text").isNotNull()).groupBy("doc_id").agg(F.array_join(F.collect_list("text"), "\n").alias("text"))
+    return own.select("doc_id", T.counted_runs(T.marked(F.col("text")), longest, whole=whole).alias("counts"))
 
 
 def term_counts(docs: DataFrame, *, stop_words: bool = False, clean: bool = False, total: bool = False) -> DataFrame:
@@ -50,7 +51,7 @@ def term_counts(docs: DataFrame, *, stop_words: bool = False, clean: bool = Fals
 
 def phrase_counts(docs: DataFrame, longest: int = 3) -> DataFrame:
     """(doc_id, term, count) of candidate phrases: runs of two to `longest` words between stop words and punctuation."""
-    return _rows(_of_texts(docs, (_phrases(longest), True)))
+    return _rows(_of_runs(docs, longest, False))
 
 
 def merge_counts(*frames: DataFrame) -> DataFrame:
@@ -63,8 +64,7 @@ def merge_counts(*frames: DataFrame) -> DataFrame:
 
 def full_counts(docs: DataFrame) -> DataFrame:
     """Phrases of the text, phrases of the text without apostrophes, and words, merged."""
-    bare = lambda t: _phrases(3)(F.replace(t, F.lit("'"), F.lit("")))
-    return _rows(_of_texts(docs, (_phrases(3), True), (bare, True), (_words(True), True)))
+    return _rows(_of_runs(docs, 3, True))
 
 
 def document_counts(counts: DataFrame) -> DataFrame:

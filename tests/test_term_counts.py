@@ -64,3 +64,18 @@ def test_summaries_are_made_in_the_row_of_the_document(spark):
         assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
         assert rows(made) == want and len(want) == 3
     assert rows(analytics.pseudo_text_of(docs, limit=None)) == [(1, "b\nb\na\n", None), (2, None, "no terms left"), (4, "é\n", None)]
+
+
+def test_runs_are_counted_and_cleaned_in_arrow_batches(spark, monkeypatch):
+    texts = [(1, "it's good gold, it's good gold. 1999 1234 x don't"), (1, "new york\nnew york, new 'york'"), (2, "gold\U00010428after all"), (3, None), (4, "'"), (None, "New York")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    made = analytics.full_counts(docs)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan and plan.count("Exchange hashpartitioning(doc_id") == 1
+    want = [(1, "it's gold", 2), (1, "new 'york'", 1), (1, "1999", 1), (1, "don", 1), (1, "gold", 2), (1, "good", 2), (1, "new york", 3), (1, "new", 3), (1, "york", 3)]
+    want += [(2, "gold\U00010428after", 1), (None, "new york", 1), (None, "new", 1), (None, "york", 1)]
+    assert rows(made) == sorted(want, key=str)
+    monkeypatch.setattr(T, "SLICE", 1)
+    assert rows(analytics.full_counts(docs)) == sorted(want, key=str)
+    long = spark.createDataFrame([(1, "one' two three four. gold price now")], "doc_id long, text string")
+    assert rows(analytics.phrase_counts(long, 2)) == [] and rows(analytics.phrase_counts(long)) == [(1, "gold price now", 1)]
