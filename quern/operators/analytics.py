@@ -14,10 +14,12 @@ from ..functions import text as T
 COMMON = 100_000  # terms whose weights are sent to every task, some tens of bytes each
 
 
-def _of_texts(docs: DataFrame, *parts) -> DataFrame:
+def _of_texts(docs: DataFrame, *parts, unique: bool = False) -> DataFrame:
     """(doc_id, counts) by the functions of a text that give words: each one's words are counted over a document's texts, cleaned if it says so,
-    and a term keeps its largest count. Only texts are shuffled, once, and not the words, of which there are many times more bytes."""
-    own = docs.where(F.col("text").isNotNull()).groupBy("doc_id").agg(F.collect_list("text").alias("texts"))
+    and a term keeps its largest count. Only texts are shuffled, once, and not the words, of which there are many times more bytes; unique:
+    a document has one text, so nothing is."""
+    there = docs.where(F.col("text").isNotNull())
+    own = there.select("doc_id", F.array("text").alias("texts")) if unique else there.groupBy("doc_id").agg(F.collect_list("text").alias("texts"))
     cleaned = lambda x: F.struct(T.clean_term(x["term"]).alias("term"), x["count"].alias("count"))
     found = [(T.counted(F.flatten(F.transform("texts", words))), clean) for words, clean in parts]
     found = [F.transform(c, cleaned) if clean else c for c, clean in found]
@@ -37,16 +39,17 @@ def _words(stop_words: bool):
     return (lambda t: F.filter(T.tokens(t), lambda w: ~w.isin(*T.STOP_WORDS))) if stop_words else T.tokens
 
 
-def _of_runs(docs: DataFrame, longest: int, whole: bool) -> DataFrame:
+def _of_runs(docs: DataFrame, longest: int, whole: bool, unique: bool = False) -> DataFrame:
     """(doc_id, counts) of a document's runs of words; its texts are put together with a mark between, so no run goes on in the next one."""
-    own = docs.where(F.col("text").isNotNull()).groupBy("doc_id").agg(F.array_join(F.collect_list("text"), "\n").alias("text"))
+    own = docs.where(F.col("text").isNotNull())
+    own = own if unique else own.groupBy("doc_id").agg(F.array_join(F.collect_list("text"), "\n").alias("text"))
     return own.select("doc_id", T.counted_runs(T.marked(F.col("text")), longest, whole=whole).alias("counts"))
 
 
-def term_counts(docs: DataFrame, *, stop_words: bool = False, clean: bool = False, total: bool = False) -> DataFrame:
+def term_counts(docs: DataFrame, *, stop_words: bool = False, clean: bool = False, total: bool = False, unique: bool = False) -> DataFrame:
     """(doc_id, term, count): distinct lower-cased words. Raw words are counted first; of words that clean to one term the
-    largest count stays. With total, also the sum of a document's counts."""
-    return _rows(_of_texts(docs, (_words(stop_words), clean)), total)
+    largest count stays. With total, also the sum of a document's counts. unique: each doc_id is there once."""
+    return _rows(_of_texts(docs, (_words(stop_words), clean), unique=unique), total)
 
 
 def phrase_counts(docs: DataFrame, longest: int = 3) -> DataFrame:
@@ -62,9 +65,9 @@ def merge_counts(*frames: DataFrame) -> DataFrame:
     return all_rows.where(F.col("term") != "").groupBy("doc_id", "term").agg(F.max("count").alias("count"))
 
 
-def full_counts(docs: DataFrame) -> DataFrame:
-    """Phrases of the text, phrases of the text without apostrophes, and words, merged."""
-    return _rows(_of_runs(docs, 3, True))
+def full_counts(docs: DataFrame, *, total: bool = False, unique: bool = False) -> DataFrame:
+    """Phrases of the text, phrases of the text without apostrophes, and words, merged; total and unique as in term_counts."""
+    return _rows(_of_runs(docs, 3, True, unique), total)
 
 
 def document_counts(counts: DataFrame) -> DataFrame:
@@ -91,19 +94,25 @@ def idf(n_docs: DataFrame, counts: DataFrame) -> DataFrame:
     return idf_of(n_docs.crossJoin(F.broadcast(n)), F.col("__n"))  # n is one row
 
 
+def weighted_parts(counts: DataFrame, weight: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """weighted in two parts: the terms whose weights are broadcast, in the tasks of counts, and the others."""
+    share = F.col("count") / (F.col("total") if "total" in counts.columns else F.sum("count").over(Window.partitionBy("doc_id")))
+    share = counts.select("doc_id", "term", share.alias("tf"))
+    common = weight.orderBy("idf", "term").limit(COMMON).select("term", "idf", F.lit(True).alias("__common"))
+    both = share.join(F.broadcast(common), "term", "left")
+    rest = both.where("__common is null").select("doc_id", "term", "tf").join(weight.select("term", "idf"), "term")
+    made = lambda rows: rows.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    return made(both.where("__common")), made(rest)
+
+
 def weighted(counts: DataFrame, weight: DataFrame) -> DataFrame:
     """(doc_id, term, tfidf): the term's share of the document's words times its idf, of weight (term, idf). The document's words are the
     column total of counts, where there is one.
 
     The weights of the COMMON commonest terms are broadcast, so that most rows stay in their tasks; the others are joined as
     Spark chooses. counts and weight are read more than once and should be written."""
-    share = F.col("count") / (F.col("total") if "total" in counts.columns else F.sum("count").over(Window.partitionBy("doc_id")))
-    share = counts.select("doc_id", "term", share.alias("tf"))
-    common = weight.orderBy("idf", "term").limit(COMMON).select("term", "idf", F.lit(True).alias("__common"))
-    both = share.join(F.broadcast(common), "term", "left")
-    rest = both.where("__common is null").select("doc_id", "term", "tf").join(weight.select("term", "idf"), "term")
-    both = both.where("__common").select("doc_id", "term", "tf", "idf").unionByName(rest.select("doc_id", "term", "tf", "idf"))
-    return both.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    common, rest = weighted_parts(counts, weight)
+    return common.unionByName(rest)
 
 
 def tfidf(counts: DataFrame) -> DataFrame:

@@ -5,14 +5,18 @@ A plan says what to do with each text; `TextStore` makes it so. Text, artefacts
 outlives the text that it was made from, and every driver works only on the documents that lack its artefact.
 
 Document counts are a table of signed numbers by term: each document adds one to its terms when it is counted and takes it off when its
-text changes or goes. What waits to be counted is a log of (document, term), written with the term counts, and which documents are counted
-is a table of its own, so an update reads and writes in proportion to the documents that are new."""
+text changes or goes. What waits to be counted is a log of documents, written with the term counts, and which documents are counted
+is a table of its own, so an update writes in proportion to the documents that are new, and reads the term counts in their buckets.
+
+Artefacts lie in the buckets of their documents, so what is made of large tables is written by the tasks that read them, without a shuffle.
+Term counts are stored with the sum of their document's counts, `total`, which is not shown."""
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import people as P
@@ -23,7 +27,8 @@ from .versions import Versions
 
 SOURCES = ("json", "pdf")  # tags of where a text came from, in the order in which they are preferred
 ARTEFACTS = ("term_counts", "tfidf", "pseudo")
-PENDING = "term string, epoch long"
+PENDING = "term string, epoch long"  # of what waits; no term: the document is gone, and with it what waited before that epoch
+LISTED = 2_000_000  # keys that are sent to every task, so that the rows of some documents stay where they are
 NAMES, READ, READERS = 10_000, 8 << 20, 32  # file names and bytes of texts in a batch, least number of tasks that read files
 
 
@@ -157,8 +162,21 @@ class TextStore:
     def read(self, name: str = "texts") -> DataFrame:
         return self._of(self.versions.begin(), name)
 
-    def _of(self, c, name: str, touched: list[int] | None = None) -> DataFrame:
-        return c.read(name, touched) if c.has(name) else self.spark.createDataFrame([], self.kinds[name])
+    def _of(self, c, name: str, touched: list[int] | None = None, *, total: bool = False) -> DataFrame:
+        rows = c.read(name, touched) if c.has(name) else self.spark.createDataFrame([], self.kinds[name])
+        return rows if total or name != "term_counts" else rows.select(self.key, "term", "count")
+
+    def _only(self, rows: DataFrame, ids: DataFrame, every: DataFrame) -> tuple[DataFrame, bool]:
+        """The rows of the documents in ids, and whether they stay in their tasks; every: the keys of all documents, of which ids are some. Both
+        hold a key once. The shorter list, of those that are wanted or of the others, is broadcast, if it is short enough."""
+        wanted, all_ = ids.count(), every.count()
+        if wanted == all_:
+            return rows, True
+        if min(wanted, all_ - wanted) > LISTED:
+            return rows.join(ids, self.key, "left_semi"), False
+        if wanted <= all_ - wanted:
+            return rows.join(F.broadcast(ids), self.key, "left_semi"), True
+        return rows.join(F.broadcast(every.join(ids, self.key, "left_anti")), self.key, "left_anti"), True
 
     def sync(self, plan: DataFrame, *, now: int, dry_run: bool = False) -> dict[str, int]:
         """Make a text_plan so; the counts by operation. What was derived from changed and deleted texts goes, in the same commit."""
@@ -176,16 +194,17 @@ class TextStore:
         moved = plan.where("op in ('add', 'update', 'delete')").select(key)
         touched = self.versions.touched(moved, key)
         gone = plan.where("op in ('update', 'delete')").select(key)
-        old = self._of(c, "texts", touched).select(F.col(key).alias("__k"), F.col("tags").alias("__tags"), F.col("data_created").alias("__created"))
-        fresh = plan.where("op in ('add', 'update')").join(old, F.col(key) == F.col("__k"), "left")
-        other = F.filter(F.coalesce("__tags", F.array().cast("array<string>")), lambda t: ~t.isin(*SOURCES))
-        row = [key, "text", "hash", F.coalesce("__created", "data_created").alias("data_created"), F.lit(now).cast("long").alias("data_updated"), F.concat(other, F.array("source")).alias("tags")]
+        stamp = F.lit(now).cast("long").alias("data_updated")
+        found = [key, "text", "hash", "data_created", stamp, F.array("source").alias("tags")]  # of texts that were not there, so nothing is joined
         if c.has("texts"):
-            c.put("texts", fresh.where("op = 'add'").select(*row), fresh=True)
-            c.put("texts", fresh.where("op = 'update'").select(*row))
+            old = self._of(c, "texts", touched).select(F.col(key).alias("__k"), F.col("tags").alias("__tags"), F.col("data_created").alias("__created"))
+            other = F.filter(F.coalesce("__tags", F.array().cast("array<string>")), lambda t: ~t.isin(*SOURCES))
+            row = [key, "text", "hash", F.coalesce("__created", "data_created").alias("data_created"), stamp, F.concat(other, F.array("source")).alias("tags")]
+            c.put("texts", plan.where("op = 'add'").select(*found), fresh=True)
+            c.put("texts", plan.where("op = 'update'").join(old, F.col(key) == F.col("__k"), "left").select(*row))
             c.drop("texts", plan.where("op = 'delete'"))
         else:
-            c.replace("texts", fresh.select(*row), key)
+            c.replace("texts", plan.where("op in ('add', 'update')").select(*found), key)
         for name in ARTEFACTS:
             if c.has(name):
                 c.drop(name, gone)
@@ -212,27 +231,32 @@ class TextStore:
     def _missing(self, c, artefact: str, most: int | None, force: bool) -> DataFrame:
         return lacking(self._of(c, "texts"), self._of(c, artefact), self.key, most=most, force=force)
 
-    def _add(self, c, name: str, ids: DataFrame, rows: DataFrame, *, anew: bool) -> None:
-        """Rows of the documents in ids; anew: in the place of what they have."""
+    def _add(self, c, name: str, ids: DataFrame, rows: DataFrame, *more: DataFrame, anew: bool, placed: bool = False) -> None:
+        """Rows of the documents in ids; anew: in the place of what they have; placed: rows, but not more, are written where they are made."""
         if not c.has(name):
-            c.replace(name, rows, self.key)
+            c.replace(name, rows, self.key, placed=placed)
         else:
             if anew:
                 c.drop(name, ids)
-            c.put(name, rows, fresh=True)
+            c.put(name, rows, fresh=True, placed=placed)
+        for others in more:
+            c.put(name, others, self.key, fresh=True)
 
     def update_term_counts(self, *, most: int | None = None) -> None:
         """Count the terms of the texts that have no counts."""
         c = self.versions.begin()
-        ids = self._missing(c, "term_counts", most, False)
-        docs = self._of(c, "texts").join(ids, self.key, "left_semi").select(F.col(self.key).alias("doc_id"), "text")
-        made = self.counts(docs).withColumnRenamed("doc_id", self.key).persist()
-        try:
-            self._add(c, "term_counts", ids, made, anew=False)
-            c.append("pending", made.select(self.key, "term", F.lit(c.at + 1).cast("long").alias("epoch")))
-            c.commit()
-        finally:
-            made.unpersist()
+        rows, ids = self._of(c, "texts"), self._missing(c, "term_counts", most, False)
+        docs, stay = self._only(rows, ids, rows.select(self.key))
+        docs = docs.select(F.col(self.key).alias("doc_id"), "text")
+        known = inspect.signature(self.counts).parameters
+        made = self.counts(docs, **{name: True for name in ("unique", "total") if name in known})
+        if c.has("term_counts") and "total" not in c.read("term_counts", []).columns:  # a store from before there were totals
+            made = made.drop("total")
+        elif "total" not in made.columns:
+            made = made.withColumn("total", F.sum("count").over(Window.partitionBy("doc_id")))
+        self._add(c, "term_counts", ids, made.withColumnRenamed("doc_id", self.key), anew=False, placed=stay and "unique" in known and c.large("texts"))
+        c.append("pending", ids.select(self.key, F.lit("").alias("term"), F.lit(c.at + 1).cast("long").alias("epoch")))
+        c.commit()
         self.versions.upkeep()
 
     def term_count(self, ids: DataFrame) -> DataFrame:
@@ -264,15 +288,18 @@ class TextStore:
         else:
             waiting = self._of(c, "pending")
             off = waiting.where("term is null").groupBy(key).agg(F.max("epoch").alias("__off"))
-            more = waiting.where("term is not null").join(off, key, "left").where("__off is null or epoch > __off").select(key, "term").persist()
+            fresh = waiting.where("term is not null").join(off, key, "left").where("__off is null or epoch > __off").select(key).distinct().persist()
+            touched = self.versions.touched(fresh, key)
+            there = self._of(c, "texts", touched).select(key)
+            more, _ = self._only(self._of(c, "term_counts", touched), fresh.join(there, key, "left_semi"), there)
             ids = more.select(key).distinct()
             c.add("doc_counts", analytics.document_counts(more), "term")
             c.put("counted", ids, fresh=True)
             c.add("totals", total(ids), "name")
         c.clear("pending")
         c.commit()
-        if not wipe and "more" in locals():
-            more.unpersist()
+        if not wipe and "fresh" in locals():
+            fresh.unpersist()
         self.versions.upkeep()
         return self.n_counted()
 
@@ -286,9 +313,11 @@ class TextStore:
         c = self.versions.begin()
         n = self._of(c, "totals").first()
         ids = self._missing(c, "tfidf", None, force).join(self._of(c, "counted"), self.key, "left_semi")
-        counts = self._of(c, "term_counts").join(ids, self.key, "left_semi").withColumnRenamed(self.key, "doc_id")
-        made = analytics.weighted(counts, analytics.idf_of(self._of(c, "doc_counts"), n.n if n else 0)).withColumnRenamed("doc_id", self.key)
-        self._add(c, "tfidf", ids, made, anew=force)
+        counts, stay = self._only(self._of(c, "term_counts", total=True), ids, self._of(c, "texts").select(self.key))
+        counts = counts.withColumnRenamed(self.key, "doc_id")
+        parts = analytics.weighted_parts(counts, analytics.idf_of(self._of(c, "doc_counts"), n.n if n else 0))
+        parts = [p.withColumnRenamed("doc_id", self.key) for p in parts]
+        self._add(c, "tfidf", ids, *parts, anew=force, placed=stay and "total" in counts.columns and c.large("term_counts"))
         c.commit()
         self.versions.upkeep()
 

@@ -10,10 +10,11 @@ given keys) read nothing, so they are never refused. No commit is lost, and none
 Merge on read: put, drop and patch write files in proportion to the changed keys, per bucket, and leave the buckets alone. A read takes
 the rows of buckets and puts, leaves out those that a later drop or put names, and folds later patches over the others. A patch of
 all rows is one entry of the manifest. Buckets whose changes have grown (by size against the bucket, or by number) are compacted by a
-commit of their own. Tables of mode "sum" hold signed numbers: rows of one key add up, and keys whose sum is 0 are not there.
+commit of their own; files of new keys alone are no changes but by their number, as a read takes them as they are. Tables of mode "sum" hold signed numbers: rows of one key add up, and keys whose sum is 0 are not there.
 
 Logs are lists of segments; ten segments of a level are merged into one of the next, in order of the first column, so a log of n
-commits has some ten times log n segments. The number of buckets doubles when their mean size passes a bound."""
+commits has some ten times log n segments. The number of buckets doubles when their mean size passes a bound: the new buckets refer to the
+files of the old one and read their own rows of them, until they are written anew, so doubling writes a manifest only."""
 
 from __future__ import annotations
 
@@ -29,8 +30,10 @@ from pyspark.sql.types import StructType
 
 RATIO, AT_LEAST, MOST_DELTAS, MOST_PATCHES = 0.25, 8 << 20, 16, 8  # when changes are folded into their bucket
 WRITES = 8  # of one commit at the same time
+OPEN, OPEN_AT_ONCE = "spark.sql.maxConcurrentOutputFileWriters", 8  # files of buckets that a task has open; more are sorted first, which may spill
 FANOUT = 10  # segments of a log that are merged into one
 BUCKET_BYTES = 512 << 20  # mean size of a bucket at which their number doubles
+PLACED = 32 << 20  # from so many bytes on, rows made from buckets of the same key are written by the tasks that read them
 GRACE_MS = 3_600_000  # younger files that no version names may belong to a commit under way
 
 
@@ -43,7 +46,8 @@ def _empty() -> dict:
 
 
 class Versions:
-    """Manifest: schemas, keys and modes by table; buckets {table: {bucket: {base, bytes, seq, deltas}}}; patches {table: [{seq, op,
+    """Manifest: schemas, keys and modes by table; buckets {table: {bucket: {base, bytes, seq, deltas}}}, base and deltas with `of`, the number
+    of buckets when they were written, where that was another; patches {table: [{seq, op,
     arg}]} of all rows; logs {table: [{path, level}]}; facts; wrote {table: buckets or null for all}, what this version changed."""
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int = 16, *, patches: dict[str, tuple[str, Callable[[Column, Column], Column]]] | None = None):
@@ -119,9 +123,9 @@ class Versions:
         finally:
             self._fs.delete(draft, False)
 
-    def bucket(self, key: str):
+    def bucket(self, key: str, n: int | None = None):
         """The bucket of a key, as a column."""
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(n or self.buckets)).cast("int")
 
     def touched(self, ids: DataFrame, key: str) -> list[int]:
         """The buckets of the keys in ids: as many as there are buckets at most."""
@@ -139,48 +143,67 @@ class Versions:
         if table in m["logs"]:
             return self._files(schema, [s["path"] for s in m["logs"][table]])
         held = {b: e for b, e in m["buckets"].get(table, {}).items() if buckets is None or int(b) in buckets}
-        return self._merged(schema, m["keys"].get(table), m["modes"].get(table), held, m["patches"].get(table, []))
+        return self._merged(schema, m["keys"].get(table), m["modes"].get(table), held, m["patches"].get(table, []), m["facts"].get("buckets", self.buckets))
 
     def _files(self, schema: StructType, names: list[str]) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*(f"{self.folder}/{n}" for n in names)) if names else self.spark.createDataFrame([], schema)
 
-    def _sequenced(self, schema: StructType, deltas: list[dict]) -> DataFrame:
+    def _own(self, schema: StructType, names: list[str], key: str | None, shared: dict[str, tuple[int, ...]], n: int, then=lambda rows: rows) -> DataFrame:
+        """The rows of files, by `then`; of a shared one only those of its buckets."""
+        by: dict[tuple[int, ...], list[str]] = {}
+        for name in dict.fromkeys(names):
+            by.setdefault(shared.get(name, ()), []).append(name)
+        rows = None
+        for own, some in (by or {(): []}).items():
+            part = self._files(schema, some)
+            part = then(part.where(self.bucket(key, n).isin(*own)) if own else part)
+            rows = part if rows is None else rows.unionByName(part)
+        return rows
+
+    def _sequenced(self, schema: StructType, deltas: list[dict], key: str | None, shared: dict[str, tuple[int, ...]], n: int) -> DataFrame:
         """The rows of files of changes with __seq, the version that brought them."""
         versions = {d["path"].split("/")[1]: d["seq"] for d in deltas}
         known = F.create_map(*(F.lit(x) for pair in versions.items() for x in pair))
-        rows = self._files(schema, [d["path"] for d in deltas])
-        return rows.withColumn("__seq", known[F.regexp_extract(F.col("_metadata.file_path"), "/data/([0-9a-f]+)/", 1)].cast("long"))
-
-    def _merged(self, schema: StructType, key: str | None, mode: str | None, held: dict[str, dict], everywhere: list[dict]) -> DataFrame:
-        names = schema.names
+        at = known[F.regexp_extract(F.col("_metadata.file_path"), "/data/([0-9a-f]+)/", 1)].cast("long")
+        return self._own(schema, [d["path"] for d in deltas], key, shared, n, lambda rows: rows.withColumn("__seq", at))
+
+    def _merged(self, schema: StructType, key: str | None, mode: str | None, held: dict[str, dict], everywhere: list[dict], n: int) -> DataFrame:
+        names, refer = schema.names, {}
+        for b, e in held.items():
+            for path, of in [(e["base"], e.get("of", n)), *((d["path"], d.get("of", n)) for d in e["deltas"])]:
+                refer.setdefault((path, of), []).append(int(b))
+        shared = {path: tuple(sorted(own)) for (path, of), own in refer.items() if len(own) < n // of}  # some of its buckets have other files by now
+        own = lambda some: self._own(schema, some, key, shared, n)
         deltas = [d for e in held.values() for d in e["deltas"]]
         bases = [e for e in held.values() if e["base"]]
         kind = lambda k: [d for d in deltas if d["kind"] == k]
         if mode == "sum":
-            rows = self._files(schema, [e["base"] for e in bases] + [d["path"] for d in deltas])
+            rows = own([e["base"] for e in bases] + [d["path"] for d in deltas])
             sums = [F.sum(c).alias(c) for c in names if c != key]
             return (rows.groupBy(key).agg(*sums).where(" or ".join(f"`{c}` <> 0" for c in names if c != key)) if deltas else rows).select(names)
         if not deltas and not any(p["seq"] > e["seq"] for p in everywhere for e in bases):
-            return self._files(schema, [e["base"] for e in bases])
+            return own([e["base"] for e in bases])
+        if not kind("drops") and not kind("patch") and not everywhere:
+            return own([e["base"] for e in bases] + [d["path"] for d in deltas])
         # a bucket holds what all patches up to its version have made, and all its files of changes are later
         upto = lambda e: max((p["seq"] for p in everywhere if p["seq"] <= e["seq"]), default=0)
         rows = None
         for seq in sorted({upto(e) for e in bases}):
-            part = self._files(schema, [e["base"] for e in bases if upto(e) == seq]).withColumn("__seq", F.lit(seq).cast("long"))
+            part = own([e["base"] for e in bases if upto(e) == seq]).withColumn("__seq", F.lit(seq).cast("long"))
             rows = part if rows is None else rows.unionByName(part)
         if kind("rows"):
-            more = self._sequenced(schema, kind("rows"))
+            more = self._sequenced(schema, kind("rows"), key, shared, n)
             rows = more if rows is None else rows.unionByName(more)
         if rows is None:
             return self.spark.createDataFrame([], schema)
         if kind("drops"):
-            gone = self._sequenced(StructType([schema[key]]), kind("drops")).groupBy(F.col(key).alias("__key")).agg(F.max("__seq").alias("__gone"))
+            gone = self._sequenced(StructType([schema[key]]), kind("drops"), key, shared, n).groupBy(F.col(key).alias("__key")).agg(F.max("__seq").alias("__gone"))
             rows = rows.join(gone, F.col(key) == F.col("__key"), "left").where("__gone is null or __seq >= __gone").drop("__key", "__gone")
         if kind("patch") or everywhere:
-            rows = self._patched(rows, schema, key, kind("patch"), everywhere)
+            rows = self._patched(rows, schema, key, kind("patch"), everywhere, shared, n)
         return rows.select(names)
 
-    def _patched(self, rows: DataFrame, schema: StructType, key: str, deltas: list[dict], everywhere: list[dict]) -> DataFrame:
+    def _patched(self, rows: DataFrame, schema: StructType, key: str, deltas: list[dict], everywhere: list[dict], shared: dict[str, tuple[int, ...]], n: int) -> DataFrame:
         """Rows with the patches that came after them folded over them, in order."""
         entry = lambda seq, at, op, arg: F.struct(seq.cast("long").alias("seq"), at.cast("int").alias("at"), op.alias("op"), arg.cast("array<string>").alias("arg"))
         kind = "array<struct<seq:bigint,at:int,op:string,arg:array<string>>>"
@@ -188,7 +211,7 @@ class Versions:
         ops = F.array(*fixed).cast(kind)
         if deltas:
             form = StructType([schema[key], *StructType.fromDDL("op string, arg array<string>, at int").fields])
-            own = self._sequenced(form, deltas).groupBy(F.col(key).alias("__key")).agg(F.collect_list(entry(F.col("__seq"), F.col("at"), F.col("op"), F.col("arg"))).alias("__ops"))
+            own = self._sequenced(form, deltas, key, shared, n).groupBy(F.col(key).alias("__key")).agg(F.collect_list(entry(F.col("__seq"), F.col("at"), F.col("op"), F.col("arg"))).alias("__ops"))
             rows = rows.join(own, F.col(key) == F.col("__key"), "left")
             ops = F.concat(ops, F.coalesce("__ops", F.array().cast(kind)))
         used = {o for d in deltas for o in d["ops"]} | {p["op"] for p in everywhere}
@@ -225,11 +248,12 @@ class Versions:
         c.facts.update(facts or {})
         return c.commit()
 
-    def _write(self, rows: DataFrame, key: str | None) -> dict[str, tuple[str, int]]:
-        """Bucket -> (folder, bytes) of what was written, without those that got no row."""
+    def _write(self, rows: DataFrame, key: str | None, placed: bool = False) -> dict[str, tuple[str, int]]:
+        """Bucket -> (folder, bytes) of what was written, without those that got no row. placed: by the tasks that make the rows."""
         name = f"data/{uuid.uuid4().hex}"
         dealt = rows.withColumn("__bucket", self.bucket(key) if key else F.lit(0))
-        dealt.hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(f"{self.folder}/{name}")  # few files a bucket, large ones split
+        dealt = dealt if placed else dealt.hint("rebalance", "__bucket")
+        dealt.write.partitionBy("__bucket").parquet(f"{self.folder}/{name}")  # few files a bucket, large ones split
         found = [f.getPath() for f in self._fs.listStatus(self._path(name)) if f.isDirectory()]
         return {p.getName().split("=")[1]: (f"{name}/{p.getName()}", self._fs.getContentSummary(p).getLength()) for p in found if p.getName().startswith("__bucket=")}
 
@@ -240,7 +264,8 @@ class Versions:
         m = m or self.manifest()
         out = {}
         for table, held in m["buckets"].items():
-            waiting = lambda e: sum(d["bytes"] for d in e["deltas"])
+            fresh = lambda e: m["modes"].get(table) != "sum" and all(d["kind"] == "rows" for d in e["deltas"])  # noqa: E731, B023
+            waiting = lambda e: 0 if fresh(e) else sum(d["bytes"] for d in e["deltas"])  # noqa: E731, B023
             full = len(m["patches"].get(table, [])) > MOST_PATCHES
             grown = [int(b) for b, e in held.items() if full or len(e["deltas"]) > MOST_DELTAS or waiting(e) > max(AT_LEAST, RATIO * e["bytes"])]
             if grown:
@@ -273,20 +298,16 @@ class Versions:
     def grow(self) -> bool:
         """Double the number of buckets until their mean size in the largest table is under the bound."""
         c = self.begin()
-        largest = max((sum(e["bytes"] for e in held.values()) for held in c.manifest["buckets"].values()), default=0)
+        size = lambda e: e["bytes"] + sum(d["bytes"] for d in e["deltas"])
+        largest = max((sum(map(size, held.values())) for held in c.manifest["buckets"].values()), default=0)
         n = self.buckets
         while largest > n * BUCKET_BYTES:
             n *= 2
         if n == self.buckets:
             return False
-        rows = {t: c.read(t) for t in c.manifest["buckets"]}
-        self.buckets = c.n = n
-        for table, r in rows.items():
-            c.replace(table, r, c.manifest["keys"][table], mode=c.manifest["modes"].get(table))
-        c.facts["buckets"] = n
+        c.split(n)
         done = self._kept_up(c, True)
-        if not done:
-            self.buckets = self.manifest()["facts"]["buckets"]
+        self.buckets = n if done else self.manifest()["facts"]["buckets"]
         return done
 
     def _kept_up(self, c: Commit, wanted: bool) -> bool:
@@ -339,6 +360,7 @@ class Commit:
         self._merged: list[tuple[str, list[str], dict]] = []
         self._cleared: dict[str, list[str]] = {}
         self._writes: list[Callable[[], None]] = []
+        self._from = 0  # number of buckets that are split
 
     def has(self, table: str) -> bool:
         return table in self.manifest["schemas"]
@@ -354,40 +376,49 @@ class Commit:
             self._schemas[table] = (json.loads(rows.schema.json()), key, mode)
         return key
 
-    def replace(self, table: str, rows: DataFrame, key: str, buckets: list[int] | None = None, *, mode: str | None = None) -> None:
+    def replace(self, table: str, rows: DataFrame, key: str, buckets: list[int] | None = None, *, mode: str | None = None, placed: bool = False) -> None:
         """rows are all rows of these buckets (None: of the table) from now on."""
         self._declare(table, rows, key, mode)
-        self._becomes(table, rows, key, buckets, False)
+        self._becomes(table, rows, key, buckets, False, placed)
 
-    def _becomes(self, table: str, rows: DataFrame, key: str, buckets: list[int] | None, folded: bool) -> None:
+    def _becomes(self, table: str, rows: DataFrame, key: str, buckets: list[int] | None, folded: bool, placed: bool = False) -> None:
         def write() -> None:
-            made = {b: {"base": p, "bytes": n, "deltas": []} for b, (p, n) in self.v._write(rows, key).items()}
+            made = {b: {"base": p, "bytes": n, "deltas": []} for b, (p, n) in self.v._write(rows, key, placed).items()}
             self._bases[table] = (buckets, made, folded)
 
         self._bases[table] = (buckets, {}, folded)
         self._writes.append(write)
 
+    def split(self, n: int) -> None:
+        """A multiple of the buckets, which refer to the files of those that they were."""
+        self._from, self.n = self.n, n
+
+    def large(self, table: str) -> bool:
+        """Whether rows that are made from this table's, of the same key, may be written where they are made."""
+        held = self.manifest["buckets"].get(table, {}).values()
+        return sum(e["bytes"] + sum(d["bytes"] for d in e["deltas"]) for e in held) >= PLACED
+
     def fold(self, table: str, buckets: list[int]) -> None:
         """Write buckets anew as they are read; changes that come meanwhile stay on top."""
         buckets = [b for b in buckets if str(b) in self.manifest["buckets"].get(table, {})]
         rows = self.v.read(table, buckets=buckets, manifest=self.manifest)
         self._becomes(table, rows, self.manifest["keys"][table], buckets, True)
 
-    def _change(self, table: str, rows: DataFrame, key: str, kind: str, ops: list[str] = ()) -> None:  # type: ignore[assignment]
+    def _change(self, table: str, rows: DataFrame, key: str, kind: str, ops: list[str] = (), placed: bool = False) -> None:  # type: ignore[assignment]
         held = self._deltas.setdefault(table, {})
 
         def write() -> None:
-            for b, (path, n) in self.v._write(rows, key).items():
+            for b, (path, n) in self.v._write(rows, key, placed).items():
                 held.setdefault(b, []).append({"path": path, "bytes": n, "kind": kind, "ops": list(ops)})
 
         self._writes.append(write)
 
-    def put(self, table: str, rows: DataFrame, key: str | None = None, *, fresh: bool = False) -> None:
+    def put(self, table: str, rows: DataFrame, key: str | None = None, *, fresh: bool = False, placed: bool = False) -> None:
         """rows in the place of all rows of their keys; fresh: there are none of these keys."""
         key = self._declare(table, rows, key)
         if not fresh:
             self._change(table, rows.select(key).distinct(), key, "drops")
-        self._change(table, rows, key, "rows")
+        self._change(table, rows, key, "rows", placed=placed)
 
     def drop(self, table: str, ids: DataFrame) -> None:
         key = self._declare(table, None, None)
@@ -500,15 +531,26 @@ class Commit:
             m["logs"].setdefault(log, [])
         for log, segments in self._segments.items():
             m["logs"][log].extend(segments)
+        if self._from:
+            times, of = self.n // self._from, self._from
+            part = lambda x: {**x, "bytes": x["bytes"] // times, "of": x.get("of", of)}
+            for t, held in m["buckets"].items():
+                m["buckets"][t] = {str(int(b) + k * of): {**part(e), "deltas": list(map(part, e["deltas"]))} for b, e in held.items() for k in range(times)}
         m["facts"].update({"buckets": self.n, **self.facts})
         m["wrote"], m["last"] = self._wrote(), seq
         return m
 
     def commit(self) -> int:
         """Write and publish; the version. What others publish first is taken in, or ends this commit with Conflict."""
-        with ThreadPoolExecutor(WRITES) as pool:  # each is a Spark job of the thread that commits
-            for done in [pool.submit(inheritable_thread_target(self.v.spark)(w)) for w in self._writes]:
-                done.result()
+        conf = self.v.spark.conf
+        before = conf.get(OPEN, None)
+        conf.set(OPEN, str(OPEN_AT_ONCE))
+        try:
+            with ThreadPoolExecutor(WRITES) as pool:  # each is a Spark job of the thread that commits
+                for done in [pool.submit(inheritable_thread_target(self.v.spark)(w)) for w in self._writes]:
+                    done.result()
+        finally:
+            conf.unset(OPEN) if before is None else conf.set(OPEN, before)
         self._writes.clear()
         while True:
             newest = self.v.version()

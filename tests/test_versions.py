@@ -273,3 +273,74 @@ def test_document_counts_move_in_proportion(spark, tmp_path):
     assert {r.term: r.n_docs for r in s.read("doc_counts").collect()} == want
     assert want["third"] == 3 and want["other"] == 2 and s.update_doc_counts(wipe=True) == 1500
     assert {r.term: r.n_docs for r in s.read("doc_counts").collect()} == want
+
+
+def test_doubled_buckets_refer_to_the_files_of_the_old_ones(spark, tmp_path, monkeypatch):
+    s = store(spark, tmp_path, 60, 2)
+    s.put(spark.createDataFrame([(k, f"new{k}") for k in range(50, 70)], "k long, v string"), now=2)
+    s.add_tag("x", ids(spark, 1, 2, 3, 60))
+    s.delete(ids(spark, 4, 61), now=3)
+    before, files = held(s), {str(p) for p in (tmp_path / "store" / "data").rglob("*.parquet")}
+    for _ in range(2):  # and again, from buckets that share files
+        monkeypatch.setattr(V, "BUCKET_BYTES", sum(e["bytes"] + sum(d["bytes"] for d in e["deltas"]) for e in s.versions.manifest()["buckets"]["rows"].values()) // (s.versions.buckets * 2) + 1)
+        assert s.versions.grow()
+    assert s.versions.buckets == 8 and held(s) == before
+    assert {str(p) for p in (tmp_path / "store" / "data").rglob("*.parquet")} == files
+    for b in range(8):
+        own = {r.k for r in s.versions.read("rows", buckets=[b]).collect()}
+        assert own == {r.k for r in s.read().where(s.versions.bucket("k") == b).select("k").collect()}
+    monkeypatch.setattr(V, "BUCKET_BYTES", 512 << 20)
+    s.delete(ids(spark, 5, 62), now=4)
+    s.put(spark.createDataFrame([(6, "again"), (99, "late")], "k long, v string"), now=5)
+    s.add_tag("y", ids(spark, 7))
+    want = {k: x for k, x in before.items() if k not in (5, 62)}
+    want[6], want[99], want[7] = ("again", []), ("late", []), (before[7][0], ["y"])
+    plain = lambda: {k: x if k not in (6, 7, 99) else x[:2] for k, x in held(s).items()}
+    assert plain() == want
+    assert s.versions.compact({"rows": [1, 2, 7]}) and plain() == want  # some have files of their own by now
+    assert s.versions.compact({"rows": list(range(8))}) and plain() == want
+    v = Versions(spark, f"file://{tmp_path}/sums", 2)
+    for part in ([("a", 2), ("b", 1), ("c", 1)], [("a", -1), ("c", -1), ("d", 4)]):
+        c = v.begin()
+        c.add("counts", spark.createDataFrame(part, "term string, n long"), "term")
+        c.commit()
+    monkeypatch.setattr(V, "BUCKET_BYTES", 1)
+    assert v.grow() and v.compact({"counts": [0, 3]})
+    assert sorted(map(tuple, v.read("counts").collect())) == [("a", 1), ("b", 1), ("d", 4)]
+
+
+def test_files_of_new_keys_are_not_folded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(V, "AT_LEAST", 0)
+    v = Versions(spark, f"file://{tmp_path}/v", 2)
+    for k in range(3):
+        c = v.begin()
+        c.put("t", spark.createDataFrame([(10 * k + j, j) for j in range(10)], "k long, n int"), "k", fresh=True)
+        c.commit()
+    assert v.due() == {} and v.read("t").count() == 30
+    c = v.begin()
+    c.drop("t", spark.createDataFrame([(j,) for j in range(10)], "k long"))
+    c.commit()
+    assert v.due() and v.read("t").count() == 20
+    v.upkeep()
+    assert v.read("t").count() == 20 and not any(e["deltas"] for e in v.manifest()["buckets"]["t"].values())
+
+
+@pytest.mark.parametrize("listed", [0, 2_000_000])
+def test_artefacts_are_written_where_their_texts_are_read(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(V, "PLACED", 0)
+    monkeypatch.setattr(texts, "LISTED", listed)
+    s = texts.TextStore(spark, f"file://{tmp_path}/t", counts=analytics.term_counts, buckets=2)
+    write, placed = s.versions._write, []
+    monkeypatch.setattr(s.versions, "_write", lambda rows, key, at=False: placed.append((tuple(rows.columns), at)) or write(rows, key, at))
+    every = [(k, f"all w{k % 3} u{k}" if k else "--") for k in range(9)]
+    for some in (every[:5], every):
+        found = spark.createDataFrame(some, "doc_id long, text string").withColumn("source", F.lit("json"))
+        s.sync(texts.text_plan(found.select("doc_id", F.lit(0).alias("data_created")), s.read(), found, "doc_id"), now=1)
+        s.update_term_counts()
+        assert s.update_doc_counts() == len(some) - 1
+    s.update_tfidf()
+    want = sorted(map(tuple, analytics.tfidf(analytics.term_counts(spark.createDataFrame(every, "doc_id long, text string"))).collect()))
+    assert sorted(map(tuple, s.read("tfidf").collect())) == want and s.read("term_counts").columns == ["doc_id", "term", "count"]
+    own = [at for columns, at in placed if columns == ("doc_id", "term", "count", "total")]
+    assert own == ([True, True] if listed else [True, False]) and not any("epoch" in c and "word" in c for c, _ in placed)
+    assert s.versions.read("pending").count() == 0
