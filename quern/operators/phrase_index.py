@@ -29,9 +29,9 @@ def _absolute(steps: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate((starts[:1], ends)) if len(ends) else [0], pa.int32()), pa.array(places, pa.int32()))
 
 
-def places(docs: DataFrame, key: str) -> DataFrame:
+def places(docs: DataFrame, key: str, *, unique: bool = False) -> DataFrame:
     """(term, key, places) of the tokens of (key, text): differences of the token numbers at which the term stands. Texts are shuffled by
-    their key, once, and not the tokens, of which there are many times more bytes."""
+    their key, once, and not the tokens, of which there are many times more bytes; unique: a key has one text, so nothing is."""
     placed = lambda t: F.transform(T.tokens(t), lambda w, k: F.struct(w.alias("term"), k.alias("place")))
 
     def runs(s: Column) -> Column:
@@ -40,7 +40,8 @@ def places(docs: DataFrame, key: str) -> DataFrame:
         one = lambda at: F.transform(at, lambda p, k: F.struct(F.get(s, p)["term"].alias("term"), held(at, p, k).alias("p")))
         return F.when(F.size(s) > 0, T._once(first, one)).otherwise(F.array().cast("array<struct<term:string,p:array<int>>>"))
 
-    own = docs.where(F.col("text").isNotNull()).groupBy(key).agg(F.collect_list("text").alias("texts"))
+    there = docs.where(F.col("text").isNotNull())
+    own = there.select(key, F.array("text").alias("texts")) if unique else there.groupBy(key).agg(F.collect_list("text").alias("texts"))
     found = own.select(key, F.explode(T._once(F.sort_array(F.flatten(F.transform("texts", placed))), runs)).alias("r")).select("r.term", key, "r.p")
     steps = F.transform("p", lambda x, k: x - F.coalesce(F.get("p", k - 1), F.lit(0)))
     return found.select("term", key, steps.alias("places"))
@@ -58,14 +59,10 @@ class PhraseIndex:
         c, key = self.versions.begin(), self.key
         docs = docs.where(F.col("text").isNotNull() & F.col(key).isNotNull()).select(key, "text")
         generation = F.lit(c.at + 1).cast("long").alias("generation")
-        made = places(docs, key).select("term", key, generation, "places").persist()
-        try:
-            c.put("postings", made, "term", fresh=True)
-            c.add("dictionary", made.groupBy("term").agg(F.count("*").alias("n")), "term")
-            c.put("live", docs.select(key, generation), key)
-            c.commit()
-        finally:
-            made.unpersist()
+        c.put("postings", places(docs, key, unique=True).select("term", key, generation, "places"), "term", fresh=True)
+        c.add_of("dictionary", "postings", lambda rows: rows.groupBy("term").agg(F.count("*").alias("n")), "term")
+        c.put("live", docs.select(key, generation), key)
+        c.commit()
         self.versions.upkeep()
 
     def remove(self, ids: DataFrame) -> None:

@@ -360,6 +360,7 @@ class Commit:
         self._merged: list[tuple[str, list[str], dict]] = []
         self._cleared: dict[str, list[str]] = {}
         self._writes: list[Callable[[], None]] = []
+        self._later: list[Callable[[], None]] = []  # of what is made of what was written
         self._from = 0  # number of buckets that are split
 
     def has(self, table: str) -> bool:
@@ -429,6 +430,19 @@ class Commit:
         self._declare(table, rows, key, "sum")
         self._change(table, rows, key, "rows")
 
+    def add_of(self, table: str, source: str, made: Callable[[DataFrame], DataFrame], key: str) -> None:
+        """add of what is made of the rows that this commit puts to the table source, read back once they are written."""
+
+        def write() -> None:
+            schema = StructType.fromJson(self._schemas[source][0])
+            paths = [d["path"] for own in self._deltas[source].values() for d in own if d["kind"] == "rows"]
+            self._declare(table, rows := made(self.v._files(schema, paths)), key, "sum")
+            held = self._deltas.setdefault(table, {})
+            for b, (path, n) in self.v._write(rows, key).items():
+                held.setdefault(b, []).append({"path": path, "bytes": n, "kind": "rows", "ops": []})
+
+        self._later.append(write)
+
     def patch(self, table: str, rows: DataFrame, ops: list[str]) -> None:
         """rows (key, op, arg array<string>): changes of single rows; ops are the kinds that occur."""
         key = self._declare(table, None, None)
@@ -547,11 +561,13 @@ class Commit:
         conf.set(OPEN, str(OPEN_AT_ONCE))
         try:
             with ThreadPoolExecutor(WRITES) as pool:  # each is a Spark job of the thread that commits
-                for done in [pool.submit(inheritable_thread_target(self.v.spark)(w)) for w in self._writes]:
-                    done.result()
+                for writes in (self._writes, self._later):
+                    for done in [pool.submit(inheritable_thread_target(self.v.spark)(w)) for w in writes]:
+                        done.result()
         finally:
             conf.unset(OPEN) if before is None else conf.set(OPEN, before)
         self._writes.clear()
+        self._later.clear()
         while True:
             newest = self.v.version()
             if newest != self.at:

@@ -172,3 +172,29 @@ def test_places_shuffle_texts_and_not_tokens(spark):
     assert {(r.doc_id, r.term): r.places for r in made.collect()} == {(1, "b"): [0, 2, 1], (1, "a"): [0, 1], (1, "c"): [1], (None, "a"): [0, 1], (4, "ü"): [0, 2], (4, "x"): [1]}
     dealt = [line for line in made._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
     assert dealt and all("term" not in line for line in dealt)
+
+
+def test_index_shuffles_postings_alone_and_counts_what_it_wrote(spark, held, tmp_path, monkeypatch):
+    from quern.operators import versions
+    from quern.operators.phrase_index import places
+
+    assert "Exchange" not in places(held, "doc_id", unique=True)._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, places(held, "doc_id", unique=True).collect())) == sorted(map(str, places(held, "doc_id").collect()))
+    index = PhraseIndex(spark, f"file://{tmp_path}/i", buckets=2)
+    frame, kept = type(held), []
+    monkeypatch.setattr(frame, "persist", lambda self, *a: kept.append(self.columns) or self.cache())
+    monkeypatch.setattr(versions, "AT_LEAST", 0)
+    for part in (held.where("doc_id % 2 = 0"), held.where("doc_id % 2 = 1"), held.where("doc_id % 4 = 1")):
+        index.add(part)
+        n = {r.term: r.n for r in index.versions.read("dictionary").collect()}
+        assert n == {r.term: r["count"] for r in index.versions.read("postings").groupBy("term").count().collect()}
+    assert not any("places" in columns for columns in kept)
+    assert all(e["base"] is None for e in index.versions.manifest()["buckets"]["postings"].values())  # new postings are not written twice
+    monkeypatch.setattr(versions, "BUCKET_BYTES", 1 << 11)
+    index.versions.grow()
+    assert index.versions.buckets > 2
+    docs, known = held.select("doc_id"), {r.doc_id: r.text for r in held.collect()}
+    for phrase in ("gold price", "old pri"):
+        assert sorted(map(tuple, index.report(docs, held, phrase).collect()), key=str) == scanned(list(known), known, phrase)
+    index.add(held.where("doc_id = 2").withColumn("text", F.lit("late words")))
+    assert {r.doc_id for r in index.candidates("late words").collect()} == {2}
